@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _CELLS = 2_000_000      # score cells held at once: 16 MB of doubles
 
@@ -17,7 +18,7 @@ def equal_length_blocks(column: pa.Array, max_rows: int) -> Iterator[tuple[np.nd
     length and none NULL, is reshaped without a copy per row.
     """
     lengths = np.asarray(
-        pa.compute.fill_null(pa.compute.list_value_length(column), 0), dtype=np.int64)
+        pc.fill_null(pc.list_value_length(column), 0), dtype=np.int64)
     values = column.flatten().to_numpy(zero_copy_only=False)
     starts = np.concatenate(([0], np.cumsum(lengths)))[:-1]
     for length in np.unique(lengths):

@@ -161,9 +161,10 @@ def aggregate(per_query: DataFrame, gallery_size: int,
 
 def report(aggregated: DataFrame) -> DataFrame:
     """(metric, value) as shown to people: mean AP with 3 decimals, the rest with 2."""
-    return (aggregated.select(F.explode(F.array(
-        F.struct(F.lit("mean AP").alias("metric"), fixed_text("mAP", 3).alias("value")),
-        F.struct(F.lit("MRR"), fixed_text("mrr", 2)),
-        F.struct(F.lit("Precision@1"), fixed_text(F.col("pAt")["1"], 2)),
-        F.struct(F.lit("Precision@3"), fixed_text(F.col("pAt")["3"], 2)))).alias("r"))
-        .select("r.metric", "r.value"))
+    def line(name, column, digits):
+        return F.struct(F.lit(name).alias("metric"), fixed_text(column, digits).alias("value"))
+
+    lines = F.array(line("mean AP", "mAP", 3), line("MRR", "mrr", 2),
+                    line("Precision@1", F.col("pAt")["1"], 2),
+                    line("Precision@3", F.col("pAt")["3"], 2))
+    return aggregated.select(F.explode(lines).alias("r")).select("r.metric", "r.value")

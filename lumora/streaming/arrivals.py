@@ -148,9 +148,12 @@ class Arrivals:
 
     def gallery(self) -> DataFrame:
         """Arrivals of all finished batches and the base; ``pos`` puts the newest batch first."""
+        base = self.base
+        if "isUpload" not in base.columns:
+            base = base.withColumn("isUpload", F.lit(False))
         if self.last_batch() < 0:
-            return self.base
-        return self.uploads().unionByName(self.base, allowMissingColumns=True)
+            return base
+        return self.uploads().unionByName(base, allowMissingColumns=True)
 
     def top(self) -> DataFrame:
         """Best k per active query over everything that has arrived."""

@@ -9,6 +9,7 @@ from lumora.fixed_values import (FILE_NAME_FORMAT, HITS_PER_CATEGORY, ITEMS_PER_
                                  MIN_PAYLOAD_BYTES, PAYLOAD_MIME_PATTERN, TITLE_LENGTH,
                                  UNKNOWN_CREATOR, UNTITLED)
 from lumora.functions.text import first_filled, trim_blank
+from lumora.plans.freeze import freeze
 from lumora.plans.numbering import number_rows
 
 
@@ -65,7 +66,9 @@ def first_valid(candidates: DataFrame, per_category: int = ITEMS_PER_CATEGORY) -
 
 def assign_ids(kept: DataFrame) -> DataFrame:
     """Dense ids from 0 in category-plan order, then hit order; file names from ids."""
-    numbered = number_rows(kept, [F.col("cat_pos").asc(), F.col("pos").asc()], "__n")
+    kept = freeze(kept)
+    order = [F.col("cat_pos").asc(), F.col("pos").asc()]
+    numbered = number_rows(kept, order, "__n", rows=kept.count())
     return (numbered.withColumn("id", F.col("__n") - 1).drop("__n")
             .withColumn("file", F.format_string(FILE_NAME_FORMAT, F.col("id"))))
 

@@ -129,8 +129,8 @@ def evaluate(gallery: DataFrame, queries: DataFrame, ks: Sequence[int] = PRECISI
     v``.  An item is relevant when its category equals the query's.  Vectors are read
     once; what is sorted across the cluster is (query, score, position).
     """
-    scores = freeze(score_pairs(gallery, queries, ("category",),
-                                max_packed=max_packed, tile_bytes=tile_bytes))
+    scores = score_pairs(gallery, queries, ("category",),
+                         max_packed=max_packed, tile_bytes=tile_bytes)
     wanted = queries.select(F.col("qid").cast("long").alias("qid"), "query",
                             F.col("category").alias("target"))
     targets = freeze(wanted)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lumora.functions.kernels import QueryVectors, TopK
 from lumora.functions.vectors import orderable
+from lumora.plans.freeze import freeze
 from lumora.plans.numbering import number_rows
 from lumora.plans.packed import MAX_ROWS, pack, scores_column
 from lumora.plans.tiles import TILE_BYTES, tile_pairs
@@ -30,32 +31,39 @@ def score_one(gallery: DataFrame, query: list[float]) -> DataFrame:
     return scored.withColumn("score", orderable("score"))
 
 
+def _ranking(gallery: DataFrame, query: list[float]) -> DataFrame:
+    """Scores without vectors, frozen: a range sort reads its input twice, and this way
+    the vectors are read once and never sorted."""
+    return freeze(score_one(gallery, query).drop("v"))
+
+
 def rank(gallery: DataFrame, query: list[float]) -> DataFrame:
     """The whole gallery, best first: a distributed range sort."""
-    return score_one(gallery, query).orderBy(*best_first())
+    return _ranking(gallery, query).orderBy(*best_first())
 
 
 def rank_numbered(gallery: DataFrame, query: list[float]) -> DataFrame:
-    """The whole gallery with its 1-based ``rank``; vectors stay out of the sort."""
-    scored = score_one(gallery, query).drop("v")
-    return number_rows(scored, best_first(), "rank")
+    """The whole gallery with its 1-based ``rank``."""
+    return number_rows(_ranking(gallery, query), best_first(), "rank")
 
 
 def score_pairs(gallery: DataFrame, queries: DataFrame, carry: tuple[str, ...] = (),
                 *, max_packed: int = MAX_ROWS, tile_bytes: int = TILE_BYTES) -> DataFrame:
     """(qid, id, pos, *carry, score) for every query and item.
 
-    For operators that need the complete ranking of each query.  Up to
-    ``max_packed`` queries travel to the data; more are met in tiles.
+    For operators that need the complete ranking of each query, most of which read it
+    more than once, so scores are frozen: per item one array of scores, spread out into
+    rows on reading.  Up to ``max_packed`` queries travel to the data; more are met in
+    tiles.
     """
     columns = ["id", "pos", *carry]
     packed = pack(queries, max_rows=max_packed)
     if packed is not None:
         qids = F.lit([int(q) for q in packed.qids]).cast("array<long>")
-        scored = gallery.select(*columns, scores_column(gallery, "v", packed).alias("__s"))
-        return (scored.select(*columns, F.explode(F.arrays_zip(qids.alias("qid"), F.col("__s").alias("score"))).alias("__p"))
-                .select(F.col("__p.qid").alias("qid"), *columns,
-                        orderable("__p.score").alias("score")))
+        scored = freeze(gallery.select(*columns, scores_column(gallery, "v", packed).alias("__s")))
+        return (scored.select(*columns, F.posexplode("__s").alias("__q", "__score"))
+                .select(F.get(qids, F.col("__q")).alias("qid"), *columns,
+                        orderable("__score").alias("score")))
 
     def kernel(items, targets):
         import numpy as np
@@ -80,7 +88,7 @@ def score_pairs(gallery: DataFrame, queries: DataFrame, carry: tuple[str, ...] =
     schema = ", ".join(["qid long", *[f"`{c}` {types[c]}" for c in columns], "score double"])
     pairs = tile_pairs(gallery.select(*columns, "v"), queries.select(F.col("qid").cast("long"), "v"),
                        kernel, schema, tile_bytes=tile_bytes)
-    return pairs.withColumn("score", orderable("score"))
+    return freeze(pairs.withColumn("score", orderable("score")))
 
 
 def merge_top_k(hits: DataFrame, k: int) -> DataFrame:
@@ -135,17 +143,30 @@ def top_k(gallery: DataFrame, queries: DataFrame, k: int, *, exclude: str | None
 def find_similar(gallery: DataFrame, target_ids: DataFrame, k: int, **options) -> DataFrame:
     """The ``k`` items nearest to each target item, the target itself left out.
 
-    ``target_ids`` has one column ``id``; its vectors come from the gallery.
+    ``target_ids`` has one column ``id``; its vectors come from the gallery.  The ids
+    are frozen so that their size, not a guess at it, decides whether they are broadcast.
     """
-    targets = (gallery.join(target_ids.select(F.col("id").alias("__t")).distinct(),
-                            F.col("id") == F.col("__t"), "left_semi")
+    wanted = freeze(target_ids.select(F.col("id").alias("__t")).distinct())
+    targets = (gallery.join(wanted, F.col("id") == F.col("__t"), "left_semi")
                .select(F.col("id").alias("qid"), "v", F.col("id").alias("self")))
     return top_k(gallery, targets, k, exclude="self", **options)
 
 
+def with_items(hits: DataFrame, gallery: DataFrame) -> DataFrame:
+    """Put the item columns back next to top-k hits.
+
+    Hits are few and frozen, so it is they that are broadcast, not the gallery, whose
+    vectors are not read.
+    """
+    found = freeze(hits)
+    items = gallery.drop("v").withColumnsRenamed({"id": "__id", "pos": "__pos"})
+    same = (F.col("id") == F.col("__id")) & (F.col("pos") == F.col("__pos"))
+    return found.join(items, same).drop("__id", "__pos")
+
+
 def browse(gallery: DataFrame) -> DataFrame:
     """No query: every item with score 0 in gallery order."""
-    return gallery.withColumn("score", F.lit(0.0)).orderBy("pos")
+    return gallery.drop("v").withColumn("score", F.lit(0.0)).orderBy("pos")
 
 
 def lookup(gallery: DataFrame, item_id: int) -> DataFrame:
@@ -156,10 +177,10 @@ def lookup(gallery: DataFrame, item_id: int) -> DataFrame:
 def lookup_many(gallery: DataFrame, ids: DataFrame) -> DataFrame:
     """The first item of each wanted id, all in one pass.
 
-    Catalyst broadcasts ``ids`` only if its size allows.  Rows are reduced to one per
-    id inside each task before the shuffle.
+    The ids are frozen: Catalyst broadcasts them if their size allows and shuffles
+    otherwise.  Rows are reduced to one per id inside each task before the shuffle.
     """
-    wanted = ids.select(F.col("id").alias("__id")).distinct()
+    wanted = freeze(ids.select(F.col("id").alias("__id")).distinct())
     found = gallery.join(wanted, F.col("id") == F.col("__id"), "left_semi")
     rest = [c for c in gallery.columns if c != "id"]
     return (found.groupBy("id").agg(F.min_by(F.struct(*rest), "pos").alias("__r"))

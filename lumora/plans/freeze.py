@@ -28,8 +28,23 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.conf.get(CONF)
 
 
+_made: list[str] = []
+
+
 def new_dir(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A folder name of our own below the shared folder."""
+    _made.append(f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def release(spark: SparkSession) -> int:
+    """Delete what this process froze; only when no DataFrame built on it is still needed."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = len(_made)
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return n
 
 
 def freeze(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:

@@ -20,9 +20,8 @@ def curation_job(candidates: DataFrame, plan: DataFrame, out: str) -> DataFrame:
 
     A category without hits, or a bad hit, never stops the run.
     """
-    kept = freeze(cur.keep(candidates, plan))
-    items = cur.clean_metadata(cur.assign_ids(kept))
-    sinks.write_manifest(items, f"{out}/manifest")
+    kept = cur.assign_ids(cur.keep(candidates, plan))
+    sinks.write_manifest(cur.clean_metadata(kept), f"{out}/manifest")
     return cur.fill_report(kept, plan)
 
 
@@ -58,7 +57,8 @@ def text_search(gallery: DataFrame, queries: DataFrame, encoder: emb.Encoder, k:
                 *, batch_size: int = 64) -> DataFrame:
     """Free-text queries (qid, query) to their best ``k`` items.
 
-    Queries are trimmed, blank ones dropped, and embedded once.
+    Queries are trimmed, blank ones dropped, and embedded once.  Item columns are put
+    back with :func:`lumora.operators.search.with_items`.
     """
     clean = emb.clean_query_text(queries)
     vectors = freeze(emb.embed(clean, "query", encoder, batch_size=batch_size)

@@ -22,16 +22,24 @@ def range_sorted(df: DataFrame, *order: Column) -> DataFrame:
     return df.repartitionByRange(n, *order).sortWithinPartitions(*order)
 
 
+SMALL = 100_000         # rows a single task may number
+
+
 def number_rows(df: DataFrame, order: Sequence[Column], out: str,
-                groups: Sequence[str] = ()) -> DataFrame:
+                groups: Sequence[str] = (), rows: int | None = None) -> DataFrame:
     """Add 1-based ``out``: the row's place within its group, by ``order``.
 
     Same values as ``row_number().over(partitionBy(groups).orderBy(order))``, but a
     group may span partitions.  Rows are sorted across the cluster once and frozen
     with their index inside the partition; per-partition counts give the offsets.
-    ``order`` must be a total order within the group.
+    ``order`` must be a total order within the group.  ``df`` is read twice; freeze it
+    first if it is costly to compute.  Where the caller has counted ``rows`` and they
+    are few, a plain window does.
     """
     groups = list(groups)
+    if rows is not None and rows <= SMALL:
+        window = Window.partitionBy(*(groups or [F.lit(0)])).orderBy(*order)
+        return df.withColumn(out, F.row_number().over(window).cast("long"))
     placed = range_sorted(df, *[F.col(g) for g in groups], *order).withColumn(
         "__row", F.monotonically_increasing_id())
     placed = freeze(placed)

@@ -41,12 +41,15 @@ def vector_sums(df: DataFrame, key: str, vector: str, key_type: str) -> DataFram
             names = codes.dictionary.to_pylist()
             index = codes.indices.to_numpy(zero_copy_only=False)
             for rows, x in equal_length_blocks(batch.column(1), 65_536):
-                present, inverse = np.unique(index[rows], return_inverse=True)
-                for at, code in enumerate(present):
-                    mine = x[inverse == at]
-                    slot = (names[code], x.shape[1])
-                    n, total = sums.get(slot, (0, np.zeros(x.shape[1])))
-                    sums[slot] = (n + len(mine), total + mine.sum(axis=0))
+                order = np.argsort(index[rows], kind="stable")
+                code = index[rows][order]
+                starts = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])))
+                counts = np.diff(np.append(starts, len(code)))
+                totals = np.add.reduceat(x[order], starts, axis=0) if x.shape[1] else np.zeros((len(starts), 0))
+                for c, n, total in zip(code[starts], counts, totals):
+                    slot = (names[c], x.shape[1])
+                    seen, so_far = sums.get(slot, (0, 0.0))
+                    sums[slot] = (seen + int(n), so_far + total)
                 if len(sums) > _MAX_KEYS:
                     yield from flush()
         yield from flush()

@@ -105,7 +105,8 @@ class Arrivals:
                 self._put(bad, "quarantine", batch_id)
         else:
             good = freeze(batch)
-        numbered = number_rows(good, [F.col("modificationTime").asc(), F.col("path").asc()], "n")
+        arrival = [F.col("modificationTime").asc(), F.col("path").asc()]
+        numbered = number_rows(good, arrival, "n", rows=good.count())
         new = self._put(numbered.select(
             (-(F.lit(before) + F.col("n"))).alias("id"),
             (F.lit(-(batch_id + 1) * _BATCH_SPAN) + F.col("n") - 1).alias("pos"),

@@ -213,7 +213,7 @@ def browse(spark, sf_dir):
 
 def relative_relevance(spark, sf_dir):
     g = gallery(spark, sf_dir)
-    results = freeze(search.score_pairs(g, prototypes(g)))
+    results = search.score_pairs(g, prototypes(g))
     return relevance.relative_relevance(results).select(
         "qid", "id", F.round("score", 6).alias("score"), F.round("rel", 6).alias("rel"), "dim")
 

@@ -45,9 +45,13 @@ def l2_normalize(v: Column | str) -> Column:
 def quantize(v: Column | str, decimals: int = STORED_DECIMALS) -> Column:
     """Round every component, halves towards plus infinity."""
     scale = float(10 ** decimals)
-    return F.transform(
-        _col(v),
-        lambda x: F.floor(x.cast("double") * scale + 0.5).cast("double") / scale)
+
+    def rounded(x: Column) -> Column:
+        scaled = x.cast("double") * scale
+        whole = F.floor(scaled).cast("double")
+        return (whole + F.when(scaled - whole >= 0.5, 1.0).otherwise(0.0)) / scale
+
+    return F.transform(_col(v), rounded)
 
 
 def to_float32(v: Column | str) -> Column:

@@ -54,7 +54,7 @@ def embed(df: DataFrame, column: str, encoder: Encoder, *, batch_size: int = 64,
     its ``v`` NULL for :func:`split_bad`.
     """
     raw = df.withColumn("__raw", encode(column, encoder, batch_size))
-    bad = F.exists("__raw", lambda x: F.isnan(x))
+    bad = F.exists("__raw", lambda x: x.isNull() | F.isnan(x))      # Arrow may turn NaN into NULL
     unit = l2_normalize("__raw")
     if on_bad == "fail":
         value = F.when(bad, F.raise_error(F.lit(f"undecodable input in {column}"))

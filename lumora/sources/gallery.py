@@ -72,9 +72,11 @@ def load_gallery(spark: SparkSession, folder: str, base: str = "") -> Gallery:
         fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         return read(spark, path) if fs.exists(jpath) else read_table(spark, f"{folder}/{name}")
 
-    items, _ = either("manifest", read_manifest)
+    items, built = either("manifest", read_manifest)
     vectors, head = either("embeddings", read_embeddings)
     per_query, total = either("eval", read_evaluation)
+    for one_row in (built, head, total):
+        one_row.first()
     return Gallery(as_gallery(items, vectors, base), head, per_query, total)
 
 

@@ -27,7 +27,7 @@ from lumora.operators import embed as emb
 from lumora.operators import projection
 from lumora.operators.search import merge_top_k, top_k
 from lumora.operators.tags import zero_shot_tags
-from lumora.plans.freeze import freeze
+from lumora.plans.freeze import freeze, new_dir
 from lumora.plans.numbering import number_rows
 
 _BATCH_SPAN = 1 << 32       # positions reserved per batch
@@ -75,39 +75,49 @@ class Arrivals:
     def _at(self, table: str, batch: int) -> str:
         return f"{self.state}/{table}/batch={batch}"
 
+    @property
+    def spark(self) -> SparkSession:
+        return self.base.sparkSession
+
     def _put(self, df: DataFrame, table: str, batch: int) -> DataFrame:
         df.write.mode("overwrite").parquet(self._at(table, batch))
-        return df.sparkSession.read.schema(df.schema).parquet(self._at(table, batch))
+        return self.spark.read.schema(df.schema).parquet(self._at(table, batch))
 
-    def _get(self, spark: SparkSession, table: str, batch: int) -> DataFrame:
-        return spark.read.parquet(self._at(table, batch))
+    def _get(self, table: str, batch: int) -> DataFrame:
+        return self.spark.read.parquet(self._at(table, batch))
 
     def prepare(self) -> None:
         """State before the first batch: the base gallery's own top-k and moments."""
-        spark = self.base.sparkSession
         if self.queries is not None:
             self.queries = freeze(self.queries)
             self._put(top_k(self.base, self.queries, self.k), "top", -1)
+        if self.labels is not None:
+            self.labels = freeze(self.labels)
         if self.projection_dim:
             self._put(projection.moments(self.base, self.projection_dim), "moments", -1)
-        self._put(spark.createDataFrame([(0,)], "uploads long"), "done", -1)
+        self._put(self.spark.createDataFrame([(0,)], "uploads long"), "done", -1)
 
-    def process(self, batch: DataFrame, batch_id: int) -> None:
-        """One micro-batch; the ``done`` table is written only if all went well."""
-        spark = batch.sparkSession
-        before = self._get(spark, "done", batch_id - 1).first()["uploads"]
+    def _land(self, batch: DataFrame) -> DataFrame:
+        """The batch with its vectors, computed once.  It is read back by the session of
+        the base gallery, since a stream's own session plans without adaptive execution."""
         if self.encoder is not None:
             mode = "keep" if self.on_bad == "quarantine" else self.on_bad
-            embedded = freeze(emb.embed(batch.filter(is_image()), "content", self.encoder,
-                                        batch_size=self.batch_size, on_bad=mode).drop("content"))
-            good, bad = emb.split_bad(embedded)
-            if mode == "keep":
-                self._put(bad, "quarantine", batch_id)
-        else:
-            good = freeze(batch)
+            batch = emb.embed(batch.filter(is_image()), "content", self.encoder,
+                              batch_size=self.batch_size, on_bad=mode).drop("content")
+        path = new_dir(self.spark, "landed")
+        batch.write.parquet(path)
+        return self.spark.read.schema(batch.schema).parquet(path)
+
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        """One micro-batch; the ``done`` table is written only if all went well."""
+        before = self._get("done", batch_id - 1).first()["uploads"]
+        good = self._land(batch)
+        if self.encoder is not None and self.on_bad == "quarantine":
+            good, bad = emb.split_bad(good)
+            self._put(bad, "quarantine", batch_id)
         arrival = [F.col("modificationTime").asc(), F.col("path").asc()]
-        numbered = number_rows(good, arrival, "n", rows=good.count())
-        new = self._put(numbered.select(
+        count = good.count()
+        new = self._put(number_rows(good, arrival, "n", rows=count).select(
             (-(F.lit(before) + F.col("n"))).alias("id"),
             (F.lit(-(batch_id + 1) * _BATCH_SPAN) + F.col("n") - 1).alias("pos"),
             F.col("path").alias("src"), F.lit(UPLOAD_CATEGORY).alias("category"),
@@ -115,16 +125,16 @@ class Arrivals:
             F.lit(True).alias("isUpload"), F.col("v").cast("array<float>").alias("v")),
             "uploads", batch_id)
         if self.queries is not None:
-            hits = self._get(spark, "top", batch_id - 1).drop("rank").unionByName(
+            hits = self._get("top", batch_id - 1).drop("rank").unionByName(
                 top_k(new, self.queries, self.k).drop("rank"))
             self._put(merge_top_k(hits, self.k), "top", batch_id)
         if self.projection_dim:
             self._put(projection.combine_moments(
-                self._get(spark, "moments", batch_id - 1),
+                self._get("moments", batch_id - 1),
                 projection.moments(new, self.projection_dim)), "moments", batch_id)
         if self.labels is not None:
             self._put(zero_shot_tags(new, self.labels), "tags", batch_id)
-        self._put(new.agg((F.count(F.lit(1)) + before).alias("uploads")), "done", batch_id)
+        self._put(self.spark.createDataFrame([(before + count,)], "uploads long"), "done", batch_id)
 
     def start(self, stream: DataFrame, **trigger):
         """Run the stream; by default until everything that has landed is processed."""
@@ -133,12 +143,11 @@ class Arrivals:
                 .trigger(**(trigger or {"availableNow": True})).start())
 
     def last_batch(self) -> int:
-        done = self.base.sparkSession.read.parquet(f"{self.state}/done")
+        done = self.spark.read.parquet(f"{self.state}/done")
         return done.agg(F.max("batch")).first()[0]
 
     def _committed(self, table: str) -> DataFrame:
-        spark = self.base.sparkSession
-        return (spark.read.parquet(f"{self.state}/{table}")
+        return (self.spark.read.parquet(f"{self.state}/{table}")
                 .filter(F.col("batch").between(0, self.last_batch())).drop("batch"))
 
     def uploads(self) -> DataFrame:
@@ -158,7 +167,7 @@ class Arrivals:
 
     def top(self) -> DataFrame:
         """Best k per active query over everything that has arrived."""
-        return self._get(self.base.sparkSession, "top", self.last_batch())
+        return self._get("top", self.last_batch())
 
     def moments(self) -> DataFrame:
-        return self._get(self.base.sparkSession, "moments", self.last_batch())
+        return self._get("moments", self.last_batch())

@@ -35,6 +35,19 @@ def equal_length_blocks(column: pa.Array, max_rows: int) -> Iterator[tuple[np.nd
                 yield part, values[starts[part][:, None] + np.arange(length)].astype(np.float64)
 
 
+def map_vectors(column: pa.Array, fn) -> pa.Array:
+    """``fn`` over matrices of equal-length vectors; lengths and NULLs stay as they are."""
+    lengths = np.asarray(pc.fill_null(pc.list_value_length(column), 0), dtype=np.int64)
+    ends = np.cumsum(lengths)
+    out = np.empty(int(ends[-1]) if len(ends) else 0)
+    for rows, x in equal_length_blocks(column, 65_536):
+        if x.shape[1]:
+            at = (ends[rows] - x.shape[1])[:, None] + np.arange(x.shape[1])
+            out[at] = fn(x)
+    offsets = pa.array(np.concatenate(([0], ends)).astype(np.int32))
+    return pa.ListArray.from_arrays(offsets, pa.array(out), mask=column.is_null())
+
+
 def sequential_dots(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     """All dot products of rows of ``x`` and ``q``, each summed left to right.
 

@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lumora.functions.bulk import unit_rows
 from lumora.functions.text import trim_blank
-from lumora.functions.vectors import l2_norm, l2_normalize
+from lumora.functions.vectors import l2_norm
 
 
 @dataclass(frozen=True)
@@ -35,14 +36,14 @@ class UndecodableInput(ValueError):
 
 
 def encode(column: Column | str, encoder: Encoder, batch_size: int = 64) -> Column:
-    """Unit vector of each input, in double precision; NULL where it cannot be decoded."""
+    """Unit vector of each input, in double precision; NaN where it cannot be decoded."""
     load = encoder.load
 
     def make():
         model = load()
-        return lambda inputs: np.asarray(model(inputs), dtype=np.float32)
+        return lambda inputs: unit_rows(np.asarray(model(inputs), dtype=np.float64))
 
-    run = predict_batch_udf(make, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size)
+    run = predict_batch_udf(make, return_type=T.ArrayType(T.DoubleType()), batch_size=batch_size)
     return run(column)
 
 
@@ -55,7 +56,7 @@ def embed(df: DataFrame, column: str, encoder: Encoder, *, batch_size: int = 64,
     """
     raw = df.withColumn("__raw", encode(column, encoder, batch_size))
     bad = F.exists("__raw", lambda x: x.isNull() | F.isnan(x))      # Arrow may turn NaN into NULL
-    unit = l2_normalize("__raw")
+    unit = F.col("__raw")
     if on_bad == "fail":
         value = F.when(bad, F.raise_error(F.lit(f"undecodable input in {column}"))
                        .cast("array<double>")).otherwise(unit)

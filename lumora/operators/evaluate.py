@@ -15,11 +15,28 @@ from lumora.plans.numbering import range_sorted
 from lumora.plans.packed import MAX_ROWS
 from lumora.plans.tiles import TILE_BYTES
 
-_RUN = "kind string, part int, qid long, place long, hits long, rel boolean, id long"
+_RUN = ("is_total boolean, run long, qid long, place long, hits long, rel boolean, id long")
+_SCORE_BITS = 40
+_RUN_BITS = 32
+
+
+def _sort_prefix():
+    """A long that rises with (a hash of the query, falling score).
+
+    Spark's sort compares a 64-bit prefix of the first key before anything else; with
+    the query id there, every comparison within a query would fall through to the full
+    row.  Queries whose hashes collide may interleave, which the run numbers allow for.
+    """
+    top = float((1 << _SCORE_BITS) - 1)
+    bounded = F.greatest(F.least(F.col("score"), F.lit(1.0)), F.lit(-1.0))
+    falling = F.floor((1.0 - bounded) / 2.0 * top).cast("long")
+    query = F.pmod(F.xxhash64("qid"), F.lit(1 << (63 - _SCORE_BITS)))
+    return F.shiftleft(query, _SCORE_BITS) + F.when(
+        F.col("score").isNull(), F.lit((1 << _SCORE_BITS) - 1)).otherwise(falling)
 
 
 def _sorted_runs(top: int):
-    """Number rows and relevant rows of each query inside one sorted partition.
+    """Number rows and relevant rows of each run of one query in a sorted partition.
 
     Only what the metrics need leaves the task: relevant rows, the first ``top`` rows
     of each run, and one total per run.
@@ -29,17 +46,21 @@ def _sorted_runs(top: int):
         import pyarrow as pa
         from pyspark import TaskContext
 
-        part = TaskContext.get().partitionId()
+        run_id = TaskContext.get().partitionId() << _RUN_BITS
         current, n, h = None, 0, 0
 
-        def rows(kind, qid, place, hits, rel, ids):
+        def rows(is_total, run, qid, place, hits, rel, ids):
             m = len(qid)
             return pa.RecordBatch.from_arrays(
-                [pa.array([kind] * m, pa.string()), pa.array(np.full(m, part, dtype=np.int32)),
+                [pa.array(np.full(m, is_total)), pa.array(run, pa.int64()),
                  pa.array(qid, pa.int64()), pa.array(place, pa.int64()),
                  pa.array(hits, pa.int64()), pa.array(rel, pa.bool_()),
                  pa.array(ids, pa.int64())],
-                names=["kind", "part", "qid", "place", "hits", "rel", "id"])
+                names=["is_total", "run", "qid", "place", "hits", "rel", "id"])
+
+        def totals(run, qid, place, hits):
+            m = len(qid)
+            return rows(True, run, qid, place, hits, np.zeros(m, bool), np.zeros(m, np.int64))
 
         for batch in batches:
             if batch.num_rows == 0:
@@ -49,26 +70,27 @@ def _sorted_runs(top: int):
             rel = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
             starts = np.flatnonzero(np.concatenate(([True], qid[1:] != qid[:-1])))
             ends = np.append(starts[1:], len(qid))
-            run = np.repeat(np.arange(len(starts)), ends - starts)
             seen = np.cumsum(rel)
-            before = seen[starts] - rel[starts]
-            place = np.arange(len(qid)) - starts[run] + 1
-            hits = seen - before[run]
+            at = np.repeat(np.arange(len(starts)), ends - starts)
+            place = np.arange(len(qid)) - starts[at] + 1
+            hits = seen - (seen[starts] - rel[starts])[at]
             if current is not None and qid[0] == current:
-                first = run == 0
-                place[first] += n
-                hits[first] += h
+                place[:ends[0]] += n
+                hits[:ends[0]] += h
             elif current is not None:
-                yield rows("total", [current], [n], [h], [False], [0])
-            if len(starts) > 1:
-                last = ends[:-1] - 1
-                yield rows("total", qid[last], place[last], hits[last],
-                           np.zeros(len(last), bool), np.zeros(len(last), np.int64))
+                yield totals([run_id], [current], [n], [h])
+                run_id += 1
+            run = run_id + at
+            last = ends[:-1] - 1                # runs that end inside this batch
+            if len(last):
+                yield totals(run[last], qid[last], place[last], hits[last])
+            run_id = int(run[-1])
             current, n, h = int(qid[-1]), int(place[-1]), int(hits[-1])
             keep = (rel == 1) | (place <= top)
-            yield rows("row", qid[keep], place[keep], hits[keep], rel[keep] == 1, ids[keep])
+            yield rows(False, run[keep], qid[keep], place[keep], hits[keep],
+                       rel[keep] == 1, ids[keep])
         if current is not None:
-            yield rows("total", [current], [n], [h], [False], [0])
+            yield totals([run_id], [current], [n], [h])
 
     return scan
 
@@ -80,17 +102,17 @@ def ranked_relevance(scored: DataFrame, top: int = TOP_IDS) -> DataFrame:
     least the first ``top`` rows of each query.  A query's ranking is spread over as
     many partitions as its size calls for; no window sees a whole gallery.
     """
-    ordered = range_sorted(scored, F.col("qid"), *best_first())
-    runs = freeze(ordered.select("qid", "id", "rel").mapInArrow(_sorted_runs(top), _RUN),
-                  partition_by=["kind"])
-    earlier = (Window.partitionBy("qid").orderBy("part")
+    ordered = range_sorted(scored.withColumn("__prefix", _sort_prefix()),
+                           F.col("__prefix"), F.col("qid"), *best_first())
+    runs = freeze(ordered.select("qid", "id", "rel").mapInArrow(_sorted_runs(top), _RUN))
+    earlier = (Window.partitionBy("qid").orderBy("run")
                .rowsBetween(Window.unboundedPreceding, -1))
-    # one row per (partition, query): frozen, so that its size decides the join
-    offsets = freeze(runs.filter(F.col("kind") == "total").select(
-        "part", "qid",
+    # about one row per (partition, query): frozen, so that its size decides the join
+    offsets = freeze(runs.filter("is_total").select(
+        "run",
         F.coalesce(F.sum("place").over(earlier), F.lit(0)).alias("rows_before"),
         F.coalesce(F.sum("hits").over(earlier), F.lit(0)).alias("hits_before")))
-    return (runs.filter(F.col("kind") == "row").join(offsets, ["part", "qid"])
+    return (runs.filter(~F.col("is_total")).join(offsets, "run")
             .select("qid", (F.col("place") + F.col("rows_before")).alias("rank"),
                     (F.col("hits") + F.col("hits_before")).alias("hits"), "rel", "id"))
 

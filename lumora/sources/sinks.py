@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lumora import schemas
 from lumora.fixed_values import STORED_DECIMALS
-from lumora.functions.vectors import quantize
+from lumora.functions.bulk import quantize
 
 
 def _write(rows: DataFrame, header: DataFrame, path: str) -> None:

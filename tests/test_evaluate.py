@@ -82,6 +82,13 @@ def test_evaluate_equals_brute_force(spark, n, options):
         assert row.ap_exact == pytest.approx(ap)
 
 
+def test_interleaved_queries(spark, monkeypatch):
+    """Queries whose sort prefixes collide share runs; the metrics must not care."""
+    monkeypatch.setattr(evaluate, "_sort_prefix", lambda: F.floor((1 - F.col("score")) * 50).cast("long"))
+    metrics = evaluate.query_metrics(evaluate.ranked_relevance(golden(spark))).orderBy("qid").collect()
+    assert [r.topIds for r in metrics] == TOP_IDS and [r.ap for r in metrics] == AP
+
+
 def test_no_window_over_a_whole_gallery(spark):
     ranked = evaluate.ranked_relevance(golden(spark))
     plan = ranked._jdf.queryExecution().executedPlan().toString()

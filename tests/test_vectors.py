@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lumora.functions import text, vectors
+from lumora.functions import bulk, text, vectors
 from lumora.functions.kernels import QueryVectors, equal_length_blocks, sequential_dots
 
 
@@ -59,6 +59,18 @@ def test_column_and_kernel_agree_bit_for_bit(spark):
     assert got == sequential_dots(x.astype(np.float64), q[None, :])[:, 0].tolist()
 
 
+def test_bulk_equals_expressions(spark):
+    rng = np.random.default_rng(3)
+    rows = [None, [], [0.0, 0.0], [0.5e-5, -1.5e-5, 7.0], *rng.normal(size=(40, 9)).tolist()]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(rows)], "i int, v array<double>").coalesce(2)
+    for name in ("l2_normalize", "quantize"):
+        both = df.select("i", getattr(bulk, name)("v").alias("a"), getattr(vectors, name)("v").alias("b"))
+        for r in both.collect():
+            assert r.a == r.b
+    floats = df.select(vectors.to_float32("v").alias("v"))
+    assert floats.filter(~bulk.l2_normalize("v").eqNullSafe(vectors.l2_normalize("v"))).count() == 0
+
+
 def test_norm_is_evaluated_once(spark):
     plan = spark.createDataFrame([([1.0],)], "v array<double>").select(vectors.l2_normalize("v").alias("u"))
     lines = plan._jdf.queryExecution().optimizedPlan().toString()

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumora import fixed_values as fv
-from lumora.functions import text, vectors
+from lumora.functions import bulk, text, vectors
 from lumora.operators import curate, embed, evaluate, joins, projection, relevance, search, tags
 from lumora.plans.freeze import freeze, new_dir
 from lumora.plans.jobs import text_search
@@ -81,12 +81,12 @@ def vector_profile(spark, sf_dir):
 
 def l2_normalize(spark, sf_dir):
     g = gallery(spark, sf_dir).withColumn("v", F.transform("v", lambda x: x.cast("double") * 3.0))
-    return g.select("id", vectors.l2_normalize("v").alias("v")).select(
+    return g.select("id", bulk.l2_normalize("v").alias("v")).select(
         "id", digest().alias("digest"), F.round(vectors.l2_norm("v"), 6).alias("norm"))
 
 
 def quantize_5dp(spark, sf_dir):
-    g = gallery(spark, sf_dir).select("id", vectors.quantize("v").alias("v"))
+    g = gallery(spark, sf_dir).select("id", bulk.quantize("v").alias("v"))
     return g.select("id", digest().alias("digest"), F.array_min("v").alias("low"),
                     F.array_max("v").alias("high"))
 
@@ -200,7 +200,7 @@ def find_similar(spark, sf_dir, k=5):
 
 def search_text(spark, sf_dir, k=5):
     g = document_vectors(spark, sf_dir).select(
-        F.col("doc_id").alias("id"), F.col("doc_id").alias("pos"), vectors.quantize("v").alias("v"))
+        F.col("doc_id").alias("id"), F.col("doc_id").alias("pos"), bulk.quantize("v").alias("v"))
     queries = table(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("qid"), F.concat(F.lit(PAD_LEFT), F.col("text"), F.lit(PAD_RIGHT)).alias("query"))
     return text_search(g, queries, word_hash(DIM), k).select(

@@ -13,11 +13,23 @@ from lumora.plans.freeze import freeze
 from lumora.plans.numbering import number_rows
 
 
+def _first(candidates: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows of each category in hit order.
+
+    Each task passes on at most ``n`` rows of a category, so a category holding most of
+    the table costs no more than a small one.
+    """
+    order = Window.partitionBy("category").orderBy("pos")
+    return candidates.withColumn("__n", F.row_number().over(order)).filter(
+        F.col("__n") <= n).drop("__n")
+
+
 def eligible(candidates: DataFrame, hits: int = HITS_PER_CATEGORY) -> DataFrame:
-    """Hits whose licence allows commercial use, not mature, on the first result page."""
+    """One result page per category: the first hits whose licence allows commercial use
+    and that are not mature."""
     noncommercial = F.coalesce(F.col("license"), F.lit("")).rlike(r"(?i)\bnc\b")
-    return candidates.filter(
-        ~noncommercial & ~F.coalesce(F.col("mature"), F.lit(False)) & (F.col("pos") < hits))
+    return _first(candidates.filter(
+        ~noncommercial & ~F.coalesce(F.col("mature"), F.lit(False))), hits)
 
 
 def with_source_url(candidates: DataFrame) -> DataFrame:
@@ -53,15 +65,8 @@ def clean_metadata(candidates: DataFrame) -> DataFrame:
 
 
 def first_valid(candidates: DataFrame, per_category: int = ITEMS_PER_CATEGORY) -> DataFrame:
-    """The first valid hits of each category in hit order.
-
-    Each task passes on at most ``per_category`` rows of a category, so a category
-    holding most of the table costs no more than a small one.
-    """
-    usable = with_source_url(candidates).filter(valid_payload())
-    order = Window.partitionBy("category").orderBy("pos")
-    return usable.withColumn("kept", F.row_number().over(order)).filter(
-        F.col("kept") <= per_category)
+    """The first valid hits of each category; invalid ones are skipped, not counted."""
+    return _first(with_source_url(candidates).filter(valid_payload()), per_category)
 
 
 def assign_ids(kept: DataFrame) -> DataFrame:
@@ -75,8 +80,11 @@ def assign_ids(kept: DataFrame) -> DataFrame:
 
 def keep(candidates: DataFrame, plan: DataFrame,
          per_category: int = ITEMS_PER_CATEGORY) -> DataFrame:
-    """Eligible, valid hits of the planned categories, ``per_category`` each."""
-    planned = candidates.join(plan.select("category", "cat_pos"), "category")
+    """Eligible, valid hits of the planned categories, ``per_category`` each.
+
+    The plan is frozen so that it is broadcast by its known size.
+    """
+    planned = candidates.join(freeze(plan.select("category", "cat_pos")), "category")
     return first_valid(eligible(planned), per_category)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from lumora.functions.bulk import unit_rows
 from lumora.functions.text import trim_blank
 from lumora.functions.vectors import l2_norm
+from lumora.plans.spread import spread
 
 
 @dataclass(frozen=True)
@@ -54,7 +55,7 @@ def embed(df: DataFrame, column: str, encoder: Encoder, *, batch_size: int = 64,
     ``on_bad``: ``fail`` stops the job at the first undecodable input, ``keep`` leaves
     its ``v`` NULL for :func:`split_bad`.
     """
-    raw = df.withColumn("__raw", encode(column, encoder, batch_size))
+    raw = spread(df).withColumn("__raw", encode(column, encoder, batch_size))
     bad = F.exists("__raw", lambda x: x.isNull() | F.isnan(x))      # Arrow may turn NaN into NULL
     unit = F.col("__raw")
     if on_bad == "fail":

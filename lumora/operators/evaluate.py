@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from lumora.fixed_values import PRECISION_CUTOFFS, TOP_IDS
 from lumora.functions.text import fixed_text, to_fixed
-from lumora.operators.search import best_first, score_pairs
+from lumora.operators.joins import join_vectors_items, last_wins
+from lumora.operators.search import best_first, score_table
 from lumora.plans.freeze import freeze
 from lumora.plans.numbering import range_sorted
 from lumora.plans.packed import MAX_ROWS
+from lumora.plans.skew import skew_left_join
 from lumora.plans.tiles import TILE_BYTES
 
 _RUN = ("is_total boolean, run long, qid long, place long, hits long, rel boolean, id long")
@@ -143,23 +145,29 @@ def query_metrics(ranked: DataFrame, ks: Sequence[int] = PRECISION_CUTOFFS,
 
 
 def evaluate(gallery: DataFrame, queries: DataFrame, ks: Sequence[int] = PRECISION_CUTOFFS,
-             top: int = TOP_IDS, *, max_packed: int = MAX_ROWS,
+             top: int = TOP_IDS, *, items: DataFrame | None = None, max_packed: int = MAX_ROWS,
              tile_bytes: int = TILE_BYTES) -> DataFrame:
     """Metrics of every query against the whole gallery.
 
-    ``gallery`` has ``id, pos, category, v``; ``queries`` has ``qid, query, category,
-    v``.  An item is relevant when its category equals the query's.  Vectors are read
-    once; what is sorted across the cluster is (query, score, position).
+    ``gallery`` has ``id, pos, v`` and either its own ``category`` or ``items`` (``id,
+    pos, category``) to take it from; a vector without item is never relevant.
+    ``queries`` has ``qid, query, category, v``.  Vectors are read once and never
+    shuffled: they are scored first, and it is scores that meet the items and are sorted
+    across the cluster.
     """
-    scores = score_pairs(gallery, queries, ("category",),
+    scored = score_table(gallery, queries, () if items is not None else ("category",),
                          max_packed=max_packed, tile_bytes=tile_bytes)
-    wanted = queries.select(F.col("qid").cast("long").alias("qid"), "query",
-                            F.col("category").alias("target"))
-    targets = freeze(wanted)
-    scored = (scores.join(targets.select("qid", "target"), "qid")
-              .select("qid", "id", "pos", "score",
-                      F.col("category").eqNullSafe(F.col("target")).alias("rel")))
-    metrics = query_metrics(ranked_relevance(scored, max(top, *ks)), ks, top)
+    scores = scored.rows(join_vectors_items(scored.table, items, ["category"])
+                         if items is not None and scored.wide else None)
+    if items is not None and not scored.wide:
+        scores = skew_left_join(scores, items, "id",
+                                lambda df: last_wins(df, "id", "pos", ["category"]))
+    targets = freeze(queries.select(F.col("qid").cast("long").alias("qid"), "query",
+                                    F.col("category").alias("target")))
+    flagged = (scores.join(targets.select("qid", "target"), "qid")
+               .select("qid", "id", "pos", "score",
+                       F.col("category").eqNullSafe(F.col("target")).alias("rel")))
+    metrics = query_metrics(ranked_relevance(flagged, top), ks, top)
     return (targets.join(metrics, "qid")
             .select("qid", "query", F.col("target").alias("category"), "nRelevant", "pAt",
                     "rr", "ap", "rr_exact", "ap_exact", "topIds"))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from lumora.fixed_values import CATEGORY_COLOURS, DEFAULT_COLOUR
 from lumora.functions.vectors import to_float32
+from lumora.plans.freeze import freeze
+from lumora.plans.skew import HOT_ROWS, skew_left_join
 
 
 def last_wins(df: DataFrame, key: str, order: str, values: list[str]) -> DataFrame:
@@ -19,27 +21,37 @@ def last_wins(df: DataFrame, key: str, order: str, values: list[str]) -> DataFra
     return latest.select(key, *[F.col(f"__r.{c}").alias(c) for c in values])
 
 
-def join_items_vectors(items: DataFrame, vectors: DataFrame) -> DataFrame:
+def join_items_vectors(items: DataFrame, vectors: DataFrame,
+                       hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every item with its vector as float32; an empty vector where there is none.
 
     ``vectors`` has ``id, pos, v``; of several vectors for one id the last counts.
     The aggregation and the join share one shuffle of the vectors, both on ``id``.
     """
-    right = last_wins(vectors, "id", "pos", ["v"])
+    def latest(df):
+        return last_wins(df, "id", "pos", ["v"])
+
     empty = F.array().cast("array<float>")
-    return (items.join(right, "id", "left")
+    return (skew_left_join(items, vectors, "id", latest, hot_rows)
             .withColumn("v", F.coalesce(to_float32("v"), empty)))
 
 
-def join_vectors_items(vectors: DataFrame, items: DataFrame, columns: list[str]) -> DataFrame:
+def join_vectors_items(vectors: DataFrame, items: DataFrame, columns: list[str],
+                       hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every vector with columns of its item; NULL where the item is unknown.
 
     Repeated vector ids stay as rows, each with the last vector of that id; of
     repeated items the last counts.  ``items`` has ``id, pos`` and ``columns``.
+    ``vectors`` has ``id, pos`` and what is to be carried, be it vectors or scores;
+    carrying scores is far cheaper, see :func:`lumora.operators.evaluate.evaluate`.
     """
-    latest = last_wins(vectors, "id", "pos", ["v"])
-    known = last_wins(items, "id", "pos", columns)
-    return (vectors.select("id", "pos").join(latest, "id").join(known, "id", "left"))
+    carried = [c for c in vectors.columns if c not in ("id", "pos")]
+    rows = vectors.select("id", "pos")
+    if carried:
+        rows = skew_left_join(rows, vectors, "id",
+                              lambda df: last_wins(df, "id", "pos", carried), hot_rows)
+    return skew_left_join(rows, items, "id",
+                          lambda df: last_wins(df, "id", "pos", columns), hot_rows)
 
 
 def relevance(vectors: DataFrame, items: DataFrame, target: Column | str) -> DataFrame:
@@ -61,7 +73,11 @@ def category_colour(category: Column | str) -> Column:
 
 def with_attribute(df: DataFrame, dimension: DataFrame, key: str, value: str,
                    default) -> DataFrame:
-    """Look ``value`` up by ``key`` in a dimension table, ``default`` where absent."""
-    dim = dimension.select(F.col(key).alias("__k"), F.col(value).alias("__v"))
+    """Look ``value`` up by ``key`` in a dimension table, ``default`` where absent.
+
+    The dimension is frozen: Catalyst broadcasts it if its size allows, and else leaves
+    hot keys to adaptive execution.
+    """
+    dim = freeze(dimension.select(F.col(key).alias("__k"), F.col(value).alias("__v")))
     return (df.join(dim, F.col(key) == F.col("__k"), "left")
             .withColumn(value, F.coalesce("__v", F.lit(default))).drop("__k", "__v"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ HIT = "qid long, id long, pos long, score double"
 # above this k the hits of a query are first merged in salted parts.
 _SALT_FROM_K = 16
 _SALTS = 64
+SHORT_LIST = 500_000     # ids, 4 MB
 
 
 def best_first() -> list[Column]:
@@ -47,23 +50,42 @@ def rank_numbered(gallery: DataFrame, query: list[float]) -> DataFrame:
     return number_rows(_ranking(gallery, query), best_first(), "rank")
 
 
-def score_pairs(gallery: DataFrame, queries: DataFrame, carry: tuple[str, ...] = (),
-                *, max_packed: int = MAX_ROWS, tile_bytes: int = TILE_BYTES) -> DataFrame:
-    """(qid, id, pos, *carry, score) for every query and item.
+class ScoreTable(NamedTuple):
+    """Frozen scores of every query and item: one row per item with an array of scores
+    (``wide``), or one row per pair."""
+
+    table: DataFrame
+    qids: list[int] | None
+
+    @property
+    def wide(self) -> bool:
+        return self.qids is not None
+
+    def rows(self, table: DataFrame | None = None) -> DataFrame:
+        """(qid, ..., score) per pair; ``table`` may be the wide table with more columns."""
+        table = self.table if table is None else table
+        if not self.wide:
+            return table
+        carried = [c for c in table.columns if c != "scores"]
+        qids = F.lit(self.qids).cast("array<long>")
+        return (table.select(*carried, F.posexplode("scores").alias("__q", "__score"))
+                .select(F.get(qids, F.col("__q")).alias("qid"), *carried,
+                        orderable("__score").alias("score")))
+
+
+def score_table(gallery: DataFrame, queries: DataFrame, carry: tuple[str, ...] = (),
+                *, max_packed: int = MAX_ROWS, tile_bytes: int = TILE_BYTES) -> ScoreTable:
+    """Scores of every query and item, with ``carry`` columns of the item.
 
     For operators that need the complete ranking of each query, most of which read it
-    more than once, so scores are frozen: per item one array of scores, spread out into
-    rows on reading.  Up to ``max_packed`` queries travel to the data; more are met in
+    more than once.  Up to ``max_packed`` queries travel to the data; more are met in
     tiles.
     """
     columns = ["id", "pos", *carry]
     packed = pack(queries, max_rows=max_packed)
     if packed is not None:
-        qids = F.lit([int(q) for q in packed.qids]).cast("array<long>")
-        scored = freeze(gallery.select(*columns, scores_column(gallery, "v", packed).alias("__s")))
-        return (scored.select(*columns, F.posexplode("__s").alias("__q", "__score"))
-                .select(F.get(qids, F.col("__q")).alias("qid"), *columns,
-                        orderable("__score").alias("score")))
+        scores = scores_column(gallery, "v", packed).alias("scores")
+        return ScoreTable(freeze(gallery.select(*columns, scores)), packed.qids.tolist())
 
     def kernel(items, targets):
         import numpy as np
@@ -75,10 +97,8 @@ def score_pairs(gallery: DataFrame, queries: DataFrame, carry: tuple[str, ...] =
         kept = items.select(columns)
         out = [pa.Table.from_arrays([pa.array([], pa.int64()), *kept.slice(0, 0).columns,
                                      pa.array([], pa.float64())], names=["qid", *columns, "score"])]
-        vectors = items["v"].combine_chunks()
-        for rows, x in equal_length_blocks(vectors, got.block_rows):
-            index = np.repeat(rows, len(got))
-            part = kept.take(pa.array(index))
+        for rows, x in equal_length_blocks(items["v"].combine_chunks(), got.block_rows):
+            part = kept.take(pa.array(np.repeat(rows, len(got))))
             out.append(pa.Table.from_arrays(
                 [pa.array(np.tile(got.qids, len(rows))), *part.columns,
                  pa.array(got.scores(x).ravel())], names=["qid", *columns, "score"]))
@@ -88,7 +108,13 @@ def score_pairs(gallery: DataFrame, queries: DataFrame, carry: tuple[str, ...] =
     schema = ", ".join(["qid long", *[f"`{c}` {types[c]}" for c in columns], "score double"])
     pairs = tile_pairs(gallery.select(*columns, "v"), queries.select(F.col("qid").cast("long"), "v"),
                        kernel, schema, tile_bytes=tile_bytes)
-    return freeze(pairs.withColumn("score", orderable("score")))
+    return ScoreTable(freeze(pairs.withColumn("score", orderable("score"))), None)
+
+
+def score_pairs(gallery: DataFrame, queries: DataFrame, carry: tuple[str, ...] = (),
+                **options) -> DataFrame:
+    """(qid, id, pos, *carry, score) for every query and item."""
+    return score_table(gallery, queries, carry, **options).rows()
 
 
 def merge_top_k(hits: DataFrame, k: int) -> DataFrame:
@@ -177,11 +203,15 @@ def lookup(gallery: DataFrame, item_id: int) -> DataFrame:
 def lookup_many(gallery: DataFrame, ids: DataFrame) -> DataFrame:
     """The first item of each wanted id, all in one pass.
 
-    The ids are frozen: Catalyst broadcasts them if their size allows and shuffles
-    otherwise.  Rows are reduced to one per id inside each task before the shuffle.
+    Rows are reduced to one per id inside each task before the shuffle.  A short list of
+    ids is broadcast first and spares the rest of the table; a long one is joined after
+    the reduction, when no id is hot any more.
     """
     wanted = freeze(ids.select(F.col("id").alias("__id")).distinct())
-    found = gallery.join(wanted, F.col("id") == F.col("__id"), "left_semi")
+    short = wanted.count() <= SHORT_LIST
     rest = [c for c in gallery.columns if c != "id"]
-    return (found.groupBy("id").agg(F.min_by(F.struct(*rest), "pos").alias("__r"))
-            .select("id", *[F.col(f"__r.{c}").alias(c) for c in rest]))
+    same = F.col("id") == F.col("__id")
+    found = gallery.join(F.broadcast(wanted), same, "left_semi") if short else gallery
+    first = (found.groupBy("id").agg(F.min_by(F.struct(*rest), "pos").alias("__r"))
+             .select("id", *[F.col(f"__r.{c}").alias(c) for c in rest]))
+    return first if short else first.join(wanted, same, "left_semi")

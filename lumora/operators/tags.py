@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lumora.fixed_values import SOFTMAX_TEMPERATURE, TAGS_PER_ITEM
 from lumora.functions.kernels import QueryVectors
+from lumora.plans.freeze import freeze
 from lumora.plans.packed import MAX_ROWS, pack
 from lumora.plans.tiles import TILE_BYTES, tile_pairs
 
@@ -37,7 +38,9 @@ def zero_shot_tags(gallery: DataFrame, labels: DataFrame, k: int = TAGS_PER_ITEM
     packed = pack(labels, qid="label_pos", max_rows=max_packed)
     if packed is not None:
         tags = _tags_packed(gallery, packed, k, temperature)
+        names = F.broadcast(names)              # no more rows than were just packed
     else:
+        names = freeze(names)
         tags = _tags_tiled(gallery, labels, k, temperature, tile_bytes)
     return tags.join(names, "label_pos").select("id", "pos", "label_pos", "label", "score", "rank")
 

@@ -9,7 +9,6 @@ from lumora.operators import curate as cur
 from lumora.operators import embed as emb
 from lumora.operators import evaluate as ev
 from lumora.operators import search
-from lumora.operators.joins import join_vectors_items
 from lumora.plans.freeze import freeze
 from lumora.sources import gallery as src
 from lumora.sources import sinks
@@ -46,8 +45,7 @@ def evaluation_job(spark: SparkSession, folder: str, prompts: DataFrame, text_en
         raise ValueError(f"gallery was embedded by {h['model']} ({h['dtype']})")
     emb.check_uniform(vectors, text_encoder.dim)
     queries = freeze(emb.embed(prompts, "query", text_encoder, batch_size=batch_size))
-    gallery = join_vectors_items(sinks.restore(vectors), items, ["category"])
-    per_query = freeze(ev.evaluate(gallery, queries))
+    per_query = freeze(ev.evaluate(sinks.restore(vectors), queries, items=items))
     total = ev.aggregate(per_query, vectors.count())
     sinks.write_evaluation(per_query, total, f"{folder}/eval", text_encoder.model)
     return total

@@ -143,18 +143,19 @@ hits AS (SELECT doc_id, lang AS category, n_chars AS length, license, toxic,
     CASE WHEN source <> 'src8' THEN source END AS provider,
     source <> 'src9' AS status_ok,
     CASE source WHEN 'src10' THEN 'text/html' WHEN 'src11' THEN 'Image/JPG; q=1' ELSE 'image/jpeg' END AS mime,
-    row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos
+    doc_id AS pos
   FROM licensed),
 usable AS (SELECT *, coalesce(nullif(thumbnail, ''), nullif(url, '')) AS src FROM hits),
 valid AS (SELECT * FROM usable WHERE src IS NOT NULL AND status_ok
   AND regexp_matches(mime, '(?i)image/(jpe?g|png|webp)') AND length >= {fv.MIN_PAYLOAD_BYTES}),
-eligible AS (SELECT *, NOT coalesce(regexp_matches(license, '(?i)\\bnc\\b'), false)
-  AND NOT coalesce(toxic = 1, false) AND pos < {fv.HITS_PER_CATEGORY} AS ok FROM hits),
+eligible AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY pos) AS place FROM hits
+  WHERE NOT coalesce(regexp_matches(license, '(?i)\\bnc\\b'), false) AND NOT coalesce(toxic = 1, false))
+  WHERE place <= {fv.HITS_PER_CATEGORY}),
 plan AS (SELECT * FROM (VALUES {', '.join(f"({i}, '{c}')" for i, (c, _) in enumerate(LANGS))}) t(cat_pos, category)),
 kept AS (SELECT * FROM (
   SELECT v.*, p.cat_pos, row_number() OVER (PARTITION BY v.category ORDER BY v.pos) AS rn
   FROM valid v JOIN plan p ON v.category = p.category
-  JOIN eligible e ON e.doc_id = v.doc_id AND e.ok) WHERE rn <= {fv.ITEMS_PER_CATEGORY}),
+  JOIN eligible e ON e.doc_id = v.doc_id) WHERE rn <= {fv.ITEMS_PER_CATEGORY}),
 clean AS (SELECT doc_id, category,
     coalesce(nullif(substring({_trim("coalesce(title, '')")}, 1, {fv.TITLE_LENGTH}), ''), '{fv.UNTITLED}') AS title,
     {_trim(f"coalesce(creator, '{fv.UNKNOWN_CREATOR}')")} AS creator,
@@ -288,7 +289,7 @@ ORACLE = {
         UNION ALL SELECT 'Precision@3', printf('%.2f', p3) FROM total""",
     "clean_metadata": f"""WITH {_HITS}
         SELECT doc_id, title, creator, license, licenseUrl AS "licenseUrl", source, provider FROM clean""",
-    "eligible_hits": f"WITH {_HITS} SELECT doc_id, category, pos FROM eligible WHERE ok",
+    "eligible_hits": f"WITH {_HITS} SELECT doc_id, category, pos FROM eligible",
     "valid_hits": f"WITH {_HITS} SELECT doc_id, src FROM valid",
     "curate_items": f"""WITH {_HITS},
         n AS (SELECT doc_id, row_number() OVER (ORDER BY cat_pos, pos) - 1 AS id FROM kept)

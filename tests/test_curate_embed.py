@@ -29,8 +29,11 @@ def frame(spark, hits):
 def test_eligibility(spark):
     hits = frame(spark, [
         hit("dog", 0), hit("dog", 1, license="by-nc"), hit("dog", 2, license="BY-NC-SA"),
-        hit("dog", 3, mature=True), hit("dog", 19, mature=None), hit("dog", 20), hit("dog", 4, license=None)])
-    assert sorted(r.pos for r in curate.eligible(hits).collect()) == [0, 4, 19]
+        hit("dog", 3, mature=True), hit("dog", 19, mature=None), hit("dog", 4, license=None),
+        *[hit("cat", i, license="by-nc" if i == 7 else "by") for i in range(30)]])
+    got = [(r.category, r.pos) for r in curate.eligible(hits).collect()]
+    assert sorted(p for c, p in got if c == "dog") == [0, 4, 19]
+    assert sorted(p for c, p in got if c == "cat") == [i for i in range(21) if i != 7]
 
 
 def test_first_valid_skips_bad_hits(spark):
@@ -150,6 +153,28 @@ def test_vectors_left_join_items_keeps_repeats(spark):
         (1, [3.0], "b", 1), (2, [2.0], "a", 0), (1, [3.0], "b", 1), (5, [4.0], None, 0)]
 
 
+@pytest.mark.parametrize("hot_rows", [3, 10**6])
+def test_hot_ids_are_joined_apart(spark, hot_rows):
+    items = spark.createDataFrame(
+        [(7, i) for i in range(50)] + [(None, i) for i in range(20)] + [(i, 0) for i in range(5)],
+        "id long, n int")
+    vectors = spark.createDataFrame(
+        [(7, 0, [1.0]), (7, 1, [2.0]), (3, 2, [3.0]), (9, 3, [4.0])], "id long, pos long, v array<float>")
+    got = joins.join_items_vectors(items, vectors, hot_rows).collect()
+    assert len(got) == 75
+    for r in got:
+        assert list(r.v) == {7: [2.0], 3: [3.0]}.get(r.id, [])
+
+
+def test_long_lookup_list(spark, monkeypatch):
+    from lumora.operators import search
+    gallery = spark.createDataFrame([(7, 5, "b"), (7, 2, "a"), (8, 1, "c"), (9, 0, "d")], "id long, pos long, t string")
+    ids = spark.createDataFrame([(7,), (7,), (8,), (1,)], "id long")
+    short = sorted(search.lookup_many(gallery, ids).collect())
+    monkeypatch.setattr(search, "SHORT_LIST", 0)
+    assert sorted(search.lookup_many(gallery, ids).collect()) == short == [(7, 2, "a"), (8, 1, "c")]
+
+
 def test_encoder_loads_once_and_bad_input(spark, tmp_path):
     marker = str(tmp_path / "loads")
 

@@ -76,6 +76,12 @@ def test_evaluate_equals_brute_force(spark, n, options):
         [(j, f"q{j}", t, v.tolist()) for j, (t, v) in enumerate(zip(targets, q))],
         "qid long, query string, category string, v array<double>")
     rows = evaluate.evaluate(gallery, queries, **options).orderBy("qid").collect()
+    items = gallery.select("id", "pos", "category").filter("category IS NOT NULL")
+    older = items.withColumn("pos", F.col("pos") - 10_000).withColumn("category", F.lit("c0"))
+    joined = evaluate.evaluate(gallery.drop("category"), queries, items=items.unionByName(older), **options)
+    for a, b in zip(joined.orderBy("qid").collect(), rows, strict=True):
+        assert (a.qid, a.nRelevant, a.topIds, a.pAt) == (b.qid, b.nRelevant, b.topIds, b.pAt)
+        assert a.ap_exact == pytest.approx(b.ap_exact) and a.rr_exact == b.rr_exact
     for row, (found, p_at, rr, ap, top) in zip(rows, brute(x, cats, q, targets), strict=True):
         assert row.nRelevant == found and row.topIds == top
         assert row.pAt == pytest.approx(p_at) and row.rr_exact == pytest.approx(rr)

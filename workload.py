@@ -16,10 +16,7 @@ from lumora.functions import bulk, text, vectors
 from lumora.operators import curate, embed, evaluate, joins, projection, relevance, search, tags
 from lumora.plans.freeze import freeze, new_dir
 from lumora.plans.jobs import text_search
-from lumora.plans.numbering import number_rows
-from lumora.plans.packed import scores_column
 from lumora.plans.sums import vector_sums
-from lumora.functions.kernels import QueryVectors
 from lumora.sources import gallery as sources
 from lumora.sources import sinks
 from lumora.standins import byte_histogram, word_hash
@@ -316,7 +313,7 @@ def candidates(spark, sf_dir) -> DataFrame:
     licence = F.when(src == "src5", F.lit(None)).when(F.col("n_chars") < 500, "by-nc").when(
         F.col("n_chars") < 2000, "by-sa").otherwise("by")
     hits = docs.join(toxic, "doc_id", "left").select(
-        "doc_id", F.col("lang").alias("category"),
+        "doc_id", F.col("doc_id").alias("pos"), F.col("lang").alias("category"),
         F.when(F.col("lang") == "en", "").when(src == "src1", F.lit(None)).otherwise(
             F.concat(F.lit("thumb/"), key)).alias("thumbnail"),
         F.when(src != "src2", F.concat(F.lit("https://"), src, F.lit("/"), key)).alias("url"),
@@ -332,13 +329,6 @@ def candidates(spark, sf_dir) -> DataFrame:
     return hits
 
 
-def landed(spark, sf_dir) -> DataFrame:
-    """Hits with their 0-based place in the category's result list."""
-    hits = candidates(spark, sf_dir)
-    numbered = number_rows(hits, [F.col("doc_id").asc()], "n", ["category"])
-    return numbered.withColumn("pos", F.col("n") - 1).drop("n")
-
-
 def language_plan(spark) -> DataFrame:
     return sources.category_plan(spark, LANGS)
 
@@ -349,7 +339,7 @@ def clean_metadata(spark, sf_dir):
 
 
 def eligible_hits(spark, sf_dir):
-    return curate.eligible(landed(spark, sf_dir)).select("doc_id", "category", "pos")
+    return curate.eligible(candidates(spark, sf_dir)).select("doc_id", "category", "pos")
 
 
 def valid_hits(spark, sf_dir):
@@ -358,12 +348,12 @@ def valid_hits(spark, sf_dir):
 
 
 def curate_items(spark, sf_dir):
-    return curate.curate(landed(spark, sf_dir), language_plan(spark))
+    return curate.curate(candidates(spark, sf_dir), language_plan(spark))
 
 
 def curation_fill_report(spark, sf_dir):
     plan = language_plan(spark)
-    return curate.fill_report(curate.keep(landed(spark, sf_dir), plan), plan)
+    return curate.fill_report(curate.keep(candidates(spark, sf_dir), plan), plan)
 
 
 def attribution_lines(spark, sf_dir):

@@ -26,11 +26,20 @@ def curation_job(candidates: DataFrame, plan: DataFrame, out: str) -> DataFrame:
 
 def embedding_job(spark: SparkSession, folder: str, images: str, encoder: emb.Encoder,
                   *, batch_size: int = 64) -> DataFrame:
-    """``<folder>/manifest`` and image files to ``<folder>/embeddings``; returns the header."""
-    items, _ = src.read_table(spark, f"{folder}/manifest")
-    loaded = src.read_images(spark, images, items.select("id", "pos", "file"))
-    vectors = freeze(emb.embed(loaded, "content", encoder, batch_size=batch_size)
-                     .select("id", "pos", "v"))
+    """``<folder>/manifest`` and the image files under ``images`` to
+    ``<folder>/embeddings``; returns the header.
+
+    Files are embedded where they are read and their vectors joined to the items, so
+    image bytes are never shuffled.  An item without image, or an image that cannot be
+    decoded, fails the job.
+    """
+    items, head = src.read_table(spark, f"{folder}/manifest")
+    embedded = emb.embed(src.read_images(spark, images).select("file", "content"), "content",
+                         encoder, batch_size=batch_size).select("file", "v")
+    vectors = freeze(items.select("id", "pos", "file").join(embedded, "file").select("id", "pos", "v"))
+    missing = head.first()["count"] - vectors.count()
+    if missing:
+        raise FileNotFoundError(f"{missing} items of {folder} have no image under {images}")
     sinks.write_embeddings(vectors, emb.header(vectors, encoder), f"{folder}/embeddings")
     return src.read_table(spark, f"{folder}/embeddings")[1]
 

@@ -80,15 +80,15 @@ def load_gallery(spark: SparkSession, folder: str, base: str = "") -> Gallery:
     return Gallery(as_gallery(items, vectors, base), head, per_query, total)
 
 
-def read_images(spark: SparkSession, folder: str, items: DataFrame | None = None) -> DataFrame:
-    """Image bytes; with ``items``, only theirs, joined on the file name below ``folder``."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    if items is None:
-        return files
-    name = F.element_at(F.split("path", "/"), -1)
-    key = F.element_at(F.split("file", "/"), -1)
-    return (items.withColumn("__name", key)
-            .join(files.select(name.alias("__name"), "content", "length"), "__name").drop("__name"))
+def read_images(spark: SparkSession, root: str) -> DataFrame:
+    """(file, content, length) of every file under ``root``; ``file`` is relative to it,
+    as in the manifest."""
+    jroot = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = jroot.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    prefix = fs.makeQualified(jroot).toString()
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    return files.select(F.expr(f"substring(path, {len(prefix) + 2})").alias("file"),
+                        "content", "length")
 
 
 def read_candidates(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:

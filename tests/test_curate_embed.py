@@ -101,11 +101,16 @@ def test_curation_job(spark, tmp_path):
 def test_three_jobs_end_to_end(spark, tmp_path):
     hits = sources.read_candidates(spark, landed_pages(tmp_path))
     jobs.curation_job(hits, sources.category_plan(spark), str(tmp_path))
-    images = tmp_path / "img"
-    images.mkdir()
+    images = tmp_path / "web"
+    (images / "gallery" / "img").mkdir(parents=True)
+    with pytest.raises(Exception):
+        jobs.embedding_job(spark, str(tmp_path), str(images), byte_histogram(16))
     for i in range(5):
-        (images / f"{i:03d}.jpg").write_bytes(bytes([i, i + 1, 200 - i]) * 50)
+        (images / "gallery" / "img" / f"{i:03d}.jpg").write_bytes(bytes([i, i + 1, 200 - i]) * 50)
     head = jobs.embedding_job(spark, str(tmp_path), str(images), byte_histogram(16)).first()
+    (images / "gallery" / "img" / "004.jpg").unlink()
+    with pytest.raises(FileNotFoundError, match="1 items"):
+        jobs.embedding_job(spark, str(tmp_path), str(images), byte_histogram(16))
     assert (head.model, head.dim, head.normalized, head["count"]) == ("byte-histogram", 16, True, 5)
     text = word_hash(16)
     same = embed.Encoder("byte-histogram", text.dtype, 16, text.load)

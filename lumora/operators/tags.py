@@ -16,12 +16,11 @@ _PARTIAL = ("id long, pos long, peak double, mass double, "
             "best array<struct<label_pos:long,s:double>>")
 
 
-def _select(s, label_pos, k):
-    """Per row: columns of the k largest values, vocabulary order breaking ties."""
+def _select(s, k):
+    """Per row: columns of the k largest values; equal values keep vocabulary order."""
     import numpy as np
 
-    order = np.lexsort((np.broadcast_to(label_pos, s.shape), -s), axis=1)
-    return order[:, :k]
+    return np.argsort(-s, axis=1, kind="stable")[:, :k]
 
 
 def zero_shot_tags(gallery: DataFrame, labels: DataFrame, k: int = TAGS_PER_ITEM,
@@ -60,7 +59,7 @@ def _tags_packed(gallery, packed: QueryVectors, k, temperature) -> DataFrame:
                 s = vocab.scores(x)
                 share = np.exp((s - s.max(axis=1, keepdims=True)) * temperature)
                 share /= share.sum(axis=1, keepdims=True)
-                best = _select(s, vocab.qids, k)
+                best = _select(s, k)
                 n, width = best.shape
                 at = pa.array(np.repeat(rows, width))
                 yield pa.RecordBatch.from_arrays(
@@ -81,13 +80,14 @@ def _tags_tiled(gallery, labels, k, temperature, tile_bytes) -> DataFrame:
 
         from lumora.functions.kernels import equal_length_blocks
 
+        vocab = vocab.sort_by("qid")
         got = QueryVectors(vocab["qid"].to_pylist(), vocab["v"].to_pylist())
         out = {name: [] for name in ("id", "pos", "peak", "mass", "best")}
         if len(got):
             for rows, x in equal_length_blocks(items["v"].combine_chunks(), got.block_rows):
                 s = got.scores(x)
                 peak = s.max(axis=1)
-                best = _select(s, got.qids, k)
+                best = _select(s, k)
                 value = np.take_along_axis(s, best, axis=1)
                 out["id"] += items["id"].take(pa.array(rows)).to_pylist()
                 out["pos"] += items["pos"].take(pa.array(rows)).to_pylist()

@@ -17,11 +17,16 @@ def range_sorted(df: DataFrame, *order: Column) -> DataFrame:
 
     The key should end in something unique, so that equal leading values (one hot
     group, a third of all scores equal) are still split over many partitions.
+    ``spark.sql.shuffle.partitions`` of them, fewer for a table that Catalyst estimates
+    at less than ``RANGE_BYTES`` for each.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    n = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+            -(-size // RANGE_BYTES) or 1)
     return df.repartitionByRange(n, *order).sortWithinPartitions(*order)
 
 
+RANGE_BYTES = 1 << 20   # small on purpose: estimates do not see rows multiply
 SMALL = 100_000         # rows a single task may number
 
 

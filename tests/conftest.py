@@ -21,3 +21,10 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(autouse=True)
+def many_ranges(monkeypatch):
+    """Range-partition even the smallest test tables."""
+    from lumora.plans import numbering
+    monkeypatch.setattr(numbering, "RANGE_BYTES", 1)

@@ -394,7 +394,7 @@ def _arrive(spark, sf_dir, files=None, **options):
     if files:
         folder = new_dir(spark, "landing")
         docs.repartition(files, "doc_id").write.parquet(folder)
-        stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 2).parquet(folder)
     else:
         stream = spark.readStream.schema(docs.schema).option(
             "pathGlobFilter", "documents.parquet").parquet(sf_dir)

@@ -85,7 +85,7 @@ cov AS (SELECT a.i, b.j, sum(x[a.i] * x[b.j]) AS c
 cov_rows AS (SELECT i, list(c ORDER BY j) AS r FROM cov GROUP BY i),
 m AS (SELECT list(r ORDER BY i) AS c FROM cov_rows),
 seed_raw AS (SELECT list_transform(r, lambda x: x - trunc(x)) AS v FROM (SELECT list_transform(range(1, {DIM + 1}),
-             lambda i: sin(i * {fv.SEED_FREQUENCY}) * {fv.SEED_AMPLITUDE}) AS r)),
+             lambda i: sin(i::DOUBLE * {fv.SEED_FREQUENCY}::DOUBLE) * {fv.SEED_AMPLITUDE}::DOUBLE) AS r)),
 seed AS (SELECT list_transform(v, lambda x: x / sqrt(n)) AS v
          FROM (SELECT v, list_dot_product(v, v) AS n FROM seed_raw)),
 step1(k, v) AS (

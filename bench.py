@@ -26,10 +26,14 @@ HEADLINE = ["search_topk", "batch_topk", "find_similar", "search_text", "search_
             "eval_aggregate", "embed_texts", "curate_items", "join_items_vectors", "arrivals_topk"]
 
 
-def timed(make) -> float:
-    start = time.time()
-    make().write.format("noop").mode("overwrite").save()
-    return round(time.time() - start, 3)
+def timed(make, runs: int = 2) -> float:
+    """The better of two complete runs: the first one compiles."""
+    best = float("inf")
+    for _ in range(runs):
+        start = time.time()
+        make().write.format("noop").mode("overwrite").save()
+        best = min(best, time.time() - start)
+    return round(best, 3)
 
 
 def blown_up(spark, sf_dir, copies):

@@ -15,25 +15,30 @@ from lumora.operators.embed import Encoder
 _CACHE = 200_000
 
 
-def _word_counts(dim: int):
-    slots: dict[str, tuple[int, int]] = {}
+class _Slots(dict):
+    """Word to 2 * slot + (1 if it counts negatively), remembered for frequent words."""
+
+    def __init__(self, dim: int):
+        super().__init__()
+        self.dim = dim
+
+    def __missing__(self, word: str) -> int:
+        h = hashlib.md5(word.encode()).digest()
+        code = 2 * (h[0] % self.dim) + (h[1] >= 128)
+        if len(self) < _CACHE:
+            self[word] = code
+        return code
 
-    def slot(word: str) -> tuple[int, int]:
-        found = slots.get(word)
-        if found is None:
-            h = hashlib.md5(word.encode()).digest()
-            found = (h[0] % dim, 1 if h[1] < 128 else -1)
-            if len(slots) < _CACHE:
-                slots[word] = found
-        return found
+
+def _word_counts(dim: int):
+    slots = _Slots(dim)
 
     def run(texts: np.ndarray) -> np.ndarray:
         out = np.zeros((len(texts), dim), dtype=np.float32)
         for i, text in enumerate(texts):
-            got = [slot(w) for w in (text or "").split(" ") if w]
-            if got:
-                at, sign = np.array(got).T
-                out[i] = np.bincount(at, weights=sign, minlength=dim)
+            codes = [slots[w] for w in (text or "").split(" ") if w]
+            counts = np.bincount(np.array(codes, dtype=np.int64), minlength=2 * dim)
+            out[i] = counts[::2] - counts[1::2]
         return out
 
     return run

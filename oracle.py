@@ -76,7 +76,11 @@ _DOCS32 = _DOCS + """,
 h32 AS (SELECT doc_id, list_transform(v, lambda x: x::FLOAT::DOUBLE) AS v,
                row_number() OVER (ORDER BY doc_id) AS n FROM h)"""
 
-_PCA = f"""
+_EXACT_STEPS = 3000      # enough for the power iteration to converge
+
+
+def _pca(steps):
+    return f"""
 mean_rows AS (SELECT i, avg(v[i]) AS m FROM g, range(1, {DIM + 1}) r(i) GROUP BY i),
 mean AS (SELECT list(m ORDER BY i) AS mu FROM mean_rows),
 centred AS (SELECT id, list_transform(v, lambda x, i: x - mu[i]) AS x FROM g, mean),
@@ -94,8 +98,8 @@ step1(k, v) AS (
   SELECT k + 1, list_transform(w, lambda x: x / n) FROM (
     SELECT k, w, sqrt(list_dot_product(w, w)) AS n FROM (
       SELECT k, list_transform(c, lambda r: list_dot_product(r, v)) AS w FROM step1, m
-      WHERE k < {fv.POWER_ITERATIONS}))),
-pc1 AS (SELECT v AS p FROM step1 WHERE k = {fv.POWER_ITERATIONS}),
+      WHERE k < {steps}))),
+pc1 AS (SELECT v AS p FROM step1 WHERE k = {steps}),
 step2(k, v) AS (
   SELECT 0, v FROM seed
   UNION ALL
@@ -104,8 +108,11 @@ step2(k, v) AS (
       SELECT k, list_transform(w, lambda x, i: x - a * p[i]) AS u FROM (
         SELECT k, w, p, list_dot_product(w, p) AS a FROM (
           SELECT k, p, list_transform(c, lambda r: list_dot_product(r, v)) AS w FROM step2, m, pc1
-          WHERE k < {fv.POWER_ITERATIONS}))))),
-pc2 AS (SELECT v AS p FROM step2 WHERE k = {fv.POWER_ITERATIONS})"""
+          WHERE k < {steps}))))),
+pc2 AS (SELECT v AS p FROM step2 WHERE k = {steps})"""
+
+
+_PCA = _pca(fv.POWER_ITERATIONS)
 
 _METRICS = f"""
 {_GALLERY}, {_PROTOTYPES}, {_SCORED}, {_RANKED},
@@ -261,6 +268,9 @@ ORACLE = {
     "pca_axes": f"""WITH RECURSIVE {_GALLERY}, {_PCA}
         SELECT i - 1 AS dim, round(mu[i], 6) AS mean, round(pc1.p[i], 6) AS pc1, round(pc2.p[i], 6) AS pc2
         FROM mean, pc1, pc2, range(1, {DIM + 1}) r(i)""",
+    "pca_axes_exact": f"""WITH RECURSIVE {_GALLERY}, {_pca(_EXACT_STEPS)}
+        SELECT i - 1 AS dim, round(mu[i], 6) AS mean, round(pc1.p[i], 6) AS pc1, round(pc2.p[i], 6) AS pc2
+        FROM mean, pc1, pc2, range(1, {DIM + 1}) r(i)""",
     "project_axes": f"""WITH RECURSIVE {_GALLERY}, {_PROTOTYPES}, {_PCA}
         SELECT id, round(list_dot_product(x, a.v), 6) AS x, round(list_dot_product(x, b.v), 6) AS y
         FROM centred, (SELECT v FROM q WHERE qid = 0) a, (SELECT v FROM q WHERE qid = 1) b""",

@@ -245,7 +245,7 @@ ORACLE = {
         {_hashed('texts', 'item_id', _words('texts', 'item_id', 'text')).replace('slots', 'qslots')
          .replace('grid', 'qgrid').replace('h AS', 'qh AS')},
         s AS (SELECT item_id AS qid, id, list_dot_product(docs.v, qh.v) AS score FROM docs, qh)
-        SELECT qid, id, round(score, 6) AS score, rnk::INT AS rank FROM (
+        SELECT qid, id, round(score, 9) AS score, rnk::INT AS rank FROM (
           SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rnk FROM s) WHERE rnk <= 5""",
     "browse": f"WITH {_GALLERY} SELECT id, category, 0.0::DOUBLE AS score FROM g",
     "relative_relevance": f"""WITH {_GALLERY}, {_PROTOTYPES}, {_SCORED},

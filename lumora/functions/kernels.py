@@ -41,7 +41,9 @@ def map_vectors(column: pa.Array, fn) -> pa.Array:
     ends = np.cumsum(lengths)
     out = np.empty(int(ends[-1]) if len(ends) else 0)
     for rows, x in equal_length_blocks(column, 65_536):
-        if x.shape[1]:
+        if x.shape[1] and rows[-1] - rows[0] + 1 == len(rows):      # neighbours: one slice
+            out[ends[rows[0]] - x.shape[1]:ends[rows[-1]]] = fn(x).ravel()
+        elif x.shape[1]:
             at = (ends[rows] - x.shape[1])[:, None] + np.arange(x.shape[1])
             out[at] = fn(x)
     offsets = pa.array(np.concatenate(([0], ends)).astype(np.int32))

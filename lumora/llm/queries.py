@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lumora.llm import bpe, exact_dedup, sharding, token_counts
+from lumora.llm import bpe, exact_dedup, minhash, sharding, token_counts
 from lumora.llm.common import table
 
 
@@ -11,6 +11,10 @@ def tokenizer(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_minhash(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85).drop("rid")
+
+
 def op3_bpe(spark, sf_dir):
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer())
 
@@ -27,7 +31,7 @@ def op10_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_bpe, op7_exact_dedup, op8_token_counts, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op2_minhash, op3_bpe, op7_exact_dedup, op8_token_counts, op10_sharding)}
 
 ORACLE = {
     "op7_exact_dedup": """

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from lumora.llm import bpe, exact_dedup, minhash, sharding, token_counts
+from pyspark.sql import functions as F
+
+from lumora.llm import bpe, decontaminate, exact_dedup, minhash, sharding, token_counts
 from lumora.llm.common import table
 
 
@@ -27,11 +29,18 @@ def op8_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op9_decontamination(spark, sf_dir):
+    found = decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", (F.size("hits") > 0).alias("contaminated"), F.size("hits").cast("long").alias("n_items"),
+                        F.col("hits.item_id").alias("item_ids"), F.col("hits.distance").alias("distances"))
+
+
 def op10_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_minhash, op3_bpe, op7_exact_dedup, op8_token_counts, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op2_minhash, op3_bpe, op7_exact_dedup, op8_token_counts, op9_decontamination,
+                                    op10_sharding)}
 
 ORACLE = {
     "op7_exact_dedup": """

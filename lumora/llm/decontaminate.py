@@ -146,7 +146,8 @@ class Block:
     def _matrix(self, texts: list[bytes]) -> np.ndarray:
         out = np.zeros((len(texts), self.widest + 1), np.uint8)
         for i, t in enumerate(texts):
-            out[i, :len(t)] = np.frombuffer(t[:self.widest], np.uint8)
+            t = t[:self.widest]
+            out[i, :len(t)] = np.frombuffer(t, np.uint8)
         return out
 
     def walk(self, texts: np.ndarray, walk: int) -> np.ndarray:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lumora.llm import bpe, decontaminate, exact_dedup, minhash, quality, sharding, token_counts
+from lumora.llm import bpe, decontaminate, exact_dedup, minhash, pii, quality, secret_scan, sharding, token_counts
 from lumora.llm.common import table
 
 
@@ -21,10 +21,18 @@ def op3_bpe(spark, sf_dir):
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op4_secret_scan(spark, sf_dir):
+    return secret_scan.find_secrets(table(spark, sf_dir, "documents")).drop("rid")
+
+
 def op5_quality(spark, sf_dir):
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_pii(spark, sf_dir):
+    return pii.find_personal_data(table(spark, sf_dir, "documents")).drop("rid")
+
+
 def op7_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("rid")
 
@@ -43,7 +51,7 @@ def op10_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_minhash, op3_bpe, op5_quality, op7_exact_dedup, op8_token_counts, op9_decontamination,
+QUERIES = {f.__name__: f for f in (op2_minhash, op3_bpe, op4_secret_scan, op5_quality, op6_pii, op7_exact_dedup, op8_token_counts, op9_decontamination,
                                     op10_sharding)}
 
 ORACLE = {

@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lumora.plans.freeze import freeze
+
 U64 = np.uint64
 #: Texts are worked on in pieces of about this many bytes, so that numpy's working arrays stay small.
 CHUNK_BYTES = 1 << 21
@@ -24,11 +26,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def rows(docs: DataFrame) -> DataFrame:
     """(rid, doc_id, text): a number for each row, and NULL texts as empty ones.
 
-    ``rid`` is only stable once the result is frozen or used within one job."""
-    return docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long"),
+    ``rid`` is the column ``__rid`` where ``docs`` are numbered already; else it is only stable
+    once the result is frozen or used within one job."""
+    number = F.col("__rid") if "__rid" in docs.columns else F.monotonically_increasing_id()
+    return docs.select(number.alias("rid"), F.col("doc_id").cast("long"),
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number for each row in ``__rid``, written, so that the numbers stay."""
+    return freeze(docs.withColumn("__rid", F.monotonically_increasing_id()))
+
+
+def without(docs: DataFrame, gone: DataFrame, few: int = 1_000_000) -> DataFrame:
+    """Numbered ``docs`` without the rows whose numbers are in ``gone`` (rid); at most ``few`` numbers
+    (8 bytes each) are broadcast, more are shuffled."""
+    gone = freeze(gone.select(F.col("rid").alias("__rid")))
+    side = F.broadcast(gone) if gone.count() <= few else gone
+    return docs.join(side, "__rid", "left_anti").drop("__rid")
+
+
 def in_train(doc_id: str, folds: int) -> Column:
     """True where crc32 of the id as text leaves a remainder; a NULL id counts as empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % folds != 0

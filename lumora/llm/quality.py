@@ -180,24 +180,32 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Bags:
                       np.array([q for q, _ in bags], np.float32))
 
 
-def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, max_docs: int = MAX_DOCS,
-          keep: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, held_out, score, predicted), one row per row of ``docs``; with ``keep``, those columns
-    of ``docs`` instead of doc_id alone."""
+def _scores(model: Bags, texts: pa.Array) -> np.ndarray:
+    found = [model.score(x, bounds) for bounds, x in (passages(data, offsets) for _, _, data, offsets in pieces(texts))]
+    return np.concatenate(found) if found else np.zeros(0)
+
+
+def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, max_docs: int = MAX_DOCS) -> DataFrame:
+    """(doc_id, held_out, score, predicted), one row per row of ``docs``."""
     model = fit(docs, labels, max_docs)
-    keep = keep or ("doc_id",)
 
     def run(batches):
         for batch in batches:
-            found = []
-            for _, _, data, offsets in pieces(batch.column(batch.num_columns - 1)):
-                bounds, x = passages(data, offsets)
-                found.append(model.score(x, bounds))
-            y = np.concatenate(found) if found else np.zeros(0)
+            y = _scores(model, batch.column(2))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(y, pa.float64()), pa.array((y >= threshold).astype(np.int32), pa.int32())],
-                [*batch.schema.names[:-1], "score", "predicted"])
+                [*batch.columns[:2], pa.array(y, pa.float64()), pa.array((y >= threshold).astype(np.int32), pa.int32())],
+                ["doc_id", "held_out", "score", "predicted"])
+
+    return docs.select(F.col("doc_id").cast("long"), (~in_train("doc_id", FOLDS)).alias("held_out"), "text").mapInArrow(
+        run, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, max_docs: int = MAX_DOCS) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score ``threshold`` or more."""
+    model, text = fit(docs, labels, max_docs), docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(model, batch.column(text)) >= threshold, pa.bool_()))
 
-    kept = docs.select(*keep, (~in_train("doc_id", FOLDS)).alias("held_out"), F.coalesce("text", F.lit("")).alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
-    return kept.mapInArrow(run, f"{schema}, score double, predicted int")
+    return docs.mapInArrow(run, docs.schema)

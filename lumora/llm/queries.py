@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lumora.llm import bpe, decontaminate, exact_dedup, minhash, pii, quality, secret_scan, sharding, token_counts
+from lumora.llm import bpe, decontaminate, exact_dedup, lm_score, minhash, pii, quality, secret_scan, sharding, token_counts
 from lumora.llm.common import table
 
 
@@ -13,6 +13,10 @@ def tokenizer(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_lm_score(spark, sf_dir):
+    return lm_score.score_texts(table(spark, sf_dir, "documents")).drop("rid")
+
+
 def op2_minhash(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85).drop("rid")
 
@@ -51,7 +55,7 @@ def op10_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_minhash, op3_bpe, op4_secret_scan, op5_quality, op6_pii, op7_exact_dedup, op8_token_counts, op9_decontamination,
+QUERIES = {f.__name__: f for f in (op1_lm_score, op2_minhash, op3_bpe, op4_secret_scan, op5_quality, op6_pii, op7_exact_dedup, op8_token_counts, op9_decontamination,
                                     op10_sharding)}
 
 ORACLE = {

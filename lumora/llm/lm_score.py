@@ -37,10 +37,10 @@ FOLDS = 10
 ORDER, VECTOR = 4, 24
 WORDS, BUCKETS = 128, 128
 HEAD = 131_072
-NOISE, BATCH, RATE = 32, 4096, 0.1
+NOISE, BATCH, RATE = 32, 512, 0.2
 ROUNDS = 2
 #: Tokens whose scores are in memory at once.
-BLOCK = 8192
+BLOCK = 1024
 #: Hash of the end token, which no word has but by chance.
 END = U64(0x0123456789ABCDEF)
 
@@ -232,8 +232,9 @@ def train(docs: DataFrame, words_: Vocabulary, rounds: int = ROUNDS) -> LogBilin
             def steps(parts):
                 context, target = (np.concatenate(x) for x in zip(*parts))
                 order = random.permutation(len(target))
-                for at in range(0, len(order), BATCH):
-                    mine.step(context[order[at:at + BATCH]], target[order[at:at + BATCH]], random)
+                batch = min(BATCH, max(64, len(order) // 256))      # few tokens still make many steps
+                for at in range(0, len(order), batch):
+                    mine.step(context[order[at:at + batch]], target[order[at:at + batch]], random)
                 return len(target)
 
             for batch in batches:

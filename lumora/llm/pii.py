@@ -253,11 +253,11 @@ class SemiMarkov:
         at = np.array(s.at)
         return np.exp(score + (alpha[at[:, 0]] + beta[at[:, 1]])[:, None] - alpha[s.n])
 
-    def fit(self, data: list[tuple[Segments, list[tuple[int, int]]]], epochs: int = 6, rate: float = 0.3) -> SemiMarkov:
-        """Adagrad on the conditional likelihood of the labelled segmentations."""
+    def fit(self, data: list[tuple[Segments, list[tuple[int, int]]]], steps: int = 9000, rate: float = 0.3) -> SemiMarkov:
+        """Adagrad on the conditional likelihood of the labelled segmentations, in ``steps`` steps or so."""
         order, square = np.random.default_rng(3), np.full_like(self.w, 1e-2)
         data = [d for d in data if len(d[0].at)]
-        for _ in range(epochs):
+        for _ in range(min(60, -(-steps // max(1, len(data))))):
             for at in order.permutation(len(data)):
                 s, gold = data[at]
                 x = s.matrix()

@@ -13,9 +13,11 @@ all keys of a side differ, so m is the smallest number whose misses at the thres
    node meets the bucket's first one and its neighbours in order.
 3. Candidates are confirmed on the full sets of their texts: first one partner per node, then, with
    the components so far, the candidates that would still join two components.
-4. Large buckets that hold several components are searched again: nodes outside a bucket's largest
-   component meet all its nodes of other components whose sizes and 2-bit sketches allow the
-   similarity (the sketch misses a pair at the threshold with a chance below 1e-6).
+4. Nodes of large buckets that hold several components are searched again.  Whatever met in a table
+   shares a key of the left side, so only those m keys are joined: nodes outside a key's largest
+   component meet all its nodes of other components whose sizes allow the similarity and whose
+   sketches, of two bits of ``SKETCH`` further minhashes, do too (a pair at the threshold fails this
+   with a chance of about 1e-6).
 
 A document without words is linked with nothing; with fewer words than a shingle has, its words are
 one shingle.  NULL texts count as empty, NULL ids come last when the smallest is sought, repeated
@@ -39,6 +41,8 @@ from lumora.plans.freeze import freeze
 HALF = 2
 #: Chance that a pair at the threshold meets in no table.
 MISS = 1e-4
+#: Minhashes in a sketch, those of them that are compared first, and the standard deviations allowed.
+SKETCH, SKETCH_FIRST, DEVIATIONS = 1024, 128, 4.75
 #: Nodes in a bucket whose pairs are all candidates.
 SMALL = 4
 #: Rows of one bucket held at once; the rest of it goes on as another part.
@@ -103,10 +107,26 @@ def signatures(bounds: np.ndarray, hashes: np.ndarray, count: int) -> np.ndarray
     return out
 
 
-def _sketch(signature: np.ndarray) -> np.ndarray:
-    """Two bits of each of the first 32 minhashes."""
-    bits = (mix(signature[:, :32]) >> U64(62)) << (U64(2) * np.arange(min(32, signature.shape[1]), dtype=U64))
-    return np.bitwise_or.reduce(bits, axis=1)
+def sketches(bounds: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Two bits of each of SKETCH minhashes of each set, 32 of them to a number."""
+    bits = mix(signatures(bounds, hashes, SKETCH)) >> U64(62)
+    bits = bits.reshape(len(bits), SKETCH // 32, 32) << (U64(2) * np.arange(32, dtype=U64))
+    return np.bitwise_or.reduce(bits, axis=2)
+
+
+def _allowed(count: int, percent: int) -> int:
+    """Minhashes of ``count`` that may differ in their two bits at the threshold."""
+    p = 0.75 * (1 - percent / 100)
+    return int(count * p + DEVIATIONS * (count * p * (1 - p)) ** 0.5)
+
+
+def _differing(count: int):
+    """How many of the first minhashes of two sketches differ, as an expression of columns sketchx and sketchy."""
+    total = F.lit(0)
+    for k in range(count // 32):
+        d = F.col("sketchx")[k].bitwiseXOR(F.col("sketchy")[k])
+        total = total + F.bit_count(d.bitwiseOR(F.shiftright(d, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    return total
 
 
 def _band(signature: np.ndarray, half: int) -> np.ndarray:
@@ -128,7 +148,7 @@ def _lists(x: np.ndarray) -> pa.Array:
 
 
 def set_table(docs: DataFrame, width: int, m: int, half: int = HALF) -> DataFrame:
-    """(rid, doc_id, n, f1, f2, sketch, left, right, text): sizes, fingerprints and keys, written."""
+    """(rid, doc_id, n, f1, f2, left, right, text): sizes, fingerprints and keys, written."""
 
     def run(batches):
         for batch in batches:
@@ -141,17 +161,17 @@ def set_table(docs: DataFrame, width: int, m: int, half: int = HALF) -> DataFram
                 for s, seed in zip(sums, (1, 2)):
                     if len(full):
                         s[full] = np.add.reduceat(mix(hashes + U64(seed)), bounds[full])
-                found.append((n, *sums, _sketch(signature), _band(signature[:, :m * half], half),
+                found.append((n, *sums, _band(signature[:, :m * half], half),
                               _band(signature[:, m * half:], half)))
             if not found:
                 continue
-            n, f1, f2, sketch, left, right = (np.concatenate(x) for x in zip(*found))
+            n, f1, f2, left, right = (np.concatenate(x) for x in zip(*found))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n.astype(np.int64)), _longs(f1), _longs(f2), _longs(sketch),
+                [batch.column(0), batch.column(1), pa.array(n.astype(np.int64)), _longs(f1), _longs(f2),
                  _lists(left), _lists(right), batch.column(2)],
-                ["rid", "doc_id", "n", "f1", "f2", "sketch", "left", "right", "text"])
+                ["rid", "doc_id", "n", "f1", "f2", "left", "right", "text"])
 
-    return freeze(rows(docs).mapInArrow(run, "rid long, doc_id long, n long, f1 long, f2 long, sketch long, "
+    return freeze(rows(docs).mapInArrow(run, "rid long, doc_id long, n long, f1 long, f2 long, "
                                         "left array<long>, right array<long>, text string"))
 
 
@@ -260,8 +280,44 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
                   .select("a", "b", "text_a", "text_b").mapInArrow(run, "u long, v long"))
 
 
+def _mixed(df: DataFrame) -> DataFrame:
+    """(key, top): keys that hold several labels, and the label with the most rows."""
+    shares = df.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
+    return freeze(shares.groupBy("key").agg(F.max(F.struct("c", "label")).alias("top"), F.count(F.lit(1)).alias("k"))
+                  .filter("k > 1").select("key", F.col("top.label").alias("top")))
+
+
+def _more_candidates(members: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """(a, b): pairs of nodes of mixed buckets that have different labels and may be similar enough."""
+
+    def run(batches):
+        for whole in batches:
+            for at in range(0, len(whole), 1024):
+                batch = whole.slice(at, 1024)
+                found = [sketches(bounds, hashes) for _, bounds, hashes in shingle_sets(batch.column(1), width)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), _lists(np.concatenate(found))], ["id", "sketch"])
+
+    buckets = freeze(members.join(labels, "id"))
+    again = freeze(buckets.join(_mixed(buckets), "key", "left_semi").select("id").distinct())
+    few = F.broadcast(again) if again.count() <= BROADCAST_ROWS else again
+    sketched = texts.join(few, "id", "left_semi").select("id", "text").mapInArrow(run, "id long, sketch array<long>")
+    keyed = freeze(nodes.join(sketched, "id").join(labels, "id")
+                   .select("id", "n", "label", "sketch", F.posexplode("left").alias("table", "band"))
+                   .select(F.xxhash64("table", "band").alias("key"), "id", "n", "label", "sketch"))
+    keyed = freeze(keyed.join(_mixed(keyed.select("key", "label")), "key"))
+    x, y = (keyed.select("key", *[F.col(c).alias(f"{c}{s}") for c in ("id", "label", "n", "sketch", "top")]) for s in "xy")
+    return x.filter("labelx <> topx").join(y, "key").filter(
+        (F.col("labelx") != F.col("labely")) & ((F.col("labely") == F.col("topy")) | (F.col("idx") < F.col("idy")))
+        & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
+        & (_differing(SKETCH_FIRST) <= _allowed(SKETCH_FIRST, percent)) & (_differing(SKETCH) <= _allowed(SKETCH, percent))
+    ).select(F.least("idx", "idy").alias("a"), F.greatest("idx", "idy").alias("b")).distinct()
+
+
 def _merge(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels of all nodes after more links between labels."""
+    links = freeze(links)
+    if links.isEmpty():
+        return labels
     more = freeze(components(links)).select(F.col("u").alias("label"), F.col("label").alias("__to"))
     return freeze(labels.join(more, "label", "left").select("id", F.coalesce("__to", "label").alias("label")))
 
@@ -282,7 +338,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: fl
     # rows with one set are one node, named after its first row
     node = freeze(sets.filter("n > 0").groupBy("f1", "f2", "n").agg(F.min("rid").alias("id")))
     nodes = sets.join(node.select(F.col("id").alias("rid")), "rid", "left_semi").withColumnRenamed("rid", "id")
-    nodes = freeze(nodes.select("id", "n", "sketch", "left", "right"))
+    nodes = freeze(nodes.select("id", "n", "left", "right"))
 
     spark = docs.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-nodes.count() * m * m // 2_000_000))
@@ -307,19 +363,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: fl
         F.col("la").alias("u"), F.col("lb").alias("v"))
     labels = _merge(labels, links)
 
-    inside = freeze(members.join(labels, "id").join(nodes.select("id", "n", "sketch"), "id"))
-    shares = inside.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
-    mixed = freeze(shares.groupBy("key").agg(F.max(F.struct("c", "label")).alias("top"), F.count(F.lit(1)).alias("k"))
-                   .filter("k > 1").select("key", F.col("top.label").alias("top")))
-    inside = freeze(inside.join(mixed, "key"))
-    x, y = (inside.select("key", *[F.col(c).alias(f"{c}{s}") for c in ("id", "label", "n", "sketch", "top")]) for s in "xy")
-    differ = F.col("sketchx").bitwiseXOR(F.col("sketchy"))
-    differ = differ.bitwiseOR(F.shiftright(differ, 1)).bitwiseAND(F.lit(0x5555555555555555))
-    more = freeze(x.filter("labelx <> topx").join(y, "key").filter(
-        (F.col("labelx") != F.col("labely")) & ((F.col("labely") == F.col("topy")) | (F.col("idx") < F.col("idy")))
-        & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")) & (F.bit_count(differ) <= 13))
-        .select(F.least("idx", "idy").alias("a"), F.greatest("idx", "idy").alias("b")).distinct()
-        .join(pairs, ["a", "b"], "left_anti"))
+    more = freeze(_more_candidates(members, labels, nodes, texts, width, percent).join(pairs, ["a", "b"], "left_anti"))
     links = _confirmed(more, texts, width, percent)
     links = _by_label(links.select(F.col("u").alias("a"), F.col("v").alias("b")), labels).select(
         F.col("la").alias("u"), F.col("lb").alias("v"))

@@ -49,13 +49,15 @@ def encode(column: Column | str, encoder: Encoder, batch_size: int = 64) -> Colu
 
 
 def embed(df: DataFrame, column: str, encoder: Encoder, *, batch_size: int = 64,
-          on_bad: str = "fail") -> DataFrame:
+          on_bad: str = "fail", partitions: int | None = None) -> DataFrame:
     """Add ``v``, the unit vector of ``column``.
 
+    ``partitions``: deal the rows over so many tasks first, for a table that would be read
+    in fewer tasks than the cluster has cores.
     ``on_bad``: ``fail`` stops the job at the first undecodable input, ``keep`` leaves
     its ``v`` NULL for :func:`split_bad`.
     """
-    raw = spread(df).withColumn("__raw", encode(column, encoder, batch_size))
+    raw = spread(df, partitions).withColumn("__raw", encode(column, encoder, batch_size))
     bad = F.exists("__raw", lambda x: x.isNull() | F.isnan(x))      # Arrow may turn NaN into NULL
     unit = F.col("__raw")
     if on_bad == "fail":
@@ -104,7 +106,10 @@ def check_comparable(a: DataFrame, b: DataFrame) -> None:
 
 
 def check_uniform(vectors: DataFrame, dim: int) -> None:
-    """Refuse a set with vectors of another length than ``dim``."""
-    p = profile(vectors).first()
+    """Refuse a set with missing vectors or vectors of another length than ``dim``."""
+    p = profile(vectors.filter(F.col("v").isNotNull())).first()
+    missing = vectors.filter(F.col("v").isNull()).count()
+    if missing:
+        raise ValueError(f"{missing} vectors are missing")
     if p["count"] and not p["dim_min"] == p["dim_max"] == dim:
         raise ValueError(f"expected dimension {dim}, found {p['dim_min']} to {p['dim_max']}")

@@ -97,15 +97,16 @@ def _sorted_runs(top: int):
     return scan
 
 
-def ranked_relevance(scored: DataFrame, top: int = TOP_IDS) -> DataFrame:
+def ranked_relevance(scored: DataFrame, top: int = TOP_IDS, rows: int | None = None) -> DataFrame:
     """(qid, rank, hits, rel, id): global rank and running hit count.
 
     ``scored`` has ``qid, id, pos, score, rel``.  Contains every relevant row and at
     least the first ``top`` rows of each query.  A query's ranking is spread over as
-    many partitions as its size calls for; no window sees a whole gallery.
+    many partitions as its size calls for; no window sees a whole gallery.  ``rows``: how
+    many rows there are, where that is known.
     """
     ordered = range_sorted(scored.withColumn("__prefix", _sort_prefix()),
-                           F.col("__prefix"), F.col("qid"), *best_first())
+                           F.col("__prefix"), F.col("qid"), *best_first(), rows=rows)
     runs = freeze(ordered.select("qid", "id", "rel").mapInArrow(_sorted_runs(top), _RUN))
     earlier = (Window.partitionBy("qid").orderBy("run")
                .rowsBetween(Window.unboundedPreceding, -1))
@@ -144,6 +145,16 @@ def query_metrics(ranked: DataFrame, ks: Sequence[int] = PRECISION_CUTOFFS,
         .withColumn("rr", to_fixed("rr_exact", 3)).withColumn("ap", to_fixed("ap_exact", 3)))
 
 
+def _latest_scores(scores: DataFrame, gallery: DataFrame) -> DataFrame:
+    """Rows of repeated ids, each with the score of the id's last vector; as they are where
+    no id repeats."""
+    if gallery.groupBy("id").count().filter("count > 1").isEmpty():
+        return scores
+    last = freeze(scores.groupBy("qid", "id").agg(F.max_by(F.struct("score"), "pos").alias("__last")))
+    return (scores.drop("score").join(last, ["qid", "id"])
+            .withColumn("score", F.col("__last.score")).drop("__last"))
+
+
 def evaluate(gallery: DataFrame, queries: DataFrame, ks: Sequence[int] = PRECISION_CUTOFFS,
              top: int = TOP_IDS, *, items: DataFrame | None = None, max_packed: int = MAX_ROWS,
              tile_bytes: int = TILE_BYTES) -> DataFrame:
@@ -160,17 +171,21 @@ def evaluate(gallery: DataFrame, queries: DataFrame, ks: Sequence[int] = PRECISI
     scores = scored.rows(join_vectors_items(scored.table, items, ["category"])
                          if items is not None and scored.wide else None)
     if items is not None and not scored.wide:
-        scores = skew_left_join(scores, items, "id",
+        scores = skew_left_join(_latest_scores(scores, gallery), items, "id",
                                 lambda df: last_wins(df, "id", "pos", ["category"]))
     targets = freeze(queries.select(F.col("qid").cast("long").alias("qid"), "query",
                                     F.col("category").alias("target")))
     flagged = (scores.join(targets.select("qid", "target"), "qid")
                .select("qid", "id", "pos", "score",
                        F.col("category").eqNullSafe(F.col("target")).alias("rel")))
-    metrics = query_metrics(ranked_relevance(flagged, top), ks, top)
-    return (targets.join(metrics, "qid")
-            .select("qid", "query", F.col("target").alias("category"), "nRelevant", "pAt",
-                    "rr", "ap", "rr_exact", "ap_exact", "topIds"))
+    metrics = query_metrics(ranked_relevance(flagged, top, rows=scored.table.count() * scored.width), ks, top)
+    zeros = F.create_map(*[x for k in ks for x in (F.lit(str(k)), F.lit(0.0))])
+    found = targets.join(metrics, "qid", "left")         # an empty gallery leaves every query unanswered
+    return found.select(
+        "qid", "query", F.col("target").alias("category"), F.coalesce("nRelevant", F.lit(0)).alias("nRelevant"),
+        F.coalesce("pAt", zeros).alias("pAt"),
+        *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("rr", "ap", "rr_exact", "ap_exact")],
+        F.coalesce("topIds", F.array().cast("array<long>")).alias("topIds"))
 
 
 def aggregate(per_query: DataFrame, gallery_size: int,

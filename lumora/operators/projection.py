@@ -65,9 +65,12 @@ def combine_moments(*parts: DataFrame) -> DataFrame:
         vector_to_array(Summarizer.sum(array_to_vector(F.col("total")))).alias("total"))
 
 
-def mean_vector(gallery: DataFrame) -> DataFrame:
-    """(dim, mean): one row per component."""
-    sums = vector_sums(gallery.select(F.lit(0).alias("k"), "v"), "k", "v", "int")
+def mean_vector(gallery: DataFrame, dim: int | None = None) -> DataFrame:
+    """(dim, mean): one row per component.
+
+    With ``dim``, over the vectors of that length; else over all that are not missing or
+    empty, which must be of one length."""
+    sums = vector_sums(gallery.select(F.lit(0).alias("k"), "v"), "k", "v", "int", dim)
     return sums.select("n", F.posexplode("total").alias("dim", "t")).select(
         F.col("dim").cast("long"), (F.col("t") / F.col("n")).alias("mean"))
 

@@ -61,6 +61,11 @@ class ScoreTable(NamedTuple):
     def wide(self) -> bool:
         return self.qids is not None
 
+    @property
+    def width(self) -> int:
+        """Pairs in a row of the table."""
+        return len(self.qids) if self.wide else 1
+
     def rows(self, table: DataFrame | None = None) -> DataFrame:
         """(qid, ..., score) per pair; ``table`` may be the wide table with more columns."""
         table = self.table if table is None else table
@@ -169,12 +174,14 @@ def top_k(gallery: DataFrame, queries: DataFrame, k: int, *, exclude: str | None
 def find_similar(gallery: DataFrame, target_ids: DataFrame, k: int, **options) -> DataFrame:
     """The ``k`` items nearest to each target item, the target itself left out.
 
-    ``target_ids`` has one column ``id``; its vectors come from the gallery.  The ids
+    ``target_ids`` has one column ``id``; its vector is the first with that id in the
+    gallery, so a repeated id is one target.  The ids
     are frozen so that their size, not a guess at it, decides whether they are broadcast.
     """
     wanted = freeze(target_ids.select(F.col("id").alias("__t")).distinct())
     targets = (gallery.join(wanted, F.col("id") == F.col("__t"), "left_semi")
-               .select(F.col("id").alias("qid"), "v", F.col("id").alias("self")))
+               .groupBy("id").agg(F.min_by(F.struct("v"), "pos").alias("__first"))
+               .select(F.col("id").alias("qid"), F.col("__first.v").alias("v"), F.col("id").alias("self")))
     return top_k(gallery, targets, k, exclude="self", **options)
 
 

@@ -12,7 +12,7 @@ from lumora.plans.packed import MAX_ROWS, pack
 from lumora.plans.tiles import TILE_BYTES, tile_pairs
 
 TAG = "id long, pos long, label_pos long, score double"
-_PARTIAL = ("id long, pos long, peak double, mass double, "
+_PARTIAL = ("row long, id long, pos long, peak double, mass double, "
             "best array<struct<label_pos:long,s:double>>")
 
 
@@ -82,37 +82,39 @@ def _tags_tiled(gallery, labels, k, temperature, tile_bytes) -> DataFrame:
 
         vocab = vocab.sort_by("qid")
         got = QueryVectors(vocab["qid"].to_pylist(), vocab["v"].to_pylist())
-        out = {name: [] for name in ("id", "pos", "peak", "mass", "best")}
+        out = {name: [] for name in ("row", "id", "pos", "peak", "mass", "best")}
         if len(got):
             for rows, x in equal_length_blocks(items["v"].combine_chunks(), got.block_rows):
                 s = got.scores(x)
                 peak = s.max(axis=1)
                 best = _select(s, k)
                 value = np.take_along_axis(s, best, axis=1)
-                out["id"] += items["id"].take(pa.array(rows)).to_pylist()
-                out["pos"] += items["pos"].take(pa.array(rows)).to_pylist()
+                for name, column in (("row", "id"), ("id", "item"), ("pos", "place")):
+                    out[name] += items[column].take(pa.array(rows)).to_pylist()
                 out["peak"] += peak.tolist()
                 out["mass"] += np.exp((s - peak[:, None]) * temperature).sum(axis=1).tolist()
                 out["best"] += [[{"label_pos": int(p), "s": float(v)} for p, v in zip(ps, vs)]
                                 for ps, vs in zip(got.qids[best], value)]
         return pa.table(out, schema=pa.schema([
-            ("id", pa.int64()), ("pos", pa.int64()), ("peak", pa.float64()),
+            ("row", pa.int64()), ("id", pa.int64()), ("pos", pa.int64()), ("peak", pa.float64()),
             ("mass", pa.float64()),
             ("best", pa.list_(pa.struct([("label_pos", pa.int64()), ("s", pa.float64())])))]))
 
-    items = gallery.select(F.col("id").cast("long"), F.col("pos").cast("long"), "v")
+    # rows get numbers of their own, as neither id nor position need be unique
+    items = freeze(gallery.select(F.monotonically_increasing_id().alias("id"), F.lit(0).cast("long").alias("pos"),
+                                  F.col("id").cast("long").alias("item"), F.col("pos").cast("long").alias("place"), "v"))
     parts = tile_pairs(items, labels.select(F.col("label_pos").cast("long").alias("qid"), "v"),
                        kernel, _PARTIAL, tile_bytes=tile_bytes)
     # per item: as many partial rows as the vocabulary has tiles, k labels in each
-    merged = parts.groupBy("id", "pos").agg(
-        F.max("peak").alias("peak"),
+    merged = parts.groupBy("row").agg(
+        F.first("id").alias("id"), F.first("pos").alias("pos"), F.max("peak").alias("peak"),
         F.collect_list(F.struct("peak", "mass")).alias("masses"),
         F.flatten(F.collect_list("best")).alias("best"))
     total = F.aggregate("masses", F.lit(0.0), lambda acc, m: acc + m["mass"] * F.exp(
         (m["peak"] - F.col("peak")) * temperature))
-    ordered = F.slice(F.array_sort(
-        "best", lambda a, b: F.when(a["s"] > b["s"], -1).when(a["s"] < b["s"], 1)
-        .when(a["label_pos"] < b["label_pos"], -1).otherwise(1)), 1, k)
+    # a score that is not a number comes last, as a negated one does in ascending order
+    keyed = F.transform("best", lambda t: F.struct((-t["s"]).alias("fall"), t["label_pos"].alias("label_pos"), t["s"].alias("s")))
+    ordered = F.slice(F.array_sort(keyed), 1, k)
     return (merged.select("id", "pos", "peak", total.alias("total"), F.posexplode(ordered).alias("p", "t"))
             .select("id", "pos", F.col("t.label_pos").alias("label_pos"),
                     (F.exp((F.col("t.s") - F.col("peak")) * temperature) / F.col("total")).alias("score"),

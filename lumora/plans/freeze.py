@@ -8,6 +8,7 @@ and large ones are shuffled, without hints.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -18,11 +19,13 @@ CONF = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a scratch one in local mode only."""
+    """The folder named by ``spark.checkpoint.dir``.
+
+    Unset, a scratch folder, but only for a session whose tasks all run in this process."""
     configured = spark.conf.get(CONF, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError(f"set {CONF} to a folder that every executor can reach")
     spark.conf.set(CONF, tempfile.mkdtemp(prefix="lumora-"))
     return spark.conf.get(CONF)
@@ -37,13 +40,18 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return _made[-1]
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete one folder made by :func:`new_dir`."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _made.remove(folder)
+
+
 def release(spark: SparkSession) -> int:
     """Delete what this process froze; only when no DataFrame built on it is still needed."""
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     n = len(_made)
-    while _made:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
-        path.getFileSystem(conf).delete(path, True)
+    for folder in list(_made):
+        remove(spark, folder)
     return n
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lumora.fixed_values import ITEMS_PER_CATEGORY
 from lumora.operators import curate as cur
 from lumora.operators import embed as emb
 from lumora.operators import evaluate as ev
@@ -14,14 +15,17 @@ from lumora.sources import gallery as src
 from lumora.sources import sinks
 
 
-def curation_job(candidates: DataFrame, plan: DataFrame, out: str) -> DataFrame:
+def curation_job(candidates: DataFrame, plan: DataFrame, out: str, *,
+                 per_category: int = ITEMS_PER_CATEGORY, hits: int | None = None) -> DataFrame:
     """Hits to ``<out>/manifest``; returns the fill report.
 
+    ``hits``: look at so many eligible hits of a category only (one result page, say).
+
     A category without hits, or a bad hit, never stops the run.
     """
-    kept = cur.assign_ids(cur.keep(candidates, plan))
+    kept = cur.assign_ids(cur.keep(candidates, plan, per_category, hits))
     sinks.write_manifest(cur.clean_metadata(kept), f"{out}/manifest")
-    return cur.fill_report(kept, plan)
+    return cur.fill_report(kept, plan, per_category)
 
 
 def embedding_job(spark: SparkSession, folder: str, images: str, encoder: emb.Encoder,

@@ -12,21 +12,20 @@ from lumora.plans.freeze import freeze
 _INDEX_BITS = 33        # monotonically_increasing_id: partition above, row below
 
 
-def range_sorted(df: DataFrame, *order: Column) -> DataFrame:
+def range_sorted(df: DataFrame, *order: Column, rows: int | None = None) -> DataFrame:
     """Range-partition by the full sort key and sort each partition.
 
     The key should end in something unique, so that equal leading values (one hot
     group, a third of all scores equal) are still split over many partitions.
-    ``spark.sql.shuffle.partitions`` of them, fewer for a table that Catalyst estimates
-    at less than ``RANGE_BYTES`` for each.
+    One partition for every ``RANGE_ROWS`` of ``rows``, where the caller knows their
+    number; else ``spark.sql.shuffle.partitions``.
     """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    n = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-            -(-size // RANGE_BYTES) or 1)
+    n = (int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if rows is None
+         else max(1, -(-rows // RANGE_ROWS)))
     return df.repartitionByRange(n, *order).sortWithinPartitions(*order)
 
 
-RANGE_BYTES = 1 << 20   # small on purpose: estimates do not see rows multiply
+RANGE_ROWS = 250_000
 SMALL = 100_000         # rows a single task may number
 
 
@@ -45,7 +44,7 @@ def number_rows(df: DataFrame, order: Sequence[Column], out: str,
     if rows is not None and rows <= SMALL:
         window = Window.partitionBy(*(groups or [F.lit(0)])).orderBy(*order)
         return df.withColumn(out, F.row_number().over(window).cast("long"))
-    placed = range_sorted(df, *[F.col(g) for g in groups], *order).withColumn(
+    placed = range_sorted(df, *[F.col(g) for g in groups], *order, rows=rows).withColumn(
         "__row", F.monotonically_increasing_id())
     placed = freeze(placed)
     part = F.shiftright("__row", _INDEX_BITS)

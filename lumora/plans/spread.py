@@ -4,19 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-SMALL_BYTES = 1 << 30
 
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Repartition for heavy work per row; None leaves the table where it is.
 
-def spread(df: DataFrame, max_bytes: int = SMALL_BYTES) -> DataFrame:
-    """Repartition a table that Catalyst estimates at no more than ``max_bytes``.
-
-    A small table tends to arrive as one file or row group, that is, one task; moving
-    it costs little beside encoding it.  Larger tables come in splits enough and are
-    left where they are.
+    A small table tends to arrive as one file or row group, that is, one task, and moving
+    it costs little beside encoding it.  Larger tables come in splits enough.  Only the
+    caller knows which it is.
     """
-    if df.isStreaming:
-        return df
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    if int(stats.sizeInBytes()) > max_bytes:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return df if partitions is None or df.isStreaming else df.repartition(partitions)

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 _MAX_KEYS = 4096        # partial sums a task holds before it passes them on
 
 
-def vector_sums(df: DataFrame, key: str, vector: str, key_type: str) -> DataFrame:
+def vector_sums(df: DataFrame, key: str, vector: str, key_type: str, dim: int | None = None) -> DataFrame:
     """(key, n, total): count and component-wise sum of the vectors of each key.
 
+    Missing and empty vectors, and with ``dim`` those of another length, are left out.
+
     Each task sends one partial sum per key, so a key with a third of all rows costs
     the shuffle no more than any other.
     """
@@ -54,7 +56,8 @@ def vector_sums(df: DataFrame, key: str, vector: str, key_type: str) -> DataFram
                     yield from flush()
         yield from flush()
 
-    parts = (df.select(F.col(key), F.col(vector))
+    fits = F.size(vector) == dim if dim else F.size(vector) > 0
+    parts = (df.filter(F.col(vector).isNotNull() & fits).select(F.col(key), F.col(vector))
              .mapInArrow(partial, f"`{key}` {key_type}, n long, total array<double>"))
     return (parts.groupBy(key)
             .agg(F.sum("n").alias("n"),

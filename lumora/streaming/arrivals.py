@@ -27,7 +27,7 @@ from lumora.operators import embed as emb
 from lumora.operators import projection
 from lumora.operators.search import merge_top_k, top_k
 from lumora.operators.tags import zero_shot_tags
-from lumora.plans.freeze import freeze, new_dir
+from lumora.plans.freeze import freeze, new_dir, remove
 from lumora.plans.numbering import number_rows
 
 _BATCH_SPAN = 1 << 32       # positions reserved per batch
@@ -83,6 +83,10 @@ class Arrivals:
         df.write.mode("overwrite").parquet(self._at(table, batch))
         return self.spark.read.schema(df.schema).parquet(self._at(table, batch))
 
+    def _exists(self, table: str, batch: int) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self._at(table, batch)}/_SUCCESS")
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
     def _get(self, table: str, batch: int) -> DataFrame:
         return self.spark.read.parquet(self._at(table, batch))
 
@@ -97,8 +101,8 @@ class Arrivals:
             self._put(projection.moments(self.base, self.projection_dim), "moments", -1)
         self._put(self.spark.createDataFrame([(0,)], "uploads long"), "done", -1)
 
-    def _land(self, batch: DataFrame) -> DataFrame:
-        """The batch with its vectors, computed once.  It is read back by the session of
+    def _land(self, batch: DataFrame) -> tuple[DataFrame, str]:
+        """The batch with its vectors, computed once, and its folder.  It is read back by the session of
         the base gallery, since a stream's own session plans without adaptive execution."""
         if self.encoder is not None:
             mode = "keep" if self.on_bad == "quarantine" else self.on_bad
@@ -106,12 +110,15 @@ class Arrivals:
                               batch_size=self.batch_size, on_bad=mode).drop("content")
         path = new_dir(self.spark, "landed")
         batch.write.parquet(path)
-        return self.spark.read.schema(batch.schema).parquet(path)
+        return self.spark.read.schema(batch.schema).parquet(path), path
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        """One micro-batch; the ``done`` table is written only if all went well."""
+        """One micro-batch; the ``done`` table is written only if all went well, and a batch
+        that has one is left alone, as readers may be using it."""
+        if self._exists("done", batch_id):
+            return
         before = self._get("done", batch_id - 1).first()["uploads"]
-        good = self._land(batch)
+        good, landed = self._land(batch)
         if self.encoder is not None and self.on_bad == "quarantine":
             good, bad = emb.split_bad(good)
             self._put(bad, "quarantine", batch_id)
@@ -135,6 +142,7 @@ class Arrivals:
         if self.labels is not None:
             self._put(zero_shot_tags(new, self.labels), "tags", batch_id)
         self._put(self.spark.createDataFrame([(before + count,)], "uploads long"), "done", batch_id)
+        remove(self.spark, landed)
 
     def start(self, stream: DataFrame, **trigger):
         """Run the stream; by default until everything that has landed is processed."""

@@ -27,4 +27,4 @@ def spark(tmp_path_factory):
 def many_ranges(monkeypatch):
     """Range-partition even the smallest test tables."""
     from lumora.plans import numbering
-    monkeypatch.setattr(numbering, "RANGE_BYTES", 1)
+    monkeypatch.setattr(numbering, "RANGE_ROWS", 50)

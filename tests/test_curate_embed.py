@@ -31,7 +31,7 @@ def test_eligibility(spark):
         hit("dog", 0), hit("dog", 1, license="by-nc"), hit("dog", 2, license="BY-NC-SA"),
         hit("dog", 3, mature=True), hit("dog", 19, mature=None), hit("dog", 4, license=None),
         *[hit("cat", i, license="by-nc" if i == 7 else "by") for i in range(30)]])
-    got = [(r.category, r.pos) for r in curate.eligible(hits).collect()]
+    got = [(r.category, r.pos) for r in curate.eligible(hits, 20).collect()]
     assert sorted(p for c, p in got if c == "dog") == [0, 4, 19]
     assert sorted(p for c, p in got if c == "cat") == [i for i in range(21) if i != 7]
 

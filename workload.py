@@ -64,7 +64,7 @@ def digest(v="v"):
 
 def document_vectors(spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return embed.embed(docs, "text", word_hash(DIM))
+    return embed.embed(docs, "text", word_hash(DIM), partitions=spark.sparkContext.defaultParallelism)
 
 
 # ------------------------------------------------------------------ vectors
@@ -340,7 +340,7 @@ def clean_metadata(spark, sf_dir):
 
 
 def eligible_hits(spark, sf_dir):
-    return curate.eligible(candidates(spark, sf_dir)).select("doc_id", "category", "pos")
+    return curate.eligible(candidates(spark, sf_dir), fv.HITS_PER_CATEGORY).select("doc_id", "category", "pos")
 
 
 def valid_hits(spark, sf_dir):
@@ -349,12 +349,12 @@ def valid_hits(spark, sf_dir):
 
 
 def curate_items(spark, sf_dir):
-    return curate.curate(candidates(spark, sf_dir), language_plan(spark))
+    return curate.curate(candidates(spark, sf_dir), language_plan(spark), hits=fv.HITS_PER_CATEGORY)
 
 
 def curation_fill_report(spark, sf_dir):
     plan = language_plan(spark)
-    return curate.fill_report(curate.keep(candidates(spark, sf_dir), plan), plan)
+    return curate.fill_report(curate.keep(candidates(spark, sf_dir), plan, hits=fv.HITS_PER_CATEGORY), plan)
 
 
 def attribution_lines(spark, sf_dir):
@@ -373,7 +373,7 @@ def embed_texts(spark, sf_dir):
 
 def embed_images(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", F.encode("html", "UTF-8").alias("content"))
-    return embed.embed(pages, "content", byte_histogram(DIM)).select(
+    return embed.embed(pages, "content", byte_histogram(DIM), partitions=spark.sparkContext.defaultParallelism).select(
         "page_id", F.size("v").cast("long").alias("dim"), digest().alias("digest"))
 
 

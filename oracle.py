@@ -184,6 +184,30 @@ def _tags(source, key):
 
 _COLOUR = _case("category", fv.CATEGORY_COLOURS.items(), repr(fv.DEFAULT_COLOUR))
 
+def _byte_vectors(table, payload):
+    return _hashed(table, "page_id", f"""
+        SELECT page_id, ('0x' || b)::INT % {DIM} AS slot, 1 AS value FROM (
+          SELECT page_id, unnest(regexp_extract_all(hex(encode({payload})), '..')) AS b FROM {table})""")
+
+
+_IMAGES = f"""
+arrived AS (SELECT * FROM pages WHERE page_id % 3 <> 0 AND page_id % 7 <> 0), {_byte_vectors('arrived', 'html')},
+numbered AS (SELECT printf('%012d.JPG', page_id) AS title, list_transform(v, lambda x: x::FLOAT::DOUBLE) AS v,
+                    row_number() OVER (ORDER BY page_id DESC) AS n FROM h)"""
+
+_JOB = f"""{_DOCS},
+docs AS (SELECT d.doc_id AS id, d.lang AS category, {_quantized('h.v')} AS v FROM documents d JOIN h USING (doc_id)),
+{_hashed('benchmark', 'item_id', _words('benchmark', 'item_id', 'text')).replace('slots', 'qslots')
+ .replace('grid', 'qgrid').replace('h AS', 'qh AS')},
+ranked AS (SELECT item_id AS qid, id, {_case('item_id % 5', enumerate(c for c, _ in LANGS))} AS target, category,
+                  row_number() OVER (PARTITION BY item_id ORDER BY list_dot_product(docs.v, qh.v) DESC, id) AS rnk FROM docs, qh),
+hits AS (SELECT *, (category = target)::INT AS rel, sum((category = target)::INT) OVER (PARTITION BY qid ORDER BY rnk) AS h FROM ranked),
+per_query AS (
+  SELECT qid, any_value(target) AS category, sum(rel)::BIGINT AS n_rel,
+         round(coalesce(1.0 / min(CASE WHEN rel = 1 THEN rnk END), 0.0)::DOUBLE, 3) AS rr,
+         string_agg(CASE WHEN rnk <= {fv.TOP_IDS} THEN id::VARCHAR END, ',' ORDER BY rnk) AS top_ids
+  FROM hits GROUP BY qid)"""
+
 ORACLE = {
     "vector_profile": f"""WITH {_GALLERY}
         SELECT count(*)::BIGINT AS count, min(len(v))::BIGINT AS dim_min, max(len(v))::BIGINT AS dim_max,
@@ -318,6 +342,16 @@ ORACLE = {
                min(abs(sqrt(list_dot_product(v, v)) - 1)) <= 0.01
                AND max(abs(sqrt(list_dot_product(v, v)) - 1)) <= 0.01 AS normalized, count(*)::BIGINT AS count FROM h""",
     "arrivals_topk": f"""WITH {_GALLERY}, {_PROTOTYPES}, {_DOCS32},
+        pool AS (SELECT id, pos, id::VARCHAR AS item, v FROM g
+                 UNION ALL SELECT -n, -4294967296 + n - 1, printf('%012d', doc_id), v FROM h32),
+        s AS (SELECT qid, id, pos, item, list_dot_product(pool.v, q.v) AS score FROM pool, q)
+        SELECT qid, rank, round(score, 6) AS score, item FROM (
+          SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, pos, id) AS rank FROM s) WHERE rank <= 10""",
+    "arrivals_images": f"""WITH {_IMAGES}
+        SELECT -n AS id, title, {_digest('v')} AS digest FROM numbered""",
+    "arrivals_quarantine": """SELECT printf('in/%012d.JPG', page_id) AS path FROM pages
+        WHERE page_id % 3 <> 0 AND page_id % 7 = 0""",
+    "arrivals_batches": f"""WITH {_GALLERY}, {_PROTOTYPES}, {_DOCS32},
         pool AS (SELECT v FROM g UNION ALL SELECT v FROM h32),
         s AS (SELECT qid, list_dot_product(pool.v, q.v) AS score FROM pool, q)
         SELECT qid, rank, round(score, 6) AS score FROM (
@@ -343,4 +377,28 @@ ORACLE = {
     "evaluation_roundtrip": f"""WITH {_AGGREGATE}
         SELECT qid, {_PROMPT} AS query, category, n_rel AS "nRelevant", round(rr, 3) AS rr, round(ap, 3) AS ap, top_ids,
                'prototypes' AS model, queries, gallery_size AS "gallerySize", m_ap AS mean_ap FROM per_query, total""",
+    "curation_job": f"""WITH {_HITS},
+        n AS (SELECT doc_id, row_number() OVER (ORDER BY cat_pos, pos) - 1 AS id FROM kept)
+        SELECT id AS pos, id, printf('{fv.FILE_NAME_FORMAT}', id) AS file, category, title, source,
+               (SELECT count(*) FROM n)::BIGINT AS count FROM n JOIN clean USING (doc_id)""",
+    "embedding_job": f"""WITH {_byte_vectors('pages', 'html || chr(10)')}, u AS (SELECT page_id, {_quantized('v')} AS v FROM h)
+        SELECT page_id AS id, {_digest('v')} AS digest, 'byte-histogram' AS model, {DIM}::BIGINT AS dim, true AS normalized,
+               (SELECT count(*) FROM pages)::BIGINT AS count FROM u""",
+    "evaluation_job": f"""WITH {_JOB}
+        SELECT qid, category, n_rel AS "nRelevant", rr, top_ids, 'word-hash' AS model,
+               (SELECT count(*) FROM per_query)::BIGINT AS queries, (SELECT count(*) FROM documents)::BIGINT AS "gallerySize",
+               (SELECT round(avg(rr), 3) FROM per_query) AS mrr
+        FROM per_query""",
+    "gallery_load": f"""WITH {_AGGREGATE}, u AS (SELECT id, pos, category, {_quantized('v')} AS v FROM g),
+        w AS (SELECT id, pos, category, list_transform(v, lambda x: x::FLOAT::DOUBLE) AS v FROM u)
+        SELECT id, row_number() OVER (ORDER BY id) - 1 AS pos, category, 'no. ' || id AS title,
+               'img/' || printf('{fv.FILE_NAME_FORMAT}', id) AS src, false AS "isUpload", {_digest('v')} AS digest,
+               {DIM}::BIGINT AS dim, (SELECT count(*) FROM g)::BIGINT AS count, m_ap AS mean_ap, queries AS evaluated
+        FROM w, total""",
+    "landed_hits": f"""WITH {_HITS}
+        SELECT category, row_number() OVER (PARTITION BY category, doc_id // 50 ORDER BY doc_id) - 1 AS pos,
+               coalesce(url, '') AS url, md5(title) AS title_md5, toxic = 1 AS mature, length FROM hits""",
+    "mean_vector_with_gaps": f"""WITH {_GALLERY}
+        SELECT i - 1 AS dim, round(avg(v[i]), 6) AS mean FROM g JOIN documents d ON d.doc_id = g.id, range(1, {DIM + 1}) r(i)
+        GROUP BY i""",
 }

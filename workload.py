@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumora import fixed_values as fv
+from lumora import schemas
 from lumora.functions import bulk, text, vectors
 from lumora.operators import curate, embed, evaluate, joins, projection, relevance, search, tags
 from lumora.plans.freeze import freeze, new_dir
+from lumora.plans import jobs
 from lumora.plans.jobs import text_search
 from lumora.plans.sums import vector_sums
 from lumora.sources import gallery as sources
@@ -407,11 +409,51 @@ def _arrive(spark, sf_dir, files=None, **options):
 
 
 def arrivals_topk(spark, sf_dir, k=10):
+    """Best items after all arrivals, each known by its title or, in the base, by its id."""
+    queries = prototypes(gallery(spark, sf_dir))
+    run = _arrive(spark, sf_dir, files=1, queries=queries, k=k)
+    hits = run.top().select("qid", "id", "pos", "rank", "score")
+    return search.with_items(hits, run.gallery()).select(
+        "qid", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"),
+        F.coalesce("title", F.col("id").cast("string")).alias("item"))
+
+
+def arrivals_batches(spark, sf_dir, k=10):
+    """The same in several micro-batches: the ranking of scores doesn't depend on them."""
     queries = prototypes(gallery(spark, sf_dir))
     run = _arrive(spark, sf_dir, files=4, queries=queries, k=k)
     return run.top().select("qid", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
 
 
+def _arrive_images(spark, sf_dir):
+    """Pages arrive as files: every third is no image by its name, every seventh is empty."""
+    page, folder = F.col("page_id"), new_dir(spark, "landing")
+    table(spark, sf_dir, "pages").select(
+        F.format_string("in/%012d", page).alias("stem"), page).select(
+        F.concat("stem", F.when(page % 3 == 0, ".txt").otherwise(".JPG")).alias("path"),
+        F.timestamp_seconds(F.lit(1_700_000_000) - page).alias("modificationTime"),
+        F.when(page % 7 == 0, "").otherwise(F.concat(F.lit("p"), page.cast("string"))).cast("binary").alias("head"), page,
+    ).join(table(spark, sf_dir, "pages"), "page_id").select(
+        "path", "modificationTime", F.when(F.length("head") > 0, F.encode("html", "UTF-8")).otherwise(F.col("head")).alias("content"),
+    ).write.parquet(folder)
+    stream = spark.readStream.schema("path string, modificationTime timestamp, content binary").parquet(folder)
+    run = Arrivals(new_dir(spark, "arrivals"), gallery(spark, sf_dir).drop("label"), encoder=byte_histogram(DIM),
+                   on_bad="quarantine")
+    run.prepare()
+    run.start(stream).awaitTermination()
+    return run
+
+
+def arrivals_images(spark, sf_dir):
+    """Only images join, oldest first, and what can't be decoded is left out."""
+    return _arrive_images(spark, sf_dir).uploads().select("id", "title", digest().alias("digest"))
+
+
+def arrivals_quarantine(spark, sf_dir):
+    run = _arrive_images(spark, sf_dir)
+    return spark.read.parquet(f"{run.state}/quarantine").select("path")
+
+
 def arrivals_gallery(spark, sf_dir):
     run = _arrive(spark, sf_dir)
     return run.gallery().select("id", "pos", "category", "isUpload",
@@ -470,6 +512,99 @@ def evaluation_roundtrip(spark, sf_dir):
         "h.model", "h.queries", "h.gallerySize", F.col("h.mAP").alias("mean_ap"))
 
 
+# ------------------------------------------------------------------ jobs and envelopes
+
+def curation_job(spark, sf_dir):
+    out = new_dir(spark, "job")
+    jobs.curation_job(candidates(spark, sf_dir), language_plan(spark), out, hits=fv.HITS_PER_CATEGORY)
+    rows, head = sources.read_table(spark, f"{out}/manifest")
+    return rows.withColumn("count", head.select("count").scalar()).select(
+        "pos", "id", "file", "category", "title", "source", "count")
+
+
+def embedding_job(spark, sf_dir):
+    """Pages as files, one each, and a manifest that names them."""
+    folder, images = new_dir(spark, "job"), new_dir(spark, "images")
+    (table(spark, sf_dir, "pages").select("page_id", "html").repartition("page_id")
+     .write.partitionBy("page_id").text(images))
+    files = sources.read_images(spark, images).select("file")
+    page = F.regexp_extract("file", "page_id=([0-9]+)", 1).cast("long")
+    blank = {f: F.lit("") for f in ("category", "title", "creator", "license", "licenseUrl", "source", "provider")}
+    sinks.write_manifest(files.filter("file LIKE '%.txt'").withColumns({"id": page, "pos": page, **blank}), f"{folder}/manifest")
+    head = jobs.embedding_job(spark, folder, images, byte_histogram(DIM))
+    rows, _ = sources.read_table(spark, f"{folder}/embeddings")
+    return sinks.restore(rows).withColumn("h", head.select(F.struct("*")).scalar()).select(
+        "id", digest().alias("digest"), "h.model", "h.dim", "h.normalized", "h.count")
+
+
+def evaluation_job(spark, sf_dir):
+    """Documents as a gallery, their languages as categories, benchmark texts as prompts."""
+    folder = new_dir(spark, "job")
+    docs = freeze(document_vectors(spark, sf_dir).select(
+        F.col("doc_id").alias("id"), F.col("doc_id").alias("pos"), F.col("lang").alias("category"), "v"))
+    blank = {f: F.lit("") for f in ("file", "title", "creator", "license", "licenseUrl", "source", "provider")}
+    sinks.write_manifest(docs.drop("v").withColumns(blank), f"{folder}/manifest")
+    sinks.write_embeddings(docs, embed.header(docs, word_hash(DIM)), f"{folder}/embeddings")
+    langs = F.array(*[F.lit(c) for c, _ in LANGS])
+    prompts = table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("qid"), F.col("text").alias("query"),
+        F.get(langs, (F.col("item_id") % len(LANGS)).cast("int")).alias("category"))
+    jobs.evaluation_job(spark, folder, prompts, word_hash(DIM))
+    rows, head = sources.read_table(spark, f"{folder}/eval")
+    return rows.withColumn("h", head.select(F.struct("*")).scalar()).select(
+        "qid", "category", "nRelevant", "rr", F.array_join(F.col("topIds").cast("array<string>"), ",").alias("top_ids"),
+        "h.model", "h.queries", "h.gallerySize", "h.mrr")
+
+
+def gallery_load(spark, sf_dir):
+    """The three JSON envelopes of a gallery, written from the tables and loaded together."""
+    folder, g = new_dir(spark, "gallery"), gallery(spark, sf_dir)
+    blank = {f: F.lit("") for f in ("creator", "license", "licenseUrl", "source", "provider")}
+    item = F.struct(F.col("id").cast("long").alias("id"), F.format_string(fv.FILE_NAME_FORMAT, "id").alias("file"), "category",
+                    F.concat(F.lit("no. "), F.col("id").cast("string")).alias("title"), *[c.alias(n) for n, c in blank.items()])
+
+    def envelope(rows, name, array, **head):
+        one = rows.agg(F.count(F.lit(1)).alias("count"), F.sort_array(F.collect_list("row")).alias(array))
+        one.withColumns({k: F.lit(v) for k, v in head.items()}).write.json(f"{folder}/{name}.json")
+
+    envelope(g.select(item.alias("row")), "manifest", "items", builtAt="2024-01-01T00:00:00Z")
+    envelope(g.select(F.struct("id", bulk.quantize("v").alias("v")).alias("row")), "embeddings", "embeddings",
+             model="given", dtype="float32", dim=DIM, normalized=True)
+    per_query = freeze(_evaluation(spark, sf_dir))
+    fields = ["query", "category", "nRelevant", "pAt", "rr", "ap", "topIds"]
+    total = evaluate.aggregate(per_query, g.count()).select("queries", "gallerySize", "mAP", "mrr", "pAt")
+    (per_query.orderBy("qid").agg(F.transform(F.array_sort(F.collect_list(F.struct("qid", F.to_json(F.struct(*fields)).alias("q")))),
+                                              lambda r: r["q"]).alias("rows"))
+     .select(F.from_json(F.concat(F.lit("["), F.array_join("rows", ","), F.lit("]")),
+                         schemas.EVALUATION["perQuery"].dataType).alias("perQuery"),
+             F.lit("given").alias("model"), F.lit("2024-01-01T00:00:00Z").alias("evaluatedAt"))
+     .withColumn("aggregate", total.select(F.struct("*")).scalar()).write.json(f"{folder}/eval.json"))
+    loaded = sources.load_gallery(spark, folder, base="img/")
+    return (loaded.items.withColumn("h", loaded.header.select(F.struct("*")).scalar())
+            .withColumn("a", loaded.aggregate.select(F.struct("*")).scalar())
+            .withColumn("evaluated", loaded.evaluation.agg(F.count(F.lit(1))).scalar()).select(
+                "id", "pos", "category", "title", "src", "isUpload", digest().alias("digest"), "h.dim", "h.count",
+                F.col("a.mAP").alias("mean_ap"), "evaluated"))
+
+
+def landed_hits(spark, sf_dir, page=50):
+    """Search results as landed, one document per page of hits, read back in hit order."""
+    folder = new_dir(spark, "hits")
+    hits = candidates(spark, sf_dir)
+    result = F.struct("pos", *[F.col(f.name) for f in schemas.CANDIDATE.fields[2:]])
+    (hits.groupBy("category", F.floor(F.col("doc_id") / page).alias("page"))
+     .agg(F.sort_array(F.collect_list(result)).alias("results")).write.json(folder))
+    return sources.read_candidates(spark, folder).select(
+        "category", "pos", F.coalesce("url", F.lit("")).alias("url"), F.md5("title").alias("title_md5"), "mature", "length")
+
+
+def mean_vector_with_gaps(spark, sf_dir):
+    """The mean leaves out items without vector, as a join of items and vectors makes them."""
+    items = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
+    joined = joins.join_items_vectors(items, gallery(spark, sf_dir).select("id", "pos", "v"))
+    return projection.mean_vector(joined, DIM).select("dim", F.round("mean", 6).alias("mean"))
+
+
 QUERIES = {f.__name__: f for f in [
     vector_profile, l2_normalize, quantize_5dp, narrow_float32, pair_cosine,
     clean_query_text, label_prompts,
@@ -481,6 +616,7 @@ QUERIES = {f.__name__: f for f in [
     eval_per_query, eval_aggregate, eval_report,
     clean_metadata, eligible_hits, valid_hits, curate_items, curation_fill_report,
     embed_texts, embed_images, embedding_header,
-    arrivals_topk, arrivals_gallery, arrivals_tags, arrivals_mean, originals_count,
+    arrivals_topk, arrivals_batches, arrivals_images, arrivals_quarantine, arrivals_gallery, arrivals_tags, arrivals_mean, originals_count,
     manifest_roundtrip, embeddings_roundtrip, evaluation_roundtrip,
+    curation_job, embedding_job, evaluation_job, gallery_load, landed_hits, mean_vector_with_gaps,
 ]}

@@ -40,7 +40,7 @@ HEAD = 131_072
 NOISE, BATCH, RATE = 32, 512, 0.2
 ROUNDS = 2
 #: Tokens whose scores are in memory at once.
-BLOCK = 1024
+BLOCK = 512
 #: Hash of the end token, which no word has but by chance.
 END = U64(0x0123456789ABCDEF)
 
@@ -190,9 +190,9 @@ class LogBilinear:
         np.add.at(g["Q"], other, g_theirs.T @ r)
         g["b"] += np.bincount(target, weights=g_mine, minlength=len(p["b"])).astype(np.float32)
         np.add.at(g["b"], other, g_theirs.sum(0))
+        g["R"] += _scatter(context.T.reshape(-1), np.concatenate([dr * d for d in p["D"]]), len(p["R"]))
         for k in range(ORDER):
-            g["R"] += _scatter(context[:, k], dr * p["D"][k], len(p["R"]))
-            g["D"][k] = (dr * p["R"][context[:, k]]).sum(0)
+            g["D"][k] = np.einsum("ij,ij->j", dr, p["R"][context[:, k]])
         for k in p:
             d = g[k] / n
             self.square[k] += d * d
@@ -201,14 +201,19 @@ class LogBilinear:
     def log10(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """The normalised log10 probability of each target class."""
         out = np.empty(len(target))
+        weights = np.vstack([self.p["Q"].T, self.p["b"]])           # the bias is one more component
+        ones, r = np.ones(weights.shape[1], np.float32), np.ones((BLOCK, VECTOR + 1), np.float32)
         for at in range(0, len(target), BLOCK):
-            score = self.predict(context[at:at + BLOCK]) @ self.p["Q"].T
-            score += self.p["b"]
-            mine = score[np.arange(len(score)), target[at:at + BLOCK]].astype(np.float64)
-            top = score.max(1)
-            score -= top[:, None]
+            n = len(context[at:at + BLOCK])
+            r[:n, :VECTOR] = self.predict(context[at:at + BLOCK])
+            score = r[:n] @ weights
+            mine, top = score[np.arange(n), target[at:at + BLOCK]].astype(np.float64), 0.0
+            if score.max() > 50:                                     # else sums of exponentials are safe as they are
+                top = score.max(1, keepdims=True)
+                score -= top
+                top = top[:, 0]
             np.exp(score, out=score)
-            out[at:at + BLOCK] = mine - top - np.log(score.sum(1, dtype=np.float64))
+            out[at:at + BLOCK] = mine - top - np.log(score @ ones)
         return out / np.log(10)
 
 

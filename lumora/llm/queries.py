@@ -58,7 +58,43 @@ def op10_sharding(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (op1_lm_score, op2_minhash, op3_bpe, op4_secret_scan, op5_quality, op6_pii, op7_exact_dedup, op8_token_counts, op9_decontamination,
                                     op10_sharding)}
 
+def _best(names: str, weights: list[float], of: str) -> str:
+    """The place of the child with the largest draw, as in sharding.draw."""
+    draws = ", ".join(f"ln((('0x' || substr(md5({of} || '/' || {names.format(k)}), 1, {sharding.DIGITS}))::BIGINT + 1)"
+                      f" / {16 ** sharding.DIGITS}.0) / {w}" for k, w in enumerate(weights))
+    return f"list_position([{draws}], list_max([{draws}])) - 1"
+
+
 ORACLE = {
+    "op2_minhash": """
+        WITH RECURSIVE w AS (
+          SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+        s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE
+                list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM w),
+        e AS (SELECT doc_id, unnest(s) AS g FROM s),
+        shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+        links AS (SELECT a, b FROM shared JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b
+                  WHERE 100 * k >= 85 * (len(x.s) + len(y.s) - k)),
+        both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION
+                  SELECT reach.a, both_ways.b FROM reach JOIN both_ways ON reach.b = both_ways.a)
+        SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(reach.b) AS component_id, s.doc_id = min(reach.b) AS kept
+        FROM s JOIN reach ON reach.a = s.doc_id GROUP BY s.doc_id, s.s""",
+    "op10_sharding": f"""
+        WITH t AS (SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8), lambda c, k:
+                     CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+        b AS (SELECT doc_id, doc_id::VARCHAR AS k, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+                     lambda x: ('0x' || x)::BIGINT) AS b FROM documents),
+        c AS (SELECT doc_id, k, (len(b) + 8)::BIGINT AS size, xor(list_reduce([4294967295::BIGINT] || b,
+                     lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS text_crc32 FROM b, t),
+        r AS (SELECT *, {_best("'region{0}'", [8.0] * 3, "k")} AS region, {_best("'region{0}'", [8.0] * 3 + [1.0], "k")} AS grown FROM c),
+        h AS (SELECT *, {_best("'region' || region || '/rack{0}'", [4.0] * 2, "k")} AS rack FROM r),
+        p AS (SELECT *, ((region * 2 + rack) * 4 +
+              {_best("'shard' || ((region * 2 + rack) * 4 + {0})", [1.0] * 4, "k")})::INT AS shard FROM h)
+        SELECT doc_id, size, text_crc32::BIGINT AS text_crc32, 'key' AS law, shard,
+               row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS slot,
+               CASE WHEN grown = 3 THEN 24 ELSE shard END AS grown_shard FROM p""",
     "op7_exact_dedup": """
         WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS h
                    FROM documents)

@@ -10,9 +10,8 @@ all keys of a side differ, so m is the smallest number whose misses at the thres
 1. Shingle sets are hashed in 64 bits; rows with the same set become one node.
 2. Table keys are dealt by range of (key, node), so that a large bucket spans several tasks, and
    read in order.  In buckets of up to ``SMALL`` nodes all pairs are candidates; in larger ones each
-   node meets the bucket's first one and its neighbours in order.
-3. Candidates are confirmed on the full sets of their texts: first one partner per node, then, with
-   the components so far, the candidates that would still join two components.
+   node meets the bucket's first one and the one before it.
+3. Candidates are confirmed on the full sets of their texts.
 4. Nodes of large buckets that hold several components are searched again.  Whatever met in a table
    shares a key of the left side, so only those m keys are joined: nodes outside a key's largest
    component meet all its nodes of other components whose sizes allow the similarity and whose
@@ -230,8 +229,10 @@ def _bucket_candidates(percent: int):
                 yield pairs(key[row], ids[row], ids[head], n[row], n[head])
                 yield emit(MEMBER, key[row], ids[row], ids[row], n[row], n[row])
                 yield emit(HEAD, key[start[large]], ids[start[large]], ids[start[large]], n[start[large]], n[start[large]])
+            small = np.repeat(~large, size)
             for d in range(1, SMALL):
-                same = np.flatnonzero(key[d:] == key[:-d])
+                same = key[d:] == key[:-d]
+                same = np.flatnonzero(same if d == 1 else same & small[d:])
                 if not len(same):
                     break
                 yield pairs(key[same], ids[same + d], ids[same], n[same + d], n[same])
@@ -355,14 +356,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: fl
     few = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
     texts = freeze(sets.select(F.col("rid").alias("id"), "text").join(few, "id", "left_semi"))
 
-    links = _confirmed(pairs.groupBy("b").agg(F.min("a").alias("a")), texts, width, percent)
-    labels = _merge(wanted.select("id", F.col("id").alias("label")), links)
-    rest = freeze(_by_label(pairs, labels).filter("la <> lb").select("a", "b", "la", "lb"))
-    links = _confirmed(rest, texts, width, percent)
-    links = links.join(rest, (F.col("u") == F.col("a")) & (F.col("v") == F.col("b"))).select(
-        F.col("la").alias("u"), F.col("lb").alias("v"))
-    labels = _merge(labels, links)
-
+    labels = _merge(wanted.select("id", F.col("id").alias("label")), _confirmed(pairs, texts, width, percent))
     more = freeze(_more_candidates(members, labels, nodes, texts, width, percent).join(pairs, ["a", "b"], "left_anti"))
     links = _confirmed(more, texts, width, percent)
     links = _by_label(links.select(F.col("u").alias("a"), F.col("v").alias("b")), labels).select(

@@ -13,20 +13,19 @@ MAX_BYTES = 64 << 20
 
 def pack(queries: DataFrame, *, qid: str = "qid", vector: str = "v",
          exclude: str | None = None, max_rows: int = MAX_ROWS) -> QueryVectors | None:
-    """Fetch at most ``max_rows`` query vectors; None if there are more than fit.
+    """Fetch at most ``max_rows`` query vectors of ``MAX_BYTES``; None if there are more.
 
-    Reading stops one row past the bound, so the driver never holds a large table.
-    Callers must have a path for None (see :mod:`lumora.plans.tiles`).
+    They are counted and measured first, so neither the driver nor a task ever holds a
+    large table.  Callers must have a path for None (see :mod:`lumora.plans.tiles`).
     """
     wanted = [F.col(qid).cast("long").alias("qid"), F.col(vector).alias("v")]
     if exclude:
         wanted.append(F.col(exclude).cast("long").alias("exclude"))
-    table = queries.select(*wanted).limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows:
-        return None
-    rows = table.to_pylist()
-    if sum(8 * len(r["v"] or ()) for r in rows) > MAX_BYTES:
+    few = queries.select(*wanted)
+    n, size = few.agg(F.count(F.lit(1)), F.coalesce(F.sum(8 * F.size("v")), F.lit(0))).first()
+    if n > max_rows or size > MAX_BYTES:
         return None
+    rows = few.toArrow().to_pylist()
     rows.sort(key=lambda r: r["qid"])
     return QueryVectors([r["qid"] for r in rows], [r["v"] for r in rows],
                         [r["exclude"] for r in rows] if exclude else None)

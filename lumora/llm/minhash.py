@@ -288,7 +288,8 @@ def _mixed(df: DataFrame) -> DataFrame:
                   .filter("k > 1").select("key", F.col("top.label").alias("top")))
 
 
-def _more_candidates(members: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+def _more_candidates(members: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, percent: int,
+                     m: int) -> DataFrame:
     """(a, b): pairs of nodes of mixed buckets that have different labels and may be similar enough."""
 
     def run(batches):
@@ -303,12 +304,16 @@ def _more_candidates(members: DataFrame, labels: DataFrame, nodes: DataFrame, te
     few = F.broadcast(again) if again.count() <= BROADCAST_ROWS else again
     sketched = texts.join(few, "id", "left_semi").select("id", "text").mapInArrow(run, "id long, sketch array<long>")
     keyed = freeze(nodes.join(sketched, "id").join(labels, "id")
-                   .select("id", "n", "label", "sketch", F.posexplode("left").alias("table", "band"))
-                   .select(F.xxhash64("table", "band").alias("key"), "id", "n", "label", "sketch"))
+                   .select("id", "n", "label", "sketch", "left", F.posexplode("left").alias("table", "band"))
+                   .select(F.xxhash64("table", "band").alias("key"), "id", "n", "label", "sketch", "left", "table"))
     keyed = freeze(keyed.join(_mixed(keyed.select("key", "label")), "key"))
-    x, y = (keyed.select("key", *[F.col(c).alias(f"{c}{s}") for c in ("id", "label", "n", "sketch", "top")]) for s in "xy")
+    x, y = (keyed.select("key", *[F.col(c).alias(f"{c}{s}") for c in ("id", "label", "n", "sketch", "left", "table", "top")])
+            for s in "xy")
+    first = F.col("tablex") == F.col("tabley")       # a pair is made where its first shared key is
+    for k in range(m):
+        first &= (F.col("tablex") <= k) | (F.col("leftx")[k] != F.col("lefty")[k])
     return x.filter("labelx <> topx").join(y, "key").filter(
-        (F.col("labelx") != F.col("labely")) & ((F.col("labely") == F.col("topy")) | (F.col("idx") < F.col("idy")))
+        first & (F.col("labelx") != F.col("labely")) & ((F.col("labely") == F.col("topy")) | (F.col("idx") < F.col("idy")))
         & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
         & (_differing(SKETCH_FIRST) <= _allowed(SKETCH_FIRST, percent)) & (_differing(SKETCH) <= _allowed(SKETCH, percent))
     ).select(F.least("idx", "idy").alias("a"), F.greatest("idx", "idy").alias("b")).distinct()
@@ -357,7 +362,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: fl
     texts = freeze(sets.select(F.col("rid").alias("id"), "text").join(few, "id", "left_semi"))
 
     labels = _merge(wanted.select("id", F.col("id").alias("label")), _confirmed(pairs, texts, width, percent))
-    more = freeze(_more_candidates(members, labels, nodes, texts, width, percent).join(pairs, ["a", "b"], "left_anti"))
+    more = freeze(_more_candidates(members, labels, nodes, texts, width, percent, m).join(pairs, ["a", "b"], "left_anti"))
     links = _confirmed(more, texts, width, percent)
     links = _by_label(links.select(F.col("u").alias("a"), F.col("v").alias("b")), labels).select(
         F.col("la").alias("u"), F.col("lb").alias("v"))

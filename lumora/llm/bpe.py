@@ -344,6 +344,8 @@ def encode_decode(docs: DataFrame, path: str, keep_texts: bool = False) -> DataF
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())]
                 + ([pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())] if keep_texts else []),
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + (["ids", "decoded"] if keep_texts else []))
+        coder.known.clear()         # the worker may go on to other work
+        coder.words.clear()
 
     return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

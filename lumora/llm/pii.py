@@ -5,8 +5,12 @@ of text around digits and at-signs ("islands"; nothing else can hold these entit
 whole candidate segments of up to ``LONGEST`` tokens by features of the span as a whole, and chooses
 boundaries and types together by dynamic programming (Sarawagi and Cohen, "Semi-Markov conditional
 random fields for information extraction", 2004).  It is trained in numpy on the rules' findings in at
-most ``MAX_ISLANDS`` islands, those with the smallest hashes.  Its segments are added where no rule's
-span overlaps them and they beat leaving them out by ``MARGIN`` (natural log odds); a rule's span stays.
+most ``MAX_ISLANDS`` islands, those with the smallest hashes of each kind and of those without findings.
+A rule takes the longest run and drops it whole where its digits are wrong, so what it left out is no
+negative where a shorter valid span of whole numbers lies inside: such islands don't teach the model.
+It learns what entities look like side by side from ``PAIRS`` findings of each two kinds set next to
+each other.  Its segments are added where no rule's span overlaps them and they beat leaving them out
+by ``MARGIN`` (natural log odds); a rule's span stays.
 
 Matching is linear in the text: each rule starts at what it must contain.  NULL and empty texts have no
 spans, an empty table gives an empty result, repeated rows each get theirs, extra columns are ignored.
@@ -28,6 +32,7 @@ from lumora.plans.freeze import freeze
 KINDS = ("email", "ip", "card", "phone")
 LONGEST = 24
 MAX_ISLANDS = 1500
+PAIRS = 20
 MARGIN = 4.0
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -35,6 +40,7 @@ _CHAIN = re.compile(r"[0-9]++(?:\.[0-9]++)++")
 _DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _NUMBER = re.compile("[0-9]")
+_NUMBERS = re.compile("[0-9]+")
 
 
 def luhn(digits: str) -> bool:
@@ -95,6 +101,30 @@ def base_spans(text: str) -> list[tuple[int, int, str, int]]:
     return sorted(out)
 
 
+def dropped(text: str) -> list[tuple[int, int]]:
+    """Runs that the card or the phone rule dropped though a shorter span of whole numbers in them is valid."""
+    out = []
+    if _NUMBER.search(text):
+        for m in _DIGITS.finditer(text):
+            sizes = [len(n[0]) for n in _NUMBERS.finditer(m[0])]
+            digits = m[0].replace(" ", "").replace("-", "")
+            if len(sizes) < 2 or len(digits) < 14 or len(digits) <= 19 and luhn(digits):
+                continue
+            at = [0]
+            for n in sizes:
+                at.append(at[-1] + n)
+            if any(14 <= b - a <= 19 and luhn(digits[a:b]) for i, a in enumerate(at) for b in at[i + 1:i + 20]):
+                out.append(m.span())
+        for m in _PHONE.finditer(text) if "+" in text else ():
+            size, some = 0, False
+            for n in _NUMBERS.finditer(m[0]):
+                size += len(n[0])
+                some = some or 10 <= size <= 15
+            if some and size > 15:
+                out.append(m.span())
+    return sorted(out)
+
+
 _TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|[^A-Za-z0-9]")
 _MARK = re.compile(r"[0-9@]")
 _NEXT = re.compile(r"[ ][^\s0-9@]{0,3}[0-9@]")
@@ -295,9 +325,10 @@ class SemiMarkov:
 
 
 _FOUND = ("rid long, doc_id long, base array<struct<start:long,kind:int,end:long>>, "
-          "islands array<struct<start:long,lead:int,tail:int,text:string>>")
+          "islands array<struct<start:long,lead:int,tail:int,text:string,doubt:boolean>>")
 _SPAN = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))
-_ISLAND = pa.list_(pa.struct([("start", pa.int64()), ("lead", pa.int32()), ("tail", pa.int32()), ("text", pa.string())]))
+_ISLAND = pa.list_(pa.struct([("start", pa.int64()), ("lead", pa.int32()), ("tail", pa.int32()), ("text", pa.string()),
+                            ("doubt", pa.bool_())]))
 
 
 def find(docs: DataFrame) -> DataFrame:
@@ -312,9 +343,13 @@ def find(docs: DataFrame) -> DataFrame:
                 base.append([{"start": a, "kind": k, "end": b} for a, k, _, b in spans])
                 some = []
                 if "@" in text or _NUMBER.search(text):
+                    doubts = dropped(text)
                     for a, b in islands(text):
                         lead, tail = min(a, AROUND), min(len(text) - b, AROUND)
-                        some.append({"start": a, "lead": lead, "tail": tail, "text": text[a - lead:b + tail]})
+                        while doubts and doubts[0][1] <= a:
+                            doubts.pop(0)
+                        some.append({"start": a, "lead": lead, "tail": tail, "text": text[a - lead:b + tail],
+                                     "doubt": any(x < b and a < y for x, y in doubts[:8])})
                 found.append(some)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(base, _SPAN), pa.array(found, _ISLAND)],
@@ -323,17 +358,38 @@ def find(docs: DataFrame) -> DataFrame:
     return freeze(rows(docs).mapInArrow(run, _FOUND))
 
 
+def side_by_side(findings: list[list[str]], pairs: int = PAIRS) -> list[tuple[Segments, list[tuple[int, int]]]]:
+    """Findings of every two kinds next to each other, as islands with both labelled."""
+    out = []
+    for k, ours in enumerate(findings):
+        for j, theirs in enumerate(findings):
+            for n in range(min(pairs, len(ours), len(theirs))):
+                x, y = ours[n], theirs[-1 - n]
+                s = Segments(f" {x} {y} ", 1, 1)
+                out.append((s, s.labels([(0, len(x), k), (len(x) + 1, len(x) + 1 + len(y), j)])))
+    return out
+
+
 def train(found: DataFrame, most: int = MAX_ISLANDS) -> SemiMarkov:
-    sample = (found.select("base", F.explode("islands").alias("i")).filter(F.length("i.text") <= 400)
-              .select(F.xxhash64("i.text").alias("h"), "i", F.filter("base", lambda b: (b["start"] >= F.col("i.start")) & (
-                  b["end"] <= F.col("i.start") + F.length("i.text"))).alias("b"))
-              .dropDuplicates(["h"]).orderBy("h").limit(most).collect())
-    data = []
-    for r in sorted(sample, key=lambda r: r["h"]):
+    pool = (found.select("base", F.explode("islands").alias("i")).filter((F.length("i.text") <= 400) & ~F.col("i.doubt"))
+            .select(F.xxhash64("i.text").alias("h"), "i", F.filter("base", lambda b: (b["start"] >= F.col("i.start")) & (
+                b["end"] <= F.col("i.start") + F.length("i.text"))).alias("b"))
+            .dropDuplicates(["h"]))
+    sample: dict[int, object] = {}
+    for kind in range(len(KINDS)):
+        some = pool.filter(F.exists("b", lambda b: b["kind"] == kind)).orderBy("h").limit(most // (len(KINDS) + 1))
+        sample |= {r["h"]: r for r in some.collect()}
+    rest = pool.filter(F.size("b") == 0).orderBy("h").limit(most - len(sample))
+    sample |= {r["h"]: r for r in rest.collect()}
+    data, findings = [], [[] for _ in KINDS]
+    for _, r in sorted(sample.items()):
         s = Segments(r["i"]["text"], r["i"]["lead"], r["i"]["tail"])
-        start = r["i"]["start"]
-        data.append((s, s.labels([(b["start"] - start, b["end"] - start, b["kind"]) for b in r["b"]])))
-    return SemiMarkov().fit(data)
+        gold = s.labels([(b["start"] - r["i"]["start"], b["end"] - r["i"]["start"], b["kind"]) for b in r["b"]])
+        data.append((s, gold))
+        for k, kind in gold:
+            i, j = s.at[k]
+            findings[kind].append(r["i"]["text"][s.lead + s.tokens[i][0]:s.lead + s.tokens[j - 1][1]])
+    return SemiMarkov().fit(data + side_by_side(findings))
 
 
 def find_personal_data(docs: DataFrame, margin: float = MARGIN, max_islands: int = MAX_ISLANDS) -> DataFrame:

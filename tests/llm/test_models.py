@@ -133,6 +133,38 @@ def test_semi_markov_finds_the_rules_spans(documents):
     assert right >= 0.9 * sum(len(r.base) for r in found.select("base").collect()) and wrong <= 0.05 * right
 
 
+def card(r):
+    body = "4" + "".join(r.choice("0123456789") for _ in range(14))
+    return next(body + c for c in "0123456789" if luhn(body + c))
+
+
+def beside(r, n):
+    """Documents with findings the rules see, and two kinds where a rule's longest run hides shorter ones."""
+    number = lambda: f"+1 ({r.randrange(200, 999)}) 555-{r.randrange(1000, 9999)}"
+    ip = lambda: ".".join(str(r.randrange(1, 255)) for _ in range(4))
+    plain = [(i, f"{prose(i, 12)} {r.choice([card, lambda _: number(), lambda _: ip(), lambda _: str(r.randrange(10 ** 6))])(r)} "
+                 f"{prose(i + 1, 8)} {r.randrange(3000)} {prose(i + 2, 4)}") for i in range(n)]
+    cards = [(n + i, f"{prose(i, 9)} {card(r)} {card(r)} {prose(i + 3, 6)}") for i in range(8)]
+    phones = [(n + 8 + i, f"{prose(i, 9)} {number()} {ip()} {prose(i + 3, 6)}") for i in range(8)]
+    return plain, cards, phones
+
+
+def test_findings_side_by_side(spark):
+    """Two cards, and a phone before an IP address: the rules drop the whole run for its digit count."""
+    plain, cards, phones = beside(random.Random(12), 600)
+    got = {x.doc_id: x for x in pii.find_personal_data(frame(spark, plain + cards + phones)).collect()}
+    assert all(got[i].n_card == 0 and got[i].n_added == 2 for i, _ in cards)
+    assert all(got[i].n_phone == 0 and got[i].n_added == 1 and "phone:" in got[i].spans for i, _ in phones)
+    assert sum(got[i].n_added for i, _ in plain) <= 3
+
+
+def test_dropped_runs_are_no_negatives():
+    a, b = card(random.Random(1)), card(random.Random(2))
+    assert pii.dropped(f"x {a} {b} y") == [(2, 2 + 33)]
+    assert pii.dropped("x +1 (826) 555-4081 190.137.223.204") == [(2, 35)]
+    assert pii.dropped(f"{a}, +1 (555) 555-5555, {a[:-1]}, {'1' * 40}") == []
+
+
 def test_quality(spark, documents, awkward, nothing):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     got = {r.doc_id: r for r in quality.score(documents, labels).collect()}

@@ -91,6 +91,36 @@ def test_network_learns_what_a_secret_looks_like(spark):
     assert all(got[i].n_assign == 1 for i, _ in rows)
 
 
+def test_short_values_after_other_names(spark):
+    """Values of 6 to 15 characters, with punctuation too, where the name is on no list."""
+    r = random.Random(6)
+    value = lambda n, more="": "".join(r.choice("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ0123456789" + more) for _ in range(n))
+    known = [(i, f"{prose(i, 10)} {r.choice(['password', 'token', 'secret'])}{r.choice([': ', ' = ', '='])}{value(r.randint(8, 15))} "
+                 f"{prose(i + 1, 8)} note: {prose(i + 7, 12)} kind = {''.join(prose(i + 3, 4).split())}") for i in range(500)]
+    other = [(1000 + i, f"{prose(i, 10)} pwd: {value(12)} {prose(i + 2, 9)}") for i in range(30)]
+    marks = [(2000 + i, f"{prose(i, 10)} pass_phrase={value(5)}!{value(3)}#{value(4)} {prose(i + 2, 9)}") for i in range(30)]
+    words = [(3000 + i, f"{prose(i, 10)} remark: {''.join(prose(i + 90, 5).split())} {prose(i + 2, 9)}") for i in range(60)]
+    got = {x.doc_id: x for x in secret_scan.find_secrets(frame(spark, known + other + marks + words)).collect()}
+    assert sum(got[i].n_added for i, _ in other) >= 24
+    assert sum(got[i].n_added for i, _ in marks) >= 24
+    assert sum(got[i].n_added for i, _ in words) <= 6
+
+
+def test_threshold_keeps_its_recall_where_findings_are_mixed():
+    network, r = secret_scan.Network(), random.Random(8)
+    x = np.concatenate([secret_scan.tiles("", prose(i, 2), "") for i in range(400)])
+    y = np.array([float(r.random() < 0.5) for _ in range(400)], np.float32)
+    network.calibrate(x, y)
+    kept = network.scores(x) >= network.threshold
+    assert kept[y > 0].mean() >= secret_scan.RECALL and network.precision == (y[kept] > 0).mean()
+
+
+def test_overlapping_candidates():
+    assert secret_scan.best_apart([(0.9, 0, 30), (0.95, 10, 20), (0.9, 20, 30), (0.9, 22, 28)]) == [(10, 20), (20, 30)]
+    spans = [x[:2] for x in secret_scan.candidates("url: https://x?key=Ab3$5678z. end", [])]
+    assert (5, 28) in spans and (19, 28) in spans
+
+
 def test_long_candidates_are_seen_whole():
     x = secret_scan.tiles("left", "a" * 150, "right")
     assert x.shape[0] == 3 and (x[2, secret_scan.CONTEXT:secret_scan.CONTEXT + 22] == ord("a")).all()

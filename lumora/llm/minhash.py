@@ -16,7 +16,7 @@ all keys of a side differ, so m is the smallest number whose misses at the thres
    shares a key of the left side, so only those m keys are joined: nodes outside a key's largest
    component meet all its nodes of other components whose sizes allow the similarity and whose
    sketches, of two bits of ``SKETCH`` further minhashes, do too (a pair at the threshold fails this
-   with a chance of about 1e-6).
+   with a chance of at most 1.4e-5, the sum of both tests' binomial tails).
 
 A document without words is linked with nothing; with fewer words than a shingle has, its words are
 one shingle.  NULL texts count as empty, NULL ids come last when the smallest is sought, repeated

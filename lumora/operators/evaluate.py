@@ -188,20 +188,57 @@ def evaluate(gallery: DataFrame, queries: DataFrame, ks: Sequence[int] = PRECISI
         F.coalesce("topIds", F.array().cast("array<long>")).alias("topIds"))
 
 
+_FOLD = "queries long, ap double, rr double, ap_exact double, rr_exact double, at array<double>"
+
+
+def _fold(batches):
+    """Sums of sorted rows from left to right, one row in all.
+
+    A sum of doubles depends on its order, and a mean next to a tie of the published
+    decimals shows it; ``avg`` adds partial sums in whatever order tasks end."""
+    import pyarrow as pa
+
+    n, sums = 0, None
+    for batch in batches:
+        if sums is None:
+            width = len(batch.column(4)[0]) if batch.num_rows else 0
+            sums = [0.0] * (4 + width) if batch.num_rows else None
+        columns = [c.to_pylist() for c in batch.columns]
+        for ap, rr, ap_exact, rr_exact, at in zip(*columns):
+            n += 1
+            for k, x in enumerate((ap, rr, ap_exact, rr_exact, *at)):
+                sums[k] += x
+    if n:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([n]), *[pa.array([x]) for x in sums[:4]], pa.array([sums[4:]], pa.list_(pa.float64()))],
+            names=["queries", "ap", "rr", "ap_exact", "rr_exact", "at"])
+
+
 def aggregate(per_query: DataFrame, gallery_size: int,
               ks: Sequence[int] = PRECISION_CUTOFFS) -> DataFrame:
-    """One row: sizes and macro means.
+    """One row: sizes and macro means, summed in query order (``qid``, then the query's text).
 
     Reciprocal rank and average precision enter already rounded to three decimals and
-    are rounded again; the unrounded means are alongside.
+    are rounded again; the unrounded means are alongside.  The rows of one number per
+    query and metric are sorted into one partition and added up there as a stream, so
+    the result does not depend on how the queries were spread.
     """
-    pairs = [x for k in ks
-             for x in (F.lit(str(k)), to_fixed(F.avg(F.col("pAt")[str(k)]), 3))]
-    return per_query.agg(
-        F.count(F.lit(1)).alias("queries"), F.lit(gallery_size).cast("long").alias("gallerySize"),
-        to_fixed(F.avg("ap"), 3).alias("mAP"), to_fixed(F.avg("rr"), 3).alias("mrr"),
+    at = F.array(*[F.col("pAt")[str(k)] for k in ks])
+    rows = (per_query.select("qid", "query", "ap", "rr", "ap_exact", "rr_exact", at.alias("at"))
+            .repartition(1).sortWithinPartitions("qid", "query", "ap_exact", "rr_exact")
+            .select("ap", "rr", "ap_exact", "rr_exact", "at"))
+    # no query at all leaves one row of NULL means
+    total = rows.mapInArrow(_fold, _FOLD).agg(*[F.first(c).alias(c) for c in
+                                                ("queries", "ap", "rr", "ap_exact", "rr_exact", "at")])
+    mean = {c: F.col(c) / F.col("queries") for c in ("ap", "rr", "ap_exact", "rr_exact")}
+    pairs = [x for i, k in enumerate(ks)
+             for x in (F.lit(str(k)), to_fixed(F.get("at", F.lit(i)) / F.col("queries"), 3))]
+    return total.select(
+        F.coalesce("queries", F.lit(0)).cast("long").alias("queries"),
+        F.lit(gallery_size).cast("long").alias("gallerySize"),
+        to_fixed(mean["ap"], 3).alias("mAP"), to_fixed(mean["rr"], 3).alias("mrr"),
         F.create_map(*pairs).alias("pAt"),
-        F.avg("ap_exact").alias("mAP_exact"), F.avg("rr_exact").alias("mrr_exact"))
+        mean["ap_exact"].alias("mAP_exact"), mean["rr_exact"].alias("mrr_exact"))
 
 
 def report(aggregated: DataFrame) -> DataFrame:

@@ -128,10 +128,18 @@ per_query AS (
          string_agg(CASE WHEN rnk <= {fv.TOP_IDS} THEN id::VARCHAR END, ',' ORDER BY rnk) AS top_ids
   FROM hits GROUP BY qid)"""
 
+
+
+def _mean(x, digits):
+    """Mean summed from left to right in query order, rounded by its exact binary value."""
+    total = f"list_reduce([0.0::DOUBLE] || list(({x})::DOUBLE ORDER BY qid), lambda a, b: a + b)"
+    return f"round(({total} / count(*))::DECIMAL(38, 25), {digits})::DOUBLE"
+
+
 _AGGREGATE = f"""{_METRICS},
 total AS (SELECT count(*)::BIGINT AS queries, (SELECT count(*) FROM g)::BIGINT AS gallery_size,
-                 round(avg(round(ap, 3)), 3) AS m_ap, round(avg(round(rr, 3)), 3) AS mrr,
-                 round(avg(p1), 3) AS p1, round(avg(p3), 3) AS p3, round(avg(p5), 3) AS p5,
+                 {_mean('round(ap, 3)', 3)} AS m_ap, {_mean('round(rr, 3)', 3)} AS mrr,
+                 {_mean('p1', 3)} AS p1, {_mean('p3', 3)} AS p3, {_mean('p5', 3)} AS p5,
                  round(avg(ap), 6) AS ap_exact, round(avg(rr), 6) AS rr_exact FROM per_query)"""
 
 _HITS = f"""
@@ -204,7 +212,11 @@ ranked AS (SELECT item_id AS qid, id, {_case('item_id % 5', enumerate(c for c, _
 hits AS (SELECT *, (category = target)::INT AS rel, sum((category = target)::INT) OVER (PARTITION BY qid ORDER BY rnk) AS h FROM ranked),
 per_query AS (
   SELECT qid, any_value(target) AS category, sum(rel)::BIGINT AS n_rel,
+         sum(CASE WHEN rnk <= 1 THEN rel ELSE 0 END) / 1.0 AS p1,
+         sum(CASE WHEN rnk <= 3 THEN rel ELSE 0 END) / 3.0 AS p3,
+         sum(CASE WHEN rnk <= 5 THEN rel ELSE 0 END) / 5.0 AS p5,
          round(coalesce(1.0 / min(CASE WHEN rel = 1 THEN rnk END), 0.0)::DOUBLE, 3) AS rr,
+         round(coalesce(sum(CASE WHEN rel = 1 THEN h::DOUBLE / rnk END ORDER BY rnk) / sum(rel), 0.0)::DOUBLE, 3) AS ap,
          string_agg(CASE WHEN rnk <= {fv.TOP_IDS} THEN id::VARCHAR END, ',' ORDER BY rnk) AS top_ids
   FROM hits GROUP BY qid)"""
 
@@ -385,10 +397,11 @@ ORACLE = {
         SELECT page_id AS id, {_digest('v')} AS digest, 'byte-histogram' AS model, {DIM}::BIGINT AS dim, true AS normalized,
                (SELECT count(*) FROM pages)::BIGINT AS count FROM u""",
     "evaluation_job": f"""WITH {_JOB}
-        SELECT qid, category, n_rel AS "nRelevant", rr, top_ids, 'word-hash' AS model,
-               (SELECT count(*) FROM per_query)::BIGINT AS queries, (SELECT count(*) FROM documents)::BIGINT AS "gallerySize",
-               (SELECT round(avg(rr), 3) FROM per_query) AS mrr
-        FROM per_query""",
+        SELECT qid, category, n_rel AS "nRelevant", round(p1, 6) AS p1, round(p3, 6) AS p3, round(p5, 6) AS p5, rr, ap,
+               top_ids, 'word-hash' AS model, n AS queries, (SELECT count(*) FROM documents)::BIGINT AS "gallerySize",
+               m_ap AS mean_ap, mrr, mp1, mp3, mp5
+        FROM per_query, (SELECT count(*)::BIGINT AS n, {_mean('ap', 3)} AS m_ap, {_mean('rr', 3)} AS mrr, {_mean('p1', 3)} AS mp1,
+                                {_mean('p3', 3)} AS mp3, {_mean('p5', 3)} AS mp5 FROM per_query)""",
     "gallery_load": f"""WITH {_AGGREGATE}, u AS (SELECT id, pos, category, {_quantized('v')} AS v FROM g),
         w AS (SELECT id, pos, category, list_transform(v, lambda x: x::FLOAT::DOUBLE) AS v FROM u)
         SELECT id, row_number() OVER (ORDER BY id) - 1 AS pos, category, 'no. ' || id AS title,

@@ -1,3 +1,7 @@
+import math
+import random
+from decimal import ROUND_HALF_UP, Decimal
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -118,3 +122,22 @@ def test_number_rows_equals_window(spark, groups, rows):
 
 def test_report_cutoffs():
     assert fv.PRECISION_CUTOFFS == (1, 3, 5)
+
+
+def test_means_are_summed_in_query_order(spark):
+    """Forty values whose mean lies next to a tie: added up in another order it rounds the other way."""
+    r = random.Random(18)
+    values = [r.randint(0, 1000) / 1000 for _ in range(40)]
+    total = 0.0
+    for x in values:
+        total += x
+    expected = float(Decimal(total / 40).quantize(Decimal("0.001"), ROUND_HALF_UP))
+    assert expected != float(Decimal(math.fsum(values) / 40).quantize(Decimal("0.001"), ROUND_HALF_UP))
+    rows = [(q, "", x, x, x, x, {"1": x, "3": x, "5": x}) for q, x in enumerate(values)]
+    schema = "qid long, query string, ap double, rr double, ap_exact double, rr_exact double, pAt map<string,double>"
+    for parts in (1, 3, 13):
+        t = evaluate.aggregate(spark.createDataFrame(rows, schema).orderBy(F.rand(parts)).repartition(parts), 7).first()
+        assert (t.queries, t.gallerySize, t.mAP, t.mrr) == (40, 7, expected, expected)
+        assert set(t.pAt.values()) == {expected} and t.mAP_exact == total / 40
+    none = evaluate.aggregate(spark.createDataFrame([], schema), 7).first()
+    assert (none.queries, none.gallerySize, none.mAP, none.mrr) == (0, 7, None, None)

@@ -552,8 +552,10 @@ def evaluation_job(spark, sf_dir):
     jobs.evaluation_job(spark, folder, prompts, word_hash(DIM))
     rows, head = sources.read_table(spark, f"{folder}/eval")
     return rows.withColumn("h", head.select(F.struct("*")).scalar()).select(
-        "qid", "category", "nRelevant", "rr", F.array_join(F.col("topIds").cast("array<string>"), ",").alias("top_ids"),
-        "h.model", "h.queries", "h.gallerySize", "h.mrr")
+        "qid", "category", "nRelevant", *[F.round(F.col("pAt")[str(k)], 6).alias(f"p{k}") for k in fv.PRECISION_CUTOFFS],
+        "rr", "ap", F.array_join(F.col("topIds").cast("array<string>"), ",").alias("top_ids"),
+        "h.model", "h.queries", "h.gallerySize", F.col("h.mAP").alias("mean_ap"), "h.mrr",
+        *[F.col("h.pAt")[str(k)].alias(f"mp{k}") for k in fv.PRECISION_CUTOFFS])
 
 
 def gallery_load(spark, sf_dir):

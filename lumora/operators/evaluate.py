@@ -216,7 +216,7 @@ def _fold(batches):
 
 def aggregate(per_query: DataFrame, gallery_size: int,
               ks: Sequence[int] = PRECISION_CUTOFFS) -> DataFrame:
-    """One row: sizes and macro means, summed in query order (``qid``, then the query's text).
+    """One row: sizes and macro means, summed in the order of ``qid``.
 
     Reciprocal rank and average precision enter already rounded to three decimals and
     are rounded again; the unrounded means are alongside.  The rows of one number per
@@ -224,8 +224,8 @@ def aggregate(per_query: DataFrame, gallery_size: int,
     the result does not depend on how the queries were spread.
     """
     at = F.array(*[F.col("pAt")[str(k)] for k in ks])
-    rows = (per_query.select("qid", "query", "ap", "rr", "ap_exact", "rr_exact", at.alias("at"))
-            .repartition(1).sortWithinPartitions("qid", "query", "ap_exact", "rr_exact")
+    rows = (per_query.select("qid", "ap", "rr", "ap_exact", "rr_exact", at.alias("at"))
+            .repartition(1).sortWithinPartitions("qid", "ap_exact", "rr_exact")
             .select("ap", "rr", "ap_exact", "rr_exact", "at"))
     # no query at all leaves one row of NULL means
     total = rows.mapInArrow(_fold, _FOLD).agg(*[F.first(c).alias(c) for c in

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lumora.llm import bpe, decontaminate, exact_dedup, lm_score, minhash, pii, quality, secret_scan, sharding, token_counts
+from lumora.llm import bpe, decontaminate, exact_dedup, language, lm_score, minhash, pii, quality, secret_scan, sharding, token_counts
 from lumora.llm.common import table
 
 
@@ -55,8 +55,14 @@ def op10_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_language_id(spark, sf_dir):
+    found = language.identify(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", F.coalesce("nearest", F.lit(language.UNKNOWN)).alias("lang_pred"), "score",
+                        "rejected", "centroid")
+
+
 QUERIES = {f.__name__: f for f in (op1_lm_score, op2_minhash, op3_bpe, op4_secret_scan, op5_quality, op6_pii, op7_exact_dedup, op8_token_counts, op9_decontamination,
-                                    op10_sharding)}
+                                    op10_sharding, op11_language_id)}
 
 def _best(names: str, weights: list[float], of: str) -> str:
     """The place of the child with the largest draw, as in sharding.draw."""

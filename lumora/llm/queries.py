@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lumora.llm import bpe, decontaminate, exact_dedup, language, lm_score, minhash, pii, quality, secret_scan, sharding, token_counts
+from lumora.llm import bpe, decontaminate, exact_dedup, hard_negatives, language, lm_score, minhash, pii, quality, secret_scan, sharding, token_counts
 from lumora.llm.common import table
 
 
@@ -61,8 +61,13 @@ def op11_language_id(spark, sf_dir):
                         "rejected", "centroid")
 
 
+def op12_hard_negatives(spark, sf_dir):
+    found = hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
 QUERIES = {f.__name__: f for f in (op1_lm_score, op2_minhash, op3_bpe, op4_secret_scan, op5_quality, op6_pii, op7_exact_dedup, op8_token_counts, op9_decontamination,
-                                    op10_sharding, op11_language_id)}
+                                    op10_sharding, op11_language_id, op12_hard_negatives)}
 
 def _best(names: str, weights: list[float], of: str) -> str:
     """The place of the child with the largest draw, as in sharding.draw."""
@@ -101,6 +106,19 @@ ORACLE = {
         SELECT doc_id, size, text_crc32::BIGINT AS text_crc32, 'key' AS law, shard,
                row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS slot,
                CASE WHEN grown = 3 THEN 24 ELSE shard END AS grown_shard FROM p""",
+    "op12_hard_negatives": """
+        WITH r AS (SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                     list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+                   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.rid, a.vec_id AS anchor_id, a.label = b.label AS same, b.rid AS other, b.vec_id,
+                     list_dot_product(a.v, b.v)::BIGINT AS score FROM r a JOIN r b ON a.rid <> b.rid WHERE a.vec_id % 50 = 0),
+        p AS (SELECT rid, anchor_id, vec_id AS positive_id, score AS positive_score, other AS positive FROM s WHERE same
+              QUALIFY row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id, other) <= 5),
+        n AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+                     row_number() OVER (PARTITION BY p.rid, p.positive ORDER BY s.score DESC, s.vec_id, s.other)::INT AS rank
+              FROM p JOIN s ON p.rid = s.rid AND NOT s.same
+               AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3""",
     "op7_exact_dedup": """
         WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS h
                    FROM documents)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lumora.llm import bpe, decontaminate, exact_dedup, hard_negatives, language, lm_score, minhash, pii, quality, secret_scan, sharding, token_counts
+from lumora.llm import bpe, decontaminate, exact_dedup, hard_negatives, language, lm_score, minhash, pii, prefix_trie, quality, secret_scan, sharding, token_counts
 from lumora.llm.common import table
 
 
@@ -66,8 +66,12 @@ def op12_hard_negatives(spark, sf_dir):
     return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
 
 
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (op1_lm_score, op2_minhash, op3_bpe, op4_secret_scan, op5_quality, op6_pii, op7_exact_dedup, op8_token_counts, op9_decontamination,
-                                    op10_sharding, op11_language_id, op12_hard_negatives)}
+                                    op10_sharding, op11_language_id, op12_hard_negatives, op13_prefix_trie)}
 
 def _best(names: str, weights: list[float], of: str) -> str:
     """The place of the child with the largest draw, as in sharding.draw."""
@@ -119,6 +123,30 @@ ORACLE = {
               FROM p JOIN s ON p.rid = s.rid AND NOT s.same
                AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
         SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3""",
+    "op13_prefix_trie": """
+        WITH crc AS (SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8), lambda c, k:
+                       CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+        d AS (SELECT conv_id, turn, substr(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32) AS digest,
+                     strlen(coalesce(text, '')) AS bytes FROM conversations WHERE conv_id IS NOT NULL),
+        k AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS k FROM d),
+        c AS (SELECT conv_id, xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+                     lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 9 AS h FROM (SELECT DISTINCT conv_id FROM d), crc),
+        u AS (SELECT c.conv_id, 0 AS part, k.k, digest, bytes FROM c JOIN k ON k.conv_id = c.conv_id - c.conv_id % 5 AND k.k <= h
+              UNION ALL SELECT c.conv_id, 1, k.k, digest, bytes FROM c JOIN k ON k.conv_id = c.conv_id AND k.k > h),
+        p AS (SELECT conv_id, row_number() OVER w AS depth, string_agg(digest, '') OVER w AS prefix, bytes FROM u
+              WINDOW w AS (PARTITION BY conv_id ORDER BY part, k ROWS UNBOUNDED PRECEDING)
+              UNION ALL SELECT conv_id, 0, '', 0 FROM c),
+        n AS (SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes FROM p GROUP BY depth, prefix),
+        kids AS (SELECT substr(prefix, 1, 32 * (depth - 1)) AS prefix, count(*) AS n FROM n WHERE depth > 0 GROUP BY 1),
+        m AS (SELECT n.*, coalesce(kids.n, 0) AS n_children FROM n LEFT JOIN kids ON kids.prefix = n.prefix),
+        below AS (SELECT substr(prefix, 1, 32 * a) AS prefix, sum((n_children = 0)::INT)::BIGINT AS n_leaves, sum((n_convs - 1) * bytes)::BIGINT AS saved
+                  FROM (SELECT *, unnest(range(depth + 1)) AS a FROM m) GROUP BY 1),
+        last AS (SELECT conv_id, max(depth) AS depth FROM p GROUP BY conv_id),
+        ends AS (SELECT p.prefix, string_agg(p.conv_id::VARCHAR, ',' ORDER BY p.conv_id) AS ids FROM p JOIN last USING (conv_id, depth) GROUP BY p.prefix)
+        SELECT m.conv_id, m.depth, up.conv_id AS parent_conv_id, m.n_convs, m.n_children, n_leaves, saved AS saved_tokens,
+               sha256(coalesce(ids, '')) AS ends_sha256
+        FROM m JOIN below USING (prefix) LEFT JOIN ends USING (prefix)
+        LEFT JOIN n up ON up.depth = m.depth - 1 AND up.prefix = substr(m.prefix, 1, 32 * (m.depth - 1))""",
     "op7_exact_dedup": """
         WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS h
                    FROM documents)

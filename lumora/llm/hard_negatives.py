@@ -41,6 +41,7 @@ SAMPLE = 16_384
 ROWS_PER_CELL = 256
 MAX_CODEWORDS = 4096
 POSITIVES, NEGATIVES = 5, 3
+LEAST = -(1 << 63)
 #: Negatives score between these hundredths of the positive's score.
 LOW, HIGH = 50, 95
 
@@ -104,9 +105,9 @@ class Codebooks:
 
 def _words(x: np.ndarray, k: int, steps: int = 6) -> np.ndarray:
     """k-means codewords of the rows of x, at most k."""
-    x = np.unique(x, axis=0)
-    if not len(x):
+    if not x.size:
         return np.zeros((1, x.shape[1]))
+    x = np.unique(x, axis=0)
     words = x[np.random.default_rng(0).permutation(len(x))[:k]].astype(np.float64)
     for _ in range(steps):
         at = (x @ words.T - 0.5 * (words * words).sum(1)).argmax(1)
@@ -187,14 +188,16 @@ class Query:
     with a score from ``low`` to ``high``.  ``floor``: what is known already to be too little."""
 
     def __init__(self, rid: int, label: int, v: np.ndarray, same: bool, want: int,
-                 windows: list[tuple[float, float, float]]) -> None:
+                 windows: list[tuple[int, int, int]]) -> None:
         self.rid, self.label, self.v, self.same, self.want = rid, label, v, same, want
         self.windows = windows
         self.best: list[list[tuple]] = [[] for _ in windows]             # sorted (-score, missing, id, rid)
 
     def wants(self, bound: float) -> bool:
         """Whether a row that scores at most ``bound`` may still enter a window."""
-        for (low, _, floor), best in zip(self.windows, self.best):
+        for (low, high, floor), best in zip(self.windows, self.best):
+            if low > high:
+                continue
             least = max(low, floor)
             if len(best) >= self.want:
                 least = max(least, -best[-1][0])
@@ -249,7 +252,7 @@ class Index:
     def search(self, anchors: DataFrame, same: bool, want: int) -> DataFrame:
         """(anchor, place, score, vec_id, rid, rank): the answers to all windows of ``anchors`` (rid, label, v, home,
         windows: arrays of low and high)."""
-        anchors = anchors.withColumn("windows", F.transform("windows", lambda w: F.array(w[0], w[1], F.lit(float("-inf")))))
+        anchors = anchors.withColumn("windows", F.transform("windows", lambda w: F.array(w[0], w[1], F.lit(LEAST))))
         home = _best(self._visit(anchors.withColumn("shards", F.array(F.col("home").cast("int"))), same, want), want)
         home = freeze(home)
         # the worst row of a window that is full at home is a floor for all others
@@ -257,7 +260,7 @@ class Index:
                   .filter(F.col("n") >= want).groupBy("anchor").agg(F.map_from_entries(F.collect_list(F.struct("place", "least"))).alias("least")))
         known = anchors.join(floors, anchors["rid"] == floors["anchor"], "left").drop("anchor")
         known = known.withColumn("windows", F.transform("windows", lambda w, k: F.array(
-            w[0], w[1], F.coalesce(F.try_element_at(F.col("least"), k.cast("int")).cast("double"), w[2])))).drop("least")
+            w[0], w[1], F.coalesce(F.try_element_at(F.col("least"), k.cast("int")), w[2])))).drop("least")
         rest = self._visit(self._routed(known), same, want)
         return _best(home.drop("rank").unionByName(rest), want)
 
@@ -270,7 +273,7 @@ class Index:
                 if not batch.num_rows:
                     continue
                 first, second = books.bounds(matrix(batch.column("v"), books.dim))
-                least = np.array([min((max(low, floor) for low, _, floor in w), default=np.inf) for w in batch.column("windows").to_pylist()])
+                least = [min((max(low, floor) for low, high, floor in w if low <= high), default=np.inf) for w in batch.column("windows").to_pylist()]
                 home = batch.column("home").to_numpy()
                 out = []
                 for k in range(batch.num_rows):
@@ -291,7 +294,7 @@ class Index:
         the shard and streams the anchors."""
         books = self.books
         left = self.rows.select("shard", F.lit(0).alias("kind"), "rid", "vec_id", "label", "first", "second", "v",
-                                F.lit(None).cast("array<array<double>>").alias("windows"))
+                                F.lit(None).cast("array<array<long>>").alias("windows"))
         right = anchors.select(F.explode("shards").alias("shard"), F.lit(1).alias("kind"), "rid", F.lit(None).cast("long").alias("vec_id"),
                                "label", F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("second"), "v", "windows")
 
@@ -404,12 +407,12 @@ def mine(table: DataFrame, is_anchor: Column | None = None, positives: int = POS
         return nothing
     is_anchor = F.col("vec_id") % 50 == 0 if is_anchor is None else is_anchor
     chosen = freeze(index.rows.filter(is_anchor).select("rid", "vec_id", "label", "v", F.col("shard").alias("home")))
-    everything = F.array(F.array(F.lit(float("-inf")), F.lit(float("inf"))))
+    everything = F.array(F.array(F.lit(LEAST), F.lit(-LEAST - 1)))
     near = freeze(index.search(chosen.withColumn("windows", everything), True, positives))
     windows = near.groupBy("anchor").agg(F.sort_array(F.collect_list(F.struct("rank", "score", "vec_id", "rid"))).alias("near"))
     asked = freeze(chosen.join(windows, chosen["rid"] == windows["anchor"]).drop("anchor").withColumn(
-        "windows", F.transform("near", lambda p: F.array(F.ceil(p["score"] * low / 100).cast("double"),
-                                                         F.floor(p["score"] * high / 100).cast("double")))))
+        "windows", F.transform("near", lambda p: F.array(F.ceil(p["score"].cast("decimal(19,0)") * low / 100).cast("long"),
+                                                         F.floor(p["score"].cast("decimal(19,0)") * high / 100).cast("long")))))
     found = index.search(asked.drop("near", "vec_id"), False, negatives)
     positive = F.get("near", F.col("place"))
     return found.join(asked.select(F.col("rid").alias("anchor"), F.col("vec_id").alias("anchor_id"), "near"), "anchor").select(

@@ -176,8 +176,12 @@ def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
     return _added_up(docs.select("text").mapInArrow(run, _PARTS)).get(0, (0, np.zeros(BUCKETS)))
 
 
-def _sample(docs: DataFrame, idf: np.ndarray, langs: list[str], clusters: int) -> list[np.ndarray]:
-    """For each language centroids of a bounded sample of its texts."""
+def _sample(docs: DataFrame, idf: np.ndarray, sizes: dict[str, int], clusters: int) -> list[np.ndarray]:
+    """For each language centroids of a bounded sample of its texts.
+
+    Hashes below a bound that some 8 times as many texts pass are looked at only, and copies of a text once, so the
+    window by language stays small at any number of rows."""
+    langs = list(sizes)
     each = max(16, min(SAMPLE_EACH, SAMPLE // max(1, len(langs))))
 
     def run(batches):
@@ -190,8 +194,11 @@ def _sample(docs: DataFrame, idf: np.ndarray, langs: list[str], clusters: int) -
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(counts[row, bucket]))], ["lang", "bucket", "count"])
 
     first = Window.partitionBy("lang").orderBy("h", "text")
-    few = (docs.withColumn("h", F.xxhash64("text")).withColumn("place", F.row_number().over(first))
-           .filter(F.col("place") <= each).select("lang", "text"))
+    space = 1 << 40
+    bound = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(space, space * 8 * each // n))])
+    few = (docs.withColumn("h", F.xxhash64("text")).filter(F.pmod("h", F.lit(space)) < F.element_at(bound, F.col("lang")))
+           .withColumn("h", F.pmod("h", F.lit(space))).dropDuplicates(["lang", "h"])
+           .withColumn("place", F.row_number().over(first)).filter(F.col("place") <= each).select("lang", "text"))
     rows = few.mapInArrow(run, "lang string, bucket array<int>, count array<long>").toArrow()
     mine: dict[str, list[np.ndarray]] = {x: [] for x in langs}
     for lang, bucket, count in zip(rows["lang"].to_pylist(), rows["bucket"], rows["count"]):
@@ -229,7 +236,7 @@ def fit(docs: DataFrame, clusters: int = CLUSTERS, rounds: int = ROUNDS) -> Cent
     langs = [r["lang"] for r in sizes]
     n, seen = document_frequencies(docs)
     idf = (np.log((n + 1) / (seen + 1)) + 1).astype(np.float32)
-    starts = _sample(docs, idf, langs, clusters)
+    starts = _sample(docs, idf, {r["lang"]: r["count"] for r in sizes}, clusters)
     model = Centroids(langs, np.repeat(np.arange(len(langs)), [len(s) for s in starts]), idf, np.vstack(starts))
     for _ in range(rounds):
         def run(batches, model=model):

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lumora.functions.bulk import unit_rows
+from lumora.functions.spaces import Space, marked
 from lumora.functions.text import trim_blank
 from lumora.functions.vectors import l2_norm
 from lumora.plans.spread import spread
@@ -31,6 +32,10 @@ class Encoder:
     dim: int
     load: Callable[[], Callable[[np.ndarray], np.ndarray]]
 
+    @property
+    def space(self) -> Space:
+        return Space(self.model, self.dtype, self.dim)
+
 
 class UndecodableInput(ValueError):
     """Some inputs could not be embedded and the caller asked for all or nothing."""
@@ -50,7 +55,7 @@ def encode(column: Column | str, encoder: Encoder, batch_size: int = 64) -> Colu
 
 def embed(df: DataFrame, column: str, encoder: Encoder, *, batch_size: int = 64,
           on_bad: str = "fail", partitions: int | None = None) -> DataFrame:
-    """Add ``v``, the unit vector of ``column``.
+    """Add ``v``, the unit vector of ``column``, marked with the encoder's space.
 
     ``partitions``: deal the rows over so many tasks first, for a table that would be read
     in fewer tasks than the cluster has cores.
@@ -67,7 +72,8 @@ def embed(df: DataFrame, column: str, encoder: Encoder, *, batch_size: int = 64,
         value = F.when(~bad, unit)
     else:
         raise ValueError(f"unknown on_bad {on_bad!r}")
-    return raw.withColumn("v", value).drop("__raw")
+    carried = [c for c in raw.columns if c not in ("__raw", "v")]
+    return raw.select(*carried, marked(value, encoder.space))
 
 
 def split_bad(embedded: DataFrame) -> tuple[DataFrame, DataFrame]:

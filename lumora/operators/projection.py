@@ -190,7 +190,11 @@ def galaxy(gallery: DataFrame, dim: int, queries: DataFrame | None = None,
 
     Query points are projected and count for the extents, but not for the fit.
     """
-    p = fit(moments(gallery, dim), dim, mode)
+    return canvas(gallery, fit(moments(gallery, dim), dim, mode), queries)
+
+
+def canvas(gallery: DataFrame, p: Projection, queries: DataFrame | None = None) -> DataFrame:
+    """The scaled map of a gallery on axes that are fitted already (id, pos, category, x, y, isQuery)."""
     points = gallery.select("id", "pos", "category", "v", F.lit(False).alias("isQuery"))
     if queries is not None:
         points = points.unionByName(queries.select(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumora.functions.kernels import QueryVectors, TopK
+from lumora.functions.spaces import require_same_space
 from lumora.functions.vectors import orderable
 from lumora.plans.freeze import freeze
 from lumora.plans.numbering import number_rows
@@ -86,6 +87,7 @@ def score_table(gallery: DataFrame, queries: DataFrame, carry: tuple[str, ...] =
     more than once.  Up to ``max_packed`` queries travel to the data; more are met in
     tiles.
     """
+    require_same_space(gallery, queries)
     columns = ["id", "pos", *carry]
     packed = pack(queries, max_rows=max_packed)
     if packed is not None:
@@ -139,8 +141,10 @@ def top_k(gallery: DataFrame, queries: DataFrame, k: int, *, exclude: str | None
 
     ``gallery`` has ``id, pos, v``; ``queries`` has ``qid, v`` and, if ``exclude``
     names a column, the item id each query must not return.  Every task keeps ``k``
-    hits per query, so the shuffle carries ids and scores only, never vectors.
+    hits per query, so the shuffle carries ids and scores only, never vectors.  Vectors marked
+    with different models are refused (:mod:`lumora.functions.spaces`).
     """
+    require_same_space(gallery, queries)
     columns = ["id", "pos", "v"]
     items = gallery.select(F.col("id").cast("long"), F.col("pos").cast("long"), "v")
     packed = pack(queries, exclude=exclude, max_rows=max_packed)

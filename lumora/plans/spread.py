@@ -12,4 +12,4 @@ def spread(df: DataFrame, partitions: int | None) -> DataFrame:
     it costs little beside encoding it.  Larger tables come in splits enough.  Only the
     caller knows which it is.
     """
-    return df if partitions is None or df.isStreaming else df.repartition(partitions)
+    return df if partitions is None else df.repartition(partitions)

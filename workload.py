@@ -403,7 +403,7 @@ def _arrive(spark, sf_dir, files=None, **options):
             "pathGlobFilter", "documents.parquet").parquet(sf_dir)
     run = Arrivals(new_dir(spark, "arrivals"), g.drop("label"), **options)
     run.prepare()
-    query = run.start(_stamp(embed.embed(stream, "text", word_hash(DIM))))
+    query = run.start(_stamp(embed.embed(stream, "text", word_hash(DIM), partitions=spark.sparkContext.defaultParallelism)))
     query.awaitTermination()
     return run
 
@@ -450,8 +450,7 @@ def arrivals_images(spark, sf_dir):
 
 
 def arrivals_quarantine(spark, sf_dir):
-    run = _arrive_images(spark, sf_dir)
-    return spark.read.parquet(f"{run.state}/quarantine").select("path")
+    return _arrive_images(spark, sf_dir).quarantine().select("path")
 
 
 def arrivals_gallery(spark, sf_dir):

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from lumora import schemas
 from lumora.fixed_values import UPLOAD_CATEGORY
-from lumora.functions.spaces import require_same_space
+from lumora.functions.spaces import DifferentSpaces, require_same_space, space_of
 from lumora.operators import embed as emb
 from lumora.operators import projection
 from lumora.operators.search import merge_top_k, top_k
@@ -92,6 +92,9 @@ class Arrivals:
     def prepare(self) -> None:
         """Version 0: the base gallery's own top-k, moments and axes.  Where the state exists already it is taken up:
         ``queries`` are then those that it holds, and what a crashed attempt left is removed."""
+        known = space_of(self.base)
+        if self.encoder is not None and known and known != self.encoder.space:
+            raise DifferentSpaces(f"the gallery is of {known}, arrivals would be of {self.encoder.space}")
         if self.labels is not None:
             self.labels = freeze(self.labels)
         if self.log.current() is not None:

@@ -76,6 +76,10 @@ _DOCS32 = _DOCS + """,
 h32 AS (SELECT doc_id, list_transform(v, lambda x: x::FLOAT::DOUBLE) AS v,
                row_number() OVER (ORDER BY doc_id) AS n FROM h)"""
 
+_HALVES = _DOCS32 + """,
+halves AS (SELECT doc_id, v, doc_id % 2 AS half, row_number() OVER (PARTITION BY doc_id % 2 ORDER BY doc_id) AS k,
+                  row_number() OVER (ORDER BY doc_id % 2, doc_id) AS m FROM h32)"""
+
 _EXACT_STEPS = 3000      # enough for the power iteration to converge
 
 
@@ -378,6 +382,28 @@ ORACLE = {
     "arrivals_mean": f"""WITH {_GALLERY}, {_DOCS32},
         pool AS (SELECT v FROM g UNION ALL SELECT v FROM h32)
         SELECT i - 1 AS dim, round(avg(v[i]), 6) AS mean FROM pool, range(1, {DIM + 1}) r(i) GROUP BY i""",
+    "arrivals_query_change": f"""WITH {_GALLERY}, {_PROTOTYPES}, {_HALVES},
+        pool AS (SELECT id, pos, id::VARCHAR AS item, v FROM g
+                 UNION ALL SELECT -m, -(half + 1) * 4294967296 + k - 1, printf('%012d', doc_id), v FROM halves),
+        asked AS (SELECT qid, v, qid >= 5 AS late FROM q WHERE qid IN (2, 4) OR qid >= 5
+                  UNION ALL SELECT 3, v, true FROM g WHERE id = (SELECT min(id) FROM g WHERE label = 3)),
+        s AS (SELECT qid, late, id, pos, item, list_dot_product(pool.v, asked.v) AS score FROM pool, asked)
+        SELECT qid, rank, round(score, 6) AS score, item, late FROM (
+          SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, pos, id) AS rank FROM s) WHERE rank <= 10""",
+    "arrivals_galaxy": f"""WITH RECURSIVE {_GALLERY.replace('g AS (', 'g0 AS (')}, {_PROTOTYPES.replace('FROM g,', 'FROM g0,')}, {_HALVES},
+        g AS (SELECT id, v FROM g0 UNION ALL SELECT -m, v FROM halves), {_PCA},
+        pts AS (SELECT id, false AS isq, x AS v FROM centred UNION ALL
+                SELECT qid, true, list_transform(v, lambda x, i: x - mu[i]) FROM q, mean),
+        xy AS (SELECT id, isq, list_dot_product(v, pc1.p) AS x, list_dot_product(v, pc2.p) AS y FROM pts, pc1, pc2),
+        e AS (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM xy)
+        SELECT id, isq AS "isQuery",
+               round({fv.CANVAS_PADDING} + (x - x0) / (x1 - x0) * {fv.CANVAS_WIDTH - 2 * fv.CANVAS_PADDING}, 4) AS x,
+               round({fv.CANVAS_PADDING} + (y - y0) / (y1 - y0) * {fv.CANVAS_HEIGHT - 2 * fv.CANVAS_PADDING}, 4) AS y
+        FROM xy, e""",
+    "arrivals_failing": f"""WITH arrived AS (SELECT * FROM pages WHERE page_id % 2 = 0), {_byte_vectors('arrived', 'html')},
+        numbered AS (SELECT printf('%012d.png', page_id) AS title, list_transform(v, lambda x: x::FLOAT::DOUBLE) AS v,
+                            row_number() OVER (ORDER BY page_id) AS n FROM h)
+        SELECT -n AS id, title, {_digest('v')} AS digest, true AS failed FROM numbered""",
     "originals_count": "SELECT count(*)::BIGINT AS originals FROM embeddings",
     "manifest_roundtrip": f"""WITH {_HITS}
         SELECT doc_id AS pos, doc_id AS id, printf('{fv.FILE_NAME_FORMAT}', doc_id) AS file, category, title, creator,

@@ -8,6 +8,7 @@ category prototypes: the unit sum of a category's vectors.
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -472,6 +473,65 @@ def arrivals_mean(spark, sf_dir):
         F.col("dim").cast("long").alias("dim"), F.round(F.col("t") / F.col("n"), 6).alias("mean"))
 
 
+def _arrive_twice(spark, sf_dir, between=None, **options):
+    """Documents with even ids arrive in one batch and odd ones in the next; ``between`` is done between the two."""
+    docs, folder = table(spark, sf_dir, "documents"), new_dir(spark, "landing")
+    run = Arrivals(new_dir(spark, "arrivals"), gallery(spark, sf_dir).drop("label"), **options)
+    run.prepare()
+    for half in (0, 1):
+        docs.filter(F.col("doc_id") % 2 == half).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(docs.schema).parquet(folder)
+        embedded = embed.embed(stream, "text", word_hash(DIM), partitions=spark.sparkContext.defaultParallelism)
+        run.start(_stamp(embedded)).awaitTermination()
+        if half == 0 and between:
+            between(run)
+    return run
+
+
+def arrivals_query_change(spark, sf_dir, k=10):
+    """Between two batches, searches 0 and 1 end, 5 and up begin, and 3 becomes a search for the first item of category 3."""
+    g = gallery(spark, sf_dir)
+    p = prototypes(g).select("qid", "v")
+    first = search.lookup_many(g.withColumn("id", F.col("label").cast("long")), spark.createDataFrame([(3,)], "id long"))
+
+    def change(run):
+        run.change_queries(add=p.filter("qid >= 5").unionByName(
+            first.select(F.lit(3).cast("long").alias("qid"), F.col("v").cast("array<double>").alias("v"))), drop=p.filter("qid < 2"))
+
+    run = _arrive_twice(spark, sf_dir, change, queries=p.filter("qid < 5"), k=k)
+    hits = run.top().select("qid", "id", "pos", "rank", "score")
+    return search.with_items(hits, run.gallery()).join(run.active_queries().select("qid", "since"), "qid").select(
+        "qid", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"),
+        F.coalesce("title", F.col("id").cast("string")).alias("item"), (F.col("since") > 0).alias("late"))
+
+
+def arrivals_galaxy(spark, sf_dir):
+    """The map of gallery and arrivals on axes refitted from merged moments."""
+    run = _arrive_twice(spark, sf_dir, projection_dim=DIM)
+    return run.galaxy(prototypes(gallery(spark, sf_dir)).select("qid", "v")).select(
+        "id", "isQuery", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
+
+
+def arrivals_failing(spark, sf_dir):
+    """Pages with even ids arrive; the batch of the odd ones holds some that can't be decoded, and fails as a whole."""
+    pages, folder = table(spark, sf_dir, "pages"), new_dir(spark, "landing")
+    page = F.col("page_id")
+    run = Arrivals(new_dir(spark, "arrivals"), gallery(spark, sf_dir).drop("label"), encoder=byte_histogram(DIM))
+    run.prepare()
+    failed = []
+    for half in (0, 1):
+        content = F.when((page % 7 == 0) & (page % 2 == 1), F.lit("")).otherwise(F.col("html"))
+        pages.filter(page % 2 == half).select(
+            F.format_string("in/%012d.png", page).alias("path"), F.timestamp_seconds(F.lit(1_700_000_000) + page).alias("modificationTime"),
+            F.encode(content, "UTF-8").alias("content")).write.mode("append").parquet(folder)
+        query = run.start(spark.readStream.schema("path string, modificationTime timestamp, content binary").parquet(folder))
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as error:
+            failed.append("undecodable input" in str(error))
+    return run.uploads().select("id", "title", digest().alias("digest"), F.lit(failed == [True]).alias("failed"))
+
+
 def originals_count(spark, sf_dir):
     run = _arrive(spark, sf_dir)
     return count_originals(run.gallery())
@@ -618,6 +678,7 @@ QUERIES = {f.__name__: f for f in [
     clean_metadata, eligible_hits, valid_hits, curate_items, curation_fill_report,
     embed_texts, embed_images, embedding_header,
     arrivals_topk, arrivals_batches, arrivals_images, arrivals_quarantine, arrivals_gallery, arrivals_tags, arrivals_mean, originals_count,
+    arrivals_query_change, arrivals_galaxy, arrivals_failing,
     manifest_roundtrip, embeddings_roundtrip, evaluation_roundtrip,
     curation_job, embedding_job, evaluation_job, gallery_load, landed_hits, mean_vector_with_gaps,
 ]}

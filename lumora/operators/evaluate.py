@@ -11,11 +11,11 @@ from lumora.fixed_values import PRECISION_CUTOFFS, TOP_IDS
 from lumora.functions.text import fixed_text, to_fixed
 from lumora.operators.joins import join_vectors_items, last_wins
 from lumora.operators.search import best_first, score_table
+from lumora.plans.blocks import BLOCK_ROWS
 from lumora.plans.freeze import freeze
 from lumora.plans.numbering import range_sorted
 from lumora.plans.packed import MAX_ROWS
 from lumora.plans.skew import skew_left_join
-from lumora.plans.tiles import TILE_BYTES
 
 _RUN = ("is_total boolean, run long, qid long, place long, hits long, rel boolean, id long")
 _SCORE_BITS = 40
@@ -157,7 +157,7 @@ def _latest_scores(scores: DataFrame, gallery: DataFrame) -> DataFrame:
 
 def evaluate(gallery: DataFrame, queries: DataFrame, ks: Sequence[int] = PRECISION_CUTOFFS,
              top: int = TOP_IDS, *, items: DataFrame | None = None, max_packed: int = MAX_ROWS,
-             tile_bytes: int = TILE_BYTES) -> DataFrame:
+             tile_bytes: int | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Metrics of every query against the whole gallery.
 
     ``gallery`` has ``id, pos, v`` and either its own ``category`` or ``items`` (``id,
@@ -167,7 +167,7 @@ def evaluate(gallery: DataFrame, queries: DataFrame, ks: Sequence[int] = PRECISI
     across the cluster.
     """
     scored = score_table(gallery, queries, () if items is not None else ("category",),
-                         max_packed=max_packed, tile_bytes=tile_bytes)
+                         max_packed=max_packed, tile_bytes=tile_bytes, block_rows=block_rows)
     scores = scored.rows(join_vectors_items(scored.table, items, ["category"])
                          if items is not None and scored.wide else None)
     if items is not None and not scored.wide:

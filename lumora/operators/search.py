@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lumora.functions.kernels import QueryVectors, TopK
 from lumora.functions.spaces import require_same_space
 from lumora.functions.vectors import orderable
+from lumora.plans.blocks import BLOCK_ROWS, score_scan, top_k_scan, write_blocks
 from lumora.plans.freeze import freeze
 from lumora.plans.numbering import number_rows
 from lumora.plans.packed import MAX_ROWS, pack, scores_column
@@ -80,12 +81,12 @@ class ScoreTable(NamedTuple):
 
 
 def score_table(gallery: DataFrame, queries: DataFrame, carry: tuple[str, ...] = (),
-                *, max_packed: int = MAX_ROWS, tile_bytes: int = TILE_BYTES) -> ScoreTable:
+                *, max_packed: int = MAX_ROWS, tile_bytes: int | None = None, block_rows: int = BLOCK_ROWS) -> ScoreTable:
     """Scores of every query and item, with ``carry`` columns of the item.
 
     For operators that need the complete ranking of each query, most of which read it
-    more than once.  Up to ``max_packed`` queries travel to the data; more are met in
-    tiles.
+    more than once.  Up to ``max_packed`` queries travel to the data; blocks of more are streamed past
+    it, or, with ``tile_bytes`` or where tasks cannot read the shared folder, met in tiles.
     """
     require_same_space(gallery, queries)
     columns = ["id", "pos", *carry]
@@ -113,8 +114,12 @@ def score_table(gallery: DataFrame, queries: DataFrame, carry: tuple[str, ...] =
 
     types = dict(gallery.dtypes)
     schema = ", ".join(["qid long", *[f"`{c}` {types[c]}" for c in columns], "score double"])
-    pairs = tile_pairs(gallery.select(*columns, "v"), queries.select(F.col("qid").cast("long"), "v"),
-                       kernel, schema, tile_bytes=tile_bytes)
+    blocks = write_blocks(queries, block_rows=block_rows) if tile_bytes is None else None
+    if blocks is not None:
+        pairs = score_scan(gallery, blocks, columns, schema)
+    else:
+        pairs = tile_pairs(gallery.select(*columns, "v"), queries.select(F.col("qid").cast("long"), "v"),
+                           kernel, schema, tile_bytes=tile_bytes or TILE_BYTES)
     return ScoreTable(freeze(pairs.withColumn("score", orderable("score"))), None)
 
 
@@ -136,12 +141,14 @@ def merge_top_k(hits: DataFrame, k: int) -> DataFrame:
 
 
 def top_k(gallery: DataFrame, queries: DataFrame, k: int, *, exclude: str | None = None,
-          max_packed: int = MAX_ROWS, tile_bytes: int = TILE_BYTES) -> DataFrame:
+          max_packed: int = MAX_ROWS, tile_bytes: int | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(qid, id, pos, score, rank): the ``k`` best items of every query, exactly.
 
     ``gallery`` has ``id, pos, v``; ``queries`` has ``qid, v`` and, if ``exclude``
     names a column, the item id each query must not return.  Every task keeps ``k``
-    hits per query, so the shuffle carries ids and scores only, never vectors.  Vectors marked
+    hits per query, so the shuffle carries ids and scores only, never vectors.  More queries than
+    ``max_packed`` are streamed past the gallery in blocks, which is not shuffled either; with
+    ``tile_bytes``, or where tasks cannot read the shared folder, both meet in tiles.  Vectors marked
     with different models are refused (:mod:`lumora.functions.spaces`).
     """
     require_same_space(gallery, queries)
@@ -160,6 +167,10 @@ def top_k(gallery: DataFrame, queries: DataFrame, k: int, *, exclude: str | None
 
         return merge_top_k(items.mapInArrow(scan, HIT), k)
 
+    blocks = write_blocks(queries, exclude, block_rows) if tile_bytes is None else None
+    if blocks is not None:
+        return merge_top_k(top_k_scan(items, blocks, k, HIT), k)
+
     def kernel(tile, targets):
         import pyarrow as pa
 
@@ -172,7 +183,7 @@ def top_k(gallery: DataFrame, queries: DataFrame, k: int, *, exclude: str | None
     if exclude:
         wanted.append(F.col(exclude).cast("long").alias("exclude"))
     return merge_top_k(
-        tile_pairs(items, queries.select(*wanted), kernel, HIT, tile_bytes=tile_bytes), k)
+        tile_pairs(items, queries.select(*wanted), kernel, HIT, tile_bytes=tile_bytes or TILE_BYTES), k)
 
 
 def find_similar(gallery: DataFrame, target_ids: DataFrame, k: int, **options) -> DataFrame:

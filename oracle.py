@@ -273,6 +273,10 @@ ORACLE = {
         ORDER BY s DESC, pos LIMIT 10""",
     "batch_topk": f"""WITH {_GALLERY}, {_PROTOTYPES}, {_SCORED}, {_RANKED}
         SELECT qid, id, round(score, 6) AS score, rnk::INT AS rank FROM ranked WHERE rnk <= 10""",
+    "batch_topk_blocks": f"""WITH {_GALLERY},
+        s AS (SELECT t.id AS qid, g.id, g.pos, list_dot_product(g.v, t.v) AS score FROM g, g t WHERE t.id % 5 = 0 AND g.id <> t.id)
+        SELECT qid, id, round(score, 6) AS score, rnk::INT AS rank FROM (
+          SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, pos) AS rnk FROM s) WHERE rnk <= 10""",
     "find_similar": f"""WITH {_GALLERY},
         covers AS (SELECT min(id) AS id FROM g GROUP BY category),
         s AS (SELECT t.id AS qid, g.id, g.pos, list_dot_product(g.v, t.v) AS score
@@ -441,3 +445,4 @@ ORACLE = {
         SELECT i - 1 AS dim, round(avg(v[i]), 6) AS mean FROM g JOIN documents d ON d.doc_id = g.id, range(1, {DIM + 1}) r(i)
         GROUP BY i""",
 }
+ORACLE["relevance_blocks"] = ORACLE["relative_relevance"]

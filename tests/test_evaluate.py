@@ -65,7 +65,7 @@ def brute(x, cats, q, targets):
 
 
 @pytest.mark.parametrize("n,options", [
-    (900, {}), (900, {"max_packed": 2, "tile_bytes": 2000}), (2, {})])
+    (900, {}), (900, {"max_packed": 2, "tile_bytes": 2000}), (900, {"max_packed": 2, "block_rows": 1}), (2, {})])
 def test_evaluate_equals_brute_force(spark, n, options):
     rng = np.random.default_rng(n)
     x = rng.normal(size=(n, 8)).astype(np.float32)

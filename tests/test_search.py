@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from lumora.functions.kernels import QueryVectors, TopK, sequential_dots
 from lumora.operators import search
+from lumora.plans import blocks
+from lumora.plans.freeze import freeze
 
 DIM = 16
 
@@ -56,13 +58,14 @@ def test_partitioning_does_not_matter(spark, parts):
     assert got(search.top_k(gallery, queries, 7)) == brute(x, q, 7)
 
 
-def test_tiles_equal_packed(spark):
+@pytest.mark.parametrize("options", [{"tile_bytes": 700}, {"block_rows": 5}, {"block_rows": 1}])
+def test_tiles_and_blocks_equal_packed(spark, options):
     x, q = make(seed=1)
     gallery, queries = frames(spark, x, q)
-    tiled = search.top_k(gallery, queries, 5, max_packed=3, tile_bytes=700)
+    tiled = search.top_k(gallery, queries, 5, max_packed=3, **options)
     assert got(tiled) == brute(x, q, 5)
     a = search.score_pairs(gallery, queries, ("category",))
-    b = search.score_pairs(gallery, queries, ("category",), max_packed=3, tile_bytes=700)
+    b = search.score_pairs(gallery, queries, ("category",), max_packed=3, **options)
     assert a.count() == len(x) * len(q)
     assert sorted(a.collect()) == sorted(b.select(a.columns).collect())
 
@@ -76,8 +79,25 @@ def test_find_similar_leaves_out_the_target(spark):
     expected = sorted((targets[j], i, r) for j, i, r in expected)
     assert got(search.find_similar(gallery, ids, 6)) == expected
     assert got(search.find_similar(gallery, ids, 6, max_packed=1, tile_bytes=4000)) == expected
+    assert got(search.find_similar(gallery, ids, 6, max_packed=1, block_rows=2)) == expected
 
 
+def test_blocks_leave_the_gallery_where_it_is(spark, monkeypatch):
+    """No exchange below the scan of the gallery, several stretches a task, several passes, and still the same rows."""
+    x, q = make(seed=6, m=40)
+    gallery, queries = frames(spark, x, q)
+    gallery = freeze(gallery)
+    monkeypatch.setattr(blocks, "STRETCH_BYTES", 8 * DIM * 50)
+    written = blocks.write_blocks(queries, block_rows=8)
+    assert written.count == 5 and sorted(i for b in range(5) for i in written.load(b).qids) == list(range(40))
+    items = gallery.select("id", "pos", "v")
+    plan = blocks.top_k_scan(items, written, 7, search.HIT)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Exchange" not in plan
+    monkeypatch.setattr(blocks, "KEPT_ROWS", 7 * 8 * 2)
+    assert [list(p) for p in written.passes(7)] == [[0, 1], [2, 3], [4]]
+    assert got(search.top_k(gallery, queries, 7, max_packed=0, block_rows=8)) == brute(x, q, 7)
+    assert search.top_k(gallery, queries.limit(0), 7, max_packed=-1).count() == 0
+
 def test_ranking_order_and_numbers(spark):
     x, q = make(seed=4, m=1)
     gallery, _ = frames(spark, x, q)
@@ -96,7 +116,7 @@ def test_missing_short_and_nan_vectors(spark):
     assert [(r.id, r.score) for r in ranked] == [
         (6, 3.0), (2, 2.0), (3, 1.5), (0, 0.0), (1, 0.0), (5, -1.0), (4, None)]
     q = spark.createDataFrame([(0, [1.0, 0.5])], "qid long, v array<double>")
-    for options in ({}, {"max_packed": 0, "tile_bytes": 40}):
+    for options in ({}, {"max_packed": 0, "tile_bytes": 40}, {"max_packed": 0, "block_rows": 1}):
         top = search.top_k(gallery, q, 7, **options).orderBy("rank").collect()
         assert [(r.id, r.score) for r in top] == [(r.id, r.score) for r in ranked]
 

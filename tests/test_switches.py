@@ -27,6 +27,7 @@ def test_evaluate_packed_and_tiled_agree_on_repeated_ids(spark):
     packed = sorted(map(str, evaluate.evaluate(g, q, items=items).collect()))
     tiled = sorted(map(str, evaluate.evaluate(g, q, items=items, max_packed=1, tile_bytes=64).collect()))
     assert packed == tiled
+    assert packed == sorted(map(str, evaluate.evaluate(g, q, items=items, max_packed=1, block_rows=1).collect()))
 
 
 def test_evaluate_without_gallery(spark):
@@ -56,7 +57,7 @@ def test_top_k_packed_and_tiled_agree(spark):
     def rows(**options):
         return sorted(repr((r.qid, r["rank"], r.pos, r.id, r.score)) for r in search.top_k(g, q, 4, **options).collect())
 
-    assert rows() == rows(max_packed=1, tile_bytes=64)
+    assert rows() == rows(max_packed=1, tile_bytes=64) == rows(max_packed=1, block_rows=1)
 
 
 def test_similar_to_a_repeated_id_is_one_list(spark):

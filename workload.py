@@ -190,6 +190,21 @@ def batch_topk(spark, sf_dir, k=10):
         "qid", "id", F.round("score", 6).alias("score"), "rank")
 
 
+def batch_topk_blocks(spark, sf_dir, k=10):
+    """Every fifth item as a query, in blocks streamed past the gallery."""
+    g = gallery(spark, sf_dir)
+    asked = g.filter(F.col("id") % 5 == 0).select(F.col("id").alias("qid"), "v", F.col("id").alias("self"))
+    return search.top_k(g, asked, k, exclude="self", max_packed=2, block_rows=64).select(
+        "qid", "id", F.round("score", 6).alias("score"), "rank")
+
+
+def relevance_blocks(spark, sf_dir):
+    """Complete shaded result sets where no more than two queries may be packed."""
+    g = gallery(spark, sf_dir)
+    return relevance.relative_relevance(search.score_pairs(g, prototypes(g), max_packed=2, block_rows=2)).select(
+        "qid", "id", F.round("score", 6).alias("score"), F.round("rel", 6).alias("rel"), "dim")
+
+
 def find_similar(spark, sf_dir, k=5):
     """Neighbours of the first item of every category."""
     g = gallery(spark, sf_dir)
@@ -670,7 +685,7 @@ QUERIES = {f.__name__: f for f in [
     vector_profile, l2_normalize, quantize_5dp, narrow_float32, pair_cosine,
     clean_query_text, label_prompts,
     join_items_vectors, relevance_join, last_wins, item_lookup, category_colours, dimension_lookup,
-    score_gallery, search_ranked, search_topk, batch_topk, find_similar, search_text, browse,
+    score_gallery, search_ranked, search_topk, batch_topk, batch_topk_blocks, relevance_blocks, find_similar, search_text, browse,
     relative_relevance, attribution_lines,
     zero_shot_tags, mean_vector, covariance_matrix, pca_axes, pca_axes_exact, project_axes,
     galaxy_map, category_legend,

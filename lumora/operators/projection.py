@@ -29,7 +29,7 @@ def moments(gallery: DataFrame, dim: int) -> DataFrame:
     number is the item count minus ``n``.
     """
     if dim > MAX_DIM:
-        raise ValueError(f"{dim} dimensions: the matrix is built for at most {MAX_DIM}")
+        raise ValueError(f"{dim} dimensions: the matrix is built for at most {MAX_DIM}; see fit_matrix_free")
 
     def partial(batches):
         import pyarrow as pa
@@ -147,6 +147,106 @@ def fit(gram: DataFrame, dim: int, mode: str = "seeded",
     return Projection(tuple((s / n).tolist()), tuple(pc1.tolist()), tuple(pc2.tolist()), int(n))
 
 
+def covariance_products(vectors: DataFrame, mean: np.ndarray, block: np.ndarray) -> tuple[int, np.ndarray]:
+    """(n, XcᵀXc·block) without the matrix: one pass over ``vectors`` (v, all of one dimension).
+
+    ``block`` has a column per product.  A task adds up its own rows and sends one sum per
+    ``_PART`` components and column, which are added up again before one copy of the product reaches the driver.
+    """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    dim, width = block.shape
+    shipped = vectors.sparkSession.sparkContext.broadcast((mean, block, mean @ block))
+
+    def partial(batches):
+        import pyarrow as pa
+
+        from lumora.functions.kernels import equal_length_blocks, list_array
+
+        mu, b, offset = shipped.value
+        n, product, sums = 0, np.zeros((dim, width)), np.zeros(width)
+        for batch in batches:
+            for _, x in equal_length_blocks(batch.column(0), max(1, 16_777_216 // (8 * max(1, dim)))):
+                if x.shape[1] == dim:
+                    s = x @ b - offset
+                    product += x.T @ s
+                    sums += s.sum(0)
+                    n += len(x)
+        if n:
+            flat = (product - np.outer(mu, sums)).T.ravel()
+            parts = -(-len(flat) // _PART)
+            rows = np.zeros(parts * _PART)
+            rows[:len(flat)] = flat
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(parts)), pa.array(np.full(parts, n)), list_array(rows.reshape(parts, _PART))],
+                names=["part", "n", "total"])
+
+    total = vector_to_array(Summarizer.sum(array_to_vector(F.col("total"))))
+    rows = (vectors.select("v").mapInArrow(partial, "part long, n long, total array<double>")
+            .groupBy("part").agg(F.sum("n").alias("n"), total.alias("total")).collect())
+    shipped.unpersist()
+    if not rows:
+        return 0, np.zeros((dim, width))
+    flat = np.concatenate([r["total"] for r in sorted(rows, key=lambda r: r["part"])])
+    return rows[0]["n"], flat[:dim * width].reshape(width, dim).T
+
+
+_PART = 4096
+
+
+def fit_matrix_free(gallery: DataFrame, dim: int, mode: str = "seeded", iterations: int = POWER_ITERATIONS,
+                    tolerance: float = 1e-12) -> Projection:
+    """Fit without forming the dim x dim matrix, for any dimension.
+
+    Vectors are written once and read once per step.  ``seeded``: the same power steps as
+    :func:`fit`, first for one axis, then for the other against it.  ``exact``: orthogonal
+    iteration on a block of ten vectors, one pass a step, until the two leading
+    directions stand still (their change is below ``tolerance``) or after 1000 steps.
+    """
+    vectors = freeze(gallery.filter(F.col("v").isNotNull() & (F.size("v") == dim)).select("v"))
+    sums = vector_sums(vectors.select(F.lit(0).alias("k"), "v"), "k", "v", "int", dim).first()
+    if sums is None:
+        raise ValueError(f"no vector of dimension {dim} to fit on")
+    mean = np.array(sums["total"]) / sums["n"]
+    seed = seed_vector(dim)
+    if mode == "seeded":
+        axes: list[np.ndarray] = []
+        for _ in range(2):
+            v = _unit(seed)
+            for _ in range(iterations):
+                w = covariance_products(vectors, mean, v[:, None])[1][:, 0]
+                for a in axes:
+                    w = w - (w @ a) * a
+                v = _unit(w)
+            axes.append(v)
+    elif mode == "exact":
+        width = min(dim, 10)
+        q, _ = np.linalg.qr(np.random.default_rng(0).normal(size=(dim, width)))
+        last = np.zeros((dim, 2))
+        for _ in range(1000):
+            product = covariance_products(vectors, mean, q)[1]
+            values, turn = np.linalg.eigh((q.T @ product + product.T @ q) / 2)
+            lead = np.zeros((dim, 2))
+            lead[:, :min(2, width)] = (q @ turn[:, ::-1])[:, :2]
+            lead *= np.where(seed @ lead >= 0, 1, -1)
+            if np.abs(lead - last).max() < tolerance ** 0.5:
+                break
+            last = lead
+            q, _ = np.linalg.qr(product)
+        axes = [lead[:, 0], lead[:, 1]]
+    else:
+        raise ValueError(f"unknown mode {mode!r}")
+    return Projection(tuple(mean.tolist()), tuple(axes[0].tolist()), tuple(axes[1].tolist()), int(sums["n"]))
+
+
+def fit_gallery(gallery: DataFrame, dim: int, mode: str = "seeded") -> Projection:
+    """Fit in one pass through the matrix where it is small enough, else without it."""
+    if dim > MAX_DIM:
+        return fit_matrix_free(gallery, dim, mode)
+    return fit(moments(gallery, dim), dim, mode)
+
+
 def project(gallery: DataFrame, p: Projection) -> DataFrame:
     """Replace ``v`` by ``x, y``: the centred vector on both axes; no shuffle."""
     axes = QueryVectors([0, 1], [p.pc1, p.pc2])
@@ -190,7 +290,7 @@ def galaxy(gallery: DataFrame, dim: int, queries: DataFrame | None = None,
 
     Query points are projected and count for the extents, but not for the fit.
     """
-    return canvas(gallery, fit(moments(gallery, dim), dim, mode), queries)
+    return canvas(gallery, fit_gallery(gallery, dim, mode), queries)
 
 
 def canvas(gallery: DataFrame, p: Projection, queries: DataFrame | None = None) -> DataFrame:

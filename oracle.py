@@ -445,4 +445,5 @@ ORACLE = {
         SELECT i - 1 AS dim, round(avg(v[i]), 6) AS mean FROM g JOIN documents d ON d.doc_id = g.id, range(1, {DIM + 1}) r(i)
         GROUP BY i""",
 }
+ORACLE["pca_axes_matrix_free"] = ORACLE["pca_axes"]
 ORACLE["relevance_blocks"] = ORACLE["relative_relevance"]

@@ -141,3 +141,37 @@ def test_attribution(spark):
     got = [tuple(r) for r in relevance.attribution(items).select("credit", "creditLicenseUrl", "creditSource").collect()]
     assert got == [("“T” by C · BY 2.0 · source (via Openverse)", "http://l", "http://s"),
                    ("“T” by C · BY ·  (via Openverse)", None, None), ("Uploaded image", None, None)]
+
+
+@pytest.mark.parametrize("mode", ["seeded", "exact"])
+def test_matrix_free_fit_equals_the_matrix(spark, mode, monkeypatch):
+    """A few dimensions through both ways; more than the matrix allows through the one without it."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 24)) * np.linspace(3, 0.2, 24)
+    rows = [(i, i, "c", v.tolist()) for i, v in enumerate(x)] + [(900, 900, "c", None), (901, 901, "c", [1.0]), (902, 902, "c", [])]
+    g = spark.createDataFrame(rows, "id long, pos long, category string, v array<double>").repartition(3)
+    whole = projection.fit(projection.moments(g, 24), 24, mode)
+    monkeypatch.setattr(projection, "_PART", 7)
+    free = projection.fit_matrix_free(g, 24, mode)
+    for a, b in ((whole.mean, free.mean), (whole.pc1, free.pc1), (whole.pc2, free.pc2)):
+        assert np.allclose(a, b, atol=1e-5)
+    assert free.used == whole.used == 300
+    monkeypatch.setattr(projection, "MAX_DIM", 8)
+    with pytest.raises(ValueError, match="matrix_free"):
+        projection.moments(g, 24)
+    if mode == "exact":
+        got = {r.id: (r.x, r.y) for r in projection.galaxy(g, 24, mode=mode).collect()}
+        monkeypatch.setattr(projection, "MAX_DIM", 24)
+        expected = {r.id: (r.x, r.y) for r in projection.galaxy(g, 24, mode=mode).collect()}
+        assert len(got) == 303 and all(np.allclose(got[i], expected[i], atol=1e-3) for i in got)
+    with pytest.raises(ValueError, match="no vector"):
+        projection.fit_matrix_free(g.limit(0), 24, mode)
+
+
+def test_products_without_the_matrix(spark):
+    rng = np.random.default_rng(9)
+    x, block = rng.normal(size=(50, 5000)), rng.normal(size=(5000, 2))         # more dimensions than the matrix takes
+    g = spark.createDataFrame([(v.tolist(),) for v in x], "v array<double>").repartition(4)
+    n, got = projection.covariance_products(g, x.mean(0), block)
+    centred = x - x.mean(0)
+    assert n == 50 and np.allclose(got, centred.T @ (centred @ block))

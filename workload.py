@@ -256,7 +256,10 @@ def covariance_matrix(spark, sf_dir):
 
 
 def _axes(spark, sf_dir, mode):
-    p = projection.fit(projection.moments(gallery(spark, sf_dir), DIM), DIM, mode)
+    return _axes_rows(spark, projection.fit(projection.moments(gallery(spark, sf_dir), DIM), DIM, mode))
+
+
+def _axes_rows(spark, p):
     return p.to_df(spark).select(F.posexplode(F.arrays_zip("mean", "pc1", "pc2"))).select(
         F.col("pos").cast("long").alias("dim"), F.round("col.mean", 6).alias("mean"),
         F.round("col.pc1", 6).alias("pc1"), F.round("col.pc2", 6).alias("pc2"))
@@ -270,6 +273,10 @@ def pca_axes_exact(spark, sf_dir):
     return _axes(spark, sf_dir, "exact")
 
 
+def pca_axes_matrix_free(spark, sf_dir):
+    return _axes_rows(spark, projection.fit_matrix_free(gallery(spark, sf_dir), DIM))
+
+
 def project_axes(spark, sf_dir):
     """The gallery on two prototype axes about its mean."""
     g = gallery(spark, sf_dir)
@@ -687,7 +694,7 @@ QUERIES = {f.__name__: f for f in [
     join_items_vectors, relevance_join, last_wins, item_lookup, category_colours, dimension_lookup,
     score_gallery, search_ranked, search_topk, batch_topk, batch_topk_blocks, relevance_blocks, find_similar, search_text, browse,
     relative_relevance, attribution_lines,
-    zero_shot_tags, mean_vector, covariance_matrix, pca_axes, pca_axes_exact, project_axes,
+    zero_shot_tags, mean_vector, covariance_matrix, pca_axes, pca_axes_exact, pca_axes_matrix_free, project_axes,
     galaxy_map, category_legend,
     eval_per_query, eval_aggregate, eval_report,
     clean_metadata, eligible_hits, valid_hits, curate_items, curation_fill_report,

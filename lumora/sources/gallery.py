@@ -7,38 +7,35 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lumora import fixed_values, schemas
 from lumora.operators.joins import join_items_vectors
+from lumora.sources.envelopes import read_array
 
 
-def _envelope(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).option("multiLine", True).option(
-        "mode", "FAILFAST").json(path)
+def _one(head: DataFrame) -> DataFrame:
+    """One header of the parts of an envelope: their counts add up, all else is the first part's."""
+    fields = [f for f in head.columns if f != "part"]
+    return head.agg(*[(F.sum(c) if c == "count" else F.min_by(c, "part")).alias(c) for c in fields])
 
 
 def read_manifest(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(items with ``pos`` in file order, one-row metadata) of a JSON envelope."""
-    doc = _envelope(spark, path, schemas.MANIFEST)
-    items = doc.select(F.posexplode("items").alias("pos", "item")).select(
-        F.col("pos").cast("long").alias("pos"), "item.*")
-    return items, doc.select("builtAt", "count")
+    items, head = read_array(spark, path, "items", schemas.ITEM, T.StructType(schemas.MANIFEST.fields[:2]))
+    return items, _one(head)
 
 
 def read_embeddings(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(vectors ``id, pos, v``, one-row header) of a JSON envelope."""
-    doc = _envelope(spark, path, schemas.EMBEDDINGS)
-    vectors = doc.select(F.posexplode("embeddings").alias("pos", "e")).select(
-        F.col("e.id").alias("id"), F.col("pos").cast("long").alias("pos"), F.col("e.v").alias("v"))
-    return vectors, doc.select(*[f.name for f in schemas.EMBEDDING_HEADER])
+    vectors, head = read_array(spark, path, "embeddings", schemas.VECTOR, schemas.EMBEDDING_HEADER)
+    return vectors.select("id", "pos", "v"), _one(head)
 
 
 def read_evaluation(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(per-query metrics with ``qid`` in file order, one-row aggregate)."""
-    doc = _envelope(spark, path, schemas.EVALUATION)
-    per_query = doc.select(F.posexplode("perQuery").alias("qid", "q")).select(
-        F.col("qid").cast("long").alias("qid"), "q.*")
-    return per_query, doc.select("model", "evaluatedAt", "aggregate.*")
+    per_query, head = read_array(spark, path, "perQuery", schemas.PER_QUERY, T.StructType(schemas.EVALUATION.fields[:3]))
+    return per_query.withColumnRenamed("pos", "qid"), _one(head).select("model", "evaluatedAt", "aggregate.*")
 
 
 def read_table(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -63,6 +60,8 @@ def as_gallery(items: DataFrame, vectors: DataFrame, base: str = "") -> DataFram
 def load_gallery(spark: SparkSession, folder: str, base: str = "") -> Gallery:
     """The three artifacts of a folder together; a missing or broken one fails the load.
 
+    Envelopes are read in as many tasks as they have splits (:mod:`lumora.sources.envelopes`).
+
     ``<name>.json`` envelopes and ``<name>/rows`` + ``<name>/header`` parquet tables
     are both understood; the latter is the layout for galleries of any size.
     """

@@ -639,29 +639,31 @@ def evaluation_job(spark, sf_dir):
         *[F.col("h.pAt")[str(k)].alias(f"mp{k}") for k in fv.PRECISION_CUTOFFS])
 
 
-def gallery_load(spark, sf_dir):
-    """The three JSON envelopes of a gallery, written from the tables and loaded together."""
+def gallery_load(spark, sf_dir, rows=200):
+    """The three JSON envelopes of a gallery, in parts of bounded size, written from the tables and loaded together."""
     folder, g = new_dir(spark, "gallery"), gallery(spark, sf_dir)
     blank = {f: F.lit("") for f in ("creator", "license", "licenseUrl", "source", "provider")}
     item = F.struct(F.col("id").cast("long").alias("id"), F.format_string(fv.FILE_NAME_FORMAT, "id").alias("file"), "category",
                     F.concat(F.lit("no. "), F.col("id").cast("string")).alias("title"), *[c.alias(n) for n, c in blank.items()])
 
-    def envelope(rows, name, array, **head):
-        one = rows.agg(F.count(F.lit(1)).alias("count"), F.sort_array(F.collect_list("row")).alias(array))
-        one.withColumns({k: F.lit(v) for k, v in head.items()}).write.json(f"{folder}/{name}.json")
+    def envelope(parts, name, array, **head):
+        one = parts.groupBy("part").agg(F.count(F.lit(1)).alias("count"), F.transform(
+            F.array_sort(F.collect_list(F.struct("at", "row"))), lambda r: r["row"]).alias(array))
+        (one.withColumns({k: F.lit(v) for k, v in head.items()}).repartitionByRange(4, "part").sortWithinPartitions("part")
+         .drop("part").write.json(f"{folder}/{name}.json"))
 
-    envelope(g.select(item.alias("row")), "manifest", "items", builtAt="2024-01-01T00:00:00Z")
-    envelope(g.select(F.struct("id", bulk.quantize("v").alias("v")).alias("row")), "embeddings", "embeddings",
-             model="given", dtype="float32", dim=DIM, normalized=True)
+    part = F.floor(F.col("id") / rows).alias("part")
+    envelope(g.select(part, F.col("id").alias("at"), item.alias("row")), "manifest", "items", builtAt="2024-01-01T00:00:00Z")
+    envelope(g.select(part, F.col("id").alias("at"), F.struct("id", bulk.quantize("v").alias("v")).alias("row")), "embeddings",
+             "embeddings", model="given", dtype="float32", dim=DIM, normalized=True)
     per_query = freeze(_evaluation(spark, sf_dir))
     fields = ["query", "category", "nRelevant", "pAt", "rr", "ap", "topIds"]
     total = evaluate.aggregate(per_query, g.count()).select("queries", "gallerySize", "mAP", "mrr", "pAt")
-    (per_query.orderBy("qid").agg(F.transform(F.array_sort(F.collect_list(F.struct("qid", F.to_json(F.struct(*fields)).alias("q")))),
-                                              lambda r: r["q"]).alias("rows"))
-     .select(F.from_json(F.concat(F.lit("["), F.array_join("rows", ","), F.lit("]")),
-                         schemas.EVALUATION["perQuery"].dataType).alias("perQuery"),
-             F.lit("given").alias("model"), F.lit("2024-01-01T00:00:00Z").alias("evaluatedAt"))
-     .withColumn("aggregate", total.select(F.struct("*")).scalar()).write.json(f"{folder}/eval.json"))
+    lines = per_query.groupBy(F.floor(F.col("qid") / rows).alias("part")).agg(F.transform(F.array_sort(F.collect_list(
+        F.struct("qid", F.to_json(F.struct(*fields)).alias("q")))), lambda r: r["q"]).alias("rows"))
+    (lines.select("part", F.lit("given").alias("model"), F.lit("2024-01-01T00:00:00Z").alias("evaluatedAt"), F.from_json(
+        F.concat(F.lit("["), F.array_join("rows", ","), F.lit("]")), schemas.EVALUATION["perQuery"].dataType).alias("perQuery"))
+     .withColumn("aggregate", total.select(F.struct("*")).scalar()).orderBy("part").drop("part").write.json(f"{folder}/eval.json"))
     loaded = sources.load_gallery(spark, folder, base="img/")
     return (loaded.items.withColumn("h", loaded.header.select(F.struct("*")).scalar())
             .withColumn("a", loaded.aggregate.select(F.struct("*")).scalar())

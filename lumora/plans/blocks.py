@@ -39,7 +39,7 @@ class QueryBlocks:
         import pyarrow.parquet as pq
         from pyarrow import fs
 
-        store, root = fs.FileSystem.from_uri(self.path)
+        store, root = open_store(self.path)
         files = store.get_file_info(fs.FileSelector(f"{root}/block={block}", allow_not_found=True))
         tables = [pq.read_table(f.path, filesystem=store, partitioning=None) for f in sorted(files, key=lambda f: f.path)
                   if f.path.endswith(".parquet")]
@@ -53,11 +53,16 @@ class QueryBlocks:
         return [range(a, min(a + per_pass, self.count)) for a in range(0, self.count, per_pass)]
 
 
+def open_store(path: str):
+    """(file system, path in it) for Python code; a folder as Hadoop or as Python writes it."""
+    from pyarrow import fs
+    return fs.FileSystem.from_uri("file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path)
+
+
 def reachable(path: str) -> bool:
     """Whether Python tasks can open the folder, not only Spark."""
-    from pyarrow import fs
     try:
-        fs.FileSystem.from_uri(path)
+        open_store(path)
     except (OSError, ValueError, NotImplementedError):
         return False
     return True

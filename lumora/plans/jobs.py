@@ -11,6 +11,7 @@ from lumora.operators import embed as emb
 from lumora.operators import evaluate as ev
 from lumora.operators import search
 from lumora.plans.freeze import freeze
+from lumora.plans.spread import spread
 from lumora.sources import gallery as src
 from lumora.sources import sinks
 
@@ -29,18 +30,17 @@ def curation_job(candidates: DataFrame, plan: DataFrame, out: str, *,
 
 
 def embedding_job(spark: SparkSession, folder: str, images: str, encoder: emb.Encoder,
-                  *, batch_size: int = 64) -> DataFrame:
+                  *, batch_size: int = 64, partitions: int | None = None) -> DataFrame:
     """``<folder>/manifest`` and the image files under ``images`` to
     ``<folder>/embeddings``; returns the header.
 
-    Files are embedded where they are read and their vectors joined to the items, so
-    image bytes are never shuffled.  An item without image, or an image that cannot be
-    decoded, fails the job.
+    Only files that the manifest names are opened, by tasks that embed them at once, so image
+    bytes are neither shuffled nor joined.  An item without image, or an image that cannot be
+    decoded, fails the job.  ``partitions``: see :func:`lumora.operators.embed.embed`.
     """
     items, head = src.read_table(spark, f"{folder}/manifest")
-    embedded = emb.embed(src.read_images(spark, images).select("file", "content"), "content",
-                         encoder, batch_size=batch_size).select("file", "v")
-    vectors = freeze(items.select("id", "pos", "file").join(embedded, "file").select("id", "pos", "v"))
+    named = src.with_images(spread(items.select("id", "pos", "file"), partitions), images).filter(F.col("content").isNotNull())
+    vectors = freeze(emb.embed(named, "content", encoder, batch_size=batch_size).select("id", "pos", "v"))
     missing = head.first()["count"] - vectors.count()
     if missing:
         raise FileNotFoundError(f"{missing} items of {folder} have no image under {images}")

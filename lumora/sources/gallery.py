@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from lumora import fixed_values, schemas
 from lumora.operators.joins import join_items_vectors
+from lumora.plans.blocks import open_store, reachable
 from lumora.sources.envelopes import read_array
 
 
@@ -90,6 +91,41 @@ def read_images(spark: SparkSession, root: str) -> DataFrame:
                         "content", "length")
 
 
+CONTENT_BYTES = 32 << 20        # image bytes in an Arrow batch, about
+
+
+def with_images(items: DataFrame, root: str) -> DataFrame:
+    """``items`` with the ``content`` of the image that ``file`` names under ``root``.
+
+    Tasks open the named files only, whatever else lies there; ``content`` is NULL where there is no such file.
+    Where Python tasks cannot reach the folder, Spark reads all of it and joins."""
+    if not reachable(root):
+        images = read_images(items.sparkSession, root).select("file", "content")
+        return items.join(images, "file", "left").select(*items.columns, "content")
+
+    def run(batches):
+        import pyarrow as pa
+
+        store, base = open_store(root)
+        for batch in batches:
+            names = batch.column("file").to_pylist()
+            start, held, size = 0, [], 0
+            for k, name in enumerate(names):
+                try:
+                    with store.open_input_file(f"{base}/{name}") as f:
+                        held.append(f.read())
+                except FileNotFoundError:
+                    held.append(None)
+                size += len(held[-1] or b"")
+                if size >= CONTENT_BYTES or k == len(names) - 1:
+                    part = batch.slice(start, len(held))
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(held, pa.binary())], [*batch.schema.names, "content"])
+                    start, held, size = k + 1, [], 0
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema.fields)
+    return items.mapInArrow(run, f"{fields}, content binary")
+
+
 def read_candidates(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Landed search results, one document per category, as hits with their position.
 

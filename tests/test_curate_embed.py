@@ -234,3 +234,29 @@ def test_stored_vectors_come_back_exactly(spark, tmp_path):
     rows, head = sources.read_table(spark, str(tmp_path / "e"))
     got = np.array([r.v for r in sinks.restore(rows).orderBy("id").collect()])
     assert (got == np.floor(x * 1e5 + 0.5) / 1e5).all() and head.first()["count"] == 50
+
+
+def test_only_named_files_are_embedded(spark, tmp_path):
+    """A thousand other files beside them, none of which the encoder could take."""
+    items = [(i, i, f"img/{i} é.jpg") for i in range(5)]
+    (tmp_path / "web" / "img").mkdir(parents=True)
+    for _, i, name in items:
+        (tmp_path / "web" / name).write_bytes(bytes([i + 1]) * 300)
+    for i in range(1000):
+        (tmp_path / "web" / "img" / f"stray{i}.jpg").write_bytes(b"STRAY")
+
+    def load():
+        count = byte_histogram(16).load()
+
+        def run(payloads):
+            assert not any(p == b"STRAY" for p in payloads)
+            return count(payloads)
+        return run
+
+    blank = {f: F.lit("") for f in ("category", "title", "creator", "license", "licenseUrl", "source", "provider")}
+    sinks.write_manifest(spark.createDataFrame(items, "id long, pos long, file string").withColumns(blank), f"{tmp_path}/manifest")
+    head = jobs.embedding_job(spark, str(tmp_path), str(tmp_path / "web"), embed.Encoder("m", "f", 16, load), partitions=2)
+    assert head.first()["count"] == 5
+    named = sources.with_images(spark.createDataFrame([(f"img/{n}",) for n in ("0 é.jpg", "none.jpg", "stray3.jpg")], "file string"),
+                                f"file:{tmp_path}/web")
+    assert {r.file: r.content and len(r.content) for r in named.collect()} == {"img/0 é.jpg": 300, "img/none.jpg": None, "img/stray3.jpg": 5}

@@ -11,14 +11,44 @@ from lumora.plans.freeze import freeze
 from lumora.plans.skew import HOT_ROWS, skew_left_join
 
 
+def one_per_key(df: DataFrame, key: str, order: str, last: bool = True) -> DataFrame:
+    """The whole row with the highest (or, not ``last``, the lowest) ``order`` of each ``key``; no row without key.
+
+    Keys that occur more than once are found first, by a hash aggregate of two numbers a key.  Only
+    they are looked at further: rows of all other keys pass as they are, and superseded rows go
+    before anything wide is shuffled.  The table of such keys is frozen, so Catalyst broadcasts it
+    where its size allows.  Of several rows with the same key and order the one whose values hash
+    highest stays.  Runs jobs when called; ``df`` is read again, so freeze it first if it is
+    costly to compute.
+    """
+    pick = F.max if last else F.min
+    rows = df.filter(F.col(key).isNotNull())
+    repeated = freeze(rows.groupBy(F.col(key).alias("__k")).agg(pick(order).alias("__at"), F.count(F.lit(1)).alias("__n"))
+                      .filter("__n > 1").select("__k", "__at"))
+    if repeated.isEmpty():
+        return rows
+    same = F.col(key) == F.col("__k")
+    single = rows.join(repeated, same, "left_anti")
+    best = rows.join(repeated, same & F.coalesce(F.col(order) == F.col("__at"), F.col("__at").isNull()), "left_semi")
+    hashed = F.xxhash64(*[F.col(c) for c, kind in df.dtypes if "map<" not in kind])
+    best = freeze(best.withColumns({"__hash": hashed, "__row": F.monotonically_increasing_id()}))
+    # equal order: the highest hash, and of rows that are equal in everything the first as written
+    narrow = best.select(F.col(key).alias("__k"), "__hash", "__row")
+    top = narrow.groupBy("__k").agg(F.max("__hash").alias("__most"))
+    chosen = (narrow.join(top, "__k").filter(F.col("__hash") == F.col("__most"))
+              .groupBy("__k").agg(F.min("__row").alias("__first")))
+    kept = best.join(freeze(chosen.select("__first")), F.col("__row") == F.col("__first"), "left_semi")
+    return single.unionByName(kept.drop("__hash", "__row"))
+
+
 def last_wins(df: DataFrame, key: str, order: str, values: list[str]) -> DataFrame:
-    """One row per ``key``: the values of its row with the highest ``order``.
+    """One row per ``key``: the values of its row with the highest ``order``; see :func:`one_per_key`.
 
-    Rows are reduced per key inside each task, so a key repeated over a third of the
-    table reaches the shuffle once per task.
-    """
-    latest = df.groupBy(key).agg(F.max_by(F.struct(*values), order).alias("__r"))
-    return latest.select(key, *[F.col(f"__r.{c}").alias(c) for c in values])
+    Rows without a key count as one key, too."""
+    wanted = list(dict.fromkeys([key, order, *values]))
+    keyless = (df.filter(F.col(key).isNull()).groupBy(key).agg(F.max_by(F.struct(*values), order).alias("__r"))
+               .select(key, *[F.col(f"__r.{c}").alias(c) for c in values]))
+    return one_per_key(df.select(*wanted), key, order).select(key, *values).unionByName(keyless)
 
 
 def join_items_vectors(items: DataFrame, vectors: DataFrame,
@@ -26,10 +56,10 @@ def join_items_vectors(items: DataFrame, vectors: DataFrame,
     """Every item with its vector as float32; an empty vector where there is none.
 
     ``vectors`` has ``id, pos, v``; of several vectors for one id the last counts.
-    The aggregation and the join share one shuffle of the vectors, both on ``id``.
+    Vectors are shuffled once, by the join, and never aggregated.
     """
     def latest(df):
-        return last_wins(df, "id", "pos", ["v"])
+        return one_per_key(df.select("id", "pos", "v"), "id", "pos").select("id", "v")
 
     empty = F.array().cast("array<float>")
     return (skew_left_join(items, vectors, "id", latest, hot_rows)
@@ -49,9 +79,9 @@ def join_vectors_items(vectors: DataFrame, items: DataFrame, columns: list[str],
     rows = vectors.select("id", "pos")
     if carried:
         rows = skew_left_join(rows, vectors, "id",
-                              lambda df: last_wins(df, "id", "pos", carried), hot_rows)
+                              lambda df: one_per_key(df, "id", "pos").select("id", *carried), hot_rows)
     return skew_left_join(rows, items, "id",
-                          lambda df: last_wins(df, "id", "pos", columns), hot_rows)
+                          lambda df: one_per_key(df.select("id", "pos", *columns), "id", "pos").select("id", *columns), hot_rows)
 
 
 def relevance(vectors: DataFrame, items: DataFrame, target: Column | str) -> DataFrame:

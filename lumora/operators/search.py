@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lumora.functions.kernels import QueryVectors, TopK
 from lumora.functions.spaces import require_same_space
 from lumora.functions.vectors import orderable
+from lumora.operators.joins import one_per_key
 from lumora.plans.blocks import BLOCK_ROWS, score_scan, top_k_scan, write_blocks
 from lumora.plans.freeze import freeze
 from lumora.plans.numbering import number_rows
@@ -21,7 +22,6 @@ HIT = "qid long, id long, pos long, score double"
 # above this k the hits of a query are first merged in salted parts.
 _SALT_FROM_K = 16
 _SALTS = 64
-SHORT_LIST = 500_000     # ids, 4 MB
 
 
 def best_first() -> list[Column]:
@@ -194,9 +194,9 @@ def find_similar(gallery: DataFrame, target_ids: DataFrame, k: int, **options) -
     are frozen so that their size, not a guess at it, decides whether they are broadcast.
     """
     wanted = freeze(target_ids.select(F.col("id").alias("__t")).distinct())
-    targets = (gallery.join(wanted, F.col("id") == F.col("__t"), "left_semi")
-               .groupBy("id").agg(F.min_by(F.struct("v"), "pos").alias("__first"))
-               .select(F.col("id").alias("qid"), F.col("__first.v").alias("v"), F.col("id").alias("self")))
+    found = gallery.select("id", "pos", "v").join(wanted, F.col("id") == F.col("__t"), "left_semi")
+    targets = one_per_key(freeze(found), "id", "pos", last=False).select(
+        F.col("id").alias("qid"), "v", F.col("id").alias("self"))
     return top_k(gallery, targets, k, exclude="self", **options)
 
 
@@ -225,15 +225,9 @@ def lookup(gallery: DataFrame, item_id: int) -> DataFrame:
 def lookup_many(gallery: DataFrame, ids: DataFrame) -> DataFrame:
     """The first item of each wanted id, all in one pass.
 
-    Rows are reduced to one per id inside each task before the shuffle.  A short list of
-    ids is broadcast first and spares the rest of the table; a long one is joined after
-    the reduction, when no id is hot any more.
+    The ids are frozen: their size decides whether they are broadcast or both sides shuffled.  Only ids that
+    then occur more than once are reduced to their first row (:func:`lumora.operators.joins.one_per_key`).
     """
     wanted = freeze(ids.select(F.col("id").alias("__id")).distinct())
-    short = wanted.count() <= SHORT_LIST
-    rest = [c for c in gallery.columns if c != "id"]
-    same = F.col("id") == F.col("__id")
-    found = gallery.join(F.broadcast(wanted), same, "left_semi") if short else gallery
-    first = (found.groupBy("id").agg(F.min_by(F.struct(*rest), "pos").alias("__r"))
-             .select("id", *[F.col(f"__r.{c}").alias(c) for c in rest]))
-    return first if short else first.join(wanted, same, "left_semi")
+    found = freeze(gallery.join(wanted, F.col("id") == F.col("__id"), "left_semi"))
+    return one_per_key(found, "id", "pos", last=False)

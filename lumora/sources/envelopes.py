@@ -122,7 +122,7 @@ def _starts(rows) -> dict[tuple[str, int], tuple[int, int, tuple | None]]:
         read, size = lengths[file]
         # the separator added to a blank last fragment closes nothing
         if inside or depth != (-1 if blank and read > size else 0) or (read > size and not blank):
-            raise BrokenEnvelope(f"{file} ends within its text")
+            raise BrokenEnvelope(f"malformed: {file} ends within its text")
     return out
 
 
@@ -209,7 +209,7 @@ def read_array(spark: SparkSession, path: str, array: str, element: T.StructType
         F.col("_metadata.file_size").alias("size"), "value")
     starts = _starts(fragments.mapInArrow(_summaries, _SUMMARY).collect())
     if not starts:
-        raise BrokenEnvelope(f"{path} is empty")
+        raise BrokenEnvelope(f"malformed: {path} is empty")
 
     def cut(batches):
         import pyarrow as pa
@@ -253,7 +253,7 @@ def _header(spark: SparkSession, pieces: DataFrame, schema: T.StructType) -> Dat
             try:
                 _, end = decoder.raw_decode(rest)
             except ValueError as error:
-                raise BrokenEnvelope(f"header: {error}") from error
+                raise BrokenEnvelope(f"malformed header: {error}") from error
             documents.append((len(documents), rest[:end]))
             rest = rest[end:].strip()
     raw = spark.createDataFrame(documents, "part int, text string")

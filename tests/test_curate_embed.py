@@ -171,13 +171,17 @@ def test_hot_ids_are_joined_apart(spark, hot_rows):
         assert list(r.v) == {7: [2.0], 3: [3.0]}.get(r.id, [])
 
 
-def test_long_lookup_list(spark, monkeypatch):
+def test_long_lookup_list(spark):
+    """Ids that are broadcast and ids that are not."""
     from lumora.operators import search
     gallery = spark.createDataFrame([(7, 5, "b"), (7, 2, "a"), (8, 1, "c"), (9, 0, "d")], "id long, pos long, t string")
     ids = spark.createDataFrame([(7,), (7,), (8,), (1,)], "id long")
     short = sorted(search.lookup_many(gallery, ids).collect())
-    monkeypatch.setattr(search, "SHORT_LIST", 0)
-    assert sorted(search.lookup_many(gallery, ids).collect()) == short == [(7, 2, "a"), (8, 1, "c")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(search.lookup_many(gallery, ids).collect()) == short == [(7, 2, "a"), (8, 1, "c")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_encoder_loads_once_and_bad_input(spark, tmp_path):

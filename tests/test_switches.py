@@ -110,3 +110,37 @@ def test_a_finished_batch_is_left_alone(spark, tmp_path):
     run.process(batch, 0)
     run.process(batch.limit(0), 0)
     assert [r.id for r in run.uploads().collect()] == [-1]
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("last", [True, False])
+def test_one_row_per_key(spark, last):
+    """Repeated keys, equal orders, equal rows, missing keys and orders; wide columns pass through no aggregate."""
+    rows = [(1, 0, [1.0]), (1, 5, [2.0]), (1, 5, [3.0]), (2, 1, [4.0]), (3, 7, [5.0]), (3, 7, [5.0]), (None, 1, [6.0]), (4, None, [7.0]),
+            (5, None, [8.0]), (5, 3, [9.0]), (6, None, [1.5]), (6, None, [2.5])] + [(9, k % 4, [float(k)]) for k in range(300)]
+    for parts in (1, 5):
+        got = joins.one_per_key(vectors(spark, rows).repartition(parts), "id", "pos", last=last)
+        by = {r.id: (r.pos, r.v[0]) for r in got.collect()}
+        assert got.count() == len(by) == 7
+        pick = max if last else min
+        for key in by:
+            mine = [(p, v[0]) for i, p, v in rows if i == key]
+            known = [p for p, _ in mine if p is not None]
+            assert by[key] in mine and by[key][0] == (pick(known) if known else None)
+        if parts == 1:
+            first = by
+        assert by == first                                              # ties don't depend on partitions
+        assert "SortAggregate" not in plan(got) and "ObjectHashAggregate" not in plan(got)
+    single = joins.one_per_key(vectors(spark, rows[3:4] + rows[8:9]), "id", "pos", last=last)
+    assert "Join" not in plan(single) and single.count() == 2           # nothing repeats: rows pass as they are
+
+
+def test_items_and_vectors_join_without_aggregating_vectors(spark):
+    g = vectors(spark, AWKWARD)
+    items = spark.createDataFrame([(i,) for i in range(8)], "id long")
+    got = joins.join_items_vectors(items, g)
+    assert "SortAggregate" not in plan(got) and got.count() == 8
+    assert "SortAggregate" not in plan(search.lookup_many(g, items))

@@ -23,27 +23,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_NUMBER = "lumora.row_number"
+
+
+def _number(docs: DataFrame) -> str | None:
+    """The column with row numbers of :func:`numbered`, known by its metadata: a user's column of that name isn't."""
+    return next((f.name for f in docs.schema.fields if (f.metadata or {}).get(_NUMBER)), None)
+
+
 def rows(docs: DataFrame) -> DataFrame:
     """(rid, doc_id, text): a number for each row, and NULL texts as empty ones.
 
-    ``rid`` is the column ``__rid`` where ``docs`` are numbered already; else it is only stable
+    ``rid`` is the number that ``docs`` have from :func:`numbered`; else it is only stable
     once the result is frozen or used within one job."""
-    number = F.col("__rid") if "__rid" in docs.columns else F.monotonically_increasing_id()
+    name = _number(docs)
+    number = F.col(name) if name else F.monotonically_increasing_id()
     return docs.select(number.alias("rid"), F.col("doc_id").cast("long"),
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with a number for each row in ``__rid``, written, so that the numbers stay."""
-    return freeze(docs.withColumn("__rid", F.monotonically_increasing_id()))
+    """``docs`` with a number for each row in a column that they don't have, written, so that the numbers stay."""
+    name, taken = "__rid", {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return freeze(docs.select("*", F.monotonically_increasing_id().alias(name, metadata={_NUMBER: True})))
 
 
 def without(docs: DataFrame, gone: DataFrame, few: int = 1_000_000) -> DataFrame:
     """Numbered ``docs`` without the rows whose numbers are in ``gone`` (rid); at most ``few`` numbers
     (8 bytes each) are broadcast, more are shuffled."""
-    gone = freeze(gone.select(F.col("rid").alias("__rid")))
+    name = _number(docs)
+    gone = freeze(gone.select(F.col("rid").alias(name)))
     side = F.broadcast(gone) if gone.count() <= few else gone
-    return docs.join(side, "__rid", "left_anti").drop("__rid")
+    return docs.join(side, name, "left_anti").drop(name)
 
 
 def in_train(doc_id: str, folds: int) -> Column:

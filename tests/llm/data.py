@@ -37,9 +37,9 @@ def awkward():
 
 def frame(spark, rows):
     """The rows as documents, with NULLs in other columns and columns whose names operators use inside."""
-    full = [(i, t, None, "src", None if t is None else len(t), 1, "x", 2.0, 3) for i, t in rows]
+    full = [(i, t, None, "src", None if t is None else len(t), 1, "x", 2.0, 3, f"row {i}") for i, t in rows]
     return spark.createDataFrame(full, "doc_id long, text string, lang string, source string, n_chars long, "
-                                 "rid int, key string, score double, label int")
+                                 "rid int, key string, score double, label int, __rid string")
 
 
 def shingles(text, width):

@@ -13,7 +13,8 @@ probability is a product of normalised conditional ones.
 2. Every training document is used for training once: tasks start from the same parameters, make
    steps over their own documents, and the parameters are averaged, weighted by tokens, in Spark;
    the second half of the documents starts from the average of the first.
-3. Scoring looks up frequent tokens in a table of ``HEAD`` counts sent to the tasks; the others, once
+3. Texts are encoded once, as numbers of classes, and written; training and scoring read those.  Encoding looks up
+   frequent tokens in a table of ``HEAD`` counts sent to the tasks; the others, once
    per document, are joined with the counts of the whole vocabulary.
 
 Tokens are known by 64-bit hashes.  NULL and empty texts are one end token; repeated rows are counted
@@ -27,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,8 +41,9 @@ WORDS, BUCKETS = 128, 128
 HEAD = 131_072
 NOISE, BATCH, RATE = 32, 512, 0.2
 ROUNDS = 2
-#: Tokens whose scores are in memory at once.
+#: Tokens whose scores are in memory at once, and tokens whose contexts are.
 BLOCK = 512
+RUN = 200_000
 #: Hash of the end token, which no word has but by chance.
 END = U64(0x0123456789ABCDEF)
 
@@ -144,6 +147,8 @@ class LogBilinear:
     def __init__(self, noise: np.ndarray, seed: int = 2) -> None:
         r, n = np.random.default_rng(seed), len(noise)
         self.noise = noise
+        self.up_to = np.cumsum(noise)
+        self.log_k = np.log(NOISE * noise).astype(np.float32)
         self.p = {"R": r.normal(0, 0.3, (n + 1, VECTOR)).astype(np.float32),
                   "D": np.full((ORDER, VECTOR), 0.5, np.float32),
                   "Q": r.normal(0, 0.3, (n, VECTOR)).astype(np.float32), "b": np.log(noise).astype(np.float32)}
@@ -177,22 +182,21 @@ class LogBilinear:
     def step(self, context: np.ndarray, target: np.ndarray, random: np.random.Generator) -> None:
         """One step of noise-contrastive estimation: the noise samples serve the whole batch."""
         p, n = self.p, len(target)
-        other = np.searchsorted(np.cumsum(self.noise), random.random(NOISE)).clip(0, len(self.noise) - 1)
-        log_k = np.log(NOISE * self.noise).astype(np.float32)
-        r = self.predict(context)
-        mine = np.einsum("ij,ij->i", r, p["Q"][target]) + p["b"][target] - log_k[target]
-        theirs = r @ p["Q"][other].T + (p["b"] - log_k)[other]
+        other = np.searchsorted(self.up_to, random.random(NOISE)).clip(0, len(self.noise) - 1)
+        bias = p["b"] - self.log_k
+        before = p["R"][context]
+        r = np.einsum("nkd,kd->nd", before, p["D"])
+        mine = np.einsum("ij,ij->i", r, p["Q"][target]) + bias[target]
+        theirs = r @ p["Q"][other].T + bias[other]
         g_mine = -1 / (1 + np.exp(np.clip(mine, -30, 30)))
         g_theirs = 1 / (1 + np.exp(-np.clip(theirs, -30, 30)))
         dr = g_mine[:, None] * p["Q"][target] + g_theirs @ p["Q"][other]
-        g = {k: np.zeros_like(v) for k, v in p.items()}
-        g["Q"] += _scatter(target, g_mine[:, None] * r, len(p["Q"]))
+        toward = np.concatenate([r * g_mine[:, None], g_mine[:, None]], axis=1)
+        g_q = _scatter(target, toward, len(p["Q"]))
+        g = {"Q": g_q[:, :VECTOR], "b": g_q[:, VECTOR], "D": np.einsum("nkd,nd->kd", before, dr),
+             "R": _scatter(context.reshape(-1), (dr[:, None, :] * p["D"]).reshape(-1, VECTOR), len(p["R"]))}
         np.add.at(g["Q"], other, g_theirs.T @ r)
-        g["b"] += np.bincount(target, weights=g_mine, minlength=len(p["b"])).astype(np.float32)
         np.add.at(g["b"], other, g_theirs.sum(0))
-        g["R"] += _scatter(context.T.reshape(-1), np.concatenate([dr * d for d in p["D"]]), len(p["R"]))
-        for k in range(ORDER):
-            g["D"][k] = np.einsum("ij,ij->j", dr, p["R"][context[:, k]])
         for k in p:
             d = g[k] / n
             self.square[k] += d * d
@@ -218,14 +222,71 @@ class LogBilinear:
 
 
 def _scatter(at: np.ndarray, x: np.ndarray, n: int) -> np.ndarray:
-    """Sums of the rows of x by ``at``."""
-    d = x.shape[1]
-    index = (at[:, None] * d + np.arange(d)).reshape(-1)
-    return np.bincount(index, weights=x.reshape(-1), minlength=n * d).reshape(n, d).astype(np.float32)
+    """Sums of the rows of x by ``at``: rows sorted (by radix, as there are few classes) and added up by run."""
+    order = np.argsort(at.astype(np.uint16), kind="stable")
+    at = at[order]
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    out = np.zeros((n, x.shape[1]), np.float32)
+    out[at[first]] = np.add.reduceat(x[order], first, axis=0)
+    return out
 
 
-def train(docs: DataFrame, words_: Vocabulary, rounds: int = ROUNDS) -> LogBilinear:
-    """The parameters after each training document has been used once."""
+_ENCODED = ("rid long, doc_id long, held_out boolean, part int, n_tokens long, known long, base double, within double, "
+            "cls array<short>, tail array<struct<h:long,n:int>>")
+
+
+def encode(docs: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> DataFrame:
+    """Every text as classes, with all of its score that counts alone give, written.
+
+    ``part`` says which round a training text serves in; ``tail`` has the tokens that aren't frequent."""
+    every = np.log10(known.total + 0.1 * (known.distinct + 1))
+
+    def run(batches):
+        for batch in batches:
+            found, tails, classes = [], [], []
+            for i, j, data, offsets in pieces(batch.column(4)):
+                n = j - i
+                doc, h, bucket = tokens(data, offsets)
+                cls, c = known.look_up(h, bucket)
+                seen = c >= 0
+                log_count = np.where(seen, np.log10(np.maximum(c, 0) + 0.1), 0.0)
+                within = np.where(cls < known.words, 0.0, log_count - known.mass[cls])
+                found.append([np.bincount(doc, minlength=n), np.bincount(doc[seen], minlength=n),
+                              np.bincount(doc, weights=log_count - every, minlength=n), np.bincount(doc, weights=within, minlength=n)])
+                classes.append(cls.astype(np.int16))
+                d, x = doc[~seen], h[~seen]
+                order = np.lexsort((x, d))
+                d, x = d[order], x[order]
+                first = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (x[1:] != x[:-1])])) if len(d) else np.zeros(0, int)
+                many = np.diff(np.append(first, len(d))).astype(np.int32)
+                tails.append((np.bincount(d[first], minlength=n), x[first], many))
+            if not found:
+                continue
+            total, at_head, base, within = (np.concatenate(x) for x in zip(*found))
+            size, x, many = (np.concatenate(t) for t in zip(*tails))
+            lists = lambda n, values: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), values)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:4], pa.array(total, pa.int64()), pa.array(at_head, pa.int64()), pa.array(base, pa.float64()),
+                 pa.array(within, pa.float64()), lists(total, pa.array(np.concatenate(classes))),
+                 lists(size, pa.StructArray.from_arrays([_longs(x), pa.array(many, pa.int32())], ["h", "n"]))],
+                [f.split()[0] for f in _ENCODED.split(", ")])
+
+    part = F.pmod(F.xxhash64("text"), F.lit(rounds)).cast("int").alias("part")
+    return freeze(docs.select("rid", "doc_id", (~F.col("train")).alias("held_out"), part, "text").mapInArrow(run, _ENCODED))
+
+
+def _runs(column: pa.Array, model: LogBilinear):
+    """(row, context, class) of the tokens of a list column, some ``RUN`` at a time."""
+    cls = column.flatten().to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(column)), np.asarray(pc.list_value_length(column), dtype=np.int64))
+    for at in range(0, len(cls), RUN):
+        from_ = max(0, at - ORDER)
+        part = cls[from_:at + RUN].astype(np.int64)
+        yield row[at:at + RUN], model.contexts(row[from_:at + RUN], part)[at - from_:], part[at - from_:]
+
+
+def train(encoded: DataFrame, words_: Vocabulary, rounds: int = ROUNDS) -> LogBilinear:
+    """The parameters after each training document of ``encoded`` has been used once."""
     model = LogBilinear(words_.noise)
     for turn in range(rounds):
         start = model.flat()
@@ -243,11 +304,9 @@ def train(docs: DataFrame, words_: Vocabulary, rounds: int = ROUNDS) -> LogBilin
                 return len(target)
 
             for batch in batches:
-                for _, _, data, offsets in pieces(batch.column(0)):
-                    doc, h, bucket = tokens(data, offsets)
-                    cls, _ = words_.look_up(h, bucket)
-                    held.append((mine.contexts(doc, cls), cls))
-                    if sum(len(x[1]) for x in held) > 200_000:
+                for _, context, cls in _runs(batch.column(0), mine):
+                    held.append((context, cls))
+                    if sum(len(x[1]) for x in held) > RUN:
                         seen += steps(held)
                         held = []
             if held:
@@ -256,7 +315,7 @@ def train(docs: DataFrame, words_: Vocabulary, rounds: int = ROUNDS) -> LogBilin
                 yield pa.RecordBatch.from_arrays([pa.array([float(seen)]), pa.array([mine.flat().astype(np.float64)], pa.list_(pa.float64()))],
                                                  ["seen", "p"])
 
-        part = docs.filter("train").filter(F.pmod(F.xxhash64("text"), F.lit(rounds)) == turn).select("text")
+        part = encoded.filter(~F.col("held_out") & (F.col("part") == turn)).select("cls")
         mean = (part.mapInArrow(run, "seen double, p array<double>").select("seen", F.posexplode("p").alias("at", "x"))
                 .groupBy("at").agg((F.sum(F.col("seen") * F.col("x")) / F.sum("seen")).alias("x")).toArrow())
         if mean.num_rows:
@@ -266,8 +325,7 @@ def train(docs: DataFrame, words_: Vocabulary, rounds: int = ROUNDS) -> LogBilin
     return model
 
 
-_PARTIAL = ("rid long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, "
-            "tail array<struct<h:long,n:int>>")
+_SCORED = "rid long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double"
 
 
 def score_texts(docs: DataFrame, head: int = HEAD) -> DataFrame:
@@ -276,49 +334,23 @@ def score_texts(docs: DataFrame, head: int = HEAD) -> DataFrame:
                        in_train("doc_id", FOLDS).alias("train"), F.coalesce("text", F.lit("")).alias("text"))
     counts = count_words(docs)
     known = vocabulary(counts, head)
-    model = train(docs, known)
-    every = np.log10(known.total + 0.1 * (known.distinct + 1))
+    encoded = encode(docs, known)
+    model = train(encoded, known)
 
     def run(batches):
         for batch in batches:
-            found = []
-            tails = []
-            for i, j, data, offsets in pieces(batch.column(3)):
-                n = j - i
-                doc, h, bucket = tokens(data, offsets)
-                cls, c = known.look_up(h, bucket)
-                log_class = model.log10(model.contexts(doc, cls), cls)
-                seen = c >= 0
-                log_count = np.where(seen, np.log10(np.maximum(c, 0) + 0.1), 0.0)
-                within = np.where(cls < known.words, 0.0, log_count - known.mass[cls])
-                found.append([np.bincount(doc, minlength=n), np.bincount(doc[seen], minlength=n),
-                              np.bincount(doc, weights=log_count - every, minlength=n),
-                              np.bincount(doc, weights=log_class + within, minlength=n)])
-                d, x = doc[~seen], h[~seen]
-                order = np.lexsort((x, d))
-                d, x = d[order], x[order]
-                first = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (x[1:] != x[:-1])])) if len(d) else np.zeros(0, int)
-                many = np.diff(np.append(first, len(d))).astype(np.int32)
-                tails.append((np.bincount(d[first], minlength=n), x[first], many))
-            if not found:
-                continue
-            total, at_head, base, score = (np.concatenate(x) for x in zip(*found))
-            size, x, many = (np.concatenate(t) for t in zip(*tails))
-            tail = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()),
-                                            pa.StructArray.from_arrays([_longs(x), pa.array(many, pa.int32())], ["h", "n"]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([not t for t in batch.column(2).to_pylist()], pa.bool_()),
-                 pa.array(total, pa.int64()), pa.array(at_head, pa.int64()), pa.array(base, pa.float64()),
-                 pa.array(score, pa.float64()), tail],
-                ["rid", "doc_id", "held_out", "n_tokens", "known", "base", "score", "tail"])
+            score = np.array(batch.column(6).to_numpy())
+            for row, context, cls in _runs(batch.column(7), model):
+                score += np.bincount(row, weights=model.log10(context, cls), minlength=len(score))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(score)], [f.split()[0] for f in _SCORED.split(", ")])
 
-    partial = freeze(docs.mapInArrow(run, _PARTIAL))
-    tail = partial.select("rid", F.explode("tail").alias("t")).select("rid", F.col("t.h").alias("h"), F.col("t.n").alias("n"))
+    partial = encoded.select("rid", "doc_id", "held_out", "n_tokens", "known", "base", "within", "cls").mapInArrow(run, _SCORED)
+    tail = encoded.select("rid", F.explode("tail").alias("t")).select("rid", F.col("t.h").alias("h"), F.col("t.n").alias("n"))
     sums = tail.join(counts.select("h", "c"), "h", "left").groupBy("rid").agg(
         F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.1)).alias("more"),
         F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("tail_known"))
     more = F.coalesce("more", F.lit(0.0))
-    return partial.drop("tail").join(sums, "rid", "left").select(
+    return partial.join(sums, "rid", "left").select(
         "rid", "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
         F.lit(int(known.total)).cast("long").alias("train_tokens"), (F.col("base") + more).alias("base_score"),
         (F.col("score") + more).alias("score"))

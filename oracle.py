@@ -445,5 +445,7 @@ ORACLE = {
         SELECT i - 1 AS dim, round(avg(v[i]), 6) AS mean FROM g JOIN documents d ON d.doc_id = g.id, range(1, {DIM + 1}) r(i)
         GROUP BY i""",
 }
+# all landed hits instead of the first ones of each category
+ORACLE["curate_all_hits"] = ORACLE["curate_items"].replace(f"  WHERE place <= {fv.HITS_PER_CATEGORY})", ")")
 ORACLE["pca_axes_matrix_free"] = ORACLE["pca_axes"]
 ORACLE["relevance_blocks"] = ORACLE["relative_relevance"]

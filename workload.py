@@ -377,6 +377,11 @@ def curate_items(spark, sf_dir):
     return curate.curate(candidates(spark, sf_dir), language_plan(spark), hits=fv.HITS_PER_CATEGORY)
 
 
+def curate_all_hits(spark, sf_dir):
+    """Items from all landed hits, not from one result page of each category."""
+    return curate.curate(candidates(spark, sf_dir), language_plan(spark))
+
+
 def curation_fill_report(spark, sf_dir):
     plan = language_plan(spark)
     return curate.fill_report(curate.keep(candidates(spark, sf_dir), plan, hits=fv.HITS_PER_CATEGORY), plan)
@@ -699,7 +704,7 @@ QUERIES = {f.__name__: f for f in [
     zero_shot_tags, mean_vector, covariance_matrix, pca_axes, pca_axes_exact, pca_axes_matrix_free, project_axes,
     galaxy_map, category_legend,
     eval_per_query, eval_aggregate, eval_report,
-    clean_metadata, eligible_hits, valid_hits, curate_items, curation_fill_report,
+    clean_metadata, eligible_hits, valid_hits, curate_items, curate_all_hits, curation_fill_report,
     embed_texts, embed_images, embedding_header,
     arrivals_topk, arrivals_batches, arrivals_images, arrivals_quarantine, arrivals_gallery, arrivals_tags, arrivals_mean, originals_count,
     arrivals_query_change, arrivals_galaxy, arrivals_failing,

@@ -125,22 +125,69 @@ def precision_at(k: int) -> Column:
     return F.sum(F.when(F.col("rel") & (F.col("rank") <= k), 1).otherwise(0)) / F.lit(float(k))
 
 
+_BLOCK_BITS = 20        # ranks of a query that one task adds up
+
+
+def _fold_runs(batches):
+    """(qid, block, total): terms of neighbouring rows with equal (qid, block), added from left to right."""
+    import numpy as np
+    import pyarrow as pa
+
+    key, total = None, 0.0
+
+    def out(keys, totals):
+        return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
+                                           pa.array(totals, pa.float64())], names=["qid", "block", "total"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        qid, block, term = (batch.column(k).to_numpy() for k in range(3))
+        first = np.flatnonzero(np.concatenate([[True], (qid[1:] != qid[:-1]) | (block[1:] != block[:-1])]))
+        keys, totals = [], []
+        for a, b in zip(first, np.append(first[1:], len(qid))):
+            mine = (int(qid[a]), int(block[a]))
+            if key is not None and mine != key:
+                keys.append(key)
+                totals.append(total)
+                total = 0.0
+            key, total = mine, float(np.cumsum(np.concatenate([[total], term[a:b]]))[-1])
+        yield out(keys, totals)
+    if key is not None:
+        yield out([key], [total])
+
+
+def _precision_sums(ranked: DataFrame) -> DataFrame:
+    """(qid, __precision): precision at each relevant rank, summed in rank order.
+
+    Like the means below, a sum of doubles must not depend on how rows were spread.  Stretches of 2**20
+    ranks are added from left to right as streams of their own, then the stretches of a query."""
+    terms = ranked.filter("rel").select("qid", F.shiftright(F.col("rank") - 1, _BLOCK_BITS).cast("long").alias("block"), "rank",
+                                        (F.col("hits") / F.col("rank")).alias("term"))
+    schema = "qid long, block long, total double"
+    blocks = (terms.repartition("qid", "block").sortWithinPartitions("qid", "block", "rank").select("qid", "block", "term")
+              .mapInArrow(_fold_runs, schema))
+    whole = (blocks.repartition("qid").sortWithinPartitions("qid", "block").select("qid", F.lit(0).cast("long").alias("block"), "total")
+             .mapInArrow(_fold_runs, schema))
+    return whole.select("qid", F.col("total").alias("__precision"))
+
+
 def query_metrics(ranked: DataFrame, ks: Sequence[int] = PRECISION_CUTOFFS,
                   top: int = TOP_IDS) -> DataFrame:
     """Metrics per query from :func:`ranked_relevance` rows.
 
-    Sums with map-side partials; the only list holds ``top`` ids.
+    Counts with map-side partials; the only list holds ``top`` ids.
     """
     found = F.sum(F.col("rel").cast("long"))
-    precision = F.sum(F.when(F.col("rel"), F.col("hits") / F.col("rank")))
     best = F.sort_array(F.collect_list(F.when(F.col("rank") <= top, F.struct("rank", "id"))))
     pairs = [x for k in ks for x in (F.lit(str(k)), precision_at(k))]
     return (ranked.groupBy("qid").agg(
         found.alias("nRelevant"),
         F.create_map(*pairs).alias("pAt"),
         F.coalesce(1.0 / F.min(F.when(F.col("rel"), F.col("rank"))), F.lit(0.0)).alias("rr_exact"),
-        F.coalesce(precision / found, F.lit(0.0)).alias("ap_exact"),
         best.alias("__best"))
+        .join(_precision_sums(ranked), "qid", "left")
+        .withColumn("ap_exact", F.coalesce(F.col("__precision") / F.col("nRelevant"), F.lit(0.0))).drop("__precision")
         .withColumn("topIds", F.transform("__best", lambda r: r["id"])).drop("__best")
         .withColumn("rr", to_fixed("rr_exact", 3)).withColumn("ap", to_fixed("ap_exact", 3)))
 

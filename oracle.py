@@ -134,10 +134,15 @@ per_query AS (
 
 
 
+def _fixed(x, digits):
+    """Rounded by the exact binary value, of which the text has enough digits; ``round`` would lift values just below a tie."""
+    return f"round(printf('%.36f', ({x})::DOUBLE)::DECIMAL(38, 36), {digits})::DOUBLE"
+
+
 def _mean(x, digits):
     """Mean summed from left to right in query order, rounded by its exact binary value."""
     total = f"list_reduce([0.0::DOUBLE] || list(({x})::DOUBLE ORDER BY qid), lambda a, b: a + b)"
-    return f"round(({total} / count(*))::DECIMAL(38, 25), {digits})::DOUBLE"
+    return _fixed(f"({total} / count(*))", digits)
 
 
 _AGGREGATE = f"""{_METRICS},
@@ -212,15 +217,15 @@ docs AS (SELECT d.doc_id AS id, d.lang AS category, {_quantized('h.v')} AS v FRO
 {_hashed('benchmark', 'item_id', _words('benchmark', 'item_id', 'text')).replace('slots', 'qslots')
  .replace('grid', 'qgrid').replace('h AS', 'qh AS')},
 ranked AS (SELECT item_id AS qid, id, {_case('item_id % 5', enumerate(c for c, _ in LANGS))} AS target, category,
-                  row_number() OVER (PARTITION BY item_id ORDER BY list_dot_product(docs.v, qh.v) DESC, id) AS rnk FROM docs, qh),
+                  row_number() OVER (PARTITION BY item_id ORDER BY list_reduce([0.0::DOUBLE] || list_transform(docs.v, lambda x, i: x * qh.v[i]), lambda a, b: a + b) DESC, id) AS rnk FROM docs, qh),
 hits AS (SELECT *, (category = target)::INT AS rel, sum((category = target)::INT) OVER (PARTITION BY qid ORDER BY rnk) AS h FROM ranked),
 per_query AS (
   SELECT qid, any_value(target) AS category, sum(rel)::BIGINT AS n_rel,
          sum(CASE WHEN rnk <= 1 THEN rel ELSE 0 END) / 1.0 AS p1,
          sum(CASE WHEN rnk <= 3 THEN rel ELSE 0 END) / 3.0 AS p3,
          sum(CASE WHEN rnk <= 5 THEN rel ELSE 0 END) / 5.0 AS p5,
-         round(coalesce(1.0 / min(CASE WHEN rel = 1 THEN rnk END), 0.0)::DOUBLE, 3) AS rr,
-         round(coalesce(sum(CASE WHEN rel = 1 THEN h::DOUBLE / rnk END ORDER BY rnk) / sum(rel), 0.0)::DOUBLE, 3) AS ap,
+         {_fixed('coalesce(1.0 / min(CASE WHEN rel = 1 THEN rnk END), 0.0)', 3)} AS rr,
+         {_fixed("CASE WHEN sum(rel) = 0 THEN 0.0 ELSE list_reduce([0.0::DOUBLE] || (list(h::DOUBLE / rnk ORDER BY rnk) FILTER (rel = 1)), lambda a, b: a + b) / sum(rel) END", 3)} AS ap,
          string_agg(CASE WHEN rnk <= {fv.TOP_IDS} THEN id::VARCHAR END, ',' ORDER BY rnk) AS top_ids
   FROM hits GROUP BY qid)"""
 

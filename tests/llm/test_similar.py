@@ -1,6 +1,8 @@
 """Near-duplicates and decontamination against brute force."""
 
+import pickle
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -149,3 +151,42 @@ def test_windows_cut_at_the_ends():
     block = decontaminate.Block([(1, item)])
     found = block.search(pa.array([item, item[3:], item[:-3], "", None, "x", prose(2, 30)]))
     assert {k: v for k, v in found.items()} == {0: {0: 0}, 1: {0: 3}, 2: {0: 3}}
+
+
+def test_short_items_are_found_verbatim(spark):
+    items = [(1, "2 + 2 = 4 today?"), (2, "今天天气很好"), (3, "yes"), (4, "long live"), (5, "a very short one")]
+    texts = ["so: 2+2=4, TODAY it is", "2 2 4 todayish", "我说今天天气很好。", "yes", "as long lived", "long-live the", "a very short on", None, ""]
+    found = decontaminate.find_items(frame(spark, list(enumerate(texts))), spark.createDataFrame(items, "item_id long, text string"))
+    got = {r.doc_id: [(h.item_id, h.distance) for h in r.hits] for r in found.collect()}
+    assert got == {0: [(1, 0)], 1: [], 2: [(2, 0)], 3: [], 4: [], 5: [(4, 0)], 6: [], 7: [], 8: []}
+
+
+def test_windows_meet_in_tables_by_length_and_exactly_beyond():
+    """The tables alone keep nine of ten windows edited at the bound in every class of lengths; where
+    they can't reach the target all are checked."""
+    r = random.Random(12)
+    items = [(k, prose(700 + k, n)) for k, n in enumerate([5, 6, 12, 13, 30, 31, 70, 71, 160])]
+    block = decontaminate.Block(items)
+    assert len(block.tables) >= 4
+    for i, t in enumerate(block.texts):
+        tables = block.tables[int(block.octave[i])]
+        windows = {(n, i, 0): (edited(r, t, block.most[i])[:len(t)], 0) for n in range(40)}
+        assert block._meets(sorted(windows), windows, tables).mean() >= 0.9
+    strict = decontaminate.Block(items, recall=1.0, most_tables=8)
+    assert set(strict.tables.values()) == {0}
+    texts = [edited(r, t, block.most[k % len(items)] // 2).decode("utf-8", "replace") for k, t in enumerate(block.texts * 3)]
+    want = {n: d for n, x in enumerate(texts) if (d := decontaminate.distance(
+        block.texts[n % len(items)], decontaminate.normal_text(x), block.most[n % len(items)])) <= block.most[n % len(items)]}
+    found = strict.search(pa.array(texts))
+    assert {n: found[n][n % len(items)] for n in want} == want and len(want) > 20
+
+
+def test_one_long_item_costs_little_memory():
+    item = prose(9, 3500)
+    assert len(item) > 20_000
+    tracemalloc.start()
+    block = decontaminate.Block([(1, item)])
+    found = block.search(pa.array([prose(10, 50) + " " + item[:9000] + "x" + item[9003:] + " tail", item[1000:]]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == {0: {0: 3}, 1: {0: 1000}} and peak < 50 << 20 and len(pickle.dumps(block)) < 10 << 20

@@ -5,7 +5,8 @@ of text around digits and at-signs ("islands"; nothing else can hold these entit
 whole candidate segments of up to ``LONGEST`` tokens by features of the span as a whole, and chooses
 boundaries and types together by dynamic programming (Sarawagi and Cohen, "Semi-Markov conditional
 random fields for information extraction", 2004).  It is trained in numpy on the rules' findings in at
-most ``MAX_ISLANDS`` islands, those with the smallest hashes of each kind and of those without findings.
+most ``MAX_ISLANDS`` islands of at most ``TAUGHT`` characters, those with the smallest hashes of each kind
+and of those without findings; islands of any length are searched, in blocks of tokens.
 A rule takes the longest run and drops it whole where its digits are wrong, so what it left out is no
 negative where a shorter valid span of whole numbers lies inside: such islands don't teach the model.
 It learns what entities look like side by side from ``PAIRS`` findings of each two kinds set next to
@@ -18,8 +19,12 @@ spans, an empty table gives an empty result, repeated rows each get theirs, extr
 
 from __future__ import annotations
 
+import collections
+import functools
 import hashlib
+import itertools
 import re
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +36,7 @@ from lumora.plans.freeze import freeze
 
 KINDS = ("email", "ip", "card", "phone")
 LONGEST = 24
-MAX_ISLANDS = 1500
+MAX_ISLANDS, TAUGHT = 1500, 400
 PAIRS = 20
 MARGIN = 4.0
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -156,92 +161,129 @@ def islands(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def _features(text: str, before: str, after: str, tokens: int) -> list[int]:
-    """Numbers of the features that the span as a whole has."""
-    digits = sum("0" <= c <= "9" for c in text)
-    letters = sum(c.isalpha() for c in text)
-    at = text.count("@")
-    plain = text.replace(" ", "").replace("-", "")
-    flags = (
-        True,
-        at == 1,
-        at == 1 and "." in text[text.find("@"):],
-        at == 1 and text[0] in _LOCAL and " " not in text,
-        at > 1,
-        digits == 0,
-        1 <= digits < 4,
-        4 <= digits < 10,
-        10 <= digits < 14,
-        14 <= digits < 20,
-        digits >= 20,
-        letters > 0,
-        letters > 0 and digits > letters,
-        text[0] == "+",
-        text[0] == "(",
-        text[0].isalnum(),
-        text[-1].isalnum(),
-        " " in text,
-        text.count(".") == 3 and digits + 3 == len(text),
-        text.count(".") > 3,
-        plain.isdigit(),
-        plain.isdigit() and luhn(plain),
-        bool(before) and before[-1].isalnum(),
-        bool(after) and after[0].isalnum(),
-        bool(before) and before[-1] in "@._-+",
-        bool(after) and after[0] in "@-_",
-        len(after) > 1 and after[0] == "." and after[1].isalnum(),
-        len(after) > 1 and after[0] in " -" and after[1].isdigit(),
-        any(c in "=\"'<>/\\|" for c in text),
-        tokens == 1,
-        2 <= tokens < 6,
-        tokens >= 12,
-    )
-    return [i for i, yes in enumerate(flags) if yes]
+FEATURES = 32
+#: Tokens of an island whose segments are in memory at once.
+BLOCK_TOKENS = 1024
 
 
-FEATURES = 32
+def _sums(flags: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
 
 
 class Segments:
-    """The candidate segments of an island: whole tokens, at most LONGEST, with a digit or an at-sign."""
+    """The candidate segments of an island: whole tokens, at most LONGEST, with a digit or an at-sign.
+
+    They are made in blocks of tokens; what their features count are differences of running sums over
+    the block's characters, so an island may be of any length."""
 
     def __init__(self, text: str, lead: int, tail: int) -> None:
-        body = text[lead:len(text) - tail]
-        tokens = [m.span() for m in _TOKEN.finditer(body)]
-        self.n, self.lead = len(tokens), lead
-        self.at: list[tuple[int, int]] = []
-        hits: list[list[int]] = []
-        for i, (a, _) in enumerate(tokens):
-            if body[a].isspace():
-                continue
-            mark = False
-            for j in range(i, min(self.n, i + LONGEST)):
-                b = tokens[j][1]
-                mark = mark or body[tokens[j][0]] in "0123456789@"
-                if mark and (body[b - 1].isalnum()):
-                    self.at.append((i, j + 1))
-                    hits.append(_features(body[a:b], text[:lead + a][-2:], text[lead + b:][:2], j + 1 - i))
-        self.tokens = tokens
-        self.hits = hits
-        self.ends: list[list[int]] = [[] for _ in range(self.n + 1)]
+        self.text, self.lead = text, lead
+        spans = np.fromiter((x for m in _TOKEN.finditer(text, lead, len(text) - tail) for x in m.span()), np.int64)
+        self.tokens = spans.reshape(-1, 2) - lead
+        self.n = len(self.tokens)
+
+    def block(self, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first token, token after the last, features) of the segments that begin in tokens lo to hi - 1."""
+        tokens = self.tokens[lo:hi + LONGEST]
+        if not len(tokens):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, FEATURES))
+        # one character on the left and two on the right are looked at; there are zeros where the text ends
+        begin, end = self.lead + int(tokens[0, 0]) - 1, self.lead + int(tokens[-1, 1]) + 2
+        text = "\0" * max(0, -begin) + self.text[max(0, begin):end] + "\0" * max(0, end - len(self.text))
+        start, stop = (tokens + (self.lead - begin)).T
+        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+        def flags(test):
+            return np.fromiter(map(test, text), bool, len(text))
+
+        def among(characters):
+            return np.isin(code, np.array([ord(c) for c in characters], np.uint32))
+
+        alnum, digit, number = flags(str.isalnum), flags(str.isdigit), (code >= 48) & (code <= 57)
+        marks = _sums((number | (code == 64))[start])
+        i = np.repeat(np.arange(min(len(tokens), hi - lo)), LONGEST)
+        j = i + np.tile(np.arange(1, LONGEST + 1), len(i) // LONGEST)
+        i, j = i[j <= len(tokens)], j[j <= len(tokens)]
+        keep = ~flags(str.isspace)[start[i]] & (marks[j] > marks[i]) & alnum[stop[j - 1] - 1]
+        i, j = i[keep], j[keep]
+        a, b = start[i], stop[j - 1]
+
+        def count(flag):
+            sums = _sums(flag)
+            return sums[b] - sums[a]
+
+        size, digits, letters, at = b - a, count(number), count(flags(str.isalpha)), count(code == 64)
+        dots, spaces, plain = _sums(code == 46), count(code == 32), count(digit)
+        n_dots = dots[b] - dots[a]
+        last_at = np.maximum.accumulate(np.where(code == 64, np.arange(len(code)), 0))[b - 1]
+        # Luhn's sum: digits at an even distance from the last one count as they are, the others doubled
+        d = code[digit].astype(np.int64) - 48
+        doubled, even = np.where(d < 5, 2 * d, 2 * d - 9), np.arange(len(d)) % 2 == 0
+        place, as_even, as_odd = _sums(digit), _sums(np.where(even, d, doubled)), _sums(np.where(even, doubled, d))
+        u, v = place[a], place[b]
+        luhn_sum = np.where(v % 2 == 1, as_even[v] - as_even[u], as_odd[v] - as_odd[u])
+        all_digits = (plain > 0) & (plain + spaces + count(code == 45) == size)
+        tokens_in = j - i
+        features = np.stack([
+            np.ones(len(a), bool),
+            at == 1,
+            (at == 1) & (dots[b] > dots[last_at]),
+            (at == 1) & among(_LOCAL)[a] & (spaces == 0),
+            at > 1,
+            digits == 0,
+            (digits >= 1) & (digits < 4),
+            (digits >= 4) & (digits < 10),
+            (digits >= 10) & (digits < 14),
+            (digits >= 14) & (digits < 20),
+            digits >= 20,
+            letters > 0,
+            (letters > 0) & (digits > letters),
+            code[a] == 43,
+            code[a] == 40,
+            alnum[a],
+            alnum[b - 1],
+            spaces > 0,
+            (n_dots == 3) & (digits + 3 == size),
+            n_dots > 3,
+            all_digits,
+            all_digits & (luhn_sum % 10 == 0),
+            alnum[a - 1],
+            alnum[b],
+            among("@._-+")[a - 1],
+            among("@-_")[b],
+            (code[b] == 46) & alnum[b + 1],
+            ((code[b] == 32) | (code[b] == 45)) & digit[b + 1],
+            count(among("=\"'<>/\\|")) > 0,
+            tokens_in == 1,
+            (tokens_in >= 2) & (tokens_in < 6),
+            tokens_in >= 12,
+        ], axis=1).astype(np.float64)
+        return i + lo, j + lo, features
+
+    @functools.cached_property
+    def whole(self) -> tuple[list[tuple[int, int]], np.ndarray]:
+        """All segments and their features, for islands that are short."""
+        i, j, x = self.block(0, self.n)
+        return list(zip(i.tolist(), j.tolist())), x
+
+    @property
+    def at(self) -> list[tuple[int, int]]:
+        return self.whole[0]
+
+    @functools.cached_property
+    def ends(self) -> list[list[int]]:
+        out: list[list[int]] = [[] for _ in range(self.n + 1)]
         for k, (_, j) in enumerate(self.at):
-            self.ends[j].append(k)
-
-    def matrix(self, lo: int = 0, hi: int | None = None) -> np.ndarray:
-        some = self.hits[lo:hi]
-        x = np.zeros((len(some), FEATURES))
-        for k, at in enumerate(some):
-            x[k, at] = 1
-        return x
+            out[j].append(k)
+        return out
 
     def scores(self, w: np.ndarray) -> np.ndarray:
-        """Scores of all (segment, kind), made in blocks as an island may be long."""
-        parts = [self.matrix(at, at + 8192) @ w for at in range(0, len(self.hits), 8192)]
-        return np.concatenate(parts) if parts else np.zeros((0, w.shape[1]))
+        """Scores of all (segment, kind)."""
+        return self.whole[1] @ w
 
     def labels(self, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
         """(segment, kind) of the spans (start, end, kind) that are segments and don't overlap."""
-        place = {(self.tokens[i][0], self.tokens[j - 1][1]): k for k, (i, j) in enumerate(self.at)}
+        place = {(int(self.tokens[i][0]), int(self.tokens[j - 1][1])): k for k, (i, j) in enumerate(self.at)}
         out, end = [], -1
         for a, b, kind in sorted(spans):
             k = place.get((a, b))
@@ -290,7 +332,7 @@ class SemiMarkov:
         for _ in range(min(60, -(-steps // max(1, len(data))))):
             for at in order.permutation(len(data)):
                 s, gold = data[at]
-                x = s.matrix()
+                x = s.whole[1]
                 g = -(x.T @ self.marginals(s))
                 for k, kind in gold:
                     g[:, kind] += x[k]
@@ -300,26 +342,32 @@ class SemiMarkov:
         return self
 
     def best(self, s: Segments, margin: float = MARGIN) -> list[tuple[int, int, int]]:
-        """(start, end, kind) in the island of the best segmentation's segments that beat ``margin``."""
-        if not s.at:
-            return []
-        score = s.scores(self.w)
-        value, back = np.zeros(s.n + 1), [None] * (s.n + 1)
-        for j in range(1, s.n + 1):
-            value[j] = value[j - 1]
-            for k in s.ends[j]:
-                kind = int(score[k].argmax())
-                if score[k, kind] + value[s.at[k][0]] > value[j]:
-                    value[j], back[j] = score[k, kind] + value[s.at[k][0]], (k, kind)
+        """(start, end, kind) in the island of the best segmentation's segments that beat ``margin``.
+
+        A segment that scores 0 or less is never better than no segment, so only others are kept, and
+        of those only what ends in the block at hand or beyond."""
+        value, back = [0.0] * (s.n + 1), {}
+        ahead = defaultdict(list)
+        for lo in range(0, s.n, BLOCK_TOKENS):
+            hi = min(s.n, lo + BLOCK_TOKENS)
+            first, after, x = s.block(lo, hi)
+            score = x @ self.w
+            top = score.max(1)
+            for k in np.flatnonzero(top > 0).tolist():
+                ahead[int(after[k])].append((int(first[k]), int(score[k].argmax()), float(top[k])))
+            for j in range(lo + 1, hi + 1):
+                value[j] = value[j - 1]
+                for i, kind, z in ahead.pop(j, ()):
+                    if z + value[i] > value[j]:
+                        value[j], back[j] = z + value[i], (i, kind, z)
         out, j = [], s.n
         while j > 0:
-            if back[j] is None:
+            if j not in back:
                 j -= 1
                 continue
-            k, kind = back[j]
-            i = s.at[k][0]
-            if score[k, kind] >= margin:
-                out.append((s.tokens[i][0], s.tokens[j - 1][1], kind))
+            i, kind, z = back[j]
+            if z >= margin:
+                out.append((int(s.tokens[i][0]), int(s.tokens[j - 1][1]), kind))
             j = i
         return out[::-1]
 
@@ -343,13 +391,13 @@ def find(docs: DataFrame) -> DataFrame:
                 base.append([{"start": a, "kind": k, "end": b} for a, k, _, b in spans])
                 some = []
                 if "@" in text or _NUMBER.search(text):
-                    doubts = dropped(text)
+                    doubts = collections.deque(dropped(text))
                     for a, b in islands(text):
                         lead, tail = min(a, AROUND), min(len(text) - b, AROUND)
                         while doubts and doubts[0][1] <= a:
-                            doubts.pop(0)
+                            doubts.popleft()
                         some.append({"start": a, "lead": lead, "tail": tail, "text": text[a - lead:b + tail],
-                                     "doubt": any(x < b and a < y for x, y in doubts[:8])})
+                                     "doubt": any(a < y for _, y in itertools.takewhile(lambda d: d[0] < b, doubts))})
                 found.append(some)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(base, _SPAN), pa.array(found, _ISLAND)],
@@ -371,7 +419,7 @@ def side_by_side(findings: list[list[str]], pairs: int = PAIRS) -> list[tuple[Se
 
 
 def train(found: DataFrame, most: int = MAX_ISLANDS) -> SemiMarkov:
-    pool = (found.select("base", F.explode("islands").alias("i")).filter((F.length("i.text") <= 400) & ~F.col("i.doubt"))
+    pool = (found.select("base", F.explode("islands").alias("i")).filter((F.length("i.text") <= TAUGHT) & ~F.col("i.doubt"))
             .select(F.xxhash64("i.text").alias("h"), "i", F.filter("base", lambda b: (b["start"] >= F.col("i.start")) & (
                 b["end"] <= F.col("i.start") + F.length("i.text"))).alias("b"))
             .dropDuplicates(["h"]))

@@ -6,22 +6,26 @@ repetition, a gated attention learned from document labels weighs the passages,
 of their encodings gives the score.  Labels are of documents only; no passage has one.
 
 The model is trained in numpy on at most ``MAX_DOCS`` labelled documents, those with the smallest
-hashes of their ids, each of at most ``MAX_PASSAGES`` passages; scoring covers all passages.  A NULL
+hashes of their ids, each of at most ``MAX_PASSAGES`` passages, as far as ``ALL_PASSAGES`` go (280 bytes
+each on the driver); scoring covers all passages.  Of texts with one id the one of the smallest hash teaches.  A NULL
 or empty text is one empty passage; without labels of both kinds the score is the labels' share (0.5
 without any).  Of contradicting labels of a document the lower counts.  Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumora.llm.common import U64, in_train, pieces, words
+from lumora.plans.freeze import freeze
 
 PASSAGE = 64
-MAX_DOCS, MAX_PASSAGES = 6000, 4096
+MAX_DOCS, MAX_PASSAGES, ALL_PASSAGES = 6000, 4096, 400_000
 FOLDS = 5
 THRESHOLD = 0.3
 ENCODED, ATTENTION = 24, 12
@@ -56,13 +60,17 @@ def passages(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     place = np.arange(len(h)) - (np.cumsum(count) - count)[doc]
     passage = bounds[doc] + place // PASSAGE
     many = np.maximum(1, np.bincount(passage, minlength=total)).astype(np.float32)
-    # byte-class pairs: a byte belongs to the passage of the last word that began before it
-    owner = np.zeros(len(data), np.int64)
-    owner[start] = 1
-    owner = passage[np.maximum(np.cumsum(owner) - 1, 0)]
+    # byte-class pairs: a byte belongs to the passage of the last word that began before it in its document,
+    # or to the document's first passage; without words nothing is counted
+    where = np.repeat(np.arange(n), np.diff(offsets))
+    word = np.zeros(len(data), np.int64)
+    word[start] = 1
+    word = np.maximum(np.cumsum(word) - 1, 0)
+    owner = np.where((doc[word] == where) & (start[word] <= np.arange(len(data))), passage[word], bounds[where])
     kind = _CLASS[data]
-    pair = np.bincount(owner[:-1] * _CLASSES * _CLASSES + kind[:-1] * _CLASSES + kind[1:], minlength=total * _CLASSES * _CLASSES)
-    pair = pair.reshape(total, -1)[:total].astype(np.float32)
+    inside = (where[1:] == where[:-1]) & (count[where[:-1]] > 0)
+    pair = (owner[:-1] * _CLASSES * _CLASSES + kind[:-1] * _CLASSES + kind[1:])[inside]
+    pair = np.bincount(pair, minlength=total * _CLASSES * _CLASSES).reshape(total, -1).astype(np.float32)
     out[:, :_CLASSES * _CLASSES] = np.sqrt(pair / np.maximum(1, pair.sum(1, keepdims=True)))
     # repetition: of the word before, of the words two before, of any word in the passage
     def share(flag):
@@ -78,7 +86,7 @@ def passages(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     out[:, k], out[:, k + 1], out[:, k + 2] = share(near), share(far), share(again)
     out[:, k + 3] = np.bincount(passage, weights=end - start, minlength=total) / many / 10
     out[:, k + 4] = share(end - start == 1)
-    out[:, k + 5] = np.log1p(many) / 4
+    out[:, k + 5] = np.log1p(np.bincount(passage, minlength=total)) / 4
     return bounds, out
 
 
@@ -169,12 +177,17 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Bags:
                 bounds, x = passages(data, offsets)
                 few = [k for k in range(j - i) if bounds[k + 1] - bounds[k] <= MAX_PASSAGES]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i).take(pa.array(few, pa.int64())),
-                     pa.array([x[bounds[k]:bounds[k + 1]].tobytes() for k in few], pa.binary())], ["quality", "bag"])
-
-    found = (docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-             .join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("quality", "text")
-             .mapInArrow(run, "quality int, bag binary").collect())
+                    [batch.column(k).slice(i, j - i).take(pa.array(few, pa.int64())) for k in (0, 2)]
+                    + [pa.array([x[bounds[k]:bounds[k + 1]].tobytes() for k in few], pa.binary())], ["doc_id", "quality", "bag"])
+
+    sample = freeze(docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+                    .join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(
+                        F.min_by("text", F.xxhash64("text")).alias("text"), F.first("quality").alias("quality"))
+                    .mapInArrow(run, "doc_id long, quality int, bag binary"))
+    sizes = sample.select("doc_id", F.octet_length("bag").alias("size")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    used = sum(x <= ALL_PASSAGES * 4 * FEATURES for x in itertools.accumulate(r["size"] for r in sizes))
+    found = sample if used == len(sizes) else sample.filter(F.col("doc_id").isin([r["doc_id"] for r in sizes[:used]]))
+    found = found.select("quality", "bag").collect()
     bags = sorted((r["quality"], bytes(r["bag"])) for r in found)
     return Bags().fit([np.frombuffer(b, np.float32).reshape(-1, FEATURES) for _, b in bags],
                       np.array([q for q, _ in bags], np.float32))

@@ -5,10 +5,13 @@ import hashlib
 import math
 import random
 import re
+import time
+import tracemalloc
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from data import awkward as rows_of, frame, prose, tokens
 
 from lumora.llm import lm_score, pii, quality, secret_scan
@@ -126,6 +129,72 @@ def test_long_candidates_are_seen_whole():
     assert x.shape[0] == 3 and (x[2, secret_scan.CONTEXT:secret_scan.CONTEXT + 22] == ord("a")).all()
 
 
+def slow_features(text, before, after, n):
+    digits, letters, at = len(digits_of(text)), sum(c.isalpha() for c in text), text.count("@")
+    plain = text.replace(" ", "").replace("-", "")
+    check = sum(d if k % 2 == 0 else (2 * d if d < 5 else 2 * d - 9) for k, d in enumerate(ord(c) - 48 for c in reversed(plain)))
+    local = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+    return [True, at == 1, at == 1 and "." in text[text.find("@"):], at == 1 and text[0] in local and " " not in text, at > 1,
+            digits == 0, 1 <= digits < 4, 4 <= digits < 10, 10 <= digits < 14, 14 <= digits < 20, digits >= 20,
+            letters > 0, letters > 0 and digits > letters, text[0] == "+", text[0] == "(", text[0].isalnum(), text[-1].isalnum(),
+            " " in text, text.count(".") == 3 and digits + 3 == len(text), text.count(".") > 3, plain.isdigit(),
+            plain.isdigit() and check % 10 == 0, before[-1:].isalnum(), after[:1].isalnum(), before[-1:] in tuple("@._-+"),
+            after[:1] in ("@", "-", "_"), after[:1] == "." and after[1:2].isalnum(), after[:1] in (" ", "-") and after[1:2].isdigit(),
+            any(c in "=\"'<>/\\|" for c in text), n == 1, 2 <= n < 6, n >= 12]
+
+
+def digits_of(text):
+    return re.sub("[^0-9]", "", text)
+
+
+def slow_segments(text, lead, tail):
+    body = text[lead:len(text) - tail]
+    tokens = [m.span() for m in re.finditer("[A-Za-z]+|[0-9]+|[^A-Za-z0-9]", body)]
+    out = {}
+    for i, (a, _) in enumerate(tokens):
+        for j in range(i + 1, min(len(tokens), i + pii.LONGEST) + 1):
+            b = tokens[j - 1][1]
+            if not body[a].isspace() and body[b - 1].isalnum() and any(body[x] in "0123456789@" for x, _ in tokens[i:j]):
+                out[i, j] = slow_features(body[a:b], text[:lead + a], text[lead + b:], j - i)
+    return out
+
+
+def test_segments_equal_those_written_out(monkeypatch):
+    r = random.Random(5)
+    parts = ["1", "25", "4111111111111111", "a", "Bc", "é", "²", "@", ".", "-", "+", "(", ")", " ", " ", "=", "/", "\xa0", "_", "\0", "🎉"]
+    for n in range(120):
+        text = "".join(r.choice(parts) for _ in range(r.randrange(1, 60)))
+        lead, tail = r.randrange(min(4, len(text))), 0 if n % 3 else min(2, len(text) // 4)
+        s, want = pii.Segments(text, lead, tail), slow_segments(text, lead, tail)
+        assert s.at == sorted(want) and np.array_equal(s.whole[1].astype(bool), np.array([want[x] for x in s.at]).reshape(-1, pii.FEATURES))
+        model = pii.SemiMarkov()
+        model.w = np.random.default_rng(n).normal(0, 1, model.w.shape)
+        monkeypatch.setattr(pii, "BLOCK_TOKENS", 1024)
+        best = model.best(s, 0.5)
+        monkeypatch.setattr(pii, "BLOCK_TOKENS", 3)
+        assert model.best(s, 0.5) == best
+        # the best segmentation's worth, by a table over all segments
+        value, top = [0.0] * (s.n + 1), s.scores(model.w).max(1, initial=-np.inf)
+        for j in range(1, s.n + 1):
+            value[j] = max([value[j - 1]] + [value[s.at[k][0]] + top[k] for k in s.ends[j]])
+        score = {(int(s.tokens[i][0]), int(s.tokens[j - 1][1])): x for (i, j), x in zip(s.at, s.scores(model.w))}
+        assert abs(sum(score[a, b][k] for a, b, k in model.best(s, 0.0)) - value[s.n]) < 1e-9
+
+
+def test_an_island_may_be_long():
+    """A megabyte of numbers is one island of three million segments."""
+    text = " ".join(str(k) for k in range(100_000, 250_000))
+    model = pii.SemiMarkov()
+    tracemalloc.start()
+    started, ours = time.process_time(), pii.Segments(f"{text} 4111111111111111 ", 0, 1)
+    model.w[21, 2] = 5.0                           # a card is what passes Luhn
+    model.w[10, 2] = model.w[8, 2] = model.w[7, 2] = model.w[6, 2] = -9.0
+    assert ours.n > 250_000 and (len(text) + 1, len(text) + 17, 2) in model.best(ours, 0.0)
+    peak, spent = tracemalloc.get_traced_memory()[1], time.process_time() - started
+    tracemalloc.stop()
+    assert peak < 200 << 20 and spent < 60
+
+
 def test_semi_markov_gradient_and_marginals():
     """Marginals equal those of all segmentations written out."""
     s = pii.Segments("a 12.5@b c", 0, 0)
@@ -150,6 +219,28 @@ def test_semi_markov_gradient_and_marginals():
     assert np.allclose(model.marginals(s), mass / total)
 
 
+def test_the_best_tile_of_a_candidate_counts(monkeypatch):
+    network, r = secret_scan.Network(), random.Random(3)
+    some = [(prose(i, 3), "".join(r.choice("abcXYZ019+/=") for _ in range(r.choice((6, 64, 65, 400)))), prose(i + 1, 3)) for i in range(60)]
+    want = [network.logits(secret_scan.tiles(*x)).max() for x in some]
+    assert np.allclose(network.highest(some), want)
+    monkeypatch.setattr(secret_scan, "TILES", 5)
+    assert np.allclose(network.highest(iter(some)), want) and len(network.highest([])) == 0
+
+
+def test_secrets_longer_than_a_tile(spark):
+    """Long findings teach by any of their tiles and are judged by the best one, as are held-back ones."""
+    r = random.Random(14)
+    value = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(n))
+    known = [(i, f"{prose(i, 10)} secret = {value(r.choice((24, 90, 200)))} {prose(i + 1, 8)} {''.join(prose(i + 3, 60).split())}") for i in range(400)]
+    bare = [(1000 + i, f"{prose(i, 12)} {value(100)} {prose(i + 5, 9)}") for i in range(40)]
+    late = [(3000 + i, f"{prose(i, 12)} {''.join(prose(i + 7, 40).split())}{value(100)} {prose(i + 5, 9)}") for i in range(40)]
+    words = [(2000 + i, f"{prose(i, 12)} {''.join(prose(i + 9, 90).split())} {prose(i, 5)}") for i in range(40)]
+    got = {x.doc_id: x for x in secret_scan.find_secrets(frame(spark, known + bare + words + late)).collect()}
+    assert sum(got[i].n_added for i, _ in bare) >= 30 and sum(got[i].n_added for i, _ in words) <= 4
+    assert sum(got[i].n_added for i, _ in late) >= 10      # their first tiles are words and show nothing
+
+
 def test_semi_markov_finds_the_rules_spans(documents):
     found = pii.find(documents)
     model, right, wrong = pii.train(found), 0, 0
@@ -210,6 +301,57 @@ def test_quality(spark, documents, awkward, nothing):
     assert quality.accepted(awkward, labels).columns == awkward.columns
 
 
+def slow_quality(model, text):
+    """The score of one text by the definition, passage by passage."""
+    data = text.encode()
+    kind = [7 if c >= 128 else 0 if chr(c).islower() else 1 if chr(c).isupper() else 2 if chr(c).isdigit() else 3 if c == 32 else
+            4 if 9 <= c <= 13 else 5 if chr(c) in ".,;:'?" else 6 for c in data]
+    found = list(re.finditer(rb"[^\x20\x09-\x0d]+", data))
+    rows = []
+    for k in range(max(1, -(-len(found) // quality.PASSAGE))):
+        mine = found[k * quality.PASSAGE:(k + 1) * quality.PASSAGE]
+        if not mine:
+            rows.append([0.0] * quality.FEATURES)
+            continue
+        after = found[(k + 1) * quality.PASSAGE].start() if (k + 1) * quality.PASSAGE < len(found) else len(data)
+        pairs = collections.Counter((kind[at], kind[at + 1]) for at in range(0 if k == 0 else mine[0].start(), min(after, len(data) - 1)))
+        all_, w = max(1, sum(pairs.values())), [m[0] for m in mine]
+        first = [math.sqrt(pairs[x, y] / all_) for x in range(8) for y in range(8)]
+        rows.append(first + [sum(x == y for x, y in zip(w, w[1:])) / len(w), sum(x == y for x, y in zip(w, w[2:])) / len(w),
+                             1 - len(set(w)) / len(w), sum(map(len, w)) / len(w) / 10, sum(len(x) == 1 for x in w) / len(w),
+                             math.log1p(len(w)) / 4])
+    p, x = model.p, (np.array(rows) - model.mean) / model.scale
+    h = [np.maximum(row @ p["W"] + p["b"], 0) for row in x]
+    gate = np.array([float((np.tanh(v @ p["V"]) / (1 + np.exp(-(v @ p["U"])))) @ p["a"][:, 0]) for v in h])
+    weight = np.exp(gate - gate.max()) / np.exp(gate - gate.max()).sum()
+    z = sum(a * v for a, v in zip(weight, h))
+    return 1 / (1 + math.exp(-float(z @ p["w"][:, 0] + p["c"][0])))
+
+
+def test_quality_scores_equal_slow_ones(spark, documents):
+    """Of every row, whatever rows stand beside it."""
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    some = [(r.doc_id, r.text) for r in documents.limit(60).collect()]
+    rows = some + [(90_000 + i, f" \n {t} \n ") for i, t in some if t] + [(i + 95_000, t) for i, t in rows_of() if i and 0 < i < 100]
+    docs = frame(spark, rows).select("doc_id", "text")
+    every = documents.select("doc_id", "text").union(docs.filter("doc_id >= 90000"))
+    model, texts = quality.fit(every, labels), dict(rows)
+    for parts in (1, 7):
+        got = {r.doc_id: r.score for r in quality.score(every.repartition(parts), labels).collect() if r.doc_id in texts}
+        assert len(got) == len(texts)
+        assert all(abs(got[i] - slow_quality(model, t or "")) < 1e-4 for i, t in texts.items())
+
+
+def test_quality_sample_is_bounded_and_the_same_every_time(spark, documents, monkeypatch):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    twice = documents.select("doc_id", "text").union(documents.select("doc_id", F.lower("text").alias("text")))
+    one, two = (quality.fit(x, labels).p for x in (twice.repartition(5), twice.repartition(3)))
+    assert all(np.array_equal(one[k], two[k]) for k in one)
+    monkeypatch.setattr(quality, "ALL_PASSAGES", 300)
+    few = quality.fit(documents, labels)
+    assert any(not np.array_equal(few.p[k], one[k]) for k in one)
+
+
 def test_quality_gradient():
     r = np.random.default_rng(1)
     model = quality.Bags(5)

@@ -5,13 +5,18 @@ Mnih and Teh, "A fast and simple algorithm for training neural probabilistic lan
 predicts the class of each token from the ``ORDER`` tokens before it: their vectors, each scaled by
 its position's weights, add up to a predicted vector, whose products with the classes' vectors plus
 biases are the scores.  The most frequent tokens are classes of their own; the others share ``BUCKETS``
-classes by their last bytes, within which a token's probability is its smoothed share of the class.
-Scoring divides by the sum over all classes (one matrix product per block of tokens), so a text's
-probability is a product of normalised conditional ones.
+classes by their last bytes.  Of those, ``MEMBERS`` times the square root of the number of distinct
+tokens, the next most frequent ones, have vectors of their own: as contexts, and as members of their
+class, of which the predicted vector says which one comes, or that it is one of the rest.  Within the
+rest a token's probability is its smoothed share.  Scoring divides by the sum over all classes, and by
+the sum over the members of the class (a matrix product per block of tokens, and one per class), so a
+text's probability is a product of normalised conditional ones.  Classes and members both learn by
+noise-contrastive estimation; noise for a member comes from its class.
 
 1. Counts of all training tokens are summed per task, then shuffled by token.
 2. Every training document is used for training once: tasks start from the same parameters, make
-   steps over their own documents, and the parameters are averaged, weighted by tokens, in Spark;
+   steps over their own documents, and the parameters are averaged, weighted by tokens, in Spark, by
+   parts of the model;
    the second half of the documents starts from the average of the first.
 3. Texts are encoded once, as numbers of classes, and written; training and scoring read those.  Encoding looks up
    frequent tokens in a table of ``HEAD`` counts sent to the tasks; the others, once
@@ -37,21 +42,27 @@ from lumora.plans.freeze import freeze
 
 FOLDS = 10
 ORDER, VECTOR = 4, 24
-WORDS, BUCKETS = 128, 128
+WORDS, BUCKETS, MEMBERS = 128, 128, 8
 HEAD = 131_072
-NOISE, BATCH, RATE = 32, 512, 0.2
+NOISE, BATCH, RATE = 32, 1024, 0.2
+#: Tokens in a row that a step takes from a text.
+SEGMENT = 64
+#: Noise samples for each member, and the weight of a member's gradient in a step (a class has 1 / batch).
+INNER_NOISE, INNER_WEIGHT = 1, 0.3
+#: Parameters averaged as one row.
+PART = 4096
 ROUNDS = 2
-#: Tokens whose scores are in memory at once, and tokens whose contexts are.
+#: Tokens whose scores are in memory at once, and tokens whose predicted vectors are; bytes of text tokenised at once.
 BLOCK = 512
-RUN = 200_000
+RUN, TEXT = 200_000, 1 << 18
 #: Hash of the end token, which no word has but by chance.
 END = U64(0x0123456789ABCDEF)
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, hash, bucket) of all tokens, each document's end last."""
-    n = len(offsets) - 1
-    start, stop, doc, h = words(lower_ascii(data), offsets)
+    n, data = len(offsets) - 1, lower_ascii(data)
+    start, stop, doc, h = words(data, offsets)
     tail = np.zeros(len(h), U64)
     for k in range(1, 4):
         tail = tail * U64(257) + np.where(stop - k >= start, data[np.maximum(stop - k, 0)], 0).astype(U64)
@@ -78,7 +89,7 @@ def count_words(docs: DataFrame) -> DataFrame:
 
         held = []
         for batch in batches:
-            for _, _, data, offsets in pieces(batch.column(0)):
+            for _, _, data, offsets in pieces(batch.column(0), TEXT):
                 _, h, bucket = tokens(data, offsets)
                 held.append((h, bucket, np.ones(len(h), np.int64)))
                 if sum(len(x[0]) for x in held) > 1_500_000:
@@ -101,17 +112,20 @@ class Vocabulary:
     distinct: int
     head: np.ndarray          # sorted hashes
     count: np.ndarray         # their counts
-    own: np.ndarray           # their own class, or -1
-    mass: np.ndarray          # per class: the logarithm (base 10) of what a token's count is divided by
+    own: np.ndarray           # their own code, or -1
+    mass: np.ndarray          # per class: the logarithm (base 10) of what the count of a token without its own code is divided by
     noise: np.ndarray         # per class: its share of the training tokens, smoothed
     words: int                # classes of one token
+    member: np.ndarray        # per member, by class: its class
+    share: np.ndarray         # per member: its count
 
     @property
     def classes(self) -> int:
         return self.words + BUCKETS
 
     def look_up(self, h: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(class, count or -1 where the token isn't frequent) of each token."""
+        """(code, count or -1 where the token isn't frequent) of each token: codes of members follow those
+        of the classes, whose codes mean the class's only token or one of its rest."""
         if not len(self.head):
             return self.words + bucket, np.full(len(h), -1)
         at = np.minimum(np.searchsorted(self.head, h), len(self.head) - 1)
@@ -119,6 +133,10 @@ class Vocabulary:
         own = np.where(hit, self.own[at], -1)
         return np.where(own >= 0, own, self.words + bucket), np.where(hit, self.count[at], -1)
 
+    def model(self) -> LogBilinear:
+        rest = np.where(np.arange(self.classes) < self.words, 0, 10 ** self.mass)
+        return LogBilinear(self.noise, self.member, self.share, rest)
+
 
 def vocabulary(counts: DataFrame, head: int = HEAD) -> Vocabulary:
     total, distinct = counts.agg(F.sum("c"), F.count(F.lit(1))).first()
@@ -130,28 +148,57 @@ def vocabulary(counts: DataFrame, head: int = HEAD) -> Vocabulary:
     n = min(WORDS, len(h))
     np.subtract.at(m, bucket[:n], c[:n])
     np.subtract.at(v, bucket[:n], 1)
+    share = np.concatenate([c[:n], m]) + 1.0
+    inner = np.arange(n, min(len(h), n + int(MEMBERS * distinct ** 0.5)))
+    inner = inner[np.argsort(bucket[inner], kind="stable")]
+    np.subtract.at(m, bucket[inner], c[inner])
+    np.subtract.at(v, bucket[inner], 1)
     own = np.full(len(h), -1)
     own[:n] = np.arange(n)
+    own[inner] = n + BUCKETS + np.arange(len(inner))
     order = np.argsort(h.view(U64))
-    share = np.concatenate([c[:n], m]) + 1.0
     return Vocabulary(total or 0, distinct, h.view(U64)[order], c[order], own[order],
-                      np.concatenate([np.zeros(n), np.log10(m + 0.1 * (v + 1))]), share / share.sum(), n)
+                      np.concatenate([np.zeros(n), np.log10(m + 0.1 * (v + 1))]), share / share.sum(), n,
+                      n + bucket[inner].astype(np.int64), c[inner].astype(np.float64))
 
 
 class LogBilinear:
-    """R: vectors of classes before a token (the last one stands for the text's start); D: weights of
-    positions; Q, b: vectors and biases of predicted classes."""
+    """R: vectors of codes before a token (the last one stands for the text's start); D: weights of
+    positions; Q, b: vectors and biases of predicted classes; S: vectors of the members of classes, and of
+    the rest after them, their biases last."""
 
-    NAMES = ("R", "D", "Q", "b")
+    NAMES = ("R", "D", "Q", "b", "S")
 
-    def __init__(self, noise: np.ndarray, seed: int = 2) -> None:
+    def __init__(self, noise: np.ndarray, member: np.ndarray = np.zeros(0, np.int64), count: np.ndarray = np.zeros(0),
+                 rest: np.ndarray | None = None, seed: int = 2) -> None:
+        """``member``: the class of each member, in order; ``count``: theirs; ``rest``: the count of each class's rest."""
         r, n = np.random.default_rng(seed), len(noise)
         self.noise = noise
         self.up_to = np.cumsum(noise)
         self.log_k = np.log(NOISE * noise).astype(np.float32)
-        self.p = {"R": r.normal(0, 0.3, (n + 1, VECTOR)).astype(np.float32),
+        # places of the second level: the members of a class, then its rest
+        inside = np.bincount(member, minlength=n)
+        self.width = np.where(inside > 0, inside + 1, 0)
+        self.first = np.cumsum(self.width) - self.width
+        self.start = n + len(member)                     # the code of a text's start, which is never predicted
+        self.top = np.concatenate([np.arange(n), member, [0]])
+        own = self.first[member] + np.arange(len(member)) - (np.cumsum(inside) - inside)[member]
+        self.place = np.concatenate([np.where(inside > 0, self.first + inside, -1), own, [-1]])
+        share = np.zeros(int(self.width.sum()))
+        share[own] = count
+        if len(member):
+            share[self.place[:n][inside > 0]] = rest[inside > 0]
+            sums = np.add.reduceat(share, self.first[inside > 0])
+            share /= np.repeat(sums, self.width[inside > 0])
+        self.order = np.cumsum(inside > 0) - 1          # of a class among those with members
+        self.inner_up_to = np.cumsum(share)
+        self.inner_log_k = np.log(INNER_NOISE * share).astype(np.float32)
+        before = r.normal(0, 0.3, (n + 1, VECTOR)).astype(np.float32)
+        self.p = {"R": np.concatenate([before[self.top[:-1]], before[n:]]),
                   "D": np.full((ORDER, VECTOR), 0.5, np.float32),
-                  "Q": r.normal(0, 0.3, (n, VECTOR)).astype(np.float32), "b": np.log(noise).astype(np.float32)}
+                  "Q": r.normal(0, 0.3, (n, VECTOR)).astype(np.float32), "b": np.log(noise).astype(np.float32),
+                  "S": np.zeros((len(share), VECTOR + 1), np.float32)}
+        self.p["S"][:, VECTOR] = np.log(share)
         self.square = {k: np.full_like(v, 1e-2) for k, v in self.p.items()}
 
     def flat(self) -> np.ndarray:
@@ -161,99 +208,153 @@ class LogBilinear:
         at = 0
         for k in self.NAMES:
             size = self.p[k].size
-            self.p[k] = np.asarray(x[at:at + size], np.float32).reshape(self.p[k].shape)
+            self.p[k] = np.array(x[at:at + size], np.float32).reshape(self.p[k].shape)
             at += size
         return self
 
-    def contexts(self, doc: np.ndarray, cls: np.ndarray) -> np.ndarray:
-        """The ORDER classes before each token; the start's where the document begins."""
-        out = np.full((len(cls), ORDER), len(self.noise), np.int64)
-        for k in range(1, ORDER + 1):
-            same = np.flatnonzero(doc[k:] == doc[:-k]) + k
-            out[same, k - 1] = cls[same - k]
-        return out
-
-    def predict(self, context: np.ndarray) -> np.ndarray:
-        r = self.p["R"][context[:, 0]] * self.p["D"][0]
-        for k in range(1, ORDER):
-            r += self.p["R"][context[:, k]] * self.p["D"][k]
+    def _along(self, before: np.ndarray) -> np.ndarray:
+        """The predicted vectors of rows of codes, of which the first ORDER are context only."""
+        r = before[:, ORDER - 1:-1] * self.p["D"][0]
+        for k in range(2, ORDER + 1):
+            r += before[:, ORDER - k:-k] * self.p["D"][k - 1]
         return r
 
-    def step(self, context: np.ndarray, target: np.ndarray, random: np.random.Generator) -> None:
-        """One step of noise-contrastive estimation: the noise samples serve the whole batch."""
-        p, n = self.p, len(target)
+    def _move(self, name: str, at: np.ndarray | slice, d: np.ndarray) -> None:
+        square = self.square[name][at] + d * d
+        self.square[name][at] = square
+        self.p[name][at] -= RATE * d / np.sqrt(square)
+
+    def step(self, codes: np.ndarray, random: np.random.Generator) -> None:
+        """One step of noise-contrastive estimation on rows of codes, of which the first ORDER are context
+        only: the noise samples of classes serve the whole batch."""
+        p, code = self.p, codes[:, ORDER:].reshape(-1)
+        real, target = (code < self.start).astype(np.float32), self.top[code]
+        n = max(1, int(real.sum()))
         other = np.searchsorted(self.up_to, random.random(NOISE)).clip(0, len(self.noise) - 1)
         bias = p["b"] - self.log_k
-        before = p["R"][context]
-        r = np.einsum("nkd,kd->nd", before, p["D"])
-        mine = np.einsum("ij,ij->i", r, p["Q"][target]) + bias[target]
+        before = p["R"].take(codes, axis=0)
+        r = self._along(before).reshape(-1, VECTOR)
+        q = p["Q"].take(target, axis=0)
+        mine = np.einsum("ij,ij->i", r, q) + bias[target]
         theirs = r @ p["Q"][other].T + bias[other]
-        g_mine = -1 / (1 + np.exp(np.clip(mine, -30, 30)))
-        g_theirs = 1 / (1 + np.exp(-np.clip(theirs, -30, 30)))
-        dr = g_mine[:, None] * p["Q"][target] + g_theirs @ p["Q"][other]
+        g_mine = -real / (1 + np.exp(np.clip(mine, -30, 30)))
+        g_theirs = real[:, None] / (1 + np.exp(-np.clip(theirs, -30, 30)))
+        dr = g_mine[:, None] * q + g_theirs @ p["Q"][other]
         toward = np.concatenate([r * g_mine[:, None], g_mine[:, None]], axis=1)
-        g_q = _scatter(target, toward, len(p["Q"]))
-        g = {"Q": g_q[:, :VECTOR], "b": g_q[:, VECTOR], "D": np.einsum("nkd,nd->kd", before, dr),
-             "R": _scatter(context.reshape(-1), (dr[:, None, :] * p["D"]).reshape(-1, VECTOR), len(p["R"]))}
-        np.add.at(g["Q"], other, g_theirs.T @ r)
-        np.add.at(g["b"], other, g_theirs.sum(0))
-        for k in p:
-            d = g[k] / n
-            self.square[k] += d * d
-            p[k] -= RATE * d / np.sqrt(self.square[k])
-
-    def log10(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """The normalised log10 probability of each target class."""
-        out = np.empty(len(target))
+        g_q = np.zeros((len(p["Q"]), VECTOR + 1), np.float32)
+        at, sums = _sums(target, toward, len(g_q))
+        g_q[at] = sums
+        np.add.at(g_q, other, np.concatenate([g_theirs.T @ r, g_theirs.sum(0)[:, None]], axis=1))
+        inner = self._inner(r, code, dr, random)
+        dr = dr.reshape(len(codes), -1, VECTOR)
+        g_before, g_d = np.zeros_like(before), np.empty_like(p["D"])
+        for k in range(1, ORDER + 1):
+            g_d[k - 1] = np.einsum("msd,msd->d", before[:, ORDER - k:-k], dr)
+            g_before[:, ORDER - k:-k] += dr * p["D"][k - 1]
+        at, sums = _sums(codes.reshape(-1), g_before.reshape(-1, VECTOR), len(p["R"]))
+        weight = np.where((at < len(self.noise)) | (at == self.start), 1 / n, INNER_WEIGHT).astype(np.float32)
+        self._move("R", at, sums * weight[:, None])
+        self._move("Q", slice(None), g_q[:, :VECTOR] / n)
+        self._move("b", slice(None), g_q[:, VECTOR] / n)
+        self._move("D", slice(None), g_d / n)
+        if inner:
+            self._move("S", *inner)
+
+    def _inner(self, r: np.ndarray, code: np.ndarray, dr: np.ndarray, random: np.random.Generator):
+        """(places, gradients) of the second level, whose part of the gradient of ``r`` is added to ``dr``."""
+        place = self.place[code]
+        some = np.flatnonzero(place >= 0)
+        if not len(some):
+            return None
+        cls = self.top[code[some]]
+        drawn = np.searchsorted(self.inner_up_to, self.order[cls][:, None] + random.random((len(some), INNER_NOISE)))
+        first = self.first[cls][:, None]
+        at = np.concatenate([place[some, None], np.clip(drawn, first, first + self.width[cls][:, None] - 1)], axis=1)
+        vectors = self.p["S"][at]
+        mine = np.ones((len(some), VECTOR + 1), np.float32)
+        mine[:, :VECTOR] = r[some]
+        z = np.einsum("nkd,nd->nk", vectors, mine) - self.inner_log_k[at]
+        g = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        g[:, 0] -= 1
+        dr[some] += np.einsum("nk,nkd->nd", g, vectors[:, :, :VECTOR])
+        at, sums = _sums(at.reshape(-1), (g[:, :, None] * mine[:, None, :]).reshape(-1, VECTOR + 1), len(self.p["S"]))
+        return at, sums * np.float32(INNER_WEIGHT)
+
+    def log10(self, context: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The normalised log10 probability of each code after its context: the ORDER codes before it, the nearest first."""
+        rows_ = np.concatenate([context[:, ::-1], np.asarray(code)[:, None]], axis=1)
+        return self._log10(self._along(self.p["R"][rows_])[:, 0], code)
+
+    def log10_along(self, codes: np.ndarray) -> np.ndarray:
+        """The same for each code of a sequence but the first ORDER ones, which are context."""
+        return self._log10(self._along(self.p["R"].take(codes, axis=0)[None])[0], codes[ORDER:])
+
+    def _log10(self, predicted: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """Of each code's class, and of itself within the class."""
+        out, target = np.empty(len(code)), self.top[code]
         weights = np.vstack([self.p["Q"].T, self.p["b"]])           # the bias is one more component
-        ones, r = np.ones(weights.shape[1], np.float32), np.ones((BLOCK, VECTOR + 1), np.float32)
-        for at in range(0, len(target), BLOCK):
-            n = len(context[at:at + BLOCK])
-            r[:n, :VECTOR] = self.predict(context[at:at + BLOCK])
-            score = r[:n] @ weights
-            mine, top = score[np.arange(n), target[at:at + BLOCK]].astype(np.float64), 0.0
-            if score.max() > 50:                                     # else sums of exponentials are safe as they are
-                top = score.max(1, keepdims=True)
-                score -= top
-                top = top[:, 0]
-            np.exp(score, out=score)
-            out[at:at + BLOCK] = mine - top - np.log(score @ ones)
+        r = np.ones((len(code), VECTOR + 1), np.float32)
+        r[:, :VECTOR] = predicted
+        for at in range(0, len(code), BLOCK):
+            out[at:at + BLOCK] = _log_share(r[at:at + BLOCK] @ weights, target[at:at + BLOCK])
+        # the second level, class by class
+        place = self.place[code]
+        some = np.flatnonzero(place >= 0)
+        some = some[np.argsort(target[some].astype(np.uint16), kind="stable")]
+        ends = np.flatnonzero(np.append(target[some][1:] != target[some][:-1], True)) + 1 if len(some) else []
+        for lo, hi in zip([0, *ends[:-1]], ends):
+            first, width = (int(x[target[some[lo]]]) for x in (self.first, self.width))
+            inner = self.p["S"][first:first + width].T.copy()
+            size = max(1, BLOCK * len(self.noise) // width)
+            for at in range(lo, hi, size):
+                mine = some[at:min(hi, at + size)]
+                out[mine] += _log_share(r[mine] @ inner, place[mine] - first)
         return out / np.log(10)
 
 
-def _scatter(at: np.ndarray, x: np.ndarray, n: int) -> np.ndarray:
-    """Sums of the rows of x by ``at``: rows sorted (by radix, as there are few classes) and added up by run."""
-    order = np.argsort(at.astype(np.uint16), kind="stable")
+def _log_share(score: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """The logarithm of the softmax at ``target``; ``score`` is overwritten."""
+    mine, top = score[np.arange(len(score)), target].astype(np.float64), 0.0
+    if score.max() > 50 or score.min() < -50:                    # else sums of exponentials are safe as they are
+        top = score.max(1, keepdims=True)
+        score -= top
+        top = top[:, 0]
+    np.exp(score, out=score)
+    return mine - top - np.log(score @ np.ones(score.shape[1], np.float32))
+
+
+def _sums(at: np.ndarray, x: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct values of ``at``, which are below n; the sums of their rows of x): rows sorted (by radix, if they are few) and added up by run."""
+    order = np.argsort(at.astype(np.uint16) if n < 1 << 16 else at, kind="stable")
     at = at[order]
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    out = np.zeros((n, x.shape[1]), np.float32)
-    out[at[first]] = np.add.reduceat(x[order], first, axis=0)
-    return out
+    return at[first], np.add.reduceat(x[order], first, axis=0)
 
 
 _ENCODED = ("rid long, doc_id long, held_out boolean, part int, n_tokens long, known long, base double, within double, "
-            "cls array<short>, tail array<struct<h:long,n:int>>")
+            "code array<int>, tail array<struct<h:long,n:int>>")
 
 
 def encode(docs: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> DataFrame:
-    """Every text as classes, with all of its score that counts alone give, written.
+    """Every text as codes, with all of its score that counts alone give, written.
 
     ``part`` says which round a training text serves in; ``tail`` has the tokens that aren't frequent."""
     every = np.log10(known.total + 0.1 * (known.distinct + 1))
 
     def run(batches):
         for batch in batches:
-            found, tails, classes = [], [], []
-            for i, j, data, offsets in pieces(batch.column(4)):
+            found, tails, codes = [], [], []
+            for i, j, data, offsets in pieces(batch.column(4), TEXT):
                 n = j - i
                 doc, h, bucket = tokens(data, offsets)
-                cls, c = known.look_up(h, bucket)
+                code, c = known.look_up(h, bucket)
                 seen = c >= 0
                 log_count = np.where(seen, np.log10(np.maximum(c, 0) + 0.1), 0.0)
-                within = np.where(cls < known.words, 0.0, log_count - known.mass[cls])
+                rest = (code >= known.words) & (code < known.classes)
+                within = np.where(rest, log_count - known.mass[np.minimum(code, known.classes - 1)], 0.0)
                 found.append([np.bincount(doc, minlength=n), np.bincount(doc[seen], minlength=n),
                               np.bincount(doc, weights=log_count - every, minlength=n), np.bincount(doc, weights=within, minlength=n)])
-                classes.append(cls.astype(np.int16))
+                codes.append(code.astype(np.int32))
                 d, x = doc[~seen], h[~seen]
                 order = np.lexsort((x, d))
                 d, x = d[order], x[order]
@@ -267,7 +368,7 @@ def encode(docs: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> DataFram
             lists = lambda n, values: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), values)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:4], pa.array(total, pa.int64()), pa.array(at_head, pa.int64()), pa.array(base, pa.float64()),
-                 pa.array(within, pa.float64()), lists(total, pa.array(np.concatenate(classes))),
+                 pa.array(within, pa.float64()), lists(total, pa.array(np.concatenate(codes))),
                  lists(size, pa.StructArray.from_arrays([_longs(x), pa.array(many, pa.int32())], ["h", "n"]))],
                 [f.split()[0] for f in _ENCODED.split(", ")])
 
@@ -275,56 +376,70 @@ def encode(docs: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> DataFram
     return freeze(docs.select("rid", "doc_id", (~F.col("train")).alias("held_out"), part, "text").mapInArrow(run, _ENCODED))
 
 
-def _runs(column: pa.Array, model: LogBilinear):
-    """(row, context, class) of the tokens of a list column, some ``RUN`` at a time."""
-    cls = column.flatten().to_numpy(zero_copy_only=False)
-    row = np.repeat(np.arange(len(column)), np.asarray(pc.list_value_length(column), dtype=np.int64))
-    for at in range(0, len(cls), RUN):
-        from_ = max(0, at - ORDER)
-        part = cls[from_:at + RUN].astype(np.int64)
-        yield row[at:at + RUN], model.contexts(row[from_:at + RUN], part)[at - from_:], part[at - from_:]
+def _sequence(column: pa.Array, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, sizes) of a list column as one sequence, with ORDER starts before each text, so that no
+    context reaches into another text."""
+    size = np.asarray(pc.list_value_length(column), dtype=np.int64)
+    return np.insert(column.flatten().to_numpy(zero_copy_only=False), np.repeat(np.cumsum(size) - size, ORDER), start), size
 
 
 def train(encoded: DataFrame, words_: Vocabulary, rounds: int = ROUNDS) -> LogBilinear:
     """The parameters after each training document of ``encoded`` has been used once."""
-    model = LogBilinear(words_.noise)
+    model = words_.model()
     for turn in range(rounds):
         start = model.flat()
 
         def run(batches):
-            mine, random = LogBilinear(words_.noise).load(start), np.random.default_rng(turn)
+            mine, random = words_.model().load(start), np.random.default_rng(turn)
             seen, held = 0, []
 
-            def steps(parts):
-                context, target = (np.concatenate(x) for x in zip(*parts))
-                order = random.permutation(len(target))
-                batch = min(BATCH, max(64, len(order) // 256))      # few tokens still make many steps
-                for at in range(0, len(order), batch):
-                    mine.step(context[order[at:at + batch]], target[order[at:at + batch]], random)
-                return len(target)
+            def steps(parts, before):
+                codes = np.concatenate([*parts, np.full(SEGMENT, mine.start, np.int32)])
+                at = np.arange(ORDER, len(codes) - SEGMENT, SEGMENT)
+                at = random.permutation(at)
+                tokens_ = sum(map(len, parts))
+                batch = max(1, min(BATCH, (before + tokens_) // 512) // SEGMENT)      # the first tokens make smaller steps
+                for k in range(0, len(at), batch):
+                    mine.step(codes[at[k:k + batch, None] + np.arange(-ORDER, SEGMENT)], random)
+                return tokens_
 
             for batch in batches:
-                for _, context, cls in _runs(batch.column(0), mine):
-                    held.append((context, cls))
-                    if sum(len(x[1]) for x in held) > RUN:
-                        seen += steps(held)
+                codes, _ = _sequence(batch.column(0), mine.start)
+                for at in range(0, len(codes), RUN):                 # a piece of a long batch begins with its context
+                    held.append(codes[max(0, at - ORDER):at + RUN])
+                    if sum(map(len, held)) >= RUN:
+                        seen += steps(held, seen)
                         held = []
             if held:
-                seen += steps(held)
-            if seen:
-                yield pa.RecordBatch.from_arrays([pa.array([float(seen)]), pa.array([mine.flat().astype(np.float64)], pa.list_(pa.float64()))],
-                                                 ["seen", "p"])
-
-        part = encoded.filter(~F.col("held_out") & (F.col("part") == turn)).select("cls")
-        mean = (part.mapInArrow(run, "seen double, p array<double>").select("seen", F.posexplode("p").alias("at", "x"))
-                .groupBy("at").agg((F.sum(F.col("seen") * F.col("x")) / F.sum("seen")).alias("x")).toArrow())
-        if mean.num_rows:
-            x = np.empty(mean.num_rows)
-            x[np.asarray(mean.column("at"))] = np.asarray(mean.column("x"))
-            model.load(x)
+                seen += steps(held, seen)
+            x = mine.flat() if seen else start[:0]
+            for at in range(0, len(x), PART):
+                yield pa.RecordBatch.from_arrays([pa.array([at // PART], pa.int32()), pa.array([float(seen)]),
+                                                  pa.array([x[at:at + PART].tobytes()], pa.binary())], ["part", "seen", "p"])
+
+        part = encoded.filter(~F.col("held_out") & (F.col("part") == turn)).select("code")
+        mean = part.mapInArrow(run, _PART).repartition("part").mapInArrow(_mean, _PART).collect()
+        if mean:
+            model.load(np.concatenate([np.frombuffer(r["p"], np.float32) for r in sorted(mean, key=lambda r: r["part"])]))
     return model
 
 
+_PART = "part int, seen double, p binary"
+
+
+def _mean(batches):
+    """The mean of each part of the parameters, weighted by the tokens seen."""
+    sums, seen = {}, {}
+    for batch in batches:
+        for k, n, x in zip(*(c.to_pylist() for c in batch.columns)):
+            sums[k] = sums.get(k, 0.0) + n * np.frombuffer(x, np.float32).astype(np.float64)
+            seen[k] = seen.get(k, 0.0) + n
+    if sums:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int32()), pa.array([seen[k] for k in sums]),
+             pa.array([(sums[k] / seen[k]).astype(np.float32).tobytes() for k in sums], pa.binary())], ["part", "seen", "p"])
+
+
 _SCORED = "rid long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double"
 
 
@@ -340,11 +455,15 @@ def score_texts(docs: DataFrame, head: int = HEAD) -> DataFrame:
     def run(batches):
         for batch in batches:
             score = np.array(batch.column(6).to_numpy())
-            for row, context, cls in _runs(batch.column(7), model):
-                score += np.bincount(row, weights=model.log10(context, cls), minlength=len(score))
+            codes, size = _sequence(batch.column(7), model.start)
+            row = np.repeat(np.arange(len(size)), size + ORDER)
+            for at in range(ORDER, len(codes), RUN):
+                part = codes[at - ORDER:at + RUN]
+                log10 = np.where(part[ORDER:] < model.start, model.log10_along(part), 0.0)
+                score += np.bincount(row[at:at + RUN], weights=log10, minlength=len(score))
             yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(score)], [f.split()[0] for f in _SCORED.split(", ")])
 
-    partial = encoded.select("rid", "doc_id", "held_out", "n_tokens", "known", "base", "within", "cls").mapInArrow(run, _SCORED)
+    partial = encoded.select("rid", "doc_id", "held_out", "n_tokens", "known", "base", "within", "code").mapInArrow(run, _SCORED)
     tail = encoded.select("rid", F.explode("tail").alias("t")).select("rid", F.col("t.h").alias("h"), F.col("t.n").alias("n"))
     sums = tail.join(counts.select("h", "c"), "h", "left").groupBy("rid").agg(
         F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.1)).alias("more"),

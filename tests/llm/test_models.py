@@ -413,3 +413,86 @@ def test_model_beats_counts_on_held_out_texts(spark):
     got = [x for x in lm_score.score_texts(frame(spark, rows)).collect() if x.held_out]
     gain = sum(x.score - x.base_score for x in got) / sum(x.n_tokens for x in got)
     assert gain > 0.15                             # knowing the kind is worth log10(2) = 0.3 a token
+
+
+def test_members_add_up_to_their_class():
+    """With and without members, all codes' probabilities after a context add up to one."""
+    member, count = np.array([3, 3, 3, 5]), np.array([4.0, 2.0, 1.0, 6.0])
+    model = lm_score.LogBilinear(np.full(8, 1 / 8), member, count, np.full(8, 2.0))
+    r = np.random.default_rng(1)
+    model.load(r.normal(0, 1, len(model.flat())))
+    for context in ([12, 12, 12, 12], [3, 8, 11, 12], [0, 7, 9, 10]):
+        p = 10 ** model.log10(np.repeat([context], 12, 0), np.arange(12))
+        assert abs(p.sum() - 1) < 1e-5
+    text = np.array([12, 12, 12, 12, 3, 8, 11, 0, 5, 9])
+    one_by_one = [model.log10(text[None, i - 4:i][:, ::-1], text[i:i + 1])[0] for i in range(4, 10)]
+    assert np.allclose(model.log10_along(text), one_by_one, atol=1e-5)
+
+
+def test_a_step_follows_the_gradient():
+    """Contexts, classes and members each learn what follows what."""
+    member = np.array([2, 2, 3, 3])
+    model, r = lm_score.LogBilinear(np.full(4, 1 / 4), member, np.full(4, 5.0), np.full(4, 1.0)), np.random.default_rng(2)
+    follow = {4: 7, 5: 6, 6: 4, 7: 5, 0: 1, 1: 0}
+    for _ in range(2500):
+        rows = []
+        for _ in range(8):
+            x = [int(r.integers(0, 2)) if r.random() < 0.5 else int(r.integers(4, 8))]
+            while len(x) < 12:
+                x.append(follow[x[-1]])
+            rows.append(x)
+        model.step(np.array(rows, np.int32), r)
+    back = {b: a for a, b in follow.items()}
+    context = np.array([[a, back[a], back[back[a]], back[back[back[a]]]] for a in follow])
+    assert (10 ** model.log10(context, np.array(list(follow.values()))) > 0.9).all()
+
+
+def slow_score(model, known, counts, text):
+    total, before = 0.0, [model.start] * lm_score.ORDER
+    for word in [*tokens(text), None]:
+        data = np.frombuffer((word or "").encode(), np.uint8)
+        _, h, bucket = lm_score.tokens(data, np.array([0, len(data)]))
+        code = int(known.look_up(h[:1], bucket[:1])[0][0])
+        p = {k: v.astype(np.float64) for k, v in model.p.items()}
+        r = sum(p["R"][c] * p["D"][k] for k, c in enumerate(before))
+        z = p["Q"] @ r + p["b"]
+        cls = int(model.top[code])
+        total += (z[cls] - np.log(np.exp(z).sum())) / math.log(10)
+        if model.width[cls]:
+            place = range(int(model.first[cls]), int(model.first[cls] + model.width[cls]))
+            z = p["S"][place, :-1] @ r + p["S"][place, -1]
+            total += (z[int(model.place[code]) - place[0]] - np.log(np.exp(z).sum())) / math.log(10)
+        if known.words <= code < known.classes:
+            total += math.log10(counts[word or 0] + 0.1) - known.mass[code]
+        before = [code, *before[:-1]]
+    return total
+
+
+def test_scores_equal_slow_ones(spark, documents, monkeypatch):
+    """Of whole texts, with frequent tokens sent along or joined."""
+    kept, train = [], lm_score.train
+    monkeypatch.setattr(lm_score, "train", lambda *x: kept.append((train(*x), x[1])) or kept[-1][0])
+    docs = documents.select("doc_id", "text").union(frame(spark, [(i + 90_000, t) for i, t in rows_of() if i and i < 100]).select("doc_id", "text"))
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    counts = collections.Counter(w for i, t in rows if zlib.crc32(str(i).encode()) % 10 for w in [*tokens(t), 0])
+    got = {r.doc_id: r.score for r in lm_score.score_texts(docs, head=3000).collect()}
+    model, known = kept[0]
+    assert len(known.member) == int(lm_score.MEMBERS * len(counts) ** 0.5)
+    for i, t in rows[:12] + [x for x in rows if x[0] > 90_000 and len(x[1] or "") < 5000]:
+        assert abs(got[i] - slow_score(model, known, counts, t or "")) < 1e-3 * max(1, abs(got[i]))
+
+
+def test_the_vocabulary_of_the_model_grows(spark, monkeypatch):
+    """Two kinds of text with 2,500 words each, some of them far more frequent than others."""
+    r = random.Random(10)
+    kinds = [[f"{k}{i}" for i in range(2500)] for k in ("ab", "xy")]
+    weights = [1 / (i + 5) for i in range(2500)]
+    rows = [(i, " ".join(r.choices(kinds[i % 2], weights, k=200))) for i in range(1200)]
+
+    def gain():
+        got = [x for x in lm_score.score_texts(frame(spark, rows).coalesce(2)).collect() if x.held_out]
+        return sum(x.score - x.base_score for x in got) / sum(x.n_tokens for x in got)
+
+    grown = gain()
+    monkeypatch.setattr(lm_score, "MEMBERS", 0)
+    assert grown > 0.1 and grown > gain() + 0.05

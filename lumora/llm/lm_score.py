@@ -53,7 +53,7 @@ INNER_NOISE, INNER_WEIGHT = 1, 0.3
 PART = 4096
 ROUNDS = 2
 #: Tokens whose scores are in memory at once, and tokens whose predicted vectors are; bytes of text tokenised at once.
-BLOCK = 512
+BLOCK = 256
 RUN, TEXT = 200_000, 1 << 18
 #: Hash of the end token, which no word has but by chance.
 END = U64(0x0123456789ABCDEF)
@@ -283,20 +283,21 @@ class LogBilinear:
     def log10(self, context: np.ndarray, code: np.ndarray) -> np.ndarray:
         """The normalised log10 probability of each code after its context: the ORDER codes before it, the nearest first."""
         rows_ = np.concatenate([context[:, ::-1], np.asarray(code)[:, None]], axis=1)
-        return self._log10(self._along(self.p["R"][rows_])[:, 0], code)
+        return self._log10(lambda lo, hi: self._along(self.p["R"][rows_[lo:hi]])[:, 0], np.asarray(code))
 
     def log10_along(self, codes: np.ndarray) -> np.ndarray:
         """The same for each code of a sequence but the first ORDER ones, which are context."""
-        return self._log10(self._along(self.p["R"].take(codes, axis=0)[None])[0], codes[ORDER:])
+        return self._log10(lambda lo, hi: self._along(self.p["R"].take(codes[lo:hi + ORDER], axis=0)[None])[0], codes[ORDER:])
 
-    def _log10(self, predicted: np.ndarray, code: np.ndarray) -> np.ndarray:
-        """Of each code's class, and of itself within the class."""
+    def _log10(self, predicted, code: np.ndarray) -> np.ndarray:
+        """Of each code's class, and of itself within the class; ``predicted`` gives the vectors of a stretch."""
         out, target = np.empty(len(code)), self.top[code]
         weights = np.vstack([self.p["Q"].T, self.p["b"]])           # the bias is one more component
         r = np.ones((len(code), VECTOR + 1), np.float32)
-        r[:, :VECTOR] = predicted
         for at in range(0, len(code), BLOCK):
-            out[at:at + BLOCK] = _log_share(r[at:at + BLOCK] @ weights, target[at:at + BLOCK])
+            part = r[at:at + BLOCK]
+            part[:, :VECTOR] = predicted(at, min(at + BLOCK, len(code)))
+            out[at:at + BLOCK] = _log_share(part, weights, target[at:at + BLOCK])
         # the second level, class by class
         place = self.place[code]
         some = np.flatnonzero(place >= 0)
@@ -308,14 +309,17 @@ class LogBilinear:
             size = max(1, BLOCK * len(self.noise) // width)
             for at in range(lo, hi, size):
                 mine = some[at:min(hi, at + size)]
-                out[mine] += _log_share(r[mine] @ inner, place[mine] - first)
+                out[mine] += _log_share(r[mine], inner, place[mine] - first)
         return out / np.log(10)
 
 
-def _log_share(score: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """The logarithm of the softmax at ``target``; ``score`` is overwritten."""
+def _log_share(r: np.ndarray, weights: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """The logarithm of the softmax of r @ weights at ``target``."""
+    score = r @ weights
     mine, top = score[np.arange(len(score)), target].astype(np.float64), 0.0
-    if score.max() > 50 or score.min() < -50:                    # else sums of exponentials are safe as they are
+    # no score is larger than the product of the lengths; up to 80, sums of exponentials are safe as they are
+    bound = np.einsum("ij,ij->i", r, r).max() * np.einsum("ij,ij->j", weights, weights).max()
+    if not bound <= 80 ** 2 and not max(score.max(), -score.min()) <= 80:
         top = score.max(1, keepdims=True)
         score -= top
         top = top[:, 0]

@@ -14,7 +14,7 @@ from lumora.plans.freeze import freeze
 
 U64 = np.uint64
 #: Texts are worked on in pieces of about this many bytes, so that numpy's working arrays stay small.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 #: Odd multiplier of the polynomial word hash (modulo 2**64).
 BASE = 0x9E3779B97F4A7C15
 

@@ -147,7 +147,7 @@ class _Starts:
         self.hash = np.array([f[0] for f in found], np.uint32)
         self.item = np.array([f[1] for f in found], np.int64)
         self.offset = np.array([f[2] for f in found], np.int64)
-        self.bitmap = np.zeros(1 << _BITS, bool)
+        self.bitmap = np.zeros(1 << _BITS if patterns else 0, bool)
         self.bitmap[self.hash >> np.uint32(32 - _BITS)] = True
 
     def find(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -281,3 +281,22 @@ def test_models_are_not_mixed(spark, tmp_path):
         run.change_queries(add=wrong)
     unmarked = wrong.select("qid", marked(F.transform("v", lambda x: x), None))
     assert search.top_k(g, unmarked, 2).count() == 10
+
+
+def test_documents_in_one_file_or_a_folder_of_files_arrive(spark, tmp_path):
+    import workload
+
+    base, _, rng = setup(spark)
+    vectors = base.selectExpr("id AS vec_id", "transform(sequence(1, 64), i -> cast(v[i % 16] AS float)) AS embedding", "cast(id % 3 AS int) AS label")
+    docs = spark.createDataFrame([(i, f"word{i} word{i % 4}") for i in range(1, 21)], "doc_id long, text string")
+    for name in ("folder", "file"):
+        vectors.write.parquet(str(tmp_path / name / "embeddings.parquet"))
+    docs.repartition(3).write.parquet(str(tmp_path / "folder" / "documents.parquet"))
+    docs.toPandas().to_parquet(tmp_path / "file" / "documents.parquet")
+    got = {}
+    for name in ("folder", "file"):
+        joined = workload.arrivals_gallery(spark, str(tmp_path / name)).collect()
+        tagged = workload.arrivals_tags(spark, str(tmp_path / name)).collect()
+        assert len(joined) == 50 and len(tagged) == 20 * 3
+        got[name] = sorted((r.title, r.digest) for r in joined)
+    assert got["folder"] == got["file"]

@@ -300,3 +300,17 @@ def test_documents_in_one_file_or_a_folder_of_files_arrive(spark, tmp_path):
         assert len(joined) == 50 and len(tagged) == 20 * 3
         got[name] = sorted((r.title, r.digest) for r in joined)
     assert got["folder"] == got["file"]
+
+
+def test_tables_can_be_read_before_anything_arrives(spark, tmp_path):
+    base, queries, _ = setup(spark)
+    labels = base.limit(4).selectExpr("id AS label_pos", "concat('l', id) AS label", "v")
+    run = Arrivals(str(tmp_path / "state"), base, queries, 5, labels=labels)
+    run.prepare()
+    assert run.uploads().count() == 0 and run.tags().count() == 0
+    assert run.gallery().select("title", "src").count() == 30
+    empty = {name: run._table(name).schema for name in ("uploads", "tags")}
+    batch = base.limit(2).selectExpr("cast(null AS timestamp) AS modificationTime", "concat('a/', id) AS path", "v")
+    run.process(batch, 0)
+    for name, schema in empty.items():
+        assert [(f.name, f.dataType) for f in schema] == [(f.name, f.dataType) for f in run._table(name).schema]

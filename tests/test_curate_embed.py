@@ -264,3 +264,19 @@ def test_only_named_files_are_embedded(spark, tmp_path):
     named = sources.with_images(spark.createDataFrame([(f"img/{n}",) for n in ("0 é.jpg", "none.jpg", "stray3.jpg")], "file string"),
                                 f"file:{tmp_path}/web")
     assert {r.file: r.content and len(r.content) for r in named.collect()} == {"img/0 é.jpg": 300, "img/none.jpg": None, "img/stray3.jpg": 5}
+
+
+def test_files_are_written_by_tasks_and_need_no_folder_each(spark, tmp_path):
+    import os
+
+    from lumora.sources import sinks
+
+    lines = [(i, f"page {i}") for i in range(300)] + [(7, "second line"), (301, None), (302, "é\nx")]
+    root = str(tmp_path / "files")
+    files = [r.file for r in sinks.write_files(spark.createDataFrame(lines, "name long, text string").repartition(5), root).collect()]
+    assert len(files) == len(set(files)) == 302
+    assert sorted(files) == sorted(os.path.relpath(os.path.join(at, f), root) for at, _, found in os.walk(root) for f in found)
+    assert sum(len(folders) for _, folders, _ in os.walk(root)) <= sinks.FOLDERS
+    read = {f.split("=")[1]: open(os.path.join(root, f), encoding="utf-8", newline="").read() for f in files}
+    assert sorted(read["7.txt"].splitlines()) == ["page 7", "second line"] and read["12.txt"] == "page 12\n"
+    assert read["301.txt"] == "\n" and read["302.txt"] == "é\nx\n"

@@ -16,7 +16,10 @@ from lumora.plans.freeze import freeze
 from lumora.plans.numbering import range_sorted
 from lumora.plans.packed import MAX_ROWS
 from lumora.plans.skew import skew_left_join
+from lumora.plans.spread import spread
 
+#: Pairs that one task makes of wide rows, or adds up, about; what it writes to a shuffle lies in memory first.
+PAIRS_PER_TASK = 1 << 20
 _RUN = ("is_total boolean, run long, qid long, place long, hits long, rel boolean, id long")
 _SCORE_BITS = 40
 _RUN_BITS = 32
@@ -157,7 +160,11 @@ def _fold_runs(batches):
         yield out([key], [total])
 
 
-def _precision_sums(ranked: DataFrame) -> DataFrame:
+def _tasks(pairs: int) -> int:
+    return max(1, -(-pairs // PAIRS_PER_TASK))
+
+
+def _precision_sums(ranked: DataFrame, rows: int | None = None) -> DataFrame:
     """(qid, __precision): precision at each relevant rank, summed in rank order.
 
     Like the means below, a sum of doubles must not depend on how rows were spread.  Stretches of 2**20
@@ -165,7 +172,7 @@ def _precision_sums(ranked: DataFrame) -> DataFrame:
     terms = ranked.filter("rel").select("qid", F.shiftright(F.col("rank") - 1, _BLOCK_BITS).cast("long").alias("block"), "rank",
                                         (F.col("hits") / F.col("rank")).alias("term"))
     schema = "qid long, block long, total double"
-    blocks = (terms.repartition("qid", "block").sortWithinPartitions("qid", "block", "rank").select("qid", "block", "term")
+    blocks = (terms.repartition(*[_tasks(rows)] * (rows is not None), "qid", "block").sortWithinPartitions("qid", "block", "rank").select("qid", "block", "term")
               .mapInArrow(_fold_runs, schema))
     whole = (blocks.repartition("qid").sortWithinPartitions("qid", "block").select("qid", F.lit(0).cast("long").alias("block"), "total")
              .mapInArrow(_fold_runs, schema))
@@ -173,10 +180,11 @@ def _precision_sums(ranked: DataFrame) -> DataFrame:
 
 
 def query_metrics(ranked: DataFrame, ks: Sequence[int] = PRECISION_CUTOFFS,
-                  top: int = TOP_IDS) -> DataFrame:
+                  top: int = TOP_IDS, rows: int | None = None) -> DataFrame:
     """Metrics per query from :func:`ranked_relevance` rows.
 
-    Counts with map-side partials; the only list holds ``top`` ids.
+    Counts with map-side partials; the only list holds ``top`` ids.  ``rows``: how many rows were ranked, where
+    that is known.
     """
     found = F.sum(F.col("rel").cast("long"))
     best = F.sort_array(F.collect_list(F.when(F.col("rank") <= top, F.struct("rank", "id"))))
@@ -186,7 +194,7 @@ def query_metrics(ranked: DataFrame, ks: Sequence[int] = PRECISION_CUTOFFS,
         F.create_map(*pairs).alias("pAt"),
         F.coalesce(1.0 / F.min(F.when(F.col("rel"), F.col("rank"))), F.lit(0.0)).alias("rr_exact"),
         best.alias("__best"))
-        .join(_precision_sums(ranked), "qid", "left")
+        .join(_precision_sums(ranked, rows), "qid", "left")
         .withColumn("ap_exact", F.coalesce(F.col("__precision") / F.col("nRelevant"), F.lit(0.0))).drop("__precision")
         .withColumn("topIds", F.transform("__best", lambda r: r["id"])).drop("__best")
         .withColumn("rr", to_fixed("rr_exact", 3)).withColumn("ap", to_fixed("ap_exact", 3)))
@@ -202,6 +210,12 @@ def _latest_scores(scores: DataFrame, gallery: DataFrame) -> DataFrame:
             .withColumn("score", F.col("__last.score")).drop("__last"))
 
 
+def _dealt(table: DataFrame, pairs: int) -> DataFrame:
+    """The wide table in as many tasks as its ``pairs`` call for, wherever its rows were: by bytes, they would be
+    too few, as a row becomes as many as there are queries."""
+    return table if pairs <= PAIRS_PER_TASK else spread(table, max(_tasks(pairs), table.sparkSession.sparkContext.defaultParallelism))
+
+
 def evaluate(gallery: DataFrame, queries: DataFrame, ks: Sequence[int] = PRECISION_CUTOFFS,
              top: int = TOP_IDS, *, items: DataFrame | None = None, max_packed: int = MAX_ROWS,
              tile_bytes: int | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -215,8 +229,9 @@ def evaluate(gallery: DataFrame, queries: DataFrame, ks: Sequence[int] = PRECISI
     """
     scored = score_table(gallery, queries, () if items is not None else ("category",),
                          max_packed=max_packed, tile_bytes=tile_bytes, block_rows=block_rows)
-    scores = scored.rows(join_vectors_items(scored.table, items, ["category"])
-                         if items is not None and scored.wide else None)
+    pairs = scored.table.count() * scored.width
+    table = join_vectors_items(scored.table, items, ["category"]) if items is not None and scored.wide else scored.table
+    scores = scored.rows(_dealt(table, pairs) if scored.wide else None)
     if items is not None and not scored.wide:
         scores = skew_left_join(_latest_scores(scores, gallery), items, "id",
                                 lambda df: last_wins(df, "id", "pos", ["category"]))
@@ -225,7 +240,7 @@ def evaluate(gallery: DataFrame, queries: DataFrame, ks: Sequence[int] = PRECISI
     flagged = (scores.join(targets.select("qid", "target"), "qid")
                .select("qid", "id", "pos", "score",
                        F.col("category").eqNullSafe(F.col("target")).alias("rel")))
-    metrics = query_metrics(ranked_relevance(flagged, top, rows=scored.table.count() * scored.width), ks, top)
+    metrics = query_metrics(ranked_relevance(flagged, top, rows=pairs), ks, top, pairs)
     zeros = F.create_map(*[x for k in ks for x in (F.lit(str(k)), F.lit(0.0))])
     found = targets.join(metrics, "qid", "left")         # an empty gallery leaves every query unanswered
     return found.select(

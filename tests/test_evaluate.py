@@ -141,3 +141,29 @@ def test_means_are_summed_in_query_order(spark):
         assert set(t.pAt.values()) == {expected} and t.mAP_exact == total / 40
     none = evaluate.aggregate(spark.createDataFrame([], schema), 7).first()
     assert (none.queries, none.gallerySize, none.mAP, none.mrr) == (0, 7, None, None)
+
+
+def test_tasks_follow_the_number_of_pairs(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from lumora.operators import evaluate as ev
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 4))
+    items = spark.createDataFrame([(i, i, f"c{i % 3}") for i in range(300)], "id long, pos long, category string")
+    vectors = spark.createDataFrame([(i, i, v.tolist()) for i, v in enumerate(x)], "id long, pos long, v array<double>")
+    queries = spark.createDataFrame([(j, f"q{j}", f"c{j % 3}", rng.normal(size=4).tolist()) for j in range(20)],
+                                    "qid long, query string, category string, v array<double>")
+    columns = ["qid", "nRelevant", "rr_exact", "ap_exact", "topIds"]
+    plain = [tuple(r) for r in ev.evaluate(vectors, queries, items=items).select(columns).orderBy("qid").collect()]
+    sizes, ranked = [], ev.ranked_relevance
+
+    def watched(scored, *args, **kwargs):
+        sizes.extend(r["count"] for r in scored.groupBy(F.spark_partition_id()).count().collect())
+        return ranked(scored, *args, **kwargs)
+
+    monkeypatch.setattr(ev, "PAIRS_PER_TASK", 200)
+    monkeypatch.setattr(ev, "ranked_relevance", watched)
+    got = [tuple(r) for r in ev.evaluate(vectors, queries, items=items).select(columns).orderBy("qid").collect()]
+    assert got == plain and sum(sizes) == 6000
+    assert max(sizes) <= 3 * 200

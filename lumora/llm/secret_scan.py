@@ -7,8 +7,9 @@ convolutional network in numpy (one layer of width ``WIDTH`` over learned charac
 Kim, "Convolutional neural networks for sentence classification", 2014) looks at each candidate's
 characters and at ``CONTEXT`` characters on either side, and takes the largest response of each filter
 in each of the three parts; a candidate longer than ``TILE`` is seen in tiles, of which the highest
-score counts.  It is trained on a drawn tile of at most ``MAX_SAMPLES`` findings of the rules and as many other
-candidates, those with the smallest hashes; half of the findings are shown with the text of another
+score counts.  It is trained on a drawn tile of every distinct candidate, findings of the rules and others, dealt
+by hash to tasks of some ``PER_TASK``; these start each of ``EPOCHS`` rounds from the same parameters, which Spark averages
+after it by number of samples, Adam's moments too.  Half of the findings are shown with the text of another
 place around them, so that what a secret looks like counts too, and a quarter of all samples once more
 with some punctuation in them.  Scores are calibrated (Platt) on a
 fifth held back, seen whole, and the threshold keeps ``RECALL`` of the findings held back: it lies halfway (in
@@ -25,6 +26,7 @@ theirs, extra columns are ignored.  Without findings to learn from, nothing is a
 from __future__ import annotations
 
 import bisect
+import copy
 import hashlib
 import logging
 import random
@@ -38,6 +40,7 @@ from pyspark.sql import functions as F
 
 from lumora.llm.common import rows, spans_text
 from lumora.plans.freeze import freeze
+from lumora.plans.sums import vector_sums
 
 _log = logging.getLogger(__name__)
 
@@ -45,7 +48,9 @@ KINDS = ("assign", "access", "hex", "model")
 SHORTEST, LEAST, CONTEXT, TILE = 16, 6, 24, 64
 #: Tiles scored at once.
 TILES = 4096
-MAX_SAMPLES = 2000
+PER_TASK, EPOCHS = 4000, 6
+#: Logits are counted in bins of 1 / BINS to fit Platt's a and b.
+BINS = 64
 RECALL = 0.95
 MARKS = "!#$%&*?@^~.|"
 WIDTH, VECTOR, FILTERS = 5, 10, 24
@@ -117,6 +122,20 @@ class Network:
                   "C": r.normal(0, 0.2, (WIDTH * VECTOR, FILTERS)).astype(np.float32), "b": np.zeros(FILTERS, np.float32),
                   "w": r.normal(0, 0.2, (len(_PARTS) * FILTERS + 1, 1)).astype(np.float32), "c": np.zeros(1, np.float32)}
         self.platt, self.threshold, self.precision = (1.0, 0.0), np.inf, np.nan
+        self.moments = [{k: np.zeros_like(v) for k, v in self.p.items()} for _ in range(2)]
+        self.steps = 0.0
+
+    def flat(self) -> np.ndarray:
+        """Parameters, moments and steps in a row, to be averaged."""
+        return np.concatenate([*(d[k].ravel() for d in (self.p, *self.moments) for k in self.p), [self.steps]]).astype(np.float64)
+
+    def load(self, flat: np.ndarray) -> None:
+        at = 0
+        for d in (self.p, *self.moments):
+            for k, v in self.p.items():
+                d[k] = flat[at:at + v.size].reshape(v.shape).astype(np.float32)
+                at += v.size
+        self.steps = float(flat[-1])
 
     def _forward(self, x: np.ndarray):
         p = self.p
@@ -189,10 +208,8 @@ class Network:
         return g
 
     def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 6, batch: int = 64, rate: float = 0.01) -> Network:
-        r = np.random.default_rng(13)
-        m = {k: np.zeros_like(v) for k, v in self.p.items()}
-        v = {k: np.zeros_like(u) for k, u in self.p.items()}
-        step = 0
+        r = np.random.default_rng(13 + int(self.steps))
+        (m, v), step = self.moments, self.steps
         for _ in range(epochs):
             order = r.permutation(len(x))
             for at in range(0, len(x), batch):
@@ -203,20 +220,53 @@ class Network:
                     m[k] = 0.9 * m[k] + 0.1 * g[k]
                     v[k] = 0.999 * v[k] + 0.001 * g[k] ** 2
                     self.p[k] -= rate * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.999 ** step)) + 1e-8)
+        self.steps = step
         return self
 
     def calibrate(self, x: np.ndarray, y: np.ndarray, recall: float = RECALL) -> Network:
         return self.calibrate_on(self.logits(x).astype(np.float64), y, recall)
 
-    def calibrate_on(self, z: np.ndarray, y: np.ndarray, recall: float = RECALL) -> Network:
-        """Platt's a and b on the logits of held-back samples, the threshold that keeps ``recall`` of the
-        findings, and the share of findings among the samples from there on."""
-        target = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / ((y == 0).sum() + 2))
+    def _fit_platt(self, z: np.ndarray, y: np.ndarray, n: np.ndarray) -> None:
+        good, bad = n[y > 0].sum(), n[y == 0].sum()
+        target = np.where(y > 0, (good + 1) / (good + 2), 1 / (bad + 2))
         a, b = 1.0, 0.0
         for _ in range(300):
             e = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30))) - target
-            a, b = a - 0.05 * (e * z).mean() - 1e-4 * a, b - 0.05 * e.mean()
+            a, b = a - 0.05 * np.average(e * z, weights=n) - 1e-4 * a, b - 0.05 * np.average(e, weights=n)
         self.platt = (a, b)
+
+    def calibrate_over(self, held: DataFrame, recall: float = RECALL) -> Network:
+        """As :meth:`calibrate_on` for a frozen table (found, z) of any size: Platt's a and b from counts by bin, threshold
+        and precision from all rows."""
+        held = held.withColumn("bin", F.floor(F.greatest(F.least("z", F.lit(100.0)), F.lit(-100.0)) * BINS))
+        bins = sorted(tuple(r) for r in held.groupBy("bin", "found").agg(F.avg("z"), F.count(F.lit(1))).collect())
+        z, y, n = (np.array([float(r[k]) for r in bins]) for k in (2, 1, 3))
+        if not n[y > 0].sum():
+            return self
+        self._fit_platt(z, y, n)
+        at, below = int((1 - recall) * n[y > 0].sum()), None
+        for k, found, _, count in bins:
+            if found and at < count:
+                for r in held.filter("found").filter(F.col("bin") == k).groupBy("z").count().orderBy("z").collect():
+                    least, at = r["z"], at - r["count"]
+                    if at < 0:
+                        break
+                break
+            at -= count * found
+        below = held.filter("NOT found").filter(F.col("z") < least).agg(F.max("z")).first()[0]
+        self.threshold = float(self.probability(np.float64(least)))
+        if below is not None:
+            least = min(least, (least + below) / 2)
+            self.threshold = min(self.threshold, float(self.probability(np.float64(least))))
+        kept = held.filter(F.col("z") >= least).agg(F.avg(F.col("found").cast("double")), F.count(F.lit(1))).first()
+        self.precision = float(kept[0])
+        _log.info("threshold %.4f: precision %.4f on %d held back", self.threshold, self.precision, int(n.sum()))
+        return self
+
+    def calibrate_on(self, z: np.ndarray, y: np.ndarray, recall: float = RECALL) -> Network:
+        """Platt's a and b on the logits of held-back samples, the threshold that keeps ``recall`` of the
+        findings, and the share of findings among the samples from there on."""
+        self._fit_platt(z, y, np.ones(len(z)))
         score = self.probability(z)
         good = np.sort(score[y > 0])
         self.threshold = float(good[int((1 - recall) * len(good))]) if len(good) else np.inf
@@ -266,49 +316,84 @@ def marked(sample: tuple) -> tuple:
     return (*sample[:3], "".join(span), sample[4])
 
 
-def train(found: DataFrame, most: int = MAX_SAMPLES) -> Network:
+_SAMPLE = ("h", "found", "left", "span", "right", "sure")
+
+
+def _lesson(part: list[tuple], k: int) -> list[tuple]:
+    """What a network learns from a part of the samples: 0 and 1 leave out the other candidates of that half, 2 none."""
+    good, bad = ([r for r in part if r[1] == found] for found in (True, False))
+    others = bad or [(0, False, "", "", "")]
+    swap = [(h, f, b[2], s, b[4]) for (h, f, _, s, *_), b in zip(good[::2], others * len(good))]
+    some = [r[:5] for r in good + swap + [r for r in bad if r[5] and r[0] // 5 % 2 != k] if r[0] % 5]
+    return some + [marked(r) for r in some[::4]]
+
+
+def _first_tiles(some: list[tuple]) -> np.ndarray:
+    return np.concatenate([tiles(*r[2:5])[:1] for r in some])
+
+
+def _taught(samples: DataFrame, tasks: int, kinds: tuple[int, ...]) -> dict[int, Network]:
+    """Networks of these kinds, trained on all samples."""
+    networks = {k: Network() for k in kinds}
+    rounds, epochs = (1, EPOCHS) if tasks == 1 else (EPOCHS, 1)
+    for _ in range(rounds):
+        def learn(table):
+            part, out = sorted(zip(*(table.column(c).to_pylist() for c in _SAMPLE))), []
+            for k, start in networks.items():
+                some, mine = _lesson(part, k), copy.deepcopy(start)
+                if some:
+                    mine.fit(_first_tiles(some), np.array([float(r[1]) for r in some], np.float32), epochs)
+                    out.append((k, [*(mine.flat() * len(some)), float(len(some))]))
+            return pa.table([pa.array([k for k, _ in out], pa.int32()), pa.array([v for _, v in out], pa.list_(pa.float64()))], names=["k", "v"])
+
+        sums = vector_sums(samples.repartition(tasks, "part").groupBy("part").applyInArrow(learn, "k int, v array<double>"), "k", "v", "int").collect()
+        for r in sums:
+            total = np.array(r["total"])
+            networks[r["k"]].load(total[:-1] / total[-1])
+    return networks
+
+
+def train(found: DataFrame, per_task: int = PER_TASK) -> Network:
     pool = found.select(F.explode("candidates").alias("c")).select(F.xxhash64("c.left", "c.span", "c.right").alias("h"), "c.*")
     # one tile of each teaches, drawn by a hash
     drawn = F.pmod(F.xxhash64("h"), F.greatest(F.lit(1), F.ceil(F.length("span") / TILE)))
-    samples = (pool.withColumn("span", F.col("span").substr((1 + TILE * drawn).cast("int"), F.lit(TILE)))
-               .groupBy("h", "left", "span", "right").agg(F.max("found").alias("found")).select("h", "found", "left", "span", "right"))
-    good, bad = ([tuple(r) for r in samples.filter(w).orderBy("h").limit(most).collect()] for w in ("found", "NOT found"))
-    if not good:
+    samples = freeze(pool.withColumn("span", F.col("span").substr((1 + TILE * drawn).cast("int"), F.lit(TILE)))
+                     .groupBy("h", "left", "span", "right").agg(F.max("found").alias("found")))
+    counts = {r["found"]: r["count"] for r in samples.groupBy("found").count().collect()}
+    if True not in counts:
         return Network()
-    others = bad or [(0, False, "", "", "")]
-    swap = [(h, f, b[2], s, b[4]) for (h, f, _, s, _), b in zip(good[::2], others * len(good))]
-    held_back = lambda rows_, yes: [r for r in rows_ if (r[0] % 5 == 0) == yes]
-
-    def fitted(negatives):
-        some = held_back(good + swap, False) + negatives
-        some += [marked(r) for r in some[::4]]
-        x = np.concatenate([tiles(*r[2:])[:1] for r in some])
-        return Network().fit(x, np.array([float(r[1]) for r in some], np.float32))
+    tasks = -(-sum(counts.values()) // per_task)
+    samples = samples.select("h", "found", "left", "span", "right", F.lit(True).alias("sure"),
+                             F.pmod(F.xxhash64("h", F.lit(1)), F.lit(tasks)).cast("int").alias("part"))
 
     # candidates that no rule found may be secrets: those that a network trained without them takes
     # for one don't teach the final network; twice, as the first time they teach each other's
-    sure = bad
     for _ in range(2):
-        left, sure = sure, []
-        for part in (0, 1):
-            mine, rest = ([r for r in some if (r[0] // 5 % 2 == part) == yes] for some, yes in ((bad, True), (left, False)))
-            if mine:
-                z = fitted(held_back(rest, False)).logits(np.concatenate([tiles(*r[2:])[:1] for r in mine]))
-                sure += [r for r, logit in zip(mine, z) if logit < 0]
-    network = fitted(held_back(sure, False))
-    last = {r[0]: float(r[1]) for r in held_back(good, True) + held_back(sure, True)}
-    if not held_back(good, True):
-        return network
+        halves = _taught(samples, tasks, (0, 1))
+
+        def judge(batches, halves=halves):
+            for batch in batches:
+                some = list(zip(*(batch.column(k).to_pylist() for k in range(6))))
+                sure = np.array([r[1] for r in some], bool)
+                for k, network in halves.items():
+                    mine = [i for i, r in enumerate(some) if not r[1] and r[0] // 5 % 2 == k]
+                    if mine:
+                        sure[mine] = network.logits(_first_tiles([some[i] for i in mine])) < 0
+                yield batch.set_column(5, "sure", pa.array(sure))
+
+        samples = freeze(samples.mapInArrow(judge, samples.schema))
+    network = _taught(samples, tasks, (2,))[2]
 
     def strongest(batches):
         for batch in batches:
             z = network.highest(zip(*(c.to_pylist() for c in batch.columns[1:])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(z, pa.float64())], ["h", "z"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(z, pa.float64())], ["found", "z"])
 
     # held-back candidates are judged as all are: by the best of all their tiles
-    z = {r["h"]: r["z"] for r in pool.filter(F.col("h").isin(list(last))).select("h", "left", "span", "right").distinct().mapInArrow(
-        strongest, "h long, z double").collect()}
-    return network.calibrate_on(np.array([z[h] for h in sorted(z)]), np.array([last[h] for h in sorted(z)]))
+    held_back = F.pmod("h", F.lit(5)) == 0
+    last = samples.filter(held_back & (F.col("found") | F.col("sure"))).select("h", "found")
+    held = pool.filter(held_back).select("h", "left", "span", "right").distinct().join(last, "h")
+    return network.calibrate_over(freeze(held.select("found", "left", "span", "right").mapInArrow(strongest, "found boolean, z double")))
 
 
 def best_apart(scored: list[tuple[float, int, int]]) -> list[tuple[int, int]]:
@@ -324,10 +409,10 @@ def best_apart(scored: list[tuple[float, int, int]]) -> list[tuple[int, int]]:
     return list(zip(starts, ends))
 
 
-def find_secrets(docs: DataFrame, max_samples: int = MAX_SAMPLES) -> DataFrame:
+def find_secrets(docs: DataFrame, per_task: int = PER_TASK) -> DataFrame:
     """(rid, doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_added), one row per row of ``docs``."""
     found = find(docs)
-    network = train(found, max_samples)
+    network = train(found, per_task)
 
     def run(batches):
         for batch in batches:

@@ -496,3 +496,24 @@ def test_the_vocabulary_of_the_model_grows(spark, monkeypatch):
     grown = gain()
     monkeypatch.setattr(lm_score, "MEMBERS", 0)
     assert grown > 0.1 and grown > gain() + 0.05
+
+
+def test_every_candidate_teaches_the_secret_network(spark, monkeypatch):
+    """All distinct candidates that are not held back, whatever the number of tasks, and a threshold from all that are."""
+    r = random.Random(5)
+    word = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(n))
+    rows = [(i, f"{prose(i, 6)} secret = {word(32)} {prose(i + 1, 5)} " + "".join(prose(i + 2, 9).split())) for i in range(300)]
+    bare = [(1000 + i, f"{prose(i, 12)} {word(32)} {prose(i + 5, 12)}") for i in range(30)]
+    found = secret_scan.find(frame(spark, rows + bare))
+    z = []
+    over = secret_scan.Network.calibrate_over
+    monkeypatch.setattr(secret_scan.Network, "calibrate_over", lambda self, held: z.append(held.collect()) or over(self, held))
+    network = secret_scan.train(found, 300)
+    good = sorted(x.z for x in z[0] if x.found)
+    bad = [x.z for x in z[0] if not x.found]
+    at = good[int((1 - secret_scan.RECALL) * len(good))]
+    below = max((v for v in bad if v < at), default=at)
+    assert network.threshold == pytest.approx(float(network.probability(np.float64((at + below) / 2))))
+    assert len(good) > 40 and network.steps > 6
+    part = [(h, h % 2 == 0, "l", f"s{h}", "r", True) for h in range(1, 5001)]
+    assert len({x[0] for x in secret_scan._lesson(part, 2)}) == 4000

@@ -29,6 +29,7 @@ empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,11 +50,16 @@ NOISE, BATCH, RATE = 32, 1024, 0.2
 SEGMENT = 64
 #: Noise samples for each member, and the weight of a member's gradient in a step (a class has 1 / batch).
 INNER_NOISE, INNER_WEIGHT = 1, 0.3
+#: Bits of a natural logarithm's unit, and the size of scores in bits whose powers of two are summed as they are.
+BITS, SAFE = np.float32(1 / np.log(2)), 115
+#: Parts of a class's noise that are looked up at once.
+CELLS = 512
 #: Parameters averaged as one row.
 PART = 4096
 ROUNDS = 2
-#: Tokens whose scores are in memory at once, and tokens whose predicted vectors are; bytes of text tokenised at once.
-BLOCK = 256
+#: Tokens whose scores are in memory at once, tokens whose vectors are added up at once, and tokens whose predicted vectors
+#: are in memory; bytes of text tokenised at once.
+BLOCK, STRETCH = 128, 512
 RUN, TEXT = 200_000, 1 << 18
 #: Hash of the end token, which no word has but by chance.
 END = U64(0x0123456789ABCDEF)
@@ -65,10 +71,12 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     start, stop, doc, h = words(data, offsets)
     tail = np.zeros(len(h), U64)
     for k in range(1, 4):
-        tail = tail * U64(257) + np.where(stop - k >= start, data[np.maximum(stop - k, 0)], 0).astype(U64)
+        tail = tail * U64(257) + np.where(stop - k >= start, data.take(stop - k, mode="clip"), 0)
     bucket = (mix(tail) % U64(BUCKETS)).astype(np.int64)
-    at = np.searchsorted(doc, np.arange(n), "right") if len(doc) else np.zeros(n, np.int64)
-    return np.insert(doc, at, np.arange(n)), np.insert(h, at, END), np.insert(bucket, at, 0)
+    at = np.arange(len(doc)) + doc                      # an end after every document before
+    hashes, buckets = np.full(len(doc) + n, END), np.zeros(len(doc) + n, np.int64)
+    hashes[at], buckets[at] = h, bucket
+    return np.repeat(np.arange(n), np.bincount(doc, minlength=n) + 1), hashes, buckets
 
 
 def _longs(x: np.ndarray) -> pa.Array:
@@ -81,8 +89,10 @@ def count_words(docs: DataFrame) -> DataFrame:
     def run(batches):
         def row(parts):
             h, bucket, c = (np.concatenate(x) for x in zip(*parts))
-            h, first, at = np.unique(h, return_index=True, return_inverse=True)
-            return h, bucket[first], np.bincount(at, weights=c, minlength=len(h)).astype(np.int64)
+            order = np.argsort(h)
+            h = h.take(order)
+            first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+            return h.take(first), bucket.take(order.take(first)), np.add.reduceat(c.take(order), first)
 
         def out(h, bucket, c):
             return pa.RecordBatch.from_arrays([_longs(h), pa.array(bucket.astype(np.int32)), pa.array(c)], ["h", "bucket", "c"])
@@ -91,7 +101,7 @@ def count_words(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for _, _, data, offsets in pieces(batch.column(0), TEXT):
                 _, h, bucket = tokens(data, offsets)
-                held.append((h, bucket, np.ones(len(h), np.int64)))
+                held.append(row([(h, bucket, np.ones(len(h), np.int64))]))
                 if sum(len(x[0]) for x in held) > 1_500_000:
                     held = [row(held)]
                     if len(held[0][0]) > 750_000:
@@ -123,15 +133,30 @@ class Vocabulary:
     def classes(self) -> int:
         return self.words + BUCKETS
 
+    @functools.cached_property
+    def _guide(self) -> tuple[U64, np.ndarray, np.ndarray]:
+        """A shift, the first place of the frequent hashes from each number of upper bits on, and the hashes with one above them."""
+        bits = len(self.head).bit_length() + 1
+        lowest = np.arange(1 << bits, dtype=U64) << U64(64 - bits)
+        return U64(64 - bits), np.searchsorted(self.head, lowest), np.append(self.head, U64(2 ** 64 - 1))
+
     def look_up(self, h: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(code, count or -1 where the token isn't frequent) of each token: codes of members follow those
+        """(code, place among the frequent ones or -1) of each token: codes of members follow those
         of the classes, whose codes mean the class's only token or one of its rest."""
         if not len(self.head):
             return self.words + bucket, np.full(len(h), -1)
-        at = np.minimum(np.searchsorted(self.head, h), len(self.head) - 1)
-        hit = self.head[at] == h
-        own = np.where(hit, self.own[at], -1)
-        return np.where(own >= 0, own, self.words + bucket), np.where(hit, self.count[at], -1)
+        shift, guide, head = self._guide
+        at = _search(head, guide, (h >> shift).astype(np.intp), h)
+        hit = head.take(at) == h
+        hit &= at < len(self.head)
+        at[~hit] = -1
+        own = np.append(self.own, -1).take(at, mode="wrap")
+        return np.where(own >= 0, own, self.words + bucket), at
+
+    @property
+    def kind(self) -> type:
+        """Of codes as they are written; the start of a text follows those of the members."""
+        return np.uint16 if self.classes + len(self.member) < 1 << 16 else np.int32
 
     def model(self) -> LogBilinear:
         rest = np.where(np.arange(self.classes) < self.words, 0, 10 ** self.mass)
@@ -191,7 +216,9 @@ class LogBilinear:
             sums = np.add.reduceat(share, self.first[inside > 0])
             share /= np.repeat(sums, self.width[inside > 0])
         self.order = np.cumsum(inside > 0) - 1          # of a class among those with members
-        self.inner_up_to = np.cumsum(share)
+        up_to = np.cumsum(share)
+        self.inner_guide = np.searchsorted(up_to, np.arange(CELLS * int((inside > 0).sum()) + 1) / CELLS)
+        self.inner_up_to = np.append(up_to, np.inf)
         self.inner_log_k = np.log(INNER_NOISE * share).astype(np.float32)
         before = r.normal(0, 0.3, (n + 1, VECTOR)).astype(np.float32)
         self.p = {"R": np.concatenate([before[self.top[:-1]], before[n:]]),
@@ -212,153 +239,232 @@ class LogBilinear:
             at += size
         return self
 
-    def _along(self, before: np.ndarray) -> np.ndarray:
-        """The predicted vectors of rows of codes, of which the first ORDER are context only."""
-        r = before[:, ORDER - 1:-1] * self.p["D"][0]
+    def _wide(self, n: int) -> np.ndarray:
+        """The positions' weights, repeated for n tokens in a row."""
+        return np.broadcast_to(self.p["D"][:, None], (ORDER, n, VECTOR)).reshape(ORDER, -1)
+
+    @staticmethod
+    def _along(before: np.ndarray, wide: np.ndarray) -> np.ndarray:
+        """The predicted vectors of rows of tokens, each row in one piece; of ``before``, the vectors of their codes, the first ORDER are context only."""
+        n = before.shape[1] - ORDER * VECTOR
+        r = before[:, (ORDER - 1) * VECTOR:][:, :n] * wide[0, :n]
+        part = np.empty_like(r)
         for k in range(2, ORDER + 1):
-            r += before[:, ORDER - k:-k] * self.p["D"][k - 1]
+            np.multiply(before[:, (ORDER - k) * VECTOR:][:, :n], wide[k - 1, :n], out=part)
+            r += part
         return r
 
-    def _move(self, name: str, at: np.ndarray | slice, d: np.ndarray) -> None:
-        square = self.square[name][at] + d * d
-        self.square[name][at] = square
-        self.p[name][at] -= RATE * d / np.sqrt(square)
+    def _move(self, name: str, at: np.ndarray | None, d: np.ndarray) -> None:
+        """A step against gradient ``d``, which is used up, of the rows ``at``, or of all."""
+        square, p = self.square[name], self.p[name]
+        s, x = (square, p) if at is None else (square.take(at, axis=0), p.take(at, axis=0))
+        s += d * d
+        d *= RATE
+        d /= np.sqrt(s)
+        x -= d
+        if at is not None:
+            _put(square, at, s)
+            _put(p, at, x)
 
     def step(self, codes: np.ndarray, random: np.random.Generator) -> None:
         """One step of noise-contrastive estimation on rows of codes, of which the first ORDER are context
         only: the noise samples of classes serve the whole batch."""
-        p, code = self.p, codes[:, ORDER:].reshape(-1)
-        real, target = (code < self.start).astype(np.float32), self.top[code]
-        n = max(1, int(real.sum()))
-        other = np.searchsorted(self.up_to, random.random(NOISE)).clip(0, len(self.noise) - 1)
+        p, codes = self.p, codes.astype(np.intp)
+        code = codes[:, ORDER:].reshape(-1)
+        target, starts = self.top.take(code), np.flatnonzero(code >= self.start)
+        n = max(1, len(code) - len(starts))
+        other = np.minimum(np.searchsorted(self.up_to, random.random(NOISE)), len(self.noise) - 1)
         bias = p["b"] - self.log_k
-        before = p["R"].take(codes, axis=0)
-        r = self._along(before).reshape(-1, VECTOR)
-        q = p["Q"].take(target, axis=0)
-        mine = np.einsum("ij,ij->i", r, q) + bias[target]
-        theirs = r @ p["Q"][other].T + bias[other]
-        g_mine = -real / (1 + np.exp(np.clip(mine, -30, 30)))
-        g_theirs = real[:, None] / (1 + np.exp(-np.clip(theirs, -30, 30)))
-        dr = g_mine[:, None] * q + g_theirs @ p["Q"][other]
-        toward = np.concatenate([r * g_mine[:, None], g_mine[:, None]], axis=1)
-        g_q = np.zeros((len(p["Q"]), VECTOR + 1), np.float32)
-        at, sums = _sums(target, toward, len(g_q))
-        g_q[at] = sums
-        np.add.at(g_q, other, np.concatenate([g_theirs.T @ r, g_theirs.sum(0)[:, None]], axis=1))
+        wide = self._wide(codes.shape[1] - ORDER)
+        before = p["R"].take(codes, axis=0).reshape(len(codes), -1)
+        r = self._along(before, wide).reshape(-1, VECTOR)
+        q, q_other = p["Q"].take(target, axis=0), p["Q"].take(other, axis=0)
+        g_mine = (r * q) @ np.ones(VECTOR, np.float32)
+        g_mine += bias.take(target)
+        g_mine = _sigmoid(g_mine)
+        g_mine -= 1
+        g_theirs = q_other @ r.T                            # a row per sample
+        g_theirs += bias.take(other)[:, None]
+        g_theirs = _sigmoid(g_theirs)
+        g_mine[starts], g_theirs[:, starts] = 0, 0
+        dr = g_theirs.T @ q_other
+        q *= g_mine[:, None]
+        dr += q
+        hot = (np.arange(len(self.noise))[:, None] == other).astype(np.float32)
+        g_q, g_b = hot @ (g_theirs @ r), hot @ g_theirs.sum(1)
+        at, sums, sum_b = _sums(target, len(g_q), r * g_mine[:, None], g_mine)
+        g_q[at] += sums
+        g_b[at] += sum_b
         inner = self._inner(r, code, dr, random)
-        dr = dr.reshape(len(codes), -1, VECTOR)
-        g_before, g_d = np.zeros_like(before), np.empty_like(p["D"])
-        for k in range(1, ORDER + 1):
-            g_d[k - 1] = np.einsum("msd,msd->d", before[:, ORDER - k:-k], dr)
-            g_before[:, ORDER - k:-k] += dr * p["D"][k - 1]
-        at, sums = _sums(codes.reshape(-1), g_before.reshape(-1, VECTOR), len(p["R"]))
-        weight = np.where((at < len(self.noise)) | (at == self.start), 1 / n, INNER_WEIGHT).astype(np.float32)
-        self._move("R", at, sums * weight[:, None])
-        self._move("Q", slice(None), g_q[:, :VECTOR] / n)
-        self._move("b", slice(None), g_q[:, VECTOR] / n)
-        self._move("D", slice(None), g_d / n)
+        dr = dr.reshape(len(codes), -1)
+        g_before, g_wide, part = np.empty_like(before), np.empty_like(wide), np.empty_like(dr)
+        g_before[:, dr.shape[1]:] = 0
+        for k in range(ORDER, 0, -1):
+            here = slice((ORDER - k) * VECTOR, (ORDER - k) * VECTOR + dr.shape[1])
+            np.einsum("ij,ij->j", before[:, here], dr, out=g_wide[k - 1])
+            if k == ORDER:
+                np.multiply(dr, wide[k - 1], out=g_before[:, here])
+            else:
+                g_before[:, here] += np.multiply(dr, wide[k - 1], out=part)
+        at, sums = _sums(codes.reshape(-1), len(p["R"]), g_before.reshape(-1, VECTOR))
+        sums *= np.where((at < len(self.noise)) | (at == self.start), 1 / n, INNER_WEIGHT).astype(np.float32)[:, None]
+        self._move("R", at, sums)
+        self._move("Q", None, g_q / n)
+        self._move("b", None, g_b / n)
+        self._move("D", None, g_wide.reshape(ORDER, -1, VECTOR).sum(1) / n)
         if inner:
             self._move("S", *inner)
 
     def _inner(self, r: np.ndarray, code: np.ndarray, dr: np.ndarray, random: np.random.Generator):
         """(places, gradients) of the second level, whose part of the gradient of ``r`` is added to ``dr``."""
-        place = self.place[code]
+        place = self.place.take(code)
         some = np.flatnonzero(place >= 0)
         if not len(some):
             return None
-        cls = self.top[code[some]]
-        drawn = np.searchsorted(self.inner_up_to, self.order[cls][:, None] + random.random((len(some), INNER_NOISE)))
-        first = self.first[cls][:, None]
-        at = np.concatenate([place[some, None], np.clip(drawn, first, first + self.width[cls][:, None] - 1)], axis=1)
-        vectors = self.p["S"][at]
+        cls = self.top.take(code.take(some))
+        drawn = self.order.take(cls) + random.random((len(some), INNER_NOISE)).T
+        drawn = _search(self.inner_up_to, self.inner_guide, (drawn * CELLS).astype(np.intp).ravel(), drawn.ravel()).reshape(drawn.shape)
+        first = self.first.take(cls)
+        at = np.concatenate([place.take(some)[None], np.minimum(np.maximum(drawn, first), first + self.width.take(cls) - 1)])
+        vectors = self.p["S"].take(at, axis=0)
         mine = np.ones((len(some), VECTOR + 1), np.float32)
-        mine[:, :VECTOR] = r[some]
-        z = np.einsum("nkd,nd->nk", vectors, mine) - self.inner_log_k[at]
-        g = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        g[:, 0] -= 1
-        dr[some] += np.einsum("nk,nkd->nd", g, vectors[:, :, :VECTOR])
-        at, sums = _sums(at.reshape(-1), (g[:, :, None] * mine[:, None, :]).reshape(-1, VECTOR + 1), len(self.p["S"]))
-        return at, sums * np.float32(INNER_WEIGHT)
+        mine[:, :VECTOR] = r.take(some, axis=0)
+        z = np.einsum("knd,nd->kn", vectors, mine)
+        z -= self.inner_log_k.take(at)
+        g = _sigmoid(z)
+        g[0] -= 1
+        vectors *= g[:, :, None]
+        _put(dr, some, dr.take(some, axis=0) + vectors.sum(0)[:, :VECTOR])
+        toward = g[:, :, None] * mine[:, :VECTOR]
+        at, sums, sum_b = _sums(at.reshape(-1), len(self.p["S"]), toward.reshape(-1, VECTOR), g.reshape(-1))
+        sums = np.concatenate([sums, sum_b[:, None]], axis=1)
+        sums *= np.float32(INNER_WEIGHT)
+        return at, sums
 
     def log10(self, context: np.ndarray, code: np.ndarray) -> np.ndarray:
         """The normalised log10 probability of each code after its context: the ORDER codes before it, the nearest first."""
         rows_ = np.concatenate([context[:, ::-1], np.asarray(code)[:, None]], axis=1)
-        return self._log10(lambda lo, hi: self._along(self.p["R"][rows_[lo:hi]])[:, 0], np.asarray(code))
+        wide = self._wide(1)
+        return self._log10(lambda lo, hi: self._along(self.p["R"].take(rows_[lo:hi], axis=0).reshape(hi - lo, -1), wide), np.asarray(code))
 
     def log10_along(self, codes: np.ndarray) -> np.ndarray:
         """The same for each code of a sequence but the first ORDER ones, which are context."""
-        return self._log10(lambda lo, hi: self._along(self.p["R"].take(codes[lo:hi + ORDER], axis=0)[None])[0], codes[ORDER:])
+        wide = self._wide(STRETCH)
+        return self._log10(lambda lo, hi: self._along(self.p["R"].take(codes[lo:hi + ORDER], axis=0).reshape(1, -1), wide).reshape(-1, VECTOR),
+                           codes[ORDER:])
 
     def _log10(self, predicted, code: np.ndarray) -> np.ndarray:
         """Of each code's class, and of itself within the class; ``predicted`` gives the vectors of a stretch."""
-        out, target = np.empty(len(code)), self.top[code]
-        weights = np.vstack([self.p["Q"].T, self.p["b"]])           # the bias is one more component
+        # the bias is one more component; scores are in bits, as powers of two take less time than those of e
+        target, weights = self.top.take(code), np.vstack([self.p["Q"].T, self.p["b"]]) * BITS
         r = np.ones((len(code), VECTOR + 1), np.float32)
+        for at in range(0, len(code), STRETCH):
+            r[at:at + STRETCH, :VECTOR] = predicted(at, min(at + STRETCH, len(code)))
+        # no score is larger than the product of the lengths; up to SAFE, sums of powers are safe as they are
+        length = np.einsum("ij,ij->i", r, r)
+        longest = np.einsum("ij,ij->j", weights, weights).max()
+        room = np.empty(BLOCK * len(self.noise), np.float32)
+        mine, total = np.empty((2, len(code)), np.float32)
         for at in range(0, len(code), BLOCK):
-            part = r[at:at + BLOCK]
-            part[:, :VECTOR] = predicted(at, min(at + BLOCK, len(code)))
-            out[at:at + BLOCK] = _log_share(part, weights, target[at:at + BLOCK])
+            here = slice(at, at + BLOCK)
+            mine[here], total[here] = _share(r[here], weights, target[here], length[here].max() * longest <= SAFE ** 2, room)
+        out = mine.astype(np.float64) - np.log2(total)
         # the second level, class by class
-        place = self.place[code]
+        place = self.place.take(code)
         some = np.flatnonzero(place >= 0)
         some = some[np.argsort(target[some].astype(np.uint16), kind="stable")]
         ends = np.flatnonzero(np.append(target[some][1:] != target[some][:-1], True)) + 1 if len(some) else []
+        r, place, length = r.take(some, axis=0), place.take(some), length.take(some)
+        mine, total = np.empty((2, len(some)), np.float32)
         for lo, hi in zip([0, *ends[:-1]], ends):
             first, width = (int(x[target[some[lo]]]) for x in (self.first, self.width))
-            inner = self.p["S"][first:first + width].T.copy()
+            inner = np.multiply(self.p["S"][first:first + width].T, BITS, order="C")
+            longest = np.einsum("ij,ij->j", inner, inner).max()
             size = max(1, BLOCK * len(self.noise) // width)
             for at in range(lo, hi, size):
-                mine = some[at:min(hi, at + size)]
-                out[mine] += _log_share(r[mine], inner, place[mine] - first)
-        return out / np.log(10)
-
-
-def _log_share(r: np.ndarray, weights: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """The logarithm of the softmax of r @ weights at ``target``."""
-    score = r @ weights
-    mine, top = score[np.arange(len(score)), target].astype(np.float64), 0.0
-    # no score is larger than the product of the lengths; up to 80, sums of exponentials are safe as they are
-    bound = np.einsum("ij,ij->i", r, r).max() * np.einsum("ij,ij->j", weights, weights).max()
-    if not bound <= 80 ** 2 and not max(score.max(), -score.min()) <= 80:
-        top = score.max(1, keepdims=True)
-        score -= top
-        top = top[:, 0]
-    np.exp(score, out=score)
-    return mine - top - np.log(score @ np.ones(score.shape[1], np.float32))
-
-
-def _sums(at: np.ndarray, x: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct values of ``at``, which are below n; the sums of their rows of x): rows sorted (by radix, if they are few) and added up by run."""
+                here = slice(at, min(hi, at + size))
+                mine[here], total[here] = _share(r[here], inner, place[here] - first, length[here].max() * longest <= SAFE ** 2, room)
+        out[some] += mine.astype(np.float64) - np.log2(total)
+        return out * np.log10(2)
+
+
+def _share(r: np.ndarray, weights: np.ndarray, target: np.ndarray, safe: bool, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(scores r @ weights at ``target``, sums of 2 to the power of all), both lowered alike where sums aren't ``safe``; ``room`` holds the scores."""
+    shape = len(r), weights.shape[1]
+    score = np.matmul(r, weights, out=room[:shape[0] * shape[1]].reshape(shape)) if shape[0] * shape[1] <= len(room) else r @ weights
+    if not safe and not max(score.max(), -score.min()) <= SAFE:
+        score -= score.max(1, keepdims=True)
+    mine = score[np.arange(len(score)), target]
+    np.exp2(score, out=score)
+    return mine, score @ np.ones(shape[1], np.float32)
+
+
+def _search(up: np.ndarray, guide: np.ndarray, cell: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """What np.searchsorted(up, x) gives, for ``up`` that ends above all of x and ``guide``, the first places of cells of
+    values, of which few have many places: upwards from there."""
+    at = guide.take(cell)
+    later = np.flatnonzero(up.take(at) < x)
+    while len(later):
+        at[later] += 1
+        later = later[up.take(at.take(later)) < x.take(later)]
+    return at
+
+
+def _put(x: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """x[at] = rows, a row at once."""
+    row = f"V{x.strides[0]}"
+    x.view(row)[:, 0][at] = rows.view(row)[:, 0]
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(-x)) in the place of x, which counts as 30 at most either way."""
+    if x.size and not max(x.max(), -x.min()) <= 30:
+        np.clip(x, -30, 30, out=x)
+    x *= -BITS
+    np.exp2(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+def _sums(at: np.ndarray, n: int, *xs: np.ndarray) -> list[np.ndarray]:
+    """Distinct values of ``at``, which are below n, and the sums of their rows of each of ``xs``: rows sorted (by radix, if they are few) and added up by run."""
     order = np.argsort(at.astype(np.uint16) if n < 1 << 16 else at, kind="stable")
-    at = at[order]
+    at = at.take(order)
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    return at[first], np.add.reduceat(x[order], first, axis=0)
+    found = [at.take(first)]
+    for x in xs:
+        x = x.take(order, axis=0)
+        twos = x.view(np.complex64) if x.ndim == 2 and x.shape[1] % 2 == 0 else x        # adds two columns at once
+        found.append(np.add.reduceat(twos, first, axis=0).view(x.dtype))
+    return found
 
 
 _ENCODED = ("rid long, doc_id long, held_out boolean, part int, n_tokens long, known long, base double, within double, "
-            "code array<int>, tail array<struct<h:long,n:int>>")
+            "code binary, tail array<struct<h:long,n:int>>")
 
 
 def encode(docs: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> DataFrame:
     """Every text as codes, with all of its score that counts alone give, written.
 
-    ``part`` says which round a training text serves in; ``tail`` has the tokens that aren't frequent."""
+    ``part`` says which round a training text serves in; ``code`` has the codes' bytes, as numbers of ``known.kind``;
+    ``tail`` has the tokens that aren't frequent."""
     every = np.log10(known.total + 0.1 * (known.distinct + 1))
 
     def run(batches):
+        logs = np.append(np.log10(known.count + 0.1), 0.0)
         for batch in batches:
             found, tails, codes = [], [], []
             for i, j, data, offsets in pieces(batch.column(4), TEXT):
                 n = j - i
                 doc, h, bucket = tokens(data, offsets)
-                code, c = known.look_up(h, bucket)
-                seen = c >= 0
-                log_count = np.where(seen, np.log10(np.maximum(c, 0) + 0.1), 0.0)
+                code, at = known.look_up(h, bucket)
+                seen = at >= 0
+                log_count = logs.take(at, mode="wrap")
                 rest = (code >= known.words) & (code < known.classes)
-                within = np.where(rest, log_count - known.mass[np.minimum(code, known.classes - 1)], 0.0)
+                within = np.where(rest, log_count - known.mass.take(code, mode="clip"), 0.0)
                 found.append([np.bincount(doc, minlength=n), np.bincount(doc[seen], minlength=n),
                               np.bincount(doc, weights=log_count - every, minlength=n), np.bincount(doc, weights=within, minlength=n)])
-                codes.append(code.astype(np.int32))
+                codes.append(code.astype(known.kind))
                 d, x = doc[~seen], h[~seen]
                 order = np.lexsort((x, d))
                 d, x = d[order], x[order]
@@ -372,7 +478,7 @@ def encode(docs: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> DataFram
             lists = lambda n, values: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), values)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:4], pa.array(total, pa.int64()), pa.array(at_head, pa.int64()), pa.array(base, pa.float64()),
-                 pa.array(within, pa.float64()), lists(total, pa.array(np.concatenate(codes))),
+                 pa.array(within, pa.float64()), _packed(total, np.concatenate(codes)),
                  lists(size, pa.StructArray.from_arrays([_longs(x), pa.array(many, pa.int32())], ["h", "n"]))],
                 [f.split()[0] for f in _ENCODED.split(", ")])
 
@@ -380,11 +486,21 @@ def encode(docs: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> DataFram
     return freeze(docs.select("rid", "doc_id", (~F.col("train")).alias("held_out"), part, "text").mapInArrow(run, _ENCODED))
 
 
-def _sequence(column: pa.Array, start: int) -> tuple[np.ndarray, np.ndarray]:
-    """(codes, sizes) of a list column as one sequence, with ORDER starts before each text, so that no
+def _packed(size: np.ndarray, codes: np.ndarray) -> pa.Array:
+    """The bytes of each text's codes."""
+    ends = np.concatenate([[0], np.cumsum(size)]) * codes.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(codes)]).cast(pa.binary())
+
+
+def _sequence(column: pa.Array, kind: type, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, sizes) of a column of codes' bytes as one sequence, with ORDER starts before each text, so that no
     context reaches into another text."""
-    size = np.asarray(pc.list_value_length(column), dtype=np.int64)
-    return np.insert(column.flatten().to_numpy(zero_copy_only=False), np.repeat(np.cumsum(size) - size, ORDER), start), size
+    column = column.cast(pa.large_binary())
+    ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]] if len(column) else np.zeros(0, np.uint8)
+    size = np.diff(ends) // np.dtype(kind).itemsize
+    codes = np.frombuffer(data.tobytes(), kind).astype(np.int32)
+    return np.insert(codes, np.repeat(np.cumsum(size) - size, ORDER), start), size
 
 
 def train(encoded: DataFrame, words_: Vocabulary, rounds: int = ROUNDS) -> LogBilinear:
@@ -408,7 +524,7 @@ def train(encoded: DataFrame, words_: Vocabulary, rounds: int = ROUNDS) -> LogBi
                 return tokens_
 
             for batch in batches:
-                codes, _ = _sequence(batch.column(0), mine.start)
+                codes, _ = _sequence(batch.column(0), words_.kind, mine.start)
                 for at in range(0, len(codes), RUN):                 # a piece of a long batch begins with its context
                     held.append(codes[max(0, at - ORDER):at + RUN])
                     if sum(map(len, held)) >= RUN:
@@ -459,7 +575,7 @@ def score_texts(docs: DataFrame, head: int = HEAD) -> DataFrame:
     def run(batches):
         for batch in batches:
             score = np.array(batch.column(6).to_numpy())
-            codes, size = _sequence(batch.column(7), model.start)
+            codes, size = _sequence(batch.column(7), known.kind, model.start)
             row = np.repeat(np.arange(len(size)), size + ORDER)
             for at in range(ORDER, len(codes), RUN):
                 part = codes[at - ORDER:at + RUN]

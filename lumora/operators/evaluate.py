@@ -172,7 +172,7 @@ def _precision_sums(ranked: DataFrame, rows: int | None = None) -> DataFrame:
     terms = ranked.filter("rel").select("qid", F.shiftright(F.col("rank") - 1, _BLOCK_BITS).cast("long").alias("block"), "rank",
                                         (F.col("hits") / F.col("rank")).alias("term"))
     schema = "qid long, block long, total double"
-    blocks = (terms.repartition(*[_tasks(rows)] * (rows is not None), "qid", "block").sortWithinPartitions("qid", "block", "rank").select("qid", "block", "term")
+    blocks = (terms.repartition(*([] if rows is None else [_tasks(rows)]), "qid", "block").sortWithinPartitions("qid", "block", "rank").select("qid", "block", "term")
               .mapInArrow(_fold_runs, schema))
     whole = (blocks.repartition("qid").sortWithinPartitions("qid", "block").select("qid", F.lit(0).cast("long").alias("block"), "total")
              .mapInArrow(_fold_runs, schema))

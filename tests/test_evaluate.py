@@ -120,6 +120,16 @@ def test_number_rows_equals_window(spark, groups, rows):
         assert got[r.id] == seen[key]
 
 
+@pytest.mark.parametrize("rows", [None, 300, 200_000])
+def test_number_rows_leaves_other_columns_alone(spark, rows):
+    """Whatever size is told, and whatever the columns are called."""
+    names = ("__row", "__part", "__n", "__first", "__SHIFT")
+    df = spark.range(300).select("id", *[((F.col("id") * k) % 300).alias(c) for k, c in zip((7, 11, 13, 17, 19), names)])
+    got = number_rows(df, [F.col("__row").desc()], "n", rows=rows).collect()
+    want = sorted(df.collect(), key=lambda r: -r["__row"])
+    assert [tuple(r) for r in sorted(got, key=lambda r: r.n)] == [(*r, i) for i, r in enumerate(want, 1)]
+
+
 def test_report_cutoffs():
     assert fv.PRECISION_CUTOFFS == (1, 3, 5)
 

@@ -10,12 +10,13 @@ import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from data import awkward as rows_of, frame, prose, tokens
 
 from lumora.llm import lm_score, pii, quality, secret_scan
-from lumora.llm.common import spans_text
+from lumora.llm.common import flat, spans_text
 
 SF = "/root/testdata/sf0.001"
 
@@ -517,3 +518,76 @@ def test_every_candidate_teaches_the_secret_network(spark, monkeypatch):
     assert len(good) > 40 and network.steps > 6
     part = [(h, h % 2 == 0, "l", f"s{h}", "r", True) for h in range(1, 5001)]
     assert len({x[0] for x in secret_scan._lesson(part, 2)}) == 4000
+
+
+def test_only_texts_that_may_hold_a_candidate_are_looked_at():
+    """Runs of byte strings are those of the pattern, also next to other texts and after characters of several bytes."""
+    r = random.Random(12)
+    bits = ["password", "TOKEN", '"', " ", ":", "=", "abcdef", "0123456789abcdef", "AKIA", "ABCDEFGHIJKLMNOPQRST", "é", "漢", "😀", "\0", "/", ".", "Z9",
+            "x" * 15, "ſ", "٣", "²"]
+    texts = ["".join(r.choice(bits) for _ in range(r.randint(0, 20))) for _ in range(3000)] + ["", "a" * 15, "a" * 15, "b" * 16, "", "c" * 40, "plain text"]
+    data, offsets = flat(pa.array(texts))
+    seen = {d: (text, runs) for d, text, runs in secret_scan.suspects(data, offsets)}
+    for d, t in enumerate(texts):
+        runs = [m.span() for m in secret_scan._RUN.finditer(t)]
+        assert seen.get(d, (t, [])) == (t, runs) and (d in seen) == (bool(runs) or ":" in t or "=" in t)
+        assert secret_scan.base_spans(t, runs) == brute_secrets(t)
+    assert not list(secret_scan.suspects(data[:0], offsets[:1])) and not list(secret_scan.suspects(data[:0], np.zeros(3, np.int64)))
+
+
+def slow_secret_gradient(network, x, y):
+    """Each window's characters side by side, times the filters; gradients added up one by one."""
+    p, (n, length) = network.p, x.shape
+    width, vector, filters = secret_scan.WIDTH, secret_scan.VECTOR, secret_scan.FILTERS
+    windows = np.lib.stride_tricks.sliding_window_view(np.pad(x, ((0, 0), (width // 2, width // 2))), width, axis=1)
+    flat_ = (p["E"][windows] * (windows > 0)[..., None]).reshape(n * length, width * vector)
+    r = np.where((x > 0)[..., None], np.maximum(flat_ @ p["C"] + p["b"], 0).reshape(n, length, filters), 0)
+    best = [r[:, a:b].argmax(1) + a for a, b in secret_scan._PARTS]
+    size = (x[:, secret_scan.CONTEXT:secret_scan.CONTEXT + secret_scan.TILE] > 0).sum(1, keepdims=True) / secret_scan.TILE
+    h = np.concatenate([*(np.take_along_axis(r, at[:, None], 1)[:, 0] for at in best), size], axis=1).astype(np.float32)
+    logit = (h @ p["w"])[:, 0] + p["c"][0]
+    e = ((1 / (1 + np.exp(-logit)) - y) / len(y)).astype(np.float32)[:, None]
+    g = {"w": h.T @ e, "c": e.sum(0), "E": np.zeros_like(p["E"]), "C": np.zeros_like(p["C"]), "b": np.zeros_like(p["b"])}
+    for k, at in enumerate(best):
+        d = (e @ p["w"].T * (h > 0))[:, k * filters:(k + 1) * filters].reshape(-1)
+        rows = (np.arange(n)[:, None] * length + at).reshape(-1)
+        one = np.zeros((len(d), filters), np.float32)
+        one[np.arange(len(d)), np.tile(np.arange(filters), n)] = d
+        g["C"] += flat_[rows].T @ one
+        g["b"] += one.sum(0)
+        np.add.at(g["E"], windows.reshape(-1, width)[rows].reshape(-1), (one @ p["C"].T).reshape(-1, vector))
+    g["E"][0] = 0
+    return g, logit
+
+
+def best(f, times=9):
+    taken = []
+    for _ in range(times):
+        began = time.process_time()
+        f()
+        taken.append(time.process_time() - began)
+    return min(taken)
+
+
+def test_the_secret_network_learns_the_same_in_less_time():
+    r = np.random.default_rng(14)
+    size = r.integers(0, 70, 256)
+    x = np.concatenate([secret_scan.tiles(prose(i, 6)[:i % 40], "".join(map(chr, r.integers(33, 140, n))), prose(i + 1, 6)[:i % 31])[:1] for i, n in enumerate(size)])
+    y, network = (np.arange(256) % 3 == 0).astype(np.float32), secret_scan.Network()
+    network.fit(x, y, 2)
+    got, (want, logit) = network._gradient(x, y), slow_secret_gradient(network, x, y)
+    for k, g in got.items():
+        assert g.dtype == want[k].dtype and np.abs(g - want[k]).max() < 1e-5, k
+    assert np.abs(network.logits(x) - logit).max() < 1e-4
+    assert best(lambda: network._gradient(x[:64], y[:64])) < 0.7 * best(lambda: slow_secret_gradient(network, x[:64], y[:64]))
+
+
+def test_each_part_is_one_lesson_of_a_task_of_its_own(spark):
+    rows = [(h, h % 3 == 0, f"l{h}", f"s{h}" * 9, "right", True, h // 7 % 5) for h in range(200)]
+    samples = spark.createDataFrame(rows, "h long, found boolean, left string, span string, right string, sure boolean, part int").repartition(3)
+    lessons = secret_scan._lessons(samples, 5, (0, 2))
+    got = lessons.withColumn("file", F.input_file_name()).collect()
+    assert len(got) == 10 and len({r.file for r in got}) == 5
+    want = {(k, secret_scan._first_tiles(some).tobytes(), bytes(r[1] for r in some))
+            for p in range(5) for k in (0, 2) for some in [secret_scan._lesson(sorted(r[:6] for r in rows if r[6] == p), k)]}
+    assert {(r.k, bytes(r.x), bytes(r.y)) for r in got} == want

op12_hard_negatives: each shard of the index is searched in a task of its own

Symptom: in the two search stages a few tasks took about four times as long as the median one, and a third of the tasks had no rows.
Evidence: rows and anchors were dealt by a hash of the shard's number; on the large input 26 shards met in 16 tasks of 26 (longest 2.46 s, median 0.61 s; 11,927 and 3,030 rows), on the hot-key input 211 shards in 144 tasks (0.263 and 0.093 s; 1,012 and 255 rows).
Fix: rows and anchors go to the partition that has the shard's number (repartitionById); the number of partitions is that of shards, as before.
Effect: at 0.6 GB of input CPU 225 -> 247 s, shuffle 0.13 -> 0.14 GB, spill 0.00 -> 0.00 GB, read 0.09 -> 0.09 GB, longest task 3 -> 2 s, most memory of a task 69 -> 68 MB; at 6 GB of input CPU 3709 -> 3746 s, shuffle 1.59 -> 1.86 GB, spill 0.00 -> 0.00 GB, read 0.88 -> 0.88 GB, longest task 64 -> 27 s, most memory of a task 107 -> 70 MB; with hot keys, at 0.6 GB of input CPU 208 -> 220 s, shuffle 0.10 -> 0.11 GB, spill 0.00 -> 0.00 GB, read 0.08 -> 0.08 GB, longest task 3 -> 2 s, most memory of a task 68 -> 68 MB.

@@ -290,7 +290,7 @@ class Index:
     def _visit(self, anchors: DataFrame, same: bool, want: int) -> DataFrame:
         """Answers of each shard to the anchors sent to it.
 
-        Rows and anchors of a shard meet in one partition, sorted so that the rows come first; the task holds
+        Rows and anchors of a shard meet in a task of its own, sorted so that the rows come first; the task holds
         the shard and streams the anchors."""
         books = self.books
         left = self.rows.select("shard", F.lit(0).alias("kind"), "rid", "vec_id", "label", "first", "second", "v",
@@ -318,7 +318,8 @@ class Index:
                         shard, parts = Shard(pa.Table.from_batches(parts), books), []
                     yield _answers(_asked(part, shard, books, same, want))
 
-        met = left.unionByName(right).repartition(len(self.shards), "shard").sortWithinPartitions("shard", "kind")
+        tasks = int(self.shards[-1, 0]) + 1      # shards are numbered from 0; by a hash of the number several would share a task
+        met = left.unionByName(right).repartitionById(tasks, "shard").sortWithinPartitions("shard", "kind")
         return met.mapInArrow(run, _FOUND)
 
 

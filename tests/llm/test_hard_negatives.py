@@ -63,6 +63,19 @@ def test_ties_and_a_very_common_vector(spark):
     assert mined(spark, rows, per_shard=32, per_cell=8) == brute(rows)
 
 
+def test_each_shard_has_a_task_of_its_own(spark):
+    """Of rows of which a third are one vector, too: no task searches two shards, none is left without one."""
+    x, r = vectors(600, 6, 4), random.Random(4)
+    rows = [(i, (x[0] if i % 3 == 0 else x[i]).tolist(), r.randint(0, 2)) for i in range(600)] + [(None, x[1].tolist(), 1), (7, None, 1), (8, [], None)]
+    index = hard_negatives.build(hard_negatives.whole_rows(spark.createDataFrame(rows, SCHEMA)), per_shard=32, per_cell=8)
+    numbers = F.array(*[F.lit(int(k)) for k in index.shards[:, 0]])
+    asked = index.rows.filter("rid % 20 = 0").select("rid", "label", "v", numbers.alias("shards"), F.expr(
+        f"array(array({hard_negatives.LEAST + 1}L, {-hard_negatives.LEAST - 1}L, {hard_negatives.LEAST + 1}L))").alias("windows"))
+    found = index._visit(asked, False, 3).withColumn("task", F.spark_partition_id())
+    met = found.join(index.rows.select(F.col("rid").alias("found"), "shard"), F.col("rid") == F.col("found")).select("task", "shard").distinct().collect()
+    assert len(index.shards) > 12 and len(met) == len({m.shard for m in met}) == len({m.task for m in met}) == len(index.shards)
+
+
 def test_awkward_rows(spark):
     x = vectors(60, 4, 2)
     rows = [(i * 10, x[i].tolist(), i % 3) for i in range(60)]

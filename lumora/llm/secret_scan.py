@@ -129,21 +129,29 @@ def candidates(text: str, base: list[tuple[int, int, str, int]], runs: list[tupl
     return out
 
 
-def _codes(text: str) -> np.ndarray:
-    """1-127 for ASCII, 128 beyond; 0 is padding."""
-    return np.array([min(max(ord(c), 1), 128) for c in text], np.uint8)
+#: Stands where there is no character; a text's own U+0000 is read as U+0001.
+_PAD = "\0"
+
+
+def _rows(left: str, parts: Iterable[str], right: str) -> list[str]:
+    """For each part of a span context, part, context, padded to one length."""
+    before, after = left[-CONTEXT:].replace(_PAD, "\1").rjust(CONTEXT, _PAD), right[:CONTEXT].replace(_PAD, "\1").ljust(CONTEXT, _PAD)
+    return [before + part.replace(_PAD, "\1").ljust(TILE, _PAD) + after for part in parts]
+
+
+def _codes(texts: list[str]) -> np.ndarray:
+    """A row of codes for each of the padded texts, all at once: 1-127 for ASCII, 128 beyond; 0 is padding."""
+    points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    return np.minimum(points, 128).astype(np.uint8).reshape(-1, 2 * CONTEXT + TILE)
+
+
+def _parts(span: str) -> list[str]:
+    return [span[i:i + TILE] for i in range(0, len(span), TILE)] or [""]
 
 
 def tiles(left: str, span: str, right: str) -> np.ndarray:
     """Rows of codes: context, a tile of the span, context."""
-    parts = [span[i:i + TILE] for i in range(0, len(span), TILE)] or [""]
-    out = np.zeros((len(parts), 2 * CONTEXT + TILE), np.uint8)
-    before, after = _codes(left[-CONTEXT:]), _codes(right[:CONTEXT])
-    for row, part in zip(out, parts):
-        row[CONTEXT - len(before):CONTEXT] = before
-        row[CONTEXT:CONTEXT + len(part)] = _codes(part)
-        row[CONTEXT + TILE:CONTEXT + TILE + len(after)] = after
-    return out
+    return _codes(_rows(left, _parts(span), right))
 
 
 #: Windows of the convolution whose middle is in the left context, the span, the right context.
@@ -165,13 +173,14 @@ class Network:
         return np.concatenate([*(d[k].ravel() for d in (self.p, *self.moments) for k in self.p), [self.steps]]).astype(np.float64)
 
     def load(self, flat: np.ndarray) -> None:
-        at = 0
-        for d in (self.p, *self.moments):
-            for k, v in self.p.items():
-                d[k] = flat[at:at + v.size].reshape(v.shape).astype(np.float32)
-                at += v.size
+        self.p, *self.moments = (self._named(x) for x in flat[:-1].astype(np.float32).reshape(3, -1))
         self.steps = float(flat[-1])
 
+    def _named(self, row: np.ndarray) -> dict[str, np.ndarray]:
+        """Views of a row of numbers by the names and shapes of the parameters."""
+        ends = np.cumsum([v.size for v in self.p.values()])
+        return {k: x.reshape(v.shape) for (k, v), x in zip(self.p.items(), np.split(row, ends[:-1]))}
+
     def _forward(self, x: np.ndarray):
         """(codes with padding, E without padding's vector, response of each filter at each place).
 
@@ -183,13 +192,13 @@ class Network:
         table[0] += self.p["b"]
         padded = np.zeros((n, length + WIDTH - 1), np.uint8)
         padded[:, WIDTH // 2:WIDTH // 2 + length] = x
-        row, column = np.nonzero(x)
-        codes, at = padded.reshape(-1), row * (length + WIDTH - 1) + column
+        place = np.flatnonzero(x != 0)
+        codes, at = padded.reshape(-1), place + place // length * (WIDTH - 1)
         some = table[0].take(codes.take(at), 0)
         for k in range(1, WIDTH):
             some += table[k].take(codes.take(at + k), 0)
         r = np.zeros((n * length, FILTERS), np.float32)
-        r[row * length + column] = np.maximum(some, 0, out=some)
+        r[place] = np.maximum(some, 0, out=some)
         return codes, e, r.reshape(n, length, FILTERS)
 
     def _out(self, x: np.ndarray, pooled: list[np.ndarray]):
@@ -210,15 +219,16 @@ class Network:
         out, held, sizes = [], [], []
 
         def flush():
-            z = self.logits(np.concatenate(held))
+            z = self.logits(_codes(held))
             out.append(np.maximum.reduceat(z, np.cumsum([0, *sizes[:-1]])))
             held.clear()
             sizes.clear()
 
-        for one in some:
-            held.append(tiles(*one))
-            sizes.append(len(held[-1]))
-            if sum(sizes) >= TILES:
+        for left, span, right in some:
+            rows = _rows(left, _parts(span), right)
+            held += rows
+            sizes.append(len(rows))
+            if len(held) >= TILES:
                 flush()
         if held:
             flush()
@@ -234,13 +244,13 @@ class Network:
     def _gradient(self, x, y):
         p, filters = self.p, len(_PARTS) * FILTERS
         codes, e, r = self._forward(x)
-        best = [r[:, a:b].argmax(1) + a for a, b in _PARTS]
-        h, logit = self._out(x, [np.take_along_axis(r, at[:, None, :], 1)[:, 0] for at in best])
+        best = np.concatenate([r[:, a:b].argmax(1) + a for a, b in _PARTS], axis=1) + np.arange(len(x))[:, None] * x.shape[1]
+        h, logit = self._out(x, [r.reshape(-1).take(best * FILTERS + np.arange(filters) % FILTERS)])
         miss = ((1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y) / len(y)).astype(np.float32)[:, None]
         d = (miss @ p["w"][:filters].T) * (h[:, :filters] > 0)
         row, column = np.nonzero(d)
         d, f = d[row, column], column % FILTERS
-        at = row * (x.shape[1] + WIDTH - 1) + np.concatenate(best, axis=1)[row, column]
+        at = best[row, column] + row * (WIDTH - 1)
         # of the responses to each code at each place of a window
         cells = np.concatenate([(codes.take(at + k) + np.int64(129 * k)) * FILTERS + f for k in range(WIDTH)])
         table = np.bincount(cells, np.tile(d, WIDTH), WIDTH * 129 * FILTERS).astype(np.float32).reshape(WIDTH, 129, FILTERS)
@@ -251,18 +261,19 @@ class Network:
 
     def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 6, batch: int = 64, rate: float = 0.01) -> Network:
         r = np.random.default_rng(13 + int(self.steps))
-        (m, v), step = self.moments, self.steps
+        p, m, v = (np.concatenate([d[k].ravel() for k in self.p]) for d in (self.p, *self.moments))
+        self.p, step = self._named(p), self.steps       # views: a step moves all parameters at once
         for _ in range(epochs):
             order = r.permutation(len(x))
             for at in range(0, len(x), batch):
                 mine = order[at:at + batch]
                 g = self._gradient(x[mine], y[mine])
+                g = np.concatenate([g[k].ravel() for k in self.p])
                 step += 1
-                for k in self.p:
-                    m[k] = 0.9 * m[k] + 0.1 * g[k]
-                    v[k] = 0.999 * v[k] + 0.001 * g[k] ** 2
-                    self.p[k] -= rate * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.999 ** step)) + 1e-8)
-        self.steps = step
+                m = 0.9 * m + 0.1 * g
+                v = 0.999 * v + 0.001 * g ** 2
+                p -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
+        self.moments, self.steps = [self._named(m), self._named(v)], step
         return self
 
     def calibrate(self, x: np.ndarray, y: np.ndarray, recall: float = RECALL) -> Network:
@@ -371,7 +382,7 @@ def _lesson(part: list[tuple], k: int) -> list[tuple]:
 
 
 def _first_tiles(some: list[tuple]) -> np.ndarray:
-    return np.concatenate([tiles(*r[2:5])[:1] for r in some])
+    return _codes([row for r in some for row in _rows(r[2], [r[3][:TILE]], r[4])])
 
 
 def _lessons(samples: DataFrame, tasks: int, kinds: tuple[int, ...]) -> DataFrame:

@@ -591,3 +591,32 @@ def test_each_part_is_one_lesson_of_a_task_of_its_own(spark):
     want = {(k, secret_scan._first_tiles(some).tobytes(), bytes(r[1] for r in some))
             for p in range(5) for k in (0, 2) for some in [secret_scan._lesson(sorted(r[:6] for r in rows if r[6] == p), k)]}
     assert {(r.k, bytes(r.x), bytes(r.y)) for r in got} == want
+
+
+def test_codes_are_made_for_all_samples_at_once(monkeypatch):
+    """One conversion for many samples, whatever their characters, and steps that move all parameters together as one by one."""
+    calls, codes = [], secret_scan._codes
+    monkeypatch.setattr(secret_scan, "_codes", lambda texts: calls.append(len(texts)) or codes(texts))
+    r = random.Random(5)
+    word = lambda n: "".join(r.choice("aZ09:=\0\1\x7f\x80é好🎉") for _ in range(n))
+    some = [(h, h % 2 == 0, word(r.randint(0, 30)), word(r.choice((0, 1, 30, 63, 64, 65, 128, 200))), word(r.randint(0, 30))) for h in range(300)]
+    code = lambda t: [min(max(ord(c), 1), 128) for c in t]
+    pad = lambda t, n: [*code(t[:n]), *[0] * (n - len(t[:n]))]
+    row = lambda a, part, b: [*[0] * (secret_scan.CONTEXT - len(a[-secret_scan.CONTEXT:])), *code(a[-secret_scan.CONTEXT:]),
+                              *pad(part, secret_scan.TILE), *pad(b, secret_scan.CONTEXT)]
+    x = secret_scan._first_tiles(some)
+    assert x.tolist() == [row(a, s, b) for _, _, a, s, b in some] and calls == [300]
+    for _, _, a, s, b in some:
+        assert secret_scan.tiles(a, s, b).tolist() == [row(a, s[i:i + secret_scan.TILE], b) for i in range(0, max(1, len(s)), secret_scan.TILE)]
+    network, y = secret_scan.Network(), np.array([f for _, f, *_ in some], np.float32)
+    calls.clear()
+    assert np.allclose(network.highest(s[2:] for s in some), [network.logits(secret_scan.tiles(*s[2:])).max() for s in some], atol=1e-5) and calls[0] > 300
+
+    slow, (m, v), order = secret_scan.Network(), [{k: np.zeros_like(p) for k, p in network.p.items()} for _ in range(2)], np.random.default_rng(13).permutation(300)
+    for step, at in enumerate(range(0, 300, 64), 1):
+        g = slow._gradient(x[order[at:at + 64]], y[order[at:at + 64]])
+        for k in slow.p:
+            m[k], v[k] = 0.9 * m[k] + 0.1 * g[k], 0.999 * v[k] + 0.001 * g[k] ** 2
+            slow.p[k] -= 0.01 * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.999 ** step)) + 1e-8)
+    network.fit(x, y, 1)
+    assert all((network.p[k] == slow.p[k]).all() and (network.moments[1][k] == v[k]).all() for k in slow.p) and network.steps == 5

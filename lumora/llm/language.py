@@ -49,48 +49,70 @@ UNKNOWN = "und"
 FOLDS, HELD_OUT = 4, 2
 #: Texts, and bytes of texts, that are counted at once.
 TEXTS, SLAB = 256, 1 << 20
+#: Bytes of texts whose n-grams are looked up at once: the working arrays, some 50 bytes a byte, stay in the cache.
+PIECE = 1 << 16
 _BLOCK = 1024           # components in a row of partial sums
 
 _letters = np.full(256, 32, np.uint8)
 _letters[0x80:] = np.arange(0x80, 0x100)
 _letters[97:123] = np.arange(97, 123)
+_TWO_SPACES = np.full(2, 32, np.uint8)
 
 
 def _grams(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(kept positions, bucket of two bytes, bucket of three bytes) of all positions but the last two."""
-    a, b, c = x[:-2], x[1:-1], x[2:]
-    at = np.flatnonzero((a != 32) | (b != 32))
-    code = a[at].astype(np.uint32) * np.uint32(257) + b[at]
-    two = code * np.uint32(0x9E3779B1) >> np.uint32(32 - BITS)
-    three = (code * np.uint32(257) + c[at] + np.uint32(1)) * np.uint32(0x85EBCA77) >> np.uint32(32 - BITS)
-    return at, two, three
+    """(whether it counts, bucket of two bytes, bucket of three bytes) of all positions but the last two."""
+    two = x[:-2].astype(np.uint32)
+    two *= np.uint32(257)
+    two += x[1:-1]
+    kept = two != 32 * 257 + 32
+    three = two * np.uint32(257)
+    three += x[2:]
+    three += np.uint32(1)
+    for code, factor in ((two, 0x9E3779B1), (three, 0x85EBCA77)):
+        code *= np.uint32(factor)
+        code >>= np.uint32(32 - BITS)
+    return kept, two, three
+
+
+def _counted(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The n-gram counts of each text, one row of BUCKETS each."""
+    n, size = len(offsets) - 1, np.diff(offsets) + 2
+    x = np.insert(data[offsets[0]:offsets[-1]], np.repeat(offsets[:-1] - offsets[0], 2), 32)
+    kept, two, three = _grams(_letters.take(np.concatenate([x, _TWO_SPACES])))
+    row = np.repeat(np.arange(n, dtype=np.int64) << BITS, size)
+    row[~kept] = n << BITS                                               # a last row for what doesn't count
+    at = np.empty((2, len(row)), np.int64)
+    np.add(row, two, out=at[0])
+    np.add(row, three, out=at[1])
+    return np.bincount(at.reshape(-1), minlength=(n + 1) << BITS)[:n << BITS].reshape(n, BUCKETS)
 
 
 def gram_counts(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
     """(first, last, counts): the n-gram counts of runs of texts, one row of BUCKETS each."""
     data, offsets = flat(pc.utf8_lower(texts))
-    n, i, two_spaces = len(offsets) - 1, 0, np.full(2, 32, np.uint8)
+    n, i = len(offsets) - 1, 0
+    upto = lambda k, size: max(k + 1, int(np.searchsorted(offsets, offsets[k] + size, "right")) - 1)
     while i < n:
-        j = min(i + TEXTS, max(i + 1, int(np.searchsorted(offsets, offsets[i] + SLAB, "right")) - 1))
+        j = min(i + TEXTS, upto(i, SLAB))
         begin, end = int(offsets[i]), int(offsets[j])
         if end - begin > 2 * SLAB:                                       # one long text
-            total = np.zeros(BUCKETS, np.int64)
+            total = np.zeros((1, BUCKETS), np.int64)
             for at in range(begin, end, SLAB):
                 part = [data[at:min(at + SLAB + 2, end)]]
                 if at == begin:
-                    part.insert(0, two_spaces)
+                    part.insert(0, _TWO_SPACES)
                 if at + SLAB + 2 > end:
-                    part.append(two_spaces[:2 - max(0, end - at - SLAB)])
-                _, two, three = _grams(_letters[np.concatenate(part)])
-                total += np.bincount(two, minlength=BUCKETS)
-                total += np.bincount(three, minlength=BUCKETS)
-            yield i, j, total[None]
+                    part.append(_TWO_SPACES[:2 - max(0, end - at - SLAB)])
+                kept, two, three = _grams(_letters.take(np.concatenate(part)))
+                total[0] += np.bincount(two[kept], minlength=BUCKETS)
+                total[0] += np.bincount(three[kept], minlength=BUCKETS)
         else:
-            x = np.insert(data[begin:end], np.repeat(offsets[i:j] - begin, 2), 32)
-            at, two, three = _grams(_letters[np.concatenate([x, two_spaces])])
-            row = np.repeat(np.arange(j - i, dtype=np.int64) << BITS, np.diff(offsets[i:j + 1]) + 2)[at]
-            total = np.bincount(np.concatenate([row + two, row + three]), minlength=(j - i) << BITS)
-            yield i, j, total.reshape(j - i, BUCKETS)
+            total, k = np.empty((j - i, BUCKETS), np.int32), i
+            while k < j:                                                 # a few texts at a time
+                m = min(j, upto(k, PIECE))
+                total[k - i:m - i] = _counted(data, offsets[k:m + 1])
+                k = m
+        yield i, j, total
         i = j
 
 
@@ -99,17 +121,17 @@ _weights = np.concatenate([[0.0], 1 + np.log(np.arange(1, 4096))]).astype(np.flo
 
 def unit_vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """TF-IDF vectors of length 1 (0 where there is no n-gram)."""
-    at = np.flatnonzero(counts)
-    tf = counts.reshape(-1)[at]
-    value = _weights[np.minimum(tf, 4095)]
+    at = np.flatnonzero(counts != 0)
+    tf = counts.reshape(-1).take(at)
+    value = _weights.take(np.minimum(tf, 4095))
     big = tf > 4095
     if big.any():
         value[big] = 1 + np.log(tf[big])
-    value *= idf[at & (BUCKETS - 1)]
+    value *= idf.take(at & (BUCKETS - 1))
     row = at >> BITS
     norm = np.sqrt(np.bincount(row, weights=value * value, minlength=len(counts)))
     x = np.zeros(counts.shape, np.float32)
-    x.reshape(-1)[at] = value / norm[row]
+    x.reshape(-1)[at] = value / norm.take(row)
     return x
 
 
@@ -167,9 +189,8 @@ def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
         n, seen = 0, np.zeros(BUCKETS)
         for batch in batches:
             for _, _, counts in gram_counts(batch.column(0)):
-                has = counts > 0
-                n += int(has.any(1).sum())
-                seen += has.sum(0)
+                n += int(counts.any(1).sum())
+                seen += np.bincount(np.flatnonzero(counts != 0) & (BUCKETS - 1), minlength=BUCKETS)
         if n:
             yield _parts(0, seen, n)
 
@@ -191,7 +212,7 @@ def _sample(docs: DataFrame, idf: np.ndarray, sizes: dict[str, int], clusters: i
                 offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=j - i))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(offsets), pa.array(bucket.astype(np.int32))),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(counts[row, bucket]))], ["lang", "bucket", "count"])
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(counts[row, bucket].astype(np.int64)))], ["lang", "bucket", "count"])
 
     first = Window.partitionBy("lang").orderBy("h", "text")
     space = 1 << 40
@@ -263,7 +284,8 @@ def fit(docs: DataFrame, clusters: int = CLUSTERS, rounds: int = ROUNDS) -> Cent
 
 
 def has_letter(text: str) -> Column:
-    return F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
+    """Most texts have one among their first characters; only others are looked through as a whole."""
+    return F.coalesce(F.substring(text, 1, 64).rlike(r"\p{L}") | F.col(text).rlike(r"\p{L}"), F.lit(False))
 
 
 def identify(docs: DataFrame, clusters: int = CLUSTERS, rounds: int = ROUNDS, accepted: int = ACCEPTED) -> DataFrame:

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 import unicodedata
 from collections import Counter
 
@@ -117,3 +118,32 @@ def test_awkward_rows(spark, awkward, nothing):
         if i is not None:
             assert all((r.nearest in ("x", "y")) == (i in letters) and (i in letters or r.score == 0) for r in by[i])
     assert by[22][0] == by[22][1] and re.fullmatch("[xy]", by[16][0].nearest)
+
+
+@pytest.mark.parametrize("piece", [1, 100, 1 << 16])
+def test_counts_in_pieces(monkeypatch, piece):
+    """Texts of a block are counted a few at a time: the same counts, in a fraction of the memory."""
+    monkeypatch.setattr(language, "PIECE", piece)
+    texts = [None, "", "1  2", "a", "a  b   c 12", "  ", "Ä" * 65, "é1", *[text(lang, 5 + i % 40, i) for i, lang in enumerate("abc" * 40)], "x" * 300, None]
+    blocks = list(language.gram_counts(pa.array(texts, pa.string())))
+    assert [b[:2] for b in blocks] == [(0, len(texts))]
+    for row, t in zip(blocks[0][2], texts):
+        assert {int(k): int(row[k]) for k in np.flatnonzero(row)} == dict(slow_counts(t))
+
+
+def test_counting_needs_little_memory_beside_the_counts():
+    texts = pa.array([text("a", 500, i) for i in range(240)])
+    assert 0.7e6 < texts.nbytes < 1e6
+    tracemalloc.start()
+    blocks = [(i, j) for i, j, _ in language.gram_counts(texts)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert blocks == [(0, 240)] and peak < 2 * 240 * language.BUCKETS * 4
+
+
+def test_letters_are_looked_for_at_the_start_first(spark):
+    texts = [None, "", "1", "a", "é", "1" * 63 + "a", "1" * 64 + "a", "1" * 64, "🎉" * 70, "🎉" * 70 + "日", "\n" * 100 + "ß", " ", "ª", "²", "́" * 65 + "x"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = docs.select("doc_id", language.has_letter("text").alias("has"))
+    assert [r.has for r in found.orderBy("doc_id").collect()] == [any(unicodedata.category(c)[0] == "L" for c in t or "") for t in texts]
+    assert "substring(text" in found._jdf.queryExecution().optimizedPlan().toString()

@@ -83,7 +83,7 @@ def suspects(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, str,
     at, doc = at[inside], doc[inside]
     new = np.diff(at, prepend=-2) != 1
     start, stop, doc = at[new], at[np.append(new[1:], True)[:len(at)]] + SHORTEST, doc[new]
-    signs = np.searchsorted(offsets, np.flatnonzero((kind & 2).view(np.bool_)), "right") - 1
+    signs = np.searchsorted(offsets, np.flatnonzero(kind > 1), "right") - 1
     for d in np.union1d(doc, signs).tolist():
         mine, (low, high) = slice(*np.searchsorted(doc, (d, d + 1))), offsets[d:d + 2]
         runs, own = np.stack([start[mine], stop[mine]]) - low, data[low:high]
@@ -184,7 +184,8 @@ class Network:
     def _forward(self, x: np.ndarray):
         """(codes with padding, E without padding's vector, response of each filter at each place).
 
-        A window's response is the sum of those to its ``WIDTH`` codes, which are looked up; there is none at padding."""
+        A window's response is the sum of those to its ``WIDTH`` codes, which are looked up; it is 0 at padding.  What is
+        below 0 counts as 0, which :meth:`_out` sees to for the largest ones only."""
         n, length = x.shape
         e = self.p["E"].copy()
         e[0] = 0
@@ -198,13 +199,13 @@ class Network:
         for k in range(1, WIDTH):
             some += table[k].take(codes.take(at + k), 0)
         r = np.zeros((n * length, FILTERS), np.float32)
-        r[place] = np.maximum(some, 0, out=some)
+        r[place] = some
         return codes, e, r.reshape(n, length, FILTERS)
 
     def _out(self, x: np.ndarray, pooled: list[np.ndarray]):
         """(what the last layer sees, logits)."""
         size = (x[:, CONTEXT:CONTEXT + TILE] > 0).sum(1, keepdims=True).astype(np.float32) / TILE
-        h = np.concatenate([*pooled, size], axis=1).astype(np.float32)
+        h = np.maximum(np.concatenate([*pooled, size], axis=1), 0).astype(np.float32)
         return h, (h @ self.p["w"])[:, 0] + self.p["c"][0]
 
     def logits(self, x: np.ndarray) -> np.ndarray:
@@ -248,12 +249,13 @@ class Network:
         h, logit = self._out(x, [r.reshape(-1).take(best * FILTERS + np.arange(filters) % FILTERS)])
         miss = ((1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y) / len(y)).astype(np.float32)[:, None]
         d = (miss @ p["w"][:filters].T) * (h[:, :filters] > 0)
-        row, column = np.nonzero(d)
-        d, f = d[row, column], column % FILTERS
-        at = best[row, column] + row * (WIDTH - 1)
+        some = np.flatnonzero(d)
+        d, f = d.take(some), some % FILTERS
+        at = best.take(some) + some // filters * (WIDTH - 1)
         # of the responses to each code at each place of a window
-        cells = np.concatenate([(codes.take(at + k) + np.int64(129 * k)) * FILTERS + f for k in range(WIDTH)])
-        table = np.bincount(cells, np.tile(d, WIDTH), WIDTH * 129 * FILTERS).astype(np.float32).reshape(WIDTH, 129, FILTERS)
+        window = np.arange(WIDTH)[:, None]
+        cells = (codes.take(at + window) + 129 * window) * FILTERS + f
+        table = np.bincount(cells.reshape(-1), np.tile(d, WIDTH), WIDTH * 129 * FILTERS).astype(np.float32).reshape(WIDTH, 129, FILTERS)
         g = {"w": h.T @ miss, "c": miss.sum(0), "E": np.matmul(table, p["C"].reshape(WIDTH, VECTOR, FILTERS).swapaxes(1, 2)).sum(0),
              "C": np.matmul(e.T, table).reshape(WIDTH * VECTOR, FILTERS), "b": np.bincount(f, d, FILTERS).astype(np.float32)}
         g["E"][0] = 0

@@ -620,3 +620,19 @@ def test_codes_are_made_for_all_samples_at_once(monkeypatch):
             slow.p[k] -= 0.01 * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.999 ** step)) + 1e-8)
     network.fit(x, y, 1)
     assert all((network.p[k] == slow.p[k]).all() and (network.moments[1][k] == v[k]).all() for k in slow.p) and network.steps == 5
+
+
+def test_only_the_largest_responses_are_set_to_zero_below_it():
+    """Responses stay as they are, the largest of each part counts as 0 below 0: parts without a positive response teach nothing."""
+    r = random.Random(6)
+    x = secret_scan._first_tiles([(0, True, prose(i, 4)[:i % 30], "".join(r.choice("aZ09:=é") for _ in range(i % 70)), prose(i, 4)[:i % 9]) for i in range(64)])
+    y, network = (np.arange(64) % 2).astype(np.float32), secret_scan.Network()
+    network.p["b"] -= 1
+    responses = network._forward(x)[-1]
+    assert (responses < 0).any() and (responses[x == 0] == 0).all()
+    most = [responses[:, a:b].max(1) for a, b in secret_scan._PARTS]
+    assert any((m < 0).any() for m in most) and (network._out(x, most)[0] >= 0).all()
+    got, (want, logit) = network._gradient(x, y), slow_secret_gradient(network, x, y)
+    assert all(np.abs(g - want[k]).max() < 1e-5 for k, g in got.items()) and np.abs(network.logits(x) - logit).max() < 1e-4
+    network.p["b"] -= 100
+    assert not any(network._gradient(x, y)[k].any() for k in ("E", "C", "b"))
